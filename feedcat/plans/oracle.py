@@ -252,8 +252,8 @@ def unescape(e: str) -> str:
     return v
 
 
-def hrefs_sql(pages: str = "pages", keep: str = "page_id, url") -> str:
-    body = f"regexp_replace(html, {q(STRIP_RE)}, ' ', 'g')"
+def hrefs_sql(pages: str = "pages", keep: str = "page_id, url", col: str = "html", stripped: bool = False) -> str:
+    body = col if stripped else f"regexp_replace({col}, {q(STRIP_RE)}, ' ', 'g')"
     inner = (f"SELECT {keep}, unnest(range(len(m))) AS pos0, unnest(m) AS raw "
              f"FROM (SELECT {keep}, regexp_extract_all({body}, {q(A_HREF_RE)}, 1) AS m FROM {pages}) x")
     return (f"SELECT {keep}, CAST(pos0 AS INTEGER) AS pos, {D.strip_ws(unescape(unquote_attr('raw')))} AS href "
@@ -291,3 +291,355 @@ def o_outbound_links():
 @oracle("html_pages")
 def o_html_pages():
     return "SELECT page_id, url FROM pages"
+
+
+# --- quality -----------------------------------------------------------------------
+
+from ..lexicon import ALLOWED_TYPES, COMMON_FEED_PATHS, IGNORED_HOSTS  # noqa: E402
+from .views import BLOCKED_DOMAINS, BLOCKED_FEEDS  # noqa: E402
+
+CANON = "SELECT * FROM (VALUES ('en', 'en.yaml'), ('fr', 'fr.yaml'), ('Deutsch', 'de.yaml')) t(category, file)"
+LOC = "file || ' #' || CAST(item_idx AS VARCHAR)"
+
+
+def validation_sql() -> str:
+    return (f"SELECT file, item_idx, ord, true AS is_dict, {D.strip_ws('url')} AS url_raw, "
+            f"{D.strip_ws('category')} AS category_v, lower({D.strip_ws('type')}) AS type_v, "
+            f"lower({D.strip_ws('title')}) AS title_v FROM ({v_catalog_dups()}) v")
+
+
+def dup_urls_sql() -> str:
+    ch = D.Chain(f"SELECT * FROM ({validation_sql()}) x WHERE is_dict AND url_raw <> ''")
+    D.url_key_validate(ch, "url_raw", "key")
+    keyed = ch.select("ord, file, item_idx, url_raw, key")
+    return (f"WITH k AS ({keyed}), f AS (SELECT key, arg_min({LOC}, ord) AS first_loc, min(ord) AS first_ord "
+            f"FROM k GROUP BY key HAVING count(*) > 1) "
+            f"SELECT k.ord, k.file, k.item_idx, k.url_raw, k.key, f.first_loc FROM k JOIN f ON k.key = f.key "
+            f"WHERE k.ord > f.first_ord")
+
+
+def dup_titles_sql() -> str:
+    ch = D.Chain(f"SELECT * FROM ({validation_sql()}) x WHERE is_dict AND url_raw <> '' AND title_v <> ''")
+    D.normalize_url(ch, "url_raw", "_n")
+    D.url_host(ch, "_n", "host")
+    keyed = ch.select("ord, file, item_idx, host, title_v")
+    return (f"WITH k AS ({keyed}), f AS (SELECT host, title_v, arg_min({LOC}, ord) AS first_loc, min(ord) AS first_ord "
+            f"FROM k GROUP BY host, title_v HAVING count(*) > 1) "
+            f"SELECT k.ord, k.file, k.item_idx, k.host, k.title_v AS title, f.first_loc FROM k "
+            f"JOIN f ON k.host = f.host AND k.title_v = f.title_v WHERE k.ord > f.first_ord")
+
+
+@oracle("duplicate_urls")
+def o_duplicate_urls():
+    return dup_urls_sql()
+
+
+@oracle("duplicate_titles")
+def o_duplicate_titles():
+    return dup_titles_sql()
+
+
+def violations_sql() -> str:
+    allowed = ", ".join(q(t) for t in ALLOWED_TYPES)
+    return (f"WITH v AS (SELECT x.*, c.category AS expected FROM ({validation_sql()}) x LEFT JOIN ({CANON}) c ON x.file = c.file) "
+            f"SELECT DISTINCT CAST(NULL AS BIGINT) AS ord, file, CAST(NULL AS BIGINT) AS item_idx, 'error' AS level, 'file_not_listed' AS rule, '' AS detail FROM v WHERE expected IS NULL "
+            f"UNION ALL SELECT ord, file, item_idx, 'error', 'not_a_dict', '' FROM v WHERE NOT is_dict "
+            f"UNION ALL SELECT ord, file, item_idx, 'error', 'missing_url', '' FROM v WHERE is_dict AND url_raw = '' "
+            f"UNION ALL SELECT ord, file, item_idx, 'error', 'category_mismatch', category_v || ' != ' || expected FROM v "
+            f"WHERE is_dict AND url_raw <> '' AND expected IS NOT NULL AND category_v <> expected "
+            f"UNION ALL SELECT ord, file, item_idx, 'warn', 'unusual_type', type_v FROM v WHERE is_dict AND url_raw <> '' AND type_v NOT IN ({allowed}) "
+            f"UNION ALL SELECT ord, file, item_idx, 'error', 'duplicate_url', first_loc FROM ({dup_urls_sql()}) d1 "
+            f"UNION ALL SELECT ord, file, item_idx, 'warn', 'possible_duplicate', first_loc FROM ({dup_titles_sql()}) d2")
+
+
+@oracle("quality_violations")
+def o_quality_violations():
+    return violations_sql()
+
+
+@oracle("quality_summary")
+def o_quality_summary():
+    ch = D.Chain(validation_sql())
+    D.url_key_validate(ch, "url_raw", "key")
+    keys = ch.select("count(*) AS items, count(DISTINCT CASE WHEN is_dict AND url_raw <> '' THEN key END) AS unique_urls")
+    return (f"SELECT e.errors, e.warnings, k.items, k.unique_urls, e.errors = 0 AS passed FROM "
+            f"(SELECT count(*) FILTER (WHERE level = 'error') AS errors, count(*) FILTER (WHERE level = 'warn') AS warnings "
+            f"FROM ({violations_sql()}) x) e, ({keys}) k")
+
+
+@oracle("exclusion_rules")
+def o_exclusion_rules():
+    ch = D.Chain(f"SELECT ord, {D.strip_ws('url')} AS u, title FROM ({v_catalog_dups()}) v")
+    D.url_host(ch, "u", "h")
+    doms = "['www.cheap-pills.example.com', 'spam-farm.example.org']"
+    body = ch.select(
+        f"ord, len(list_filter({doms}, lambda d: lower(h) = d OR ends_with(lower(h), '.' || d))) > 0 AS by_domain, "
+        f"contains(lower(u), 'utm_') AS by_url, contains(lower(coalesce(title, '')), 'ththe') AS by_title")
+    return f"SELECT * FROM ({body}) z WHERE by_domain OR by_url OR by_title"
+
+
+# --- search / status -------------------------------------------------------------------
+
+def v_status() -> str:
+    st = "CASE WHEN length(html) > 9000 THEN 'active' WHEN length(html) < 4000 THEN 'down' ELSE 'rate_limited' END"
+    return (f"SELECT url, status, CASE WHEN status = 'down' THEN 'http_404' WHEN status = 'rate_limited' THEN 'http_429' ELSE '' END AS error "
+            f"FROM (SELECT url, {st} AS status FROM pages WHERE regexp_extract(url, {q(SEGMENT_RE)}, 1) <> 'es') s")
+
+
+def with_status() -> str:
+    cat = o_catalog_dedup()
+    return (f"SELECT c.url, c.title, c.description, c.type, c.category, lower(coalesce(nullif(s.status, ''), 'unknown')) AS status, "
+            f"coalesce(s.error, '') AS error FROM ({cat}) c LEFT JOIN ({v_status()}) s ON c.url = s.url")
+
+
+@oracle("catalog_with_status")
+def o_catalog_with_status():
+    return (f"SELECT url, status, error, CASE WHEN status = 'active' THEN 'badge badge-active' WHEN status = 'down' "
+            f"THEN 'badge badge-down' ELSE 'badge badge-unknown' END AS badge, "
+            f"coalesce(nullif(trim(coalesce(title, '')), ''), '(untitled)') AS display_title FROM ({with_status()}) w")
+
+
+@oracle("catalog_search")
+def o_catalog_search():
+    hay = "lower(url || ' ' || coalesce(title, '') || ' ' || coalesce(description, '') || ' ' || coalesce(type, '') || ' ' || coalesce(category, ''))"
+    return f"SELECT url, title, status FROM ({with_status()}) w WHERE status = 'active' AND contains({hay}, 'th')"
+
+
+@oracle("status_counts")
+def o_status_counts():
+    return (f"SELECT count(*) FILTER (WHERE status = 'active') AS active, count(*) FILTER (WHERE status = 'down') AS down, "
+            f"count(*) FILTER (WHERE status NOT IN ('active', 'down')) AS unknown, count(*) AS total FROM ({with_status()}) w")
+
+
+@oracle("active_feeds")
+def o_active_feeds():
+    st = D.Chain(f"SELECT url FROM ({v_status()}) s WHERE status = 'active'")
+    D.url_key_export(st, "url", "k")
+    return (f"SELECT url, title, category FROM ({o_export_dedup()}) e "
+            f"WHERE url IN ({st.select('k')})")
+
+
+# --- health ------------------------------------------------------------------------------
+
+def v_fetch() -> str:
+    k = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+    base = (f"SELECT *, {k} AS k, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn, "
+            f"CASE WHEN value > 470 THEN 'timeout' WHEN value > 460 THEN 'connection:ConnectionError' "
+            f"WHEN value > 455 THEN 'request:TooManyRedirects' END AS net FROM events")
+    b2 = (f"SELECT *, CASE WHEN net IS NOT NULL THEN NULL WHEN value < 5 THEN 404 WHEN value < 10 THEN 429 "
+          f"WHEN value < 15 THEN 503 ELSE 200 END AS http FROM ({base}) b")
+    b3 = f"SELECT *, CASE WHEN http = 200 THEN event_type = 'error' END AS bz FROM ({b2}) c"
+    return (f"SELECT 'https://feeds.example.org/u/' || CAST(user_id AS VARCHAR) AS url, "
+            f"CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') || '-' || CAST((rn - 1) // 2 AS VARCHAR) AS run_id, "
+            f"ts AS checked_at, CAST((rn - 1) % 2 + 1 AS INTEGER) AS attempt, CAST(http AS INTEGER) AS http_status, net AS net_error, "
+            f"bz AS bozo, CASE WHEN bz AND k % 3 = 0 THEN 'SAXParseException' END AS bozo_error, "
+            f"CASE WHEN http = 200 THEN CASE WHEN bz AND k < 40 THEN 0 ELSE k END END AS entries, "
+            f"CASE WHEN net IS NULL THEN CASE WHEN event_type = 'view' THEN 'Application/RSS+XML; charset=utf-8' ELSE ' text/xml' END END AS content_type, "
+            f"CAST(trunc(value * 10) AS INTEGER) AS latency_ms FROM ({b3}) d")
+
+
+def fetch_status_sql() -> str:
+    got = "(net_error IS NULL AND http_status IS NOT NULL)"
+    bz = "coalesce(bozo, false)"
+    ent = "coalesce(entries, 0)"
+    berr = f"CASE WHEN {bz} AND bozo_error IS NOT NULL THEN 'bozo:' || bozo_error WHEN {bz} THEN 'bozo' END"
+    act = f"(NOT {bz} OR {ent} > 0)"
+    ct_base = "split_part(coalesce(content_type, ''), ';', 1)"
+    return (f"SELECT url, run_id, attempt, checked_at, latency_ms, "
+            f"CASE WHEN net_error IS NOT NULL OR http_status IS NULL THEN 'down' WHEN http_status = 429 THEN 'rate_limited' "
+            f"WHEN http_status >= 400 THEN 'down' WHEN {act} THEN 'active' ELSE 'down' END AS status, "
+            f"CASE WHEN net_error IS NOT NULL THEN net_error WHEN http_status IS NULL THEN 'unexpected:NoResponse' "
+            f"WHEN http_status = 429 THEN 'http_429' WHEN http_status >= 400 THEN 'http_' || CAST(http_status AS VARCHAR) "
+            f"WHEN {act} THEN {berr} ELSE coalesce({berr}, 'empty_or_unparseable') END AS error, "
+            f"CASE WHEN {got} THEN http_status END AS http_status, "
+            f"CASE WHEN {got} AND http_status < 400 THEN {bz} END AS bozo, "
+            f"CASE WHEN {got} AND http_status < 400 THEN {ent} END AS entries, "
+            f"CASE WHEN {got} THEN lower({D.strip_ws(ct_base)}) END AS content_type "
+            f"FROM ({v_fetch()}) f")
+
+
+@oracle("fetch_status")
+def o_fetch_status():
+    return f"SELECT url, run_id, attempt, status, error, http_status, bozo, entries, content_type FROM ({fetch_status_sql()}) s"
+
+
+def retry_sql() -> str:
+    fs = fetch_status_sql()
+    e = "coalesce(a.error, '')"
+    trans = f"(a.status = 'down' AND ({e} = 'timeout' OR starts_with({e}, 'connection:') OR starts_with({e}, 'request:')))"
+    use2 = f"coalesce({trans} AND b.url IS NOT NULL AND (b.status <> 'down' OR b.http_status IS NOT NULL), false)"
+    cols = ["status", "error", "http_status"]
+    pick = ", ".join(f"CASE WHEN {use2} THEN b.{c} ELSE a.{c} END AS {c}" for c in cols)
+    return (f"WITH s AS ({fs}) SELECT a.url, a.run_id, {pick}, {use2} AS retried FROM (SELECT * FROM s WHERE attempt = 1) a "
+            f"LEFT JOIN (SELECT * FROM s WHERE attempt = 2) b ON a.url = b.url AND a.run_id = b.run_id")
+
+
+@oracle("retry_resolution")
+def o_retry_resolution():
+    return retry_sql()
+
+
+@oracle("check_totals")
+def o_check_totals():
+    return (f"SELECT count(*) AS total, count(*) FILTER (WHERE status = 'active') AS active, "
+            f"count(*) FILTER (WHERE status NOT IN ('active', 'rate_limited')) AS down, "
+            f"count(*) FILTER (WHERE status = 'rate_limited') AS rate_limited FROM ({retry_sql()}) r")
+
+
+def v_checks() -> str:
+    return ("SELECT event_id, 'https://feeds.example.org/u/' || CAST(user_id AS VARCHAR) AS url, "
+            "date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS run_idx, ts AS checked_at, "
+            "CASE WHEN event_type = 'error' THEN 'down' WHEN event_type = 'signup' THEN 'rate_limited' ELSE 'active' END AS status "
+            "FROM events")
+
+
+ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
+
+
+def history_sql() -> str:
+    o = "ORDER BY run_idx, checked_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return (f"WITH c AS ({v_checks()}), "
+            f"b AS (SELECT *, CASE WHEN lag(run_idx) OVER (PARTITION BY url ORDER BY run_idx, checked_at, event_id) IS NULL "
+            f"OR run_idx - lag(run_idx) OVER (PARTITION BY url ORDER BY run_idx, checked_at, event_id) > 1 THEN 1 ELSE 0 END AS brk FROM c), "
+            f"s AS (SELECT *, sum(brk) OVER (PARTITION BY url {o}) AS seg FROM b), "
+            f"i AS (SELECT *, sum(CASE WHEN status = 'active' THEN 1 ELSE 0 END) OVER (PARTITION BY url, seg {o}) AS island FROM s) "
+            f"SELECT event_id, url, run_idx, checked_at, status, "
+            f"CAST(CASE WHEN status = 'active' THEN 0 ELSE sum(CASE WHEN status = 'down' THEN 1 ELSE 0 END) OVER (PARTITION BY url, seg, island {o}) END AS INTEGER) AS consecutive_failures, "
+            f"CASE WHEN status = 'active' THEN NULL ELSE min(CASE WHEN status = 'down' THEN checked_at END) OVER (PARTITION BY url, seg, island {o}) END AS down_since, "
+            f"max(CASE WHEN status = 'active' THEN checked_at END) OVER (PARTITION BY url, seg {o}) AS last_seen_active FROM i")
+
+
+@oracle("health_history")
+def o_health_history():
+    return (f"SELECT event_id, status, consecutive_failures, strftime(down_since, {ISO}) AS down_since, "
+            f"strftime(last_seen_active, {ISO}) AS last_seen_active FROM ({history_sql()}) h")
+
+
+@oracle("health_merge")
+def o_health_merge():
+    now = "TIMESTAMP '2024-02-01 00:00:00'"
+    key = "struct_pack(r := run_idx, t := checked_at, e := event_id)"
+    return (f"WITH log AS ({v_checks()}), "
+            f"latest AS (SELECT url, arg_max(status, {key}) AS status, arg_max(event_id, {key}) AS last_event FROM log GROUP BY url), "
+            f"prev AS (SELECT l.url, CAST(count(*) FILTER (WHERE l.status = 'down') AS INTEGER) AS cf, "
+            f"min(l.checked_at) FILTER (WHERE l.status = 'down') AS ds, max(l.checked_at) FILTER (WHERE l.status = 'active') AS lsa "
+            f"FROM log l JOIN latest t ON l.url = t.url WHERE l.event_id <> t.last_event GROUP BY l.url) "
+            f"SELECT t.url, t.status, CAST(CASE WHEN t.status = 'active' THEN 0 WHEN t.status = 'rate_limited' THEN coalesce(p.cf, 0) "
+            f"ELSE coalesce(p.cf, 0) + 1 END AS INTEGER) AS consecutive_failures, "
+            f"strftime(CASE WHEN t.status = 'active' THEN NULL WHEN t.status = 'rate_limited' THEN p.ds ELSE coalesce(p.ds, {now}) END, {ISO}) AS down_since, "
+            f"strftime(CASE WHEN t.status = 'active' THEN {now} ELSE p.lsa END, {ISO}) AS last_seen_active "
+            f"FROM latest t LEFT JOIN prev p ON t.url = p.url")
+
+
+# --- discovery links -----------------------------------------------------------------------
+
+def blocked_cond(host: str) -> str:
+    doms = "[" + ", ".join(q(d) for d in BLOCKED_DOMAINS) + "]"
+    return f"({host} = '' OR len(list_filter({doms}, lambda d: {host} = d OR ends_with({host}, '.' || d))) > 0)"
+
+
+@oracle("blocked_hosts")
+def o_blocked_hosts():
+    ch = D.Chain("SELECT url FROM pages")
+    D.url_host(ch, "url", "host")
+    return f"SELECT host, {blocked_cond('host')} AS blocked FROM ({ch.select('DISTINCT host')}) h"
+
+
+def v_pages_with_feeds() -> str:
+    lang = f"regexp_extract(url, {q(SEGMENT_RE)}, 1)"
+    pid = "CAST(page_id AS VARCHAR)"
+    link = (f"CASE WHEN {lang} = 'en' THEN '<link rel=\"alternate\" type=\"application/rss+xml\" href=\"/feed/' || {pid} || '.xml\">' "
+            f"WHEN {lang} = 'fr' THEN '<link rel=''alternate'' type=''application/atom+xml'' href=''/atom/' || {pid} || '''>' "
+            f"WHEN {lang} = 'de' THEN '<link rel=\"alternate\" href=\"/index.xml?p=' || {pid} || '&amp;x=1\">' "
+            f"ELSE '<link rel=\"alternate\" type=\"text/html\" href=\"/about/' || {pid} || '\">' END")
+    anchor = f"'<a href=\"/blog/rss?page=' || {pid} || '\">feed</a>'"
+    return (f"SELECT page_id, url, replace(replace(html, '</head>', {link} || '</head>'), '</footer>', {anchor} || '</footer>') AS html "
+            f"FROM pages")
+
+
+def crawl_sites_sql(pages: str = "pages", max_sites: int = 400) -> str:
+    ch = D.Chain(outbound_sql(pages))
+    D.url_origin(ch, "link", "site_url")
+    ch.where("site_url <> ''")
+    sites = D.Chain(ch.select("DISTINCT site_url"))
+    D.url_host(sites, "site_url", "host")
+    ign = ", ".join(q(h) for h in IGNORED_HOSTS)
+    sites.where(f"host <> '' AND contains(host, '.') AND host NOT IN ({ign}) AND NOT {blocked_cond('host')}")
+    g = sites.select("host, min(site_url) AS site_url") + " GROUP BY host"
+    return f"SELECT site_url, host FROM ({g}) g ORDER BY site_url LIMIT {max_sites}"
+
+
+@oracle("crawl_sites")
+def o_crawl_sites():
+    return crawl_sites_sql()
+
+
+LINK_TAG_RE = r"(?is)<link\b[^>]*>"
+ATTR_RE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def advertised_sql() -> str:
+    body = f"regexp_replace(html, {q(STRIP_RE)}, ' ', 'g')"
+    base = D.Chain(f"SELECT page_id, url, {body} AS b FROM ({v_pages_with_feeds()}) p")
+    D.url_origin(base, "url", "origin")
+    based = base.select("page_id, origin, b")
+
+    def attr(name):
+        return unescape(unquote_attr(f"regexp_extract(t, {q(ATTR_RE.format(name=name))}, 1)"))
+
+    tags = f"SELECT page_id, origin, unnest(regexp_extract_all(b, {q(LINK_TAG_RE)}, 0)) AS t FROM ({based}) x"
+    links = (f"SELECT page_id, origin, {D.strip_ws(attr('rel'))} AS rel, lower({attr('type')}) AS type, "
+             f"{D.strip_ws(attr('href'))} AS href FROM ({tags}) y")
+    links = (f"SELECT page_id, origin, href FROM ({links}) z WHERE rel = 'alternate' AND href <> '' AND "
+             f"(contains(type, 'rss') OR contains(type, 'atom') OR contains(type, 'xml') OR {D.has_feed_hint('href')})")
+    anchors = (f"SELECT page_id, origin, href FROM ({hrefs_sql(f'({based}) a0', 'page_id, origin', 'b', True)}) a "
+               f"WHERE href <> '' AND {D.has_feed_hint('href')}")
+    ch = D.Chain(f"{links} UNION ALL {anchors}")
+    D.resolve_url(ch, "origin", "href", "_j")
+    D.normalize_url_crawl(ch, "_j", "feed_url")
+    ch.where("feed_url <> ''")
+    return ch.select("DISTINCT page_id, feed_url")
+
+
+@oracle("advertised_feeds")
+def o_advertised_feeds():
+    return advertised_sql()
+
+
+@oracle("feed_hint_links")
+def o_feed_hint_links():
+    return f"SELECT page_id, pos, href, {D.has_feed_hint('href')} AS is_hint FROM ({hrefs_sql(f'({v_pages_with_feeds()}) p')}) h"
+
+
+def probes_sql() -> str:
+    sites = crawl_sites_sql(f"({v_pages_with_feeds()}) pw")
+    paths = "[" + ", ".join(q(p) for p in COMMON_FEED_PATHS) + "]"
+    common = D.Chain(f"SELECT site_url, unnest({paths}) AS p FROM ({sites}) s")
+    D.resolve_url(common, "site_url", "p", "_j")
+    D.normalize_url_crawl(common, "_j", "feed_url")
+    common_sql = common.select("site_url, feed_url, false AS adv")
+    ps = D.Chain("SELECT page_id, url FROM pages")
+    D.url_origin(ps, "url", "site_url")
+    adv = (f"SELECT ps.site_url, a.feed_url, true AS adv FROM ({advertised_sql()}) a JOIN ({ps.select('page_id, site_url')}) ps "
+           f"ON a.page_id = ps.page_id WHERE ps.site_url IN (SELECT site_url FROM ({sites}) s2)")
+    g = (f"SELECT site_url, feed_url, CASE WHEN bool_or(adv) THEN 'rel=alternate' ELSE 'common_path' END AS discovered_via "
+         f"FROM ({common_sql} UNION ALL {adv}) u GROUP BY site_url, feed_url")
+    ch = D.Chain(g)
+    D.normalize_url_crawl(ch, "feed_url", "_n0")
+    ch.add(_n="lower(_n0)")
+    D.url_host(ch, "_n", "_host")
+    bf = ", ".join(q(f) for f in BLOCKED_FEEDS)
+    ch.where(f"NOT {blocked_cond('_host')} AND _n NOT IN ({bf}) AND lower(feed_url) NOT IN ({bf})")
+    return ch.select("site_url, feed_url, discovered_via")
+
+
+@oracle("probe_urls")
+def o_probe_urls():
+    return probes_sql()
+
+
+@oracle("feed_path_rank")
+def o_feed_path_rank():
+    ch = D.Chain(probes_sql())
+    D.feed_path_rank(ch, "feed_url", "rank")
+    return ch.select("site_url, feed_url, rank")

@@ -183,3 +183,163 @@ def q_outbound_links(spark, sf_dir):
 @register("html_pages")
 def q_html_pages(spark, sf_dir):
     return L.html_pages(V.v_links(spark, sf_dir)).select("page_id", "url")
+
+
+# --- 2.C / 2.F quality -------------------------------------------------------
+
+from ..operators import health as H  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import search as S  # noqa: E402
+
+NOW = "2024-02-01 00:00:00"
+
+
+@register("quality_violations")
+def q_quality_violations(spark, sf_dir):
+    return Q.quality_violations(V.v_catalog_dups(spark, sf_dir), V.v_categories(spark))
+
+
+@register("duplicate_urls")
+def q_duplicate_urls(spark, sf_dir):
+    return Q.duplicate_urls(V.v_catalog_dups(spark, sf_dir))
+
+
+@register("duplicate_titles")
+def q_duplicate_titles(spark, sf_dir):
+    return Q.duplicate_titles(V.v_catalog_dups(spark, sf_dir))
+
+
+@register("quality_summary")
+def q_quality_summary(spark, sf_dir):
+    return Q.quality_summary(V.v_catalog_dups(spark, sf_dir), V.v_categories(spark))
+
+
+@register("exclusion_rules")
+def q_exclusion_rules(spark, sf_dir):
+    rules = Q.parse_exclusion_rules(V.EXCLUSION_RULES)
+    out = Q.exclusion_matches(spark, _dups(spark, sf_dir), rules)
+    return out.select("ord", "by_domain", "by_url", "by_title")
+
+
+# --- search / status ---------------------------------------------------------
+
+def _catalog(spark, sf_dir):
+    return C.catalog_dedup(items(spark, sf_dir)).select("url", "title", "description", "type", "category")
+
+
+@register("catalog_with_status")
+def q_catalog_with_status(spark, sf_dir):
+    return S.catalog_with_status(_catalog(spark, sf_dir), V.v_status(spark, sf_dir)).select(
+        "url", "status", "error", "badge", "display_title")
+
+
+@register("catalog_search")
+def q_catalog_search(spark, sf_dir):
+    return S.catalog_search(_catalog(spark, sf_dir), V.v_status(spark, sf_dir), q="Th",
+                            status_filter="active").select("url", "title", "status")
+
+
+@register("status_counts")
+def q_status_counts(spark, sf_dir):
+    return S.status_counts(_catalog(spark, sf_dir), V.v_status(spark, sf_dir))
+
+
+@register("active_feeds")
+def q_active_feeds(spark, sf_dir):
+    """Export items whose B4 key is active in the status snapshot."""
+    exp = C.export_dedup(C.clean_items(V.v_catalog_dups(spark, sf_dir), url_policy="export",
+                                       blank_category="Uncategorized"))
+    st = V.v_status(spark, sf_dir).where(F.col("status") == "active")
+    act = U.url_key_export(st, "url", "url_key").select(F.col("url_key").alias("url")).distinct()
+    return exp.join(act, "url", "left_semi").select("url", "title", "category")
+
+
+# --- health ------------------------------------------------------------------
+
+@register("fetch_status")
+def q_fetch_status(spark, sf_dir):
+    return H.fetch_status(V.v_fetch(spark, sf_dir)).select(
+        "url", "run_id", "attempt", "status", "error", "http_status", "bozo", "entries", "content_type")
+
+
+@register("retry_resolution")
+def q_retry_resolution(spark, sf_dir):
+    r = H.retry_resolution(H.fetch_status(V.v_fetch(spark, sf_dir)))
+    return r.select("url", "run_id", "status", "error", "http_status", "retried")
+
+
+@register("check_totals")
+def q_check_totals(spark, sf_dir):
+    return H.check_totals(H.retry_resolution(H.fetch_status(V.v_fetch(spark, sf_dir))))
+
+
+def _iso(c):
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+@register("health_history")
+def q_health_history(spark, sf_dir):
+    h = H.health_history(V.v_checks(spark, sf_dir))
+    return h.select("event_id", "status", "consecutive_failures",
+                    _iso(F.col("down_since")).alias("down_since"),
+                    _iso(F.col("last_seen_active")).alias("last_seen_active"))
+
+
+@register("health_merge")
+def q_health_merge(spark, sf_dir):
+    """Each URL's latest check merged onto a snapshot built from its earlier checks."""
+    log = V.v_checks(spark, sf_dir)
+    last = F.struct("run_idx", "checked_at", "event_id")
+    latest = log.groupBy("url").agg(F.max_by(F.struct("status", "event_id"), last).alias("r"))
+    new = latest.select("url", F.col("r.status").alias("status"), F.col("r.event_id").alias("last_event"))
+    earlier = log.join(new.select("url", "last_event"), "url").where(F.col("event_id") != F.col("last_event"))
+    prev = earlier.groupBy("url").agg(
+        F.count_if(F.col("status") == "down").cast("int").alias("consecutive_failures"),
+        F.min(F.when(F.col("status") == "down", F.col("checked_at"))).alias("down_since"),
+        F.max(F.when(F.col("status") == "active", F.col("checked_at"))).alias("last_seen_active"))
+    m = H.health_merge(new, prev, NOW)
+    return m.select("url", "status", "consecutive_failures", _iso(F.col("down_since")).alias("down_since"),
+                    _iso(F.col("last_seen_active")).alias("last_seen_active"))
+
+
+# --- discovery links ---------------------------------------------------------
+
+@register("blocked_hosts")
+def q_blocked_hosts(spark, sf_dir):
+    pages = U.url_host(V.v_links(spark, sf_dir).select("url"), "url", "host").select("host").distinct()
+    return L.blocked_hosts(pages, "host", V.v_blocked(spark))
+
+
+@register("crawl_sites")
+def q_crawl_sites(spark, sf_dir):
+    return L.crawl_sites(V.v_links(spark, sf_dir), V.v_blocked(spark))
+
+
+@register("advertised_feeds")
+def q_advertised_feeds(spark, sf_dir):
+    return L.advertised_feeds(V.v_pages_with_feeds(spark, sf_dir))
+
+
+@register("feed_hint_links")
+def q_feed_hint_links(spark, sf_dir):
+    h = L.page_hrefs(V.v_pages_with_feeds(spark, sf_dir))
+    return h.select("page_id", "pos", "href", U.has_feed_hint(F.col("href")).alias("is_hint"))
+
+
+def _probes(spark, sf_dir):
+    pages = V.v_pages_with_feeds(spark, sf_dir)
+    sites = L.crawl_sites(pages, V.v_blocked(spark))
+    adv = L.advertised_feeds(pages)
+    page_site = U.url_origin(pages.select("page_id", "url"), "url", "site_url").select("page_id", "site_url")
+    adv = adv.join(page_site, "page_id").select("site_url", "feed_url")
+    return L.probe_urls(sites, adv, V.v_blocked(spark), V.v_blocked_feeds(spark))
+
+
+@register("probe_urls")
+def q_probe_urls(spark, sf_dir):
+    return _probes(spark, sf_dir)
+
+
+@register("feed_path_rank")
+def q_feed_path_rank(spark, sf_dir):
+    return U.feed_path_rank(_probes(spark, sf_dir), "feed_url", "rank").select("site_url", "feed_url", "rank")

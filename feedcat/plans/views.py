@@ -67,8 +67,8 @@ def v_catalog_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_categories(spark: SparkSession) -> DataFrame:
-    """Canonical (category, file) rows for the driver catalog; es.yaml is deliberately unlisted."""
-    return spark.createDataFrame([("en", "en.yaml"), ("fr", "fr.yaml"), ("de", "de.yaml")],
+    """Canonical (category, file) rows: es.yaml is unlisted and de.yaml expects another name."""
+    return spark.createDataFrame([("en", "en.yaml"), ("fr", "fr.yaml"), ("Deutsch", "de.yaml")],
                                  "category string, file string")
 
 
@@ -165,3 +165,27 @@ def v_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(net.isNull(), F.concat(F.lit("https://feeds.example.org/u/"), F.col("user_id").cast("string"))).alias("final_url"),
         (F.col("value") * 10).cast("int").alias("latency_ms"),
         (k * 7).alias("body_bytes"))
+
+
+def v_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages as a status snapshot keyed by the raw page URL; status from the page size
+    band; Spanish pages have no status (read as 'unknown')."""
+    p = table(spark, sf_dir, "pages")
+    n = F.length("html")
+    st = F.when(n > 9000, F.lit("active")).when(n < 4000, F.lit("down")).otherwise(F.lit("rate_limited"))
+    err = F.when(st == "down", F.lit("http_404")).when(st == "rate_limited", F.lit("http_429")).otherwise(F.lit(""))
+    return p.where(F.regexp_extract("url", SEGMENT_RE, 1) != "es").select("url", st.alias("status"), err.alias("error"))
+
+
+BLOCKED_DOMAINS = ["spam-farm.example.org", "example.net"]
+BLOCKED_FEEDS = ["https://blog.ththan.example.net/feed", "https://ththed.example.org/rss.xml"]
+EXCLUSION_RULES = ["# test rules", "domain:www.cheap-pills.example.com", "domain:spam-farm.example.org",
+                   "url_contains:utm_", "title_contains:ththe"]
+
+
+def v_blocked(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "domain string")
+
+
+def v_blocked_feeds(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in BLOCKED_FEEDS], "feed string")
