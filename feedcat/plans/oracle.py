@@ -643,3 +643,271 @@ def o_feed_path_rank():
     ch = D.Chain(probes_sql())
     D.feed_path_rank(ch, "feed_url", "rank")
     return ch.select("site_url, feed_url, rank")
+
+
+# --- entries, scoring, candidates ------------------------------------------------------------
+
+from ..functions.text import WS as _WS  # noqa: E402
+from ..lexicon import BUCKET_LABELS, FEED_PATH_PREFERENCE  # noqa: E402
+from ..operators.scoring import word_boundaries  # noqa: E402
+from . import views as _V  # noqa: E402
+
+
+def feed_sources_sql() -> str:
+    ch = D.Chain("SELECT page_id, url FROM pages")
+    D.url_origin(ch, "url", "site_url")
+    D.url_host(ch, "url", "host")
+    lang = f"regexp_extract(url, {q(SEGMENT_RE)}, 1)"
+    path = "CASE " + " ".join(f"WHEN {lang} = {q(lg)} THEN {q(p)}" for lg, p in _V.FEED_PATH_BY_LANG) + " ELSE '/blog/feed' END"
+    return ch.select(f"page_id AS feed, site_url, host, site_url || {path} || '?feed=' || CAST(page_id AS VARCHAR) AS feed_url, "
+                     f"'Feed of ' || host AS channel_title")
+
+
+def conv_entries_sql() -> str:
+    return (f"SELECT s.feed_url, s.site_url, s.channel_title, c.turn AS pos, c.role AS title, c.text AS summary "
+            f"FROM conversations c JOIN ({feed_sources_sql()}) s ON c.conv_id = s.feed")
+
+
+@oracle("feed_entries")
+def o_feed_entries():
+    return f"SELECT feed_url, pos, title, summary FROM ({conv_entries_sql()}) e"
+
+
+@oracle("valid_feeds")
+def o_valid_feeds():
+    return f"SELECT DISTINCT feed_url, CAST(floor(pos / 64) AS BIGINT) AS chunk FROM ({conv_entries_sql()}) e"
+
+
+@oracle("feed_type")
+def o_feed_type():
+    return f"SELECT DISTINCT feed_url, CAST(floor(pos / 64) AS BIGINT) AS chunk, 'rss20' AS version, 'rss' AS feed_type FROM ({conv_entries_sql()}) e"
+
+
+def first_sql(src: str, feed: str, pos: str, k: int = 15) -> str:
+    return (f"SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {feed} ORDER BY {pos}) AS INTEGER) AS rank "
+            f"FROM ({src}) s) r WHERE rank <= {k}")
+
+
+V_ENTRIES = "SELECT conv_id AS feed, turn AS pos, role AS title, text AS summary FROM conversations"
+V_BLOBS = "SELECT source AS feed, doc_id AS pos, '' AS title, text AS summary FROM documents"
+
+
+@oracle("first_entries")
+def o_first_entries():
+    return f"SELECT feed, pos, rank FROM ({first_sql(V_ENTRIES, 'feed', 'pos')}) f"
+
+
+@oracle("entry_sample")
+def o_entry_sample():
+    return (f"SELECT feed, rank, {D.strip_ws('title')} AS title, 'https://chat.example.org/' || CAST(feed AS VARCHAR) AS link, "
+            f"'2024-01-01' AS published FROM ({first_sql(V_ENTRIES, 'feed', 'pos')}) f WHERE rank <= 5")
+
+
+@oracle("feed_recency")
+def o_feed_recency():
+    ev = ("SELECT user_id AS feed, event_id AS pos, ts AS published_ts, "
+          "CASE WHEN event_type = 'signup' THEN ts + INTERVAL 40 DAY END AS updated_ts FROM events")
+    g = (f"SELECT feed, max(greatest(date_trunc('second', published_ts), coalesce(date_trunc('second', updated_ts), date_trunc('second', published_ts)))) AS latest "
+         f"FROM ({first_sql(ev, 'feed', 'pos')}) f GROUP BY feed")
+    age = "CAST(floor((epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(latest)) / 86400) AS BIGINT)"
+    return (f"SELECT feed, strftime(latest, '%Y-%m-%dT%H:%M:%S') AS latest, {age} AS age_days, "
+            f"CASE WHEN latest IS NULL THEN 0 WHEN {age} <= 30 THEN 3 WHEN {age} <= 90 THEN 1 WHEN {age} > 365 THEN -4 ELSE 0 END AS recency_bonus FROM ({g}) g")
+
+
+def blob_sql(src: str, feed: str = "feed") -> str:
+    part = f"lower({D.strip_ws('title')} || ' ' || {D.strip_ws('summary')})"
+    return (f"SELECT {feed}, string_agg({part}, ' ' ORDER BY rank) AS blob, count(*) AS n_entries "
+            f"FROM ({first_sql(src, feed, 'pos')}) f GROUP BY {feed}")
+
+
+def score_sql(src: str, feed: str = "feed") -> str:
+    lex = _V.test_lexicon()
+    kws = "[" + ", ".join(f"{{'k': {q(k)}, 'w': {w}}}" for k, w in lex.weights()) + "]"
+    negs = "[" + ", ".join(q(k) for k in lex.negative) + "]"
+    rules = [(cat, "(?i)" + "|".join(f"(?:{word_boundaries(p)})" for p in pats)) for cat, pats in lex.category_rules]
+    cat = "CASE " + " ".join(f"WHEN regexp_matches(blob, {q(rx)}) THEN {q(c)}" for c, rx in rules) + f" ELSE {q(lex.default_category)} END"
+    h = (f"SELECT *, list_filter({kws}, lambda x: contains(blob, x.k)) AS hits, "
+         f"len(list_filter({negs}, lambda x: contains(blob, x))) AS neg FROM ({blob_sql(src, feed)}) b")
+    u = f"SELECT *, list_sort(list_distinct(list_transform(hits, lambda x: x.k))) AS uniq, coalesce(list_sum(list_transform(hits, lambda x: x.w)), 0) AS base FROM ({h}) h"
+    n = "len(uniq)"
+    score = (f"CAST(base + CASE WHEN {n} >= 10 THEN 5 WHEN {n} >= 6 THEN 2 ELSE 0 END + CASE WHEN n_entries >= 10 THEN 2 ELSE 0 END "
+             f"+ CASE WHEN neg >= 2 THEN -2 * neg ELSE 0 END AS INTEGER)")
+    return f"SELECT {feed}, blob, n_entries, {score} AS score, uniq[1:25] AS matched_keywords, {cat} AS suggested_category FROM ({u}) u"
+
+
+@oracle("relevance_score")
+def o_relevance_score():
+    return f"SELECT feed, n_entries, score FROM ({score_sql(V_BLOBS)}) s"
+
+
+@oracle("matched_keywords")
+def o_matched_keywords():
+    return f"SELECT feed, array_to_string(matched_keywords, ',') AS matched FROM ({score_sql(V_BLOBS)}) s"
+
+
+@oracle("suggest_category")
+def o_suggest_category():
+    return f"SELECT feed, suggested_category FROM ({score_sql(V_BLOBS)}) s"
+
+
+def raw_candidates_sql() -> str:
+    ent = f"SELECT feed_url AS feed, pos, title, summary FROM ({conv_entries_sql()}) e"
+    sc = score_sql(ent)
+    meta = f"SELECT DISTINCT feed_url, site_url, channel_title FROM ({conv_entries_sql()}) e"
+    ch = D.Chain(f"SELECT m.feed_url, m.site_url, {D.strip_ws('m.channel_title')} AS title, '' AS description, '' AS language, "
+                 f"'rss' AS feed_type, s.score, s.matched_keywords, s.suggested_category, 'common_path' AS discovered_via "
+                 f"FROM ({meta}) m JOIN ({sc}) s ON m.feed_url = s.feed")
+    D.url_hash(ch, "feed_url", "url_hash")
+    D.feed_path_rank(ch, "feed_url", "path_rank")
+    return ch.select("feed_url, site_url, title, description, language, feed_type, score, matched_keywords, "
+                     "suggested_category, discovered_via, url_hash, path_rank")
+
+
+def site_dedup_sql() -> str:
+    norm = f"regexp_replace(lower({D.strip_ws('title')}), {q(_WS + '+')}, ' ', 'g')"
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY site_url, feed_type, {norm} "
+            f"ORDER BY path_rank, feed_url) AS rn FROM ({raw_candidates_sql()}) r) x WHERE rn = 1")
+
+
+def best_sql(src: str) -> str:
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY url_hash ORDER BY score DESC, path_rank, feed_url) AS rn "
+            f"FROM ({src}) r) x WHERE rn = 1")
+
+
+def known_sql(src: str) -> str:
+    ch = D.Chain(src)
+    D.url_key_discovery(ch, "url", "known")
+    ch.where("known <> ''")
+    return ch.select("DISTINCT known")
+
+
+def final_sql() -> str:
+    best = best_sql(f"SELECT * FROM ({site_dedup_sql()}) s WHERE score >= 6")
+    ch = D.Chain(best)
+    D.url_key_discovery(ch, "feed_url", "_k")
+    known = known_sql(f"SELECT url FROM ({v_catalog()}) c")
+    ch.where(f"_k NOT IN ({known})")
+    return ch.select("* EXCLUDE (_k)")
+
+
+def bucket_sql(src: str) -> str:
+    lex = _V.test_lexicon()
+    cat = f"lower({D.strip_ws('suggested_category')})"
+    blob = (f"lower(coalesce(title, '') || ' ' || coalesce(description, '') || ' ' || coalesce(site_url, '') || ' ' || "
+            f"array_to_string(coalesce(matched_keywords, []), ' ') || ' ' || {cat})")
+    case = "CASE "
+    for kind, bucket, words in lex.bucket_rules:
+        tgt = "_blob" if kind == "blob" else "_cat"
+        case += f"WHEN {' OR '.join(f'contains({tgt}, {q(w)})' for w in words)} THEN {q(bucket)} "
+    case += f"ELSE {q(lex.default_bucket)} END"
+    labels = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in BUCKET_LABELS) + "}"
+    inner = f"SELECT *, {blob} AS _blob, {cat} AS _cat FROM ({src}) s"
+    b = f"SELECT * EXCLUDE (_blob, _cat), {case} AS bucket FROM ({inner}) i"
+    return f"SELECT *, coalesce({labels}[bucket], suggested_category) AS bucket_label FROM ({b}) b"
+
+
+@oracle("candidates")
+def o_candidates():
+    return (f"SELECT feed_url, site_url, title, feed_type, score, array_to_string(matched_keywords, ',') AS matched, "
+            f"suggested_category, url_hash, bucket, bucket_label FROM ({bucket_sql(final_sql())}) c")
+
+
+@oracle("site_dedup")
+def o_site_dedup():
+    return f"SELECT feed_url, site_url, path_rank, score FROM ({site_dedup_sql()}) s"
+
+
+@oracle("candidate_best")
+def o_candidate_best():
+    return f"SELECT url_hash, feed_url, score, path_rank FROM ({best_sql(raw_candidates_sql())}) b"
+
+
+@oracle("known_urls")
+def o_known_urls():
+    return known_sql(f"SELECT url FROM ({v_catalog_dups()}) c WHERE variant IN ('original', 'tracked')")
+
+
+@oracle("unknown_candidates")
+def o_unknown_candidates():
+    ch = D.Chain(best_sql(raw_candidates_sql()))
+    D.url_key_discovery(ch, "feed_url", "_k")
+    known = known_sql(f"SELECT feed_url AS url FROM ({feed_sources_sql()}) s WHERE contains(feed_url, '/rss.xml?')")
+    ch.where(f"_k NOT IN ({known})")
+    return ch.select("url_hash, feed_url")
+
+
+def seen_sql() -> str:
+    best = best_sql(f"SELECT * FROM ({raw_candidates_sql()}) r WHERE contains(feed_url, '/feed?')")
+    return (f"SELECT url_hash, feed_url, site_url, 'old title' AS title, CAST(1700000000 AS BIGINT) AS last_seen_ts, "
+            f"score - 1 AS score, feed_type, 'kept' AS note FROM ({best}) b")
+
+
+@oracle("only_new")
+def o_only_new():
+    return f"SELECT url_hash, feed_url FROM ({final_sql()}) f WHERE url_hash NOT IN (SELECT url_hash FROM ({seen_sql()}) s)"
+
+
+@oracle("seen_upsert")
+def o_seen_upsert():
+    f = final_sql()
+    return (f"SELECT coalesce(n.url_hash, o.url_hash) AS url_hash, CASE WHEN n.url_hash IS NOT NULL THEN n.feed_url ELSE o.feed_url END AS feed_url, "
+            f"CASE WHEN n.url_hash IS NOT NULL THEN n.title ELSE o.title END AS title, "
+            f"CASE WHEN n.url_hash IS NOT NULL THEN n.score ELSE o.score END AS score, "
+            f"CASE WHEN n.url_hash IS NOT NULL THEN CAST(1706745600 AS BIGINT) ELSE o.last_seen_ts END AS last_seen_ts, o.note "
+            f"FROM ({seen_sql()}) o FULL OUTER JOIN ({f}) n ON o.url_hash = n.url_hash")
+
+
+def items_sql(src: str) -> str:
+    ch = D.Chain(src)
+    p = D.tmp()
+    D.split(ch, "site_url", p, params=False)
+    title = f"coalesce(nullif({D.strip_ws('title')}, ''), {p}_n)"
+    cat = D.strip_ws(f"coalesce(nullif(suggested_category, ''), {q('Security (General)')})")
+    ch.add(_title=title, _cat=cat)
+    return ch.select(f"*, feed_url AS url, _cat AS category_i, _title AS title_i, feed_type AS type_i, "
+                     f"{D.item_description('description', '_cat', '_title')} AS description_i")
+
+
+@oracle("candidate_items")
+def o_candidate_items():
+    return f"SELECT url, category_i AS category, title_i AS title, type_i AS type, description_i AS description FROM ({items_sql(final_sql())}) i"
+
+
+@oracle("candidate_bucket")
+def o_candidate_bucket():
+    return f"SELECT url_hash, bucket, bucket_label FROM ({bucket_sql(final_sql())}) b"
+
+
+def review_sql() -> str:
+    return (f"SELECT url, bucket_label AS category, title_i AS title, type_i AS type, description_i AS description, bucket, "
+            f"score, url_hash FROM ({items_sql(bucket_sql(final_sql()))}) i")
+
+
+@oracle("review_items")
+def o_review_items():
+    return f"SELECT url, category, title, type, description, score, url_hash FROM ({review_sql()}) r"
+
+
+def merged_sql() -> str:
+    ex = f"SELECT 'alpha-second' AS bucket, feed_url AS url FROM ({feed_sources_sql()}) s WHERE contains(feed_url, '/atom.xml?')"
+    return (f"SELECT r.* FROM ({review_sql()}) r WHERE {D.strip_ws('r.url')} <> '' AND NOT EXISTS "
+            f"(SELECT 1 FROM ({ex}) e WHERE e.bucket = r.bucket AND {D.strip_ws('e.url')} = {D.strip_ws('r.url')})")
+
+
+@oracle("bucket_merge")
+def o_bucket_merge():
+    return f"SELECT url, bucket FROM ({merged_sql()}) m"
+
+
+@oracle("top_candidates")
+def o_top_candidates():
+    return f"SELECT url, bucket, score FROM ({merged_sql()}) m ORDER BY score DESC, url LIMIT 75"
+
+
+@oracle("review_record_names")
+def o_review_record_names():
+    ch = D.Chain(final_sql())
+    D.url_host(ch, "site_url", "_hs")
+    D.url_host(ch, "feed_url", "_hf")
+    base = "coalesce(nullif(title, ''), nullif(_hs, ''), _hf)"
+    return ch.select(f"url_hash, {D.slug_short(base)} || '__' || substr(url_hash, 1, 10) AS record_name")

@@ -343,3 +343,204 @@ def q_probe_urls(spark, sf_dir):
 @register("feed_path_rank")
 def q_feed_path_rank(spark, sf_dir):
     return U.feed_path_rank(_probes(spark, sf_dir), "feed_url", "rank").select("site_url", "feed_url", "rank")
+
+
+# --- entries, scoring, candidates ----------------------------------------------------
+
+from ..operators import candidates as K  # noqa: E402
+from ..operators import entries as E  # noqa: E402
+from ..operators import scoring as R  # noqa: E402
+
+
+def _bodies(spark, sf_dir):
+    ent = V.v_entries(spark, sf_dir)
+    src = V.v_feed_sources(spark, sf_dir)
+    ent = ent.join(src.select("feed", "feed_url", "channel_title"), "feed")
+    bodies = E.render_rss_items(ent, feed="feed_url", pos="pos", title_col="channel_title")
+    return bodies.withColumns({"http_status": F.lit(200), "body_bytes": F.octet_length("body")})
+
+
+def _parsed(spark, sf_dir):
+    bodies = _bodies(spark, sf_dir)
+    feeds, entries = E.parse_feed_bodies(bodies, key="feed_url")
+    entries = entries.withColumn("pos", F.col("guid").cast("bigint"))
+    return bodies, feeds, entries
+
+
+@register("feed_entries")
+def q_feed_entries(spark, sf_dir):
+    _, _, entries = _parsed(spark, sf_dir)
+    return entries.select("feed_url", "pos", "title", "summary")
+
+
+@register("valid_feeds")
+def q_valid_feeds(spark, sf_dir):
+    bodies, feeds, _ = _parsed(spark, sf_dir)
+    return E.valid_feeds(bodies, feeds).select("feed_url", "chunk")
+
+
+@register("feed_type")
+def q_feed_type(spark, sf_dir):
+    _, feeds, _ = _parsed(spark, sf_dir)
+    return E.feed_type(feeds).select("feed_url", "chunk", "version", "feed_type")
+
+
+@register("first_entries")
+def q_first_entries(spark, sf_dir):
+    return E.first_entries(V.v_entries(spark, sf_dir)).select("feed", "pos", "rank")
+
+
+@register("entry_sample")
+def q_entry_sample(spark, sf_dir):
+    first = E.first_entries(V.v_entries(spark, sf_dir).withColumns(
+        {"link": F.concat(F.lit("https://chat.example.org/"), F.col("feed").cast("string")),
+         "published": F.lit(""), "updated": F.lit(" 2024-01-01 ")}))
+    return E.entry_sample(first).select("feed", "rank", "title", "link", "published")
+
+
+@register("feed_recency")
+def q_feed_recency(spark, sf_dir):
+    first = E.first_entries(V.v_entry_dates(spark, sf_dir))
+    r = E.feed_recency(first, V.NOW)
+    return r.select("feed", F.date_format("latest", "yyyy-MM-dd'T'HH:mm:ss").alias("latest"), "age_days",
+                    "recency_bonus")
+
+
+def _scored_blobs(spark, sf_dir):
+    return R.relevance_score(V.v_blobs(spark, sf_dir), V.test_lexicon())
+
+
+@register("relevance_score")
+def q_relevance_score(spark, sf_dir):
+    return _scored_blobs(spark, sf_dir).select("feed", "n_entries", "score")
+
+
+@register("matched_keywords")
+def q_matched_keywords(spark, sf_dir):
+    return _scored_blobs(spark, sf_dir).select("feed", F.array_join("matched_keywords", ",").alias("matched"))
+
+
+@register("suggest_category")
+def q_suggest_category(spark, sf_dir):
+    return _scored_blobs(spark, sf_dir).select("feed", "suggested_category")
+
+
+def _raw_candidates(spark, sf_dir):
+    bodies, feeds, entries = _parsed(spark, sf_dir)
+    lex = V.test_lexicon()
+    valid = E.valid_feeds(bodies, feeds).select("feed_url", "chunk")
+    meta = E.feed_type(feeds.join(valid, ["feed_url", "chunk"], "left_semi"))
+    meta = meta.groupBy("feed_url").agg(F.min_by(F.struct("title", "description", "language", "feed_type"),
+                                                 F.col("chunk")).alias("m"))
+    src = V.v_feed_sources(spark, sf_dir).select("feed_url", "site_url")
+    meta = meta.join(src, "feed_url").select(
+        "feed_url", "site_url", F.col("m.title").alias("title"), F.col("m.description").alias("description"),
+        F.col("m.language").alias("language"), F.col("m.feed_type").alias("feed_type"),
+        F.lit("common_path").alias("discovered_via"))
+    blobs = R.feed_blobs(entries.select(F.col("feed_url").alias("feed"), "pos", "title", "summary"))
+    scores = R.score_blobs(blobs, lex).withColumnRenamed("feed", "feed_url")
+    return K.assemble(meta, scores, V.NOW)
+
+
+def _final_candidates(spark, sf_dir):
+    c = K.site_dedup(_raw_candidates(spark, sf_dir))
+    c = K.best_by_hash(K.min_score(c))
+    known = K.known_urls(V.v_catalog(spark, sf_dir))
+    return K.unknown_candidates(c, known)
+
+
+@register("candidates")
+def q_candidates(spark, sf_dir):
+    c = R.candidate_bucket(_final_candidates(spark, sf_dir), V.test_lexicon())
+    return c.select("feed_url", "site_url", "title", "feed_type", "score",
+                    F.array_join("matched_keywords", ",").alias("matched"), "suggested_category", "url_hash",
+                    "bucket", "bucket_label")
+
+
+@register("site_dedup")
+def q_site_dedup(spark, sf_dir):
+    return K.site_dedup(_raw_candidates(spark, sf_dir)).select("feed_url", "site_url", "path_rank", "score")
+
+
+@register("candidate_best")
+def q_candidate_best(spark, sf_dir):
+    return K.best_by_hash(_raw_candidates(spark, sf_dir)).select("url_hash", "feed_url", "score", "path_rank")
+
+
+@register("known_urls")
+def q_known_urls(spark, sf_dir):
+    raw = V.v_catalog_dups(spark, sf_dir)
+    return K.known_urls(raw.where(F.col("variant") == "original"), raw.where(F.col("variant") == "tracked"))
+
+
+@register("unknown_candidates")
+def q_unknown_candidates(spark, sf_dir):
+    c = K.best_by_hash(_raw_candidates(spark, sf_dir))
+    src = V.v_feed_sources(spark, sf_dir)
+    known = K.known_urls(src.where(F.col("feed_url").contains("/rss.xml?")).select(F.col("feed_url").alias("url")))
+    return K.unknown_candidates(c, known).select("url_hash", "feed_url")
+
+
+def _seen(spark, sf_dir):
+    """A seen cache derived from the raw candidates of the feeds of English pages."""
+    c = K.best_by_hash(_raw_candidates(spark, sf_dir).where(F.col("feed_url").contains("/feed?")))
+    return c.select("url_hash", "feed_url", "site_url", F.lit("old title").alias("title"),
+                    F.lit(1700000000).cast("bigint").alias("last_seen_ts"), (F.col("score") - 1).alias("score"),
+                    "feed_type", F.lit("kept").alias("note"))
+
+
+@register("only_new")
+def q_only_new(spark, sf_dir):
+    return K.only_new(_final_candidates(spark, sf_dir), _seen(spark, sf_dir)).select("url_hash", "feed_url")
+
+
+@register("seen_upsert")
+def q_seen_upsert(spark, sf_dir):
+    out = K.seen_upsert(_seen(spark, sf_dir), _final_candidates(spark, sf_dir), 1706745600)
+    return out.select("url_hash", "feed_url", "title", "score", "last_seen_ts", "note")
+
+
+def _review(spark, sf_dir):
+    c = R.candidate_bucket(_final_candidates(spark, sf_dir), V.test_lexicon())
+    return K.review_items(c)
+
+
+@register("candidate_items")
+def q_candidate_items(spark, sf_dir):
+    c = K.candidate_items(_final_candidates(spark, sf_dir))
+    return c.select("url", "category", "title", "type", "description")
+
+
+@register("candidate_bucket")
+def q_candidate_bucket(spark, sf_dir):
+    c = R.candidate_bucket(_final_candidates(spark, sf_dir), V.test_lexicon())
+    return c.select("url_hash", "bucket", "bucket_label")
+
+
+@register("review_items")
+def q_review_items(spark, sf_dir):
+    r = _review(spark, sf_dir)
+    return r.select("url", "category", "title", "type", "description", F.col("discovery.score").alias("score"),
+                    F.col("discovery.url_hash").alias("url_hash"))
+
+
+def _existing_bucket_items(spark, sf_dir):
+    """Existing review files: the feeds of German pages already sit in the 'alpha-second' bucket."""
+    src = V.v_feed_sources(spark, sf_dir)
+    return src.where(F.col("feed_url").contains("/atom.xml?")).select(F.lit("alpha-second").alias("bucket"), F.col("feed_url").alias("url"))
+
+
+@register("bucket_merge")
+def q_bucket_merge(spark, sf_dir):
+    return K.bucket_merge(_review(spark, sf_dir), _existing_bucket_items(spark, sf_dir)).select("url", "bucket")
+
+
+@register("top_candidates")
+def q_top_candidates(spark, sf_dir):
+    items = K.bucket_merge(_review(spark, sf_dir), _existing_bucket_items(spark, sf_dir))
+    return K.top_candidates(items).select("url", "bucket", F.col("discovery.score").alias("score"))
+
+
+@register("review_record_names")
+def q_review_record_names(spark, sf_dir):
+    return K.review_record_names(_final_candidates(spark, sf_dir))

@@ -189,3 +189,39 @@ def v_blocked(spark: SparkSession) -> DataFrame:
 
 def v_blocked_feeds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(d,) for d in BLOCKED_FEEDS], "feed string")
+
+
+# Test lexicon for the driver tables (invented prose: the security lexicon hits nothing).
+TEST_KEYWORDS = ["the", "tion", "ing", "and", "ent", "der", "que", "sch", "eau", "para", "ly", "wh",
+                 "ou", "ble", "ein", "zzq"]
+TEST_STRONG = ["the", "tion", "sch"]
+TEST_NEGATIVE = ["ththth", "onon", "xqz", "erer"]
+TEST_CATEGORY_RULES = [("Alpha", [r"\bthe\b", r"zzq"]), ("Beta", [r"\bder\b", r"sch"]), ("Gamma", [r"que", r"\bpara\b"])]
+TEST_BUCKET_RULES = [("blob", "alpha-bucket", ["zzq", "example.net"]), ("category", "beta-bucket", ["beta"]),
+                     ("blob", "gamma-bucket", ["gamma"]), ("category", "alpha-second", ["alpha"])]
+
+
+def test_lexicon():
+    from ..lexicon import Lexicon
+    return Lexicon(keywords=TEST_KEYWORDS, strong=TEST_STRONG, negative=TEST_NEGATIVE,
+                   category_rules=TEST_CATEGORY_RULES, default_category="Other",
+                   bucket_rules=TEST_BUCKET_RULES, default_bucket="general-security-and-blogs")
+
+
+FEED_PATH_BY_LANG = [("en", "/feed"), ("fr", "/rss.xml"), ("de", "/atom.xml"), ("es", "/blog/feed")]
+
+
+def v_feed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page publishes the feed whose entries are the conversation with the same id:
+    feed_url = page origin + a language-specific common path + '?feed=<id>'."""
+    from ..functions import urls as U
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    p = U.url_origin(p, "url", "site_url")
+    p = U.url_host(p, "url", "host")
+    lang = F.regexp_extract("url", SEGMENT_RE, 1)
+    path = F.lit("/blog/feed")
+    for lg, pth in reversed(FEED_PATH_BY_LANG):
+        path = F.when(lang == lg, F.lit(pth)).otherwise(path)
+    return p.select(F.col("page_id").alias("feed"), "site_url", "host",
+                    F.concat("site_url", path, F.lit("?feed="), F.col("page_id").cast("string")).alias("feed_url"),
+                    F.concat(F.lit("Feed of "), F.col("host")).alias("channel_title"))
