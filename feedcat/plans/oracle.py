@@ -911,3 +911,67 @@ def o_review_record_names():
     D.url_host(ch, "feed_url", "_hf")
     base = "coalesce(nullif(title, ''), nullif(_hs, ''), _hf)"
     return ch.select(f"url_hash, {D.slug_short(base)} || '__' || substr(url_hash, 1, 10) AS record_name")
+
+
+# --- renders and line lists -------------------------------------------------------------------
+
+@oracle("catalog_json_rows")
+def o_catalog_json_rows():
+    return (f"SELECT url, lower(category) AS k_category, lower(title) AS k_title, lower(url) AS k_url, "
+            f"CAST(to_json(struct_pack(url := url, title := title, description := description, type := type, "
+            f"category := category)) AS VARCHAR) AS json FROM ({o_catalog_dedup()}) c")
+
+
+@oracle("opml_blocks")
+def o_opml_blocks():
+    cat = f"CASE WHEN {D.clean_text('category')} = '' THEN 'Uncategorized' ELSE {D.clean_text('category')} END"
+    title = D.clean_text("coalesce(nullif(title, ''), nullif(url, ''), '')")
+    ftype = D.clean_text("coalesce(nullif(type, ''), 'rss')")
+    desc = D.clean_text("description")
+
+    def attr(name, v):
+        return f"CASE WHEN {v} <> '' THEN '{name}=\"' || {D.xml_escape(v)} || '\"' END"
+
+    line = (f"'      <outline ' || concat_ws(' ', {attr('text', '_t')}, {attr('title', '_t')}, {attr('type', '_ty')}, "
+            f"{attr('xmlUrl', '_u')}, {attr('htmlUrl', '_u')}, {attr('description', '_d')}) || ' />'")
+    base = (f"SELECT {cat} AS category, {title} AS _t, {ftype} AS _ty, coalesce(url, '') AS _u, {desc} AS _d, ord "
+            f"FROM ({o_export_dedup()}) e")
+    feeds = f"SELECT category, 1 AS part, lower(_t) AS k_title, ord, {line} AS line FROM ({base}) b"
+    esc = D.xml_escape("category")
+    return (f"WITH f AS ({feeds}) SELECT * FROM f UNION ALL "
+            f"SELECT DISTINCT category, 0, '', CAST(NULL AS BIGINT), '    <outline text=\"' || {esc} || '\" title=\"' || {esc} || '\">' FROM f "
+            f"UNION ALL SELECT DISTINCT category, 2, '', CAST(NULL AS BIGINT), '    </outline>' FROM f")
+
+
+@oracle("markdown_rows")
+def o_markdown_rows():
+    url = D.md_escape("url")
+    row = (f"'| ' || {D.md_escape('title')} || ' | ' || {D.md_escape('description')} || ' | ' || upper({D.md_escape('type')}) "
+           f"|| ' | ' || CASE WHEN {url} <> '' THEN '<' || {url} || '>' ELSE '' END || ' |'")
+    rows = (f"SELECT coalesce(category, 'Uncategorized') AS category, 'item' AS kind, lower(coalesce(title, '')) AS k_title, "
+            f"coalesce(url, '') AS k_url, {row} AS line FROM ({v_catalog_dups()}) v")
+    return (f"WITH r AS ({rows}) SELECT * FROM r UNION ALL SELECT category, 'toc', '', '', "
+            f"'- [' || category || '](#' || {D.slug('category')} || ') (' || CAST(count(*) AS VARCHAR) || ')' FROM r GROUP BY category")
+
+
+@oracle("category_counts_markdown")
+def o_category_counts_markdown():
+    return (f"SELECT coalesce(CASE WHEN variant = 'flipped' THEN NULL ELSE category END, 'Uncategorized') AS category, "
+            f"count(*) AS n FROM ({v_catalog_dups()}) v GROUP BY 1")
+
+
+@oracle("category_files")
+def o_category_files():
+    s = D.slug("category", "uncategorized", True)
+    return (f"SELECT category, CASE WHEN n > 1 THEN slug || '-' || CAST(n AS VARCHAR) ELSE slug END || '.yaml' AS file FROM "
+            f"(SELECT category, slug, row_number() OVER (PARTITION BY slug ORDER BY lower(category), category) AS n FROM "
+            f"(SELECT DISTINCT title AS category, {s.replace('category', 'title')} AS slug FROM ({v_catalog()}) v) d) x")
+
+
+@oracle("seed_urls")
+def o_seed_urls():
+    ch = D.Chain(f"SELECT page_id AS ord, {D.strip_ws('url')} AS raw FROM pages")
+    ch.where("raw <> '' AND NOT starts_with(raw, '#')")
+    D.normalize_url_crawl(ch, "raw", "url")
+    ch.where("url <> ''")
+    return ch.select("url, min(ord) AS ord") + " GROUP BY url ORDER BY ord LIMIT 30"

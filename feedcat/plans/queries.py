@@ -544,3 +544,43 @@ def q_top_candidates(spark, sf_dir):
 @register("review_record_names")
 def q_review_record_names(spark, sf_dir):
     return K.review_record_names(_final_candidates(spark, sf_dir))
+
+
+# --- renders and line lists ----------------------------------------------------------
+
+from ..operators import render as W  # noqa: E402
+from ..sources import lists as LS  # noqa: E402
+
+
+@register("catalog_json_rows")
+def q_catalog_json_rows(spark, sf_dir):
+    return W.catalog_json_rows(C.catalog_dedup(items(spark, sf_dir)))
+
+
+@register("opml_blocks")
+def q_opml_blocks(spark, sf_dir):
+    exp = C.export_dedup(C.clean_items(V.v_catalog_dups(spark, sf_dir), url_policy="export",
+                                       blank_category="Uncategorized"))
+    return W.opml_lines(exp).select("category", "part", "k_title", "ord", "line")
+
+
+@register("markdown_rows")
+def q_markdown_rows(spark, sf_dir):
+    return W.markdown_rows(V.v_catalog_dups(spark, sf_dir))
+
+
+@register("category_counts_markdown")
+def q_category_counts_markdown(spark, sf_dir):
+    return C.category_counts(V.v_catalog_dups(spark, sf_dir).withColumn(
+        "category", F.when(F.col("variant") == "flipped", F.lit(None)).otherwise(F.col("category"))))
+
+
+@register("category_files")
+def q_category_files(spark, sf_dir):
+    return W.category_files(V.v_catalog(spark, sf_dir).select(F.col("title").alias("category")))
+
+
+@register("seed_urls")
+def q_seed_urls(spark, sf_dir):
+    lines = V.table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), F.col("url").alias("line"))
+    return LS.seed_urls(lines)
