@@ -94,12 +94,14 @@ def health_merge(new: DataFrame, prev: DataFrame | None, now, ts_type: str = "ti
     }).drop("__cf", "__ds", "__lsa")
 
 
-def health_history(log: DataFrame, chunk_runs: int = 16) -> DataFrame:
+def health_history(log: DataFrame, chunk_runs: int = 16, seed: DataFrame | None = None) -> DataFrame:
     """health state after every check of a check log.
 
     ``log``: (event_id, url, run_idx, checked_at, status).  Checks of a URL are
     folded in (run_idx, checked_at, event_id) order; the state restarts when a
     run is skipped (the URL was absent from the previous run's snapshot).
+    ``seed`` (url, run_idx, consecutive_failures, down_since, last_seen_active)
+    is a previous state: it enters as a virtual chunk before every real one.
     """
     o = ["run_idx", "checked_at", "event_id"]
     df = log.withColumn("chunk", F.floor(F.col("run_idx") / chunk_runs).cast("bigint"))
@@ -131,6 +133,17 @@ def health_history(log: DataFrame, chunk_runs: int = 16) -> DataFrame:
         F.max_by(F.struct("cf_l", "ds_l", "lsa_l"), last).alias("end"),
         F.sum(F.when((F.col("lseg") == 1) & is_down, 1).otherwise(0)).alias("downs"),
         F.min(F.when((F.col("lseg") == 1) & is_down, F.col("checked_at"))).alias("first_down"))
+    if seed is not None:
+        ts_t = dict(df.dtypes)["checked_at"]
+        summ = summ.unionByName(seed.select(
+            "url", F.lit(-(2 ** 62)).cast("bigint").alias("chunk"),
+            F.col("run_idx").alias("first_run"), F.col("run_idx").alias("last_run"),
+            F.lit(1).cast("bigint").alias("n_seg"), F.lit(1).cast("bigint").alias("acts_seg1"),
+            F.struct(F.col("consecutive_failures").cast("bigint").alias("cf_l"),
+                     F.col("down_since").cast(ts_t).alias("ds_l"),
+                     F.col("last_seen_active").cast(ts_t).alias("lsa_l")).alias("end"),
+            F.lit(0).cast("bigint").alias("downs"), F.lit(None).cast(ts_t).alias("first_down")),
+            allowMissingColumns=True)
     wc = Window.partitionBy("url").orderBy("chunk")
     summ = summ.withColumn("cont", F.coalesce(F.col("first_run") - F.lag("last_run").over(wc) <= 1, F.lit(False)))
     reset = (F.col("n_seg") > 1) | (F.col("acts_seg1") > 0)

@@ -975,3 +975,21 @@ def o_seed_urls():
     D.normalize_url_crawl(ch, "raw", "url")
     ch.where("url <> ''")
     return ch.select("url, min(ord) AS ord") + " GROUP BY url ORDER BY ord LIMIT 30"
+
+
+# --- streaming ------------------------------------------------------------------------------------
+
+@oracle("stream_health")
+def o_stream_health():
+    return (f"SELECT url, status, consecutive_failures, strftime(down_since, {ISO}) AS down_since, "
+            f"strftime(last_seen_active, {ISO}) AS last_seen_active FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY url ORDER BY run_idx DESC, checked_at DESC, event_id DESC) AS rn FROM ({history_sql()}) h) x WHERE rn = 1")
+
+
+@oracle("stream_new")
+def o_stream_new():
+    ch = D.Chain("SELECT event_id, ts, 'https://feeds.example.org/u/' || CAST(user_id AS VARCHAR) || '?e=' || event_type AS feed_url FROM events")
+    D.url_hash(ch, "feed_url", "url_hash")
+    key = "struct_pack(t := ts, e := event_id)"
+    return ch.select(f"url_hash, arg_min(feed_url, {key}) AS feed_url, strftime(min(ts), {ISO}) AS first_seen, "
+                     f"arg_min(event_id, {key}) AS first_event") + " GROUP BY url_hash"

@@ -584,3 +584,22 @@ def q_category_files(spark, sf_dir):
 def q_seed_urls(spark, sf_dir):
     lines = V.table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), F.col("url").alias("line"))
     return LS.seed_urls(lines)
+
+
+# --- streaming -----------------------------------------------------------------------
+
+from ..streaming import health_stream as HS  # noqa: E402
+from ..streaming import new_candidates as NC  # noqa: E402
+
+
+@register("stream_health")
+def q_stream_health(spark, sf_dir):
+    state = HS.run_to_completion(spark, V.checks_of(V.stream_table(spark, sf_dir, "events")))
+    return state.select("url", "status", "consecutive_failures", _iso(F.col("down_since")).alias("down_since"),
+                        _iso(F.col("last_seen_active")).alias("last_seen_active"))
+
+
+@register("stream_new")
+def q_stream_new(spark, sf_dir):
+    seen = NC.run_to_completion(spark, V.sightings_of(V.stream_table(spark, sf_dir, "events")))
+    return seen.select("url_hash", "feed_url", _iso(F.col("first_seen")).alias("first_seen"), "first_event")

@@ -225,3 +225,30 @@ def v_feed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("page_id").alias("feed"), "site_url", "host",
                     F.concat("site_url", path, F.lit("?feed="), F.col("page_id").cast("string")).alias("feed_url"),
                     F.concat(F.lit("Feed of "), F.col("host")).alias("channel_title"))
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a file stream (the table's file matched by a one-file glob)."""
+    schema = table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("basePath", sf_dir).option("maxFilesPerTrigger", 1)
+            .parquet(f"{sf_dir}/{name}.parque[t]"))
+
+
+def checks_of(events: DataFrame) -> DataFrame:
+    """Events as check-log rows (same mapping as v_checks, usable on a stream)."""
+    return events.select(
+        F.col("event_id"),
+        F.concat(F.lit("https://feeds.example.org/u/"), F.col("user_id").cast("string")).alias("url"),
+        F.datediff(F.to_date("ts"), F.lit("2024-01-01")).alias("run_idx"),
+        F.col("ts").alias("checked_at"),
+        F.when(F.col("event_type") == "error", F.lit("down"))
+         .when(F.col("event_type") == "signup", F.lit("rate_limited"))
+         .otherwise(F.lit("active")).alias("status"))
+
+
+def sightings_of(events: DataFrame) -> DataFrame:
+    """Events as candidate sightings: a feed URL per user with the event type as a query."""
+    from ..functions import urls as U
+    s = events.select("event_id", "ts", F.concat(F.lit("https://feeds.example.org/u/"), F.col("user_id").cast("string"),
+                                                 F.lit("?e="), F.col("event_type")).alias("feed_url"))
+    return U.url_hash(s, "feed_url", "url_hash")
