@@ -98,3 +98,14 @@ def html_unescape_basic(col) -> Column:
                  ("&#x27;", "'"), ("&amp;", "&")):
         v = F.replace(v, F.lit(a), F.lit(b))
     return v
+
+
+def iso_utc(col) -> Column:
+    """ISO-8601 UTC text of a timestamp ('Z' suffix, microseconds)."""
+    return F.date_format(_c(col), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def display_timestamp(col) -> Column:
+    """Display form of an ISO timestamp text; missing or unparseable -> 'unknown'."""
+    ts = F.try_to_timestamp(strip_ws(col))
+    return F.coalesce(F.date_format(ts, "MMM d, yyyy, HH:mm"), F.lit("unknown"))

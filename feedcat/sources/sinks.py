@@ -66,3 +66,17 @@ def write_version(df: DataFrame, base: str, version: str, fmt: str = "parquet")
     out = f"{base.rstrip('/')}/v={version}"
     df.write.mode("overwrite").format(fmt).save(out)
     return out
+
+
+def write_status_snapshot(results: DataFrame, base: str, run_id: str) -> str:
+    """One status snapshot version: per-URL rows (sorted by URL) and a totals row.
+
+    The original keeps one JSON document with a results map; here the map is the
+    row set (ordered by URL, range partitioned) and the totals sit next to it.
+    """
+    from ..operators.health import check_totals
+    out = f"{base.rstrip('/')}/run={run_id}"
+    n = results.sparkSession.sparkContext.defaultParallelism
+    results.repartitionByRange(n, "url").sortWithinPartitions("url").write.mode("overwrite").json(f"{out}/results")
+    check_totals(results).coalesce(1).write.mode("overwrite").json(f"{out}/totals")
+    return out

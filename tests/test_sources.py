@@ -125,3 +125,24 @@ def test_sinks_roundtrip(spark, tmp_path):
     SK.write_lines(W.opml_lines(items), lines, ["k_cat", "category", "part", "k_title", "ord"])
     text = "".join(p.read_text() for p in sorted((tmp_path / "opml").glob("part-*")))
     assert text.index("alpha") < text.index("Zed") and text.strip().endswith("</outline>")
+
+
+def test_observe_and_timestamps(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from feedcat.functions.text import display_timestamp, iso_utc
+    from feedcat.operators.summary import observe_counts
+    from feedcat.sources.sinks import write_status_snapshot
+    df = spark.createDataFrame([("https://a.org", "active"), ("https://b.org", "down"), ("https://c.org", "rate_limited")],
+                               "url string, status string")
+    observed, obs = observe_counts(df, "check_run", active=F.col("status") == "active")
+    observed.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 3, "active": 1}
+    out = write_status_snapshot(df, str(tmp_path / "status"), "1")
+    tot = spark.read.json(out + "/totals").first()
+    assert (tot["total"], tot["active"], tot["down"], tot["rate_limited"]) == (3, 1, 1, 1)
+    t = spark.createDataFrame([("2024-01-02T03:04:05",), ("garbage",), (None,)], "s string")
+    got = [r[0] for r in t.select(display_timestamp("s")).collect()]
+    assert got == ["Jan 2, 2024, 03:04", "unknown", "unknown"]
+    iso = spark.createDataFrame([(1,)], "x int").select(iso_utc(F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))).first()[0]
+    assert iso == "2024-01-02T03:04:05.000000Z"
