@@ -55,6 +55,33 @@ def page_hrefs(pages: DataFrame, keep=("page_id", "url"), stripped: bool = False
                      strip_ws(html_unescape_basic(_unquote_attr(F.col("__h")))).alias("href"))
 
 
+def page_links(pages: DataFrame) -> DataFrame:
+    """One pass over each page's HTML: (page_id, url, origin, hrefs, tags).
+
+    ``hrefs`` are the raw captured <a href> values in document order, ``tags``
+    the raw <link> tags; decoding happens after the explode, row by row.  The
+    relation is small next to ``html`` and is the natural stage to checkpoint
+    when several operators (outbound links, advertised feeds) read the pages.
+    """
+    base = html_pages(pages).select("page_id", "url", F.regexp_replace(F.col("html"), STRIP_RE, " ").alias("__b"))
+    base = U.url_origin(base, "url", "origin")
+    return base.select("page_id", "url", "origin",
+                       F.regexp_extract_all(F.col("__b"), F.lit(A_HREF_RE), 1).alias("hrefs"),
+                       F.regexp_extract_all(F.col("__b"), F.lit(LINK_TAG_RE), 0).alias("tags"))
+
+
+def _clean_href(c):
+    return strip_ws(html_unescape_basic(_unquote_attr(c)))
+
+
+def _attr(tag, name):
+    return html_unescape_basic(_unquote_attr(F.regexp_extract(tag, ATTR_RE.format(name=name), 1)))
+
+
+def _links_of(pages: DataFrame) -> DataFrame:
+    return pages if "hrefs" in pages.columns else page_links(pages)
+
+
 def resolve_links(pages: DataFrame) -> DataFrame:
     """B10 on every href with the page origin as base: (page_id, pos, href, resolved)."""
     df = page_hrefs(pages)
@@ -66,10 +93,11 @@ def resolve_links(pages: DataFrame) -> DataFrame:
 def outbound_links(pages: DataFrame) -> DataFrame:
     """Distinct outbound http(s) links per page after join + crawl normalisation,
     skipping '#', mailto:, javascript:, blanks and asset paths."""
-    df = page_hrefs(html_pages(pages))
+    pl = _links_of(pages)
+    df = pl.select("page_id", F.col("origin").alias("base"), F.explode("hrefs").alias("__raw"))
+    df = df.select("page_id", "base", _clean_href(F.col("__raw")).alias("href"))
     h = F.col("href")
     df = df.where((h != "") & ~h.startswith("#") & ~h.startswith("mailto:") & ~h.startswith("javascript:"))
-    df = U.url_origin(df, "url", "base")
     df = U.resolve_url(df, "base", "href", "__j")
     df = U.normalize_url_crawl(df, "__j", "link")
     df = df.where(F.col("link") != "")
@@ -94,15 +122,30 @@ def blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None) -> Da
     return out.withColumn("blocked", blank | F.coalesce(F.col("__hit"), F.lit(False))).drop("__h", "__hit")
 
 
-def drop_blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None) -> DataFrame:
-    """C2 as a filter: remove rows whose host is blank or blocked (anti joins on suffixes)."""
+def drop_blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None,
+                       key: list[str] | None = None) -> DataFrame:
+    """C2 as a filter: remove rows whose host is blank or blocked.
+
+    With ``key`` (columns unique per row) each row's dot-suffixes are exploded,
+    left-joined to the blocklist (equi-join; Spark broadcasts it when its size
+    allows) and regrouped by the key, so ``df`` is read once and a hot host is
+    spread by the key.  Without a key the distinct hosts are checked and joined
+    back (``df`` is then read twice).
+    """
     df = df.where(F.col(host_col) != "")
     if blocked is None:
         return df
-    bl = blocked.select(F.col("domain").alias("__sfx")).where(F.col("__sfx") != "").distinct()
+    bl = blocked.select(F.col("domain").alias("__sfx"), F.lit(True).alias("__hit")).where(F.col("__sfx") != "").distinct()
+    if key:
+        others = [c for c in df.columns if c not in key]
+        ex = df.select(*df.columns, F.explode(U.host_suffixes(F.col(host_col))).alias("__sfx"))
+        j = ex.join(bl, "__sfx", "left")
+        g = j.groupBy(*key).agg(F.max(F.coalesce(F.col("__hit"), F.lit(False))).alias("__bad"),
+                                *[F.first(c).alias(c) for c in others])
+        return g.where(~F.col("__bad")).select(*df.columns)
     sfx = df.select(F.col(host_col).alias("__h")).distinct() \
         .select("__h", F.explode(U.host_suffixes(F.col("__h"))).alias("__sfx"))
-    bad = sfx.join(bl, "__sfx", "left_semi").select("__h").distinct()
+    bad = sfx.join(bl.select("__sfx"), "__sfx", "left_semi").select("__h").distinct()
     return df.join(bad, df[host_col] == bad["__h"], "left_anti")
 
 
@@ -111,14 +154,14 @@ def skip_sites(df: DataFrame, origin_col: str, blocked: DataFrame | None) -> Dat
     df = U.url_host(df, origin_col, "__host")
     df = df.where((F.col("__host") != "") & F.col("__host").contains(".")
                   & ~F.col("__host").isin(*IGNORED_HOSTS))
-    return drop_blocked_hosts(df, "__host", blocked).drop("__host")
+    return drop_blocked_hosts(df, "__host", blocked, key=[origin_col]).drop("__host")
 
 
 def crawl_sites(pages: DataFrame, blocked: DataFrame | None = None,
                 max_sites: int | None = MAX_SITES) -> DataFrame:
     """Candidate site origins from outbound links; one origin per host (the
     smallest string, so http:// beats https://), capped after ordering."""
-    links = outbound_links(pages)
+    links = outbound_links(pages).select("link").distinct()
     df = U.url_origin(links, "link", "site_url").where(F.col("site_url") != "")
     df = skip_sites(df.select("site_url").distinct(), "site_url", blocked)
     df = U.url_host(df, "site_url", "host")
@@ -131,32 +174,24 @@ def crawl_sites(pages: DataFrame, blocked: DataFrame | None = None,
 def advertised_feeds(pages: DataFrame) -> DataFrame:
     """H1: <link rel="alternate"> whose type mentions rss/atom/xml or whose href hints,
     plus <a href> that hint; resolved against the page origin and crawl-normalised.
-    Output (page_id, feed_url) distinct."""
-    body = F.regexp_replace(F.col("html"), STRIP_RE, " ")
-    base = html_pages(pages).select("page_id", "url", body.alias("__b"))
-    base = U.url_origin(base, "url", "origin")
-
-    def attr(tag, name):
-        return html_unescape_basic(_unquote_attr(
-            F.regexp_extract(tag, ATTR_RE.format(name=name), 1)))
-
-    links = base.select("page_id", "origin", F.explode(
-        F.regexp_extract_all(F.col("__b"), F.lit(LINK_TAG_RE), 0)).alias("__t"))
-    links = links.select("page_id", "origin",
-                         strip_ws(attr(F.col("__t"), "rel")).alias("rel"),
-                         F.lower(attr(F.col("__t"), "type")).alias("type"),
-                         strip_ws(attr(F.col("__t"), "href")).alias("href"))
-    t = F.col("type")
-    links = links.where((F.col("rel") == "alternate") & (F.col("href") != "")
-                        & (t.contains("rss") | t.contains("atom") | t.contains("xml")
-                           | U.has_feed_hint(F.col("href"))))
-    anchors = page_hrefs(base.withColumnRenamed("__b", "html"), keep=("page_id", "origin"),
-                         stripped=True)
-    anchors = anchors.where((F.col("href") != "") & U.has_feed_hint(F.col("href")))
-    both = links.select("page_id", "origin", "href").unionByName(anchors.select("page_id", "origin", "href"))
-    both = U.resolve_url(both, "origin", "href", "__j")
-    both = U.normalize_url_crawl(both, "__j", "feed_url")
-    return both.where(F.col("feed_url") != "").select("page_id", "feed_url").distinct()
+    One explode over both kinds (no second pass over the page).  Output (page_id, feed_url)."""
+    pl = _links_of(pages)
+    ex = pl.select("page_id", "origin", F.size("tags").alias("__nt"),
+                   F.posexplode(F.concat("tags", "hrefs")).alias("__i", "__raw"))
+    is_link = F.col("__i") < F.col("__nt")
+    df = ex.select("page_id", "origin", is_link.alias("__link"),
+                   F.when(is_link, strip_ws(_attr(F.col("__raw"), "rel"))).alias("rel"),
+                   F.when(is_link, F.lower(_attr(F.col("__raw"), "type"))).alias("type"),
+                   F.when(is_link, strip_ws(_attr(F.col("__raw"), "href")))
+                    .otherwise(_clean_href(F.col("__raw"))).alias("href"))
+    t, href = F.col("type"), F.col("href")
+    hint = U.has_feed_hint(href)
+    keep = (href != "") & ((F.col("__link") & (F.col("rel") == "alternate")
+                            & (t.contains("rss") | t.contains("atom") | t.contains("xml") | hint))
+                           | (~F.col("__link") & hint))
+    df = U.resolve_url(df.where(keep), "origin", "href", "__j")
+    df = U.normalize_url_crawl(df, "__j", "feed_url")
+    return df.where(F.col("feed_url") != "").select("page_id", "feed_url").distinct()
 
 
 def probe_urls(sites: DataFrame, advertised: DataFrame | None = None,
@@ -167,24 +202,27 @@ def probe_urls(sites: DataFrame, advertised: DataFrame | None = None,
 
     ``sites`` has site_url; ``advertised`` has (site_url, feed_url).
     """
-    common = sites.select("site_url", F.explode(F.array(*[F.lit(p) for p in COMMON_FEED_PATHS])).alias("__p"))
-    common = U.resolve_url(common, "site_url", "__p", "__j")
-    common = U.normalize_url_crawl(common, "__j", "feed_url").select(
-        "site_url", "feed_url", F.lit(False).alias("__adv"))
-    parts = [common]
+    paths = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(False).alias("adv")) for p in COMMON_FEED_PATHS])
+    s = sites.select("site_url")
     if advertised is not None:
-        parts.append(advertised.join(sites.select("site_url"), "site_url", "left_semi")
-                     .select("site_url", "feed_url", F.lit(True).alias("__adv")))
-    allp = parts[0]
-    for x in parts[1:]:
-        allp = allp.unionByName(x)
-    df = allp.groupBy("site_url", "feed_url").agg(F.max("__adv").alias("__adv"))
+        s = s.join(advertised.select("site_url", F.col("feed_url").alias("__adv_url")), "site_url", "left")
+        extra = F.when(F.col("__adv_url").isNotNull(),
+                       F.array(F.struct(F.col("__adv_url").alias("p"), F.lit(True).alias("adv"))))
+        cand = F.concat(paths, F.coalesce(extra, F.array().cast("array<struct<p:string,adv:boolean>>")))
+    else:
+        cand = paths
+    ex = s.select("site_url", F.explode(cand).alias("c")).select("site_url", F.col("c.p").alias("__p"),
+                                                                  F.col("c.adv").alias("__adv"))
+    ex = U.resolve_url(ex, "site_url", "__p", "__j")
+    ex = U.normalize_url_crawl(ex, "__j", "__common").withColumn(
+        "feed_url", F.when(F.col("__adv"), F.col("__p")).otherwise(F.col("__common")))
+    df = ex.groupBy("site_url", "feed_url").agg(F.max("__adv").alias("__adv"))
     df = df.withColumn("discovered_via", F.when(F.col("__adv"), F.lit("rel=alternate"))
                        .otherwise(F.lit("common_path"))).drop("__adv")
     df = U.normalize_url_crawl(df, "feed_url", "__n")
     df = df.withColumn("__n", F.lower(F.col("__n")))
     df = U.url_host(df, "__n", "__host")
-    df = drop_blocked_hosts(df, "__host", blocked)
+    df = drop_blocked_hosts(df, "__host", blocked, key=["site_url", "feed_url"])
     if blocked_feeds is not None:
         bf = blocked_feeds.select(F.col("feed").alias("__bf")).distinct()
         df = df.join(bf, df["__n"] == bf["__bf"], "left_anti")

@@ -327,12 +327,11 @@ def q_feed_hint_links(spark, sf_dir):
 
 
 def _probes(spark, sf_dir):
-    pages = V.v_pages_with_feeds(spark, sf_dir)
-    sites = L.crawl_sites(pages, V.v_blocked(spark))
-    adv = L.advertised_feeds(pages)
-    page_site = U.url_origin(pages.select("page_id", "url"), "url", "site_url").select("page_id", "site_url")
-    adv = adv.join(page_site, "page_id").select("site_url", "feed_url")
-    return L.probe_urls(sites, adv, V.v_blocked(spark), V.v_blocked_feeds(spark))
+    from ..session import materialize
+    links = materialize(L.page_links(V.v_pages_with_feeds(spark, sf_dir)))  # one pass over the HTML
+    sites = L.crawl_sites(links, V.v_blocked(spark))
+    adv = L.advertised_feeds(links).join(links.select("page_id", F.col("origin").alias("site_url")), "page_id")
+    return L.probe_urls(sites, adv.select("site_url", "feed_url"), V.v_blocked(spark), V.v_blocked_feeds(spark))
 
 
 @register("probe_urls")
@@ -426,6 +425,11 @@ def q_suggest_category(spark, sf_dir):
 
 
 def _raw_candidates(spark, sf_dir):
+    from ..session import materialize
+    return materialize(_assemble_candidates(spark, sf_dir))  # stage boundary: assembled candidates
+
+
+def _assemble_candidates(spark, sf_dir):
     bodies, feeds, entries = _parsed(spark, sf_dir)
     lex = V.test_lexicon()
     valid = E.valid_feeds(bodies, feeds).select("feed_url", "chunk")

@@ -57,3 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage at a pipeline stage boundary: a reliable checkpoint written under the
+    shared ``spark.checkpoint.dir`` (never a machine-local temporary folder)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
