@@ -55,15 +55,18 @@ def v_catalog_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     nofrag = F.regexp_replace(u, "#.*$", "")
     utm = F.concat(nofrag, F.when(nofrag.contains("?"), F.lit("&")).otherwise(F.lit("?")),
                    F.lit("utm_medium=x"))
-    a = c.select("file", "item_idx", (F.col("ord") * 3).alias("ord"), flipped.alias("url"),
-                 F.lit("").alias("title"), "description", "type", "category",
-                 F.lit("flipped").alias("variant"))
-    b = c.select("file", "item_idx", (F.col("ord") * 3 + 1).alias("ord"), "url", "title",
-                 "description", "type", "category", F.lit("original").alias("variant"))
-    d = c.select("file", "item_idx", (F.col("ord") * 3 + 2).alias("ord"), utm.alias("url"), "title",
-                 F.lit("").alias("description"), F.lit("rss").alias("type"), "category",
-                 F.lit("tracked").alias("variant"))
-    return a.unionByName(b).unionByName(d)
+    def variant(k, url, title, desc, typ, name):
+        return F.struct(F.lit(k).alias("k"), url.alias("url"), title.alias("title"), desc.alias("description"),
+                        typ.alias("type"), F.lit(name).alias("variant"))
+
+    rows = F.array(
+        variant(0, flipped, F.lit(""), F.col("description"), F.col("type"), "flipped"),
+        variant(1, u, F.col("title"), F.col("description"), F.col("type"), "original"),
+        variant(2, utm, F.col("title"), F.lit(""), F.lit("rss"), "tracked"))
+    ex = c.select("file", "item_idx", "ord", "category", F.explode(rows).alias("v"))  # one scan, three rows
+    return ex.select("file", "item_idx", (F.col("ord") * 3 + F.col("v.k")).alias("ord"), F.col("v.url").alias("url"),
+                     F.col("v.title").alias("title"), F.col("v.description").alias("description"),
+                     F.col("v.type").alias("type"), "category", F.col("v.variant").alias("variant"))
 
 
 def v_categories(spark: SparkSession) -> DataFrame:
