@@ -137,11 +137,11 @@ def drop_blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None,
         return df
     bl = blocked.select(F.col("domain").alias("__sfx"), F.lit(True).alias("__hit")).where(F.col("__sfx") != "").distinct()
     if key:
-        others = [c for c in df.columns if c not in key]
+        # rows are unique on ``key``, so grouping on every column keeps them whole while the
+        # only aggregate is a boolean (hash aggregation, no sort)
         ex = df.select(*df.columns, F.explode(U.host_suffixes(F.col(host_col))).alias("__sfx"))
         j = ex.join(bl, "__sfx", "left")
-        g = j.groupBy(*key).agg(F.max(F.coalesce(F.col("__hit"), F.lit(False))).alias("__bad"),
-                                *[F.first(c).alias(c) for c in others])
+        g = j.groupBy(*df.columns).agg(F.max(F.coalesce(F.col("__hit"), F.lit(False))).alias("__bad"))
         return g.where(~F.col("__bad")).select(*df.columns)
     sfx = df.select(F.col(host_col).alias("__h")).distinct() \
         .select("__h", F.explode(U.host_suffixes(F.col("__h"))).alias("__sfx"))

@@ -18,7 +18,8 @@ NOW = "2024-02-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from ..session import spread
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def v_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,15 @@ def materialize(df):
     shared ``spark.checkpoint.dir`` (never a machine-local temporary folder)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df, min_fraction: float = 0.5):
+    """Guard input parallelism: a scan that yields far fewer partitions than the
+    cluster's parallelism (one big file, one row group) is round-robin repartitioned
+    so row-level work (regex, XML, scoring) uses every core.  On a real input of many
+    files the scan already has enough splits and this is a no-op.  Column pruning and
+    filters still push below the repartition."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target * min_fraction:
+        return df.repartition(target)
+    return df
