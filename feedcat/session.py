@@ -55,7 +55,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="feedcat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect): the conf is enough
+        pass
     return d
 
 
@@ -72,7 +75,11 @@ def spread(df, min_fraction: float = 0.5):
     so row-level work (regex, XML, scoring) uses every core.  On a real input of many
     files the scan already has enough splits and this is a no-op.  Column pruning and
     filters still push below the repartition."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target * min_fraction:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - partition counts unavailable (e.g. Spark Connect): leave as is
+        return df
+    if n < target * min_fraction:
         return df.repartition(target)
     return df

@@ -13,9 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _parallelism(df: DataFrame) -> int:
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def write_lines(df: DataFrame, path: str, keys: list[str], line: str = "line", partitions: int | None = None) -> None:
     """Write ``line`` ordered by ``keys`` as text part files."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or _parallelism(df)
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(line)
        .write.mode("overwrite").text(path))
 
@@ -47,7 +54,7 @@ def write_yaml_files(items: DataFrame, path: str, keys: list[str], sort_cols: li
                      omit_blank: bool = False) -> None:
     """One directory per target file, entries in ``sort_cols`` order (range partitioned)."""
     y = yaml_text(items, keys, omit_blank)
-    n = items.sparkSession.sparkContext.defaultParallelism
+    n = _parallelism(items)
     (y.repartitionByRange(n, F.col(file_col), *sort_cols).sortWithinPartitions(F.col(file_col), *sort_cols)
       .select(file_col, F.col("yaml").alias("value")).write.mode("overwrite").partitionBy(file_col).text(path))
 
@@ -76,7 +83,7 @@ def write_status_snapshot(results: DataFrame, base: str, run_id: str) -> str:
     """
     from ..operators.health import check_totals
     out = f"{base.rstrip('/')}/run={run_id}"
-    n = results.sparkSession.sparkContext.defaultParallelism
+    n = _parallelism(results)
     results.repartitionByRange(n, "url").sortWithinPartitions("url").write.mode("overwrite").json(f"{out}/results")
     check_totals(results).coalesce(1).write.mode("overwrite").json(f"{out}/totals")
     return out
