@@ -94,7 +94,8 @@ def health_merge(new: DataFrame, prev: DataFrame | None, now, ts_type: str = "ti
     }).drop("__cf", "__ds", "__lsa")
 
 
-def health_history(log: DataFrame, chunk_runs: int = 16, seed: DataFrame | None = None) -> DataFrame:
+def health_history(log: DataFrame, chunk_runs: int = 16, seed: DataFrame | None = None,
+                   split_seconds: int | None = None) -> DataFrame:
     """health state after every check of a check log.
 
     ``log``: (event_id, url, run_idx, checked_at, status).  Checks of a URL are
@@ -102,9 +103,20 @@ def health_history(log: DataFrame, chunk_runs: int = 16, seed: DataFrame | None
     run is skipped (the URL was absent from the previous run's snapshot).
     ``seed`` (url, run_idx, consecutive_failures, down_since, last_seen_active)
     is a previous state: it enters as a virtual chunk before every real one.
+
+    Chunks are ``chunk_runs`` consecutive runs.  When one URL is checked very
+    often inside a run, ``split_seconds`` cuts every run into time slices
+    (chunk = (run, slice)), so no window partition holds more than one slice.
     """
     o = ["run_idx", "checked_at", "event_id"]
-    df = log.withColumn("chunk", F.floor(F.col("run_idx") / chunk_runs).cast("bigint"))
+    if split_seconds:
+        epoch = F.lit("1970-01-01 00:00:00").cast(dict(log.dtypes)["checked_at"])
+        slice_ = F.floor(F.timestamp_diff("SECOND", epoch, F.col("checked_at")) / split_seconds)
+        chunk = F.struct(F.col("run_idx").cast("bigint").alias("rb"), slice_.cast("bigint").alias("tb"))
+    else:
+        chunk = F.struct(F.floor(F.col("run_idx") / chunk_runs).cast("bigint").alias("rb"),
+                         F.lit(0).cast("bigint").alias("tb"))
+    df = log.withColumn("chunk", chunk)
     w = Window.partitionBy("url", "chunk").orderBy(*o)
     wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_act, is_down = F.col("status") == "active", F.col("status") == "down"
@@ -136,7 +148,8 @@ def health_history(log: DataFrame, chunk_runs: int = 16, seed: DataFrame | None
     if seed is not None:
         ts_t = dict(df.dtypes)["checked_at"]
         summ = summ.unionByName(seed.select(
-            "url", F.lit(-(2 ** 62)).cast("bigint").alias("chunk"),
+            "url", F.struct(F.lit(-(2 ** 62)).cast("bigint").alias("rb"), F.lit(0).cast("bigint").alias("tb"))
+            .alias("chunk"),
             F.col("run_idx").alias("first_run"), F.col("run_idx").alias("last_run"),
             F.lit(1).cast("bigint").alias("n_seg"), F.lit(1).cast("bigint").alias("acts_seg1"),
             F.struct(F.col("consecutive_failures").cast("bigint").alias("cf_l"),

@@ -41,10 +41,10 @@ def _fold_by_runs(spark, log):
 def test_history_equals_fold_of_merge(spark):
     log = _expanded(spark)
     folded = _fold_by_runs(spark, log)
-    for chunk in (1, 2, 16):
+    for chunk, split in ((1, None), (2, None), (16, None), (1, 60), (1, 1)):
         hist = {r["event_id"]: (r["consecutive_failures"], r["down_since"], r["last_seen_active"])
-                for r in H.health_history(log, chunk_runs=chunk).collect()}
-        assert hist == folded, chunk
+                for r in H.health_history(log, chunk_runs=chunk, split_seconds=split).collect()}
+        assert hist == folded, (chunk, split)
 
 
 def test_history_known_values(spark):
@@ -60,9 +60,23 @@ def test_history_known_values(spark):
 
 def test_two_checks_in_one_run(spark):
     log = _log(spark, [("u", 0, 0, "down"), ("u", 0, 5, "down"), ("u", 1, 0, "active"), ("u", 1, 1, "down")])
-    hist = sorted(H.health_history(log).collect(), key=lambda r: r["event_id"])
-    assert [r["consecutive_failures"] for r in hist] == [1, 2, 0, 1]
-    assert hist[3]["last_seen_active"] == T0 + dt.timedelta(days=1)
+    for split in (None, 60):  # with 60 s slices every check of a run is its own chunk
+        hist = sorted(H.health_history(log, split_seconds=split).collect(), key=lambda r: r["event_id"])
+        assert [r["consecutive_failures"] for r in hist] == [1, 2, 0, 1]
+        assert hist[3]["last_seen_active"] == T0 + dt.timedelta(days=1)
+
+
+def test_hot_url_sliced(spark):
+    """One URL with many checks in one run, cut into time slices, equals the unsliced fold."""
+    import random
+    rnd = random.Random(3)
+    rows = [("hot", 0 if i < 300 else 1, i, rnd.choice(["active", "down", "down", "rate_limited"])) for i in range(400)]
+    log = _log(spark, rows)
+    a = {r["event_id"]: tuple(r[c] for c in ("consecutive_failures", "down_since", "last_seen_active"))
+         for r in H.health_history(log).collect()}
+    b = {r["event_id"]: tuple(r[c] for c in ("consecutive_failures", "down_since", "last_seen_active"))
+         for r in H.health_history(log, split_seconds=600).collect()}
+    assert a == b
 
 
 FETCH = "url string, run_id string, attempt int, checked_at timestamp_ntz, http_status int, net_error string, " \
