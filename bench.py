@@ -36,13 +36,11 @@ def main() -> None:
         QUERIES[name](spark, warm_dir if os.path.isdir(warm_dir) else sf_dir) \
             .write.format("noop").mode("overwrite").save()
     times = {}
-    rows = {}
     for name in HEADLINE:
         t0 = time.perf_counter()  # construction included: some plans checkpoint a stage eagerly
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
-        rows[name] = None
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times,

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
 
-TRANSIENT = "(e = 'timeout' OR startswith(e, 'connection:') OR startswith(e, 'request:'))"
-
-
 def fetch_status(fetches: DataFrame) -> DataFrame:
     """One captured fetch attempt -> status/error/http_status/bozo/entries/...
 

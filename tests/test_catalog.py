@@ -59,3 +59,19 @@ def test_merge_and_promote(spark):
     assert merged.where("added").count() == 2
     prom = C.promote_candidates(items.where("file = 'a.yaml'"), items.where("file = 'b.yaml'"))
     assert prom.where("promoted").count() == 2  # export keys keep the query verbatim, so both are new
+
+
+def test_import_dedup_fill_and_slug_collisions(spark):
+    from feedcat.operators import render as W
+    items = spark.createDataFrame([
+        ("o.opml", 1, "https://a.org/f", "", "", "", "News & Views"),
+        ("o.opml", 2, "https://a.org/f", "Title", "desc", "rss", "Other"),
+        ("o.opml", 3, "https://b.org/f", "B", "", "", "News and Views")],
+        "file string, ord bigint, url string, title string, description string, type string, category string")
+    out = {r["url"]: r for r in C.import_dedup(items).collect()}
+    a = out["https://a.org/f"]
+    assert (a["group_category"], a["title"], a["description"], a["type"], a["category"]) == \
+        ("News & Views", "Title", "desc", "rss", "News & Views")
+    files = {r["category"]: r["file"] for r in W.category_files(items.select("category")).collect()}
+    assert files == {"News & Views": "news-and-views.yaml", "News and Views": "news-and-views-2.yaml",
+                     "Other": "other.yaml"}

@@ -67,3 +67,28 @@ def test_bucket_cascade(spark):
     assert got[0][0] == "government-cert-and-advisories"  # 'cert' inside 'concert'
     assert got[1][0] == "vulnerabilities-cves-and-exploits"
     assert got[2] == ("general-security-and-blogs", "Security (General) & Blogs")
+
+
+def test_seen_upsert_and_items(spark):
+    from feedcat.operators import candidates as K
+    seen = spark.createDataFrame([("h1", "https://a.org/f", "https://a.org", "old", 1, 3, "rss", "x"),
+                                  ("h2", "https://b.org/f", "https://b.org", "keep", 2, 4, "atom", "y")],
+                                 "url_hash string, feed_url string, site_url string, title string, last_seen_ts bigint, "
+                                 "score int, feed_type string, note string")
+    cands = spark.createDataFrame([("h1", "https://a.org/feed", "https://A.org", "", "", "rss", 9, None),
+                                   ("h3", "https://c.org/f", "https://c.org", "C", "d" * 230, "atom", 7, "Threat Intel")],
+                                  "url_hash string, feed_url string, site_url string, title string, description string, "
+                                  "feed_type string, score int, suggested_category string")
+    up = {r["url_hash"]: r for r in K.seen_upsert(seen, cands, 100).collect()}
+    assert (up["h1"]["feed_url"], up["h1"]["title"], up["h1"]["score"], up["h1"]["last_seen_ts"], up["h1"]["note"]) == \
+        ("https://a.org/feed", "", 9, 100, "x")
+    assert (up["h2"]["title"], up["h2"]["last_seen_ts"]) == ("keep", 2)
+    assert up["h3"]["note"] is None and up["h3"]["last_seen_ts"] == 100
+    items = {r["url"]: r for r in K.candidate_items(cands).collect()}
+    a = items["https://a.org/feed"]
+    assert (a["title"], a["category"], a["description"]) == \
+        ("A.org", "Security (General)", "Updates from A.org covering security (general).")
+    c = items["https://c.org/f"]
+    assert c["description"] == "d" * 217 + "..." and c["category"] == "Threat Intel"
+    names = {r["url_hash"]: r["record_name"] for r in K.review_record_names(cands).collect()}
+    assert names["h1"] == "a-org__h1" and names["h3"] == "c__h3"
