@@ -21,56 +21,72 @@ ATOM_SCHEMA = ("struct<_xmlns:string, title:string, subtitle:string, "
                "published:string, updated:string>>>")
 XML_OPTS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 ROOT_RE = r"^\s*(?:<\?[^>]*\?>\s*)?(?:<!--.*?-->\s*)*<([A-Za-z_][\w.:-]*)"
-RFC822 = ["EEE, dd MMM yyyy HH:mm:ss z", "EEE, d MMM yyyy HH:mm:ss z", "EEE, dd MMM yyyy HH:mm:ss Z",
-          "dd MMM yyyy HH:mm:ss z"]
+# RFC-822 forms after the optional weekday prefix (Spark parses no day-of-week text)
+RFC822 = ["d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm z", "d MMM yyyy HH:mm:ss"]
 
 
 def parse_date(col) -> F.Column:
     """Feed date text -> timestamp (ISO-8601 first, then RFC-822 forms); NULL if unparseable."""
     c = strip_ws(col)
-    tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(c, F.lit(f)) for f in RFC822]
+    rfc = F.regexp_replace(c, r"^[A-Za-z]{3},\s*", "")
+    tries = [F.try_to_timestamp(c)] + [F.try_to_timestamp(rfc, F.lit(f)) for f in RFC822]
     return F.when(c == "", F.lit(None)).otherwise(F.coalesce(*tries))
 
 
-def parse_feed_bodies(bodies: DataFrame, key: str = "feed_url") -> tuple[DataFrame, DataFrame]:
-    """(key, [chunk], body) -> (feeds, entries).
+def parse_bodies(bodies: DataFrame, key: str = "feed_url") -> DataFrame:
+    """A12 step 1: parse each body once with the RSS and Atom schemas.
 
-    feeds: key, chunk, root, version, namespaces, title, description, language, n_entries, bozo.
-    entries: key, chunk, idx, title, summary, link, published, updated, published_ts, updated_ts.
+    Keeps (key, chunk, root, rss, atom, namespaces) plus the fetch columns
+    http_status and body_bytes when present; this relation is the stage to
+    checkpoint when both feeds and entries are needed.
     """
     chunk = F.col("chunk") if "chunk" in bodies.columns else F.lit(0).cast("bigint")
-    b = bodies.select(F.col(key), chunk.alias("chunk"), F.col("body"))
+    extra = [c for c in ("http_status", "body_bytes") if c in bodies.columns]
     root = F.lower(F.regexp_extract(F.col("body"), ROOT_RE, 1))
-    p = b.select(key, "chunk", root.alias("root"),
-                 F.from_xml("body", RSS_SCHEMA, XML_OPTS).alias("rss"),
-                 F.from_xml("body", ATOM_SCHEMA, XML_OPTS).alias("atom"),
-                 F.regexp_extract_all(F.col("body"), F.lit(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*)[\"']"), 1)
-                 .alias("namespaces"))
+    return bodies.select(
+        F.col(key), chunk.alias("chunk"), *extra, root.alias("root"),
+        F.from_xml("body", RSS_SCHEMA, XML_OPTS).alias("rss"),
+        F.from_xml("body", ATOM_SCHEMA, XML_OPTS).alias("atom"),
+        F.regexp_extract_all(F.col("body"), F.lit(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*)[\"']"), 1)
+        .alias("namespaces"))
+
+
+def feeds_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
+    """A12 step 2: feed-level rows (version, namespaces, title, description, language,
+    n_entries, bozo) of parsed bodies."""
     is_rss, is_atom = F.col("root") == "rss", F.col("root") == "feed"
     ok = (is_rss & F.col("rss.channel").isNotNull()) | (is_atom & F.col("atom").isNotNull())
     version = (F.when(is_rss, F.concat(F.lit("rss"), F.regexp_replace(F.coalesce(F.col("rss._version"), F.lit("")), r"\.", "")))
                .when(is_atom, F.lit("atom10")).when(F.col("root") == "rdf:rdf", F.lit("rss10")).otherwise(F.lit("")))
-    feeds = p.select(
-        key, "chunk", "root", version.alias("version"), "namespaces",
+    extra = [c for c in ("http_status", "body_bytes") if c in p.columns]
+    return p.select(
+        key, "chunk", *extra, "root", version.alias("version"), "namespaces",
         F.when(is_rss, F.col("rss.channel.title")).otherwise(F.col("atom.title")).alias("title"),
         F.when(is_rss, F.col("rss.channel.description")).otherwise(F.col("atom.subtitle")).alias("description"),
         F.when(is_rss, F.col("rss.channel.language")).alias("language"),
         F.coalesce(F.when(is_rss, F.size(F.col("rss.channel.item"))).when(is_atom, F.size(F.col("atom.entry"))),
                    F.lit(0)).cast("int").alias("n_entries"),
         (~ok).alias("bozo"))
-    feeds = feeds.withColumn("n_entries", F.greatest(F.col("n_entries"), F.lit(0)))
-    rss_items = p.where(is_rss).select(key, "chunk", F.posexplode(F.col("rss.channel.item")).alias("idx", "e")).select(
-        key, "chunk", "idx", F.col("e.title").alias("title"), F.col("e.description").alias("summary"),
-        F.col("e.link").alias("link"), F.col("e.pubDate").alias("published"), F.lit(None).cast("string").alias("updated"),
-        F.col("e.guid").alias("guid"))
-    atom_items = p.where(is_atom).select(key, "chunk", F.posexplode(F.col("atom.entry")).alias("idx", "e")).select(
-        key, "chunk", "idx", F.col("e.title").alias("title"),
-        F.coalesce(F.col("e.summary"), F.col("e.content")).alias("summary"),
-        F.col("e.link._href").alias("link"), F.col("e.published").alias("published"), F.col("e.updated").alias("updated"),
-        F.lit(None).cast("string").alias("guid"))
-    entries = rss_items.unionByName(atom_items).withColumns({
-        "published_ts": parse_date(F.col("published")), "updated_ts": parse_date(F.col("updated"))})
-    return feeds, entries
+
+
+def entries_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
+    """A12 step 3: one row per RSS item or Atom entry, in document order (idx)."""
+    is_rss, is_atom = F.col("root") == "rss", F.col("root") == "feed"
+    items = F.when(is_rss, F.transform(F.col("rss.channel.item"), lambda e: F.struct(
+        e["title"].alias("title"), e["description"].alias("summary"), e["link"].alias("link"),
+        e["pubDate"].alias("published"), F.lit(None).cast("string").alias("updated"), e["guid"].alias("guid")))) \
+        .when(is_atom, F.transform(F.col("atom.entry"), lambda e: F.struct(
+            e["title"].alias("title"), F.coalesce(e["summary"], e["content"]).alias("summary"),
+            e["link"]["_href"].alias("link"), e["published"].alias("published"), e["updated"].alias("updated"),
+            F.lit(None).cast("string").alias("guid"))))
+    ex = p.select(key, "chunk", F.posexplode(items).alias("idx", "e")).select(key, "chunk", "idx", "e.*")
+    return ex.withColumns({"published_ts": parse_date(F.col("published")), "updated_ts": parse_date(F.col("updated"))})
+
+
+def parse_feed_bodies(bodies: DataFrame, key: str = "feed_url") -> tuple[DataFrame, DataFrame]:
+    """(key, [chunk], body) -> (feeds, entries); see parse_bodies / feeds_of / entries_of."""
+    p = parse_bodies(bodies, key)
+    return feeds_of(p, key), entries_of(p, key)
 
 
 def valid_feeds(fetches: DataFrame, feeds: DataFrame, key: str = "feed_url",
@@ -108,7 +124,7 @@ def feed_recency(first: DataFrame, now: str, feed: str = "feed") -> DataFrame:
     latest = F.greatest(F.date_trunc("second", F.col("published_ts")),
                         F.date_trunc("second", F.col("updated_ts")))
     g = first.groupBy(feed).agg(F.max(latest).alias("latest"))
-    now_c = F.lit(now).cast("timestamp_ntz")
+    now_c = F.lit(now).cast(dict(g.dtypes).get("latest", "timestamp_ntz"))
     age = F.floor(F.timestamp_diff("SECOND", F.col("latest"), now_c) / 86400).cast("bigint")
     return g.withColumns({
         "age_days": age,

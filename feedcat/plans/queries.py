@@ -360,10 +360,11 @@ def _bodies(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir):
-    bodies = _bodies(spark, sf_dir)
-    feeds, entries = E.parse_feed_bodies(bodies, key="feed_url")
-    entries = entries.withColumn("pos", F.col("guid").cast("bigint"))
-    return bodies, feeds, entries
+    from ..session import materialize
+    parsed = materialize(E.parse_bodies(_bodies(spark, sf_dir), key="feed_url"))  # stage: fetched + parsed
+    feeds = E.feeds_of(parsed)
+    entries = E.entries_of(parsed).withColumn("pos", F.col("guid").cast("bigint"))
+    return parsed, feeds, entries
 
 
 @register("feed_entries")
@@ -425,11 +426,6 @@ def q_suggest_category(spark, sf_dir):
 
 
 def _raw_candidates(spark, sf_dir):
-    from ..session import materialize
-    return materialize(_assemble_candidates(spark, sf_dir))  # stage boundary: assembled candidates
-
-
-def _assemble_candidates(spark, sf_dir):
     bodies, feeds, entries = _parsed(spark, sf_dir)
     lex = V.test_lexicon()
     valid = E.valid_feeds(bodies, feeds).select("feed_url", "chunk")

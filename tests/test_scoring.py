@@ -92,3 +92,27 @@ def test_seen_upsert_and_items(spark):
     assert c["description"] == "d" * 217 + "..." and c["category"] == "Threat Intel"
     names = {r["url_hash"]: r["record_name"] for r in K.review_record_names(cands).collect()}
     assert names["h1"] == "a-org__h1" and names["h3"] == "c__h3"
+
+
+def test_parse_bodies_rss_atom_bozo(spark):
+    rss = ('<?xml version="1.0"?><rss version="2.0"><channel><title>R</title><description>rd</description>'
+           '<item><title>a &amp; b</title><description> x </description><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate>'
+           '</item></channel></rss>')
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><title>A</title><subtitle>S</subtitle><entry><title>e</title>'
+            '<content>c</content><link href="https://x.org/1"/><updated>2024-01-03T00:00:00Z</updated></entry></feed>')
+    bad = "<rss><channel><item><title>x</title></channel>"
+    short = "<rss version='2.0'><channel><item/></channel></rss>"
+    bodies = spark.createDataFrame([("r", rss, 200), ("a", atom, 200), ("b", bad, 200), ("s", short, 200),
+                                    ("n", rss, 404)], "feed_url string, body string, http_status int") \
+        .withColumn("body_bytes", F.octet_length("body"))
+    feeds, entries = E.parse_feed_bodies(bodies)
+    f = {r["feed_url"]: r for r in E.feed_type(feeds).collect()}
+    assert (f["r"]["version"], f["r"]["feed_type"], f["r"]["n_entries"], f["r"]["bozo"]) == ("rss20", "rss", 1, False)
+    assert (f["a"]["version"], f["a"]["feed_type"], f["a"]["title"], f["a"]["description"]) == ("atom10", "atom", "A", "S")
+    assert f["b"]["bozo"] is True and f["b"]["n_entries"] == 0
+    e = {r["feed_url"]: r for r in entries.collect()}
+    assert (e["r"]["title"], e["r"]["summary"]) == ("a & b", " x ")
+    assert e["r"]["published_ts"] == dt.datetime(2024, 1, 1, 10, 0)
+    assert (e["a"]["summary"], e["a"]["link"]) == ("c", "https://x.org/1")
+    valid = {r["feed_url"] for r in E.valid_feeds(bodies.withColumn("chunk", F.lit(0).cast("bigint")), feeds).collect()}
+    assert valid == {"r", "a"}  # bozo/empty fail the entry test, 'short' is under 80 bytes, 'n' is a 404
