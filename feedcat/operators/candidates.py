@@ -111,6 +111,14 @@ def review_order(items: DataFrame) -> DataFrame:
     return items.orderBy(F.lower("category"), F.lower("title"), F.lower("type"), F.col("url"))
 
 
+def review_rank(items: DataFrame) -> DataFrame:
+    """G2 inside each bucket file: position of every review item (bucket files hold at
+    most the top-N new items, so each window partition is bounded)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("bucket").orderBy(F.lower("category"), F.lower("title"), F.lower("type"), F.col("url"))
+    return items.withColumn("rank", F.row_number().over(w))
+
+
 def review_record_names(cands: DataFrame) -> DataFrame:
     """Per-candidate record name '<slug>__<hash10>', slug of title, else site host, else feed host."""
     df = U.url_host(cands, "site_url", "__hs")

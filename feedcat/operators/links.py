@@ -194,6 +194,18 @@ def advertised_feeds(pages: DataFrame) -> DataFrame:
     return df.where(F.col("feed_url") != "").select("page_id", "feed_url").distinct()
 
 
+def blocked_feed_flags(probes: DataFrame, blocked_feeds: DataFrame) -> DataFrame:
+    """C3 as a flag: ``blocked`` when the lower-cased crawl-normalised URL or the
+    lower-cased raw URL is listed (two equi left joins with the small list)."""
+    bf = blocked_feeds.select(F.lower(strip_ws("feed")).alias("__bf")).distinct()
+    df = U.normalize_url_crawl(probes, "feed_url", "__n").withColumn("__n", F.lower("__n"))
+    df = df.join(bf.withColumn("__h1", F.lit(True)), df["__n"] == bf["__bf"], "left").drop("__bf")
+    df = df.withColumn("__raw", F.lower("feed_url"))
+    df = df.join(bf.withColumn("__h2", F.lit(True)), df["__raw"] == bf["__bf"], "left").drop("__bf")
+    return df.withColumn("blocked", F.coalesce(F.col("__h1"), F.lit(False)) | F.coalesce(F.col("__h2"), F.lit(False))) \
+        .drop("__n", "__raw", "__h1", "__h2")
+
+
 def probe_urls(sites: DataFrame, advertised: DataFrame | None = None,
                blocked: DataFrame | None = None, blocked_feeds: DataFrame | None = None) -> DataFrame:
     """Per site, the advertised feeds plus the 14 common paths, distinct;

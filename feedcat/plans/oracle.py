@@ -993,3 +993,23 @@ def o_stream_new():
     key = "struct_pack(t := ts, e := event_id)"
     return ch.select(f"url_hash, arg_min(feed_url, {key}) AS feed_url, strftime(min(ts), {ISO}) AS first_seen, "
                      f"arg_min(event_id, {key}) AS first_event") + " GROUP BY url_hash"
+
+
+@oracle("blocked_feeds")
+def o_blocked_feeds():
+    sites = crawl_sites_sql("pages").replace(f" AND NOT {blocked_cond('host')}", "")
+    paths = "[" + ", ".join(q(p) for p in COMMON_FEED_PATHS) + "]"
+    common = D.Chain(f"SELECT site_url, unnest({paths}) AS p FROM ({sites}) s")
+    D.resolve_url(common, "site_url", "p", "_j")
+    D.normalize_url_crawl(common, "_j", "feed_url")
+    probes = D.Chain(common.select("DISTINCT site_url, feed_url"))
+    D.normalize_url_crawl(probes, "feed_url", "_n")
+    bf = "[" + ", ".join(q(f.lower()) for f in BLOCKED_FEEDS) + "]"
+    return probes.select(f"site_url, feed_url, list_contains({bf}, lower(_n)) OR list_contains({bf}, lower(feed_url)) AS blocked")
+
+
+@oracle("review_order")
+def o_review_order():
+    top = f"SELECT * FROM ({merged_sql()}) m ORDER BY score DESC, url LIMIT 75"
+    return (f"SELECT bucket, url, CAST(row_number() OVER (PARTITION BY bucket ORDER BY lower(category), lower(title), "
+            f"lower(type), url) AS INTEGER) AS rank FROM ({top}) t")

@@ -603,3 +603,16 @@ def q_stream_health(spark, sf_dir):
 def q_stream_new(spark, sf_dir):
     seen = NC.run_to_completion(spark, V.sightings_of(V.stream_table(spark, sf_dir, "events")))
     return seen.select("url_hash", "feed_url", _iso(F.col("first_seen")).alias("first_seen"), "first_event")
+
+
+@register("blocked_feeds")
+def q_blocked_feeds(spark, sf_dir):
+    sites = L.crawl_sites(V.v_links(spark, sf_dir))
+    probes = L.probe_urls(sites)
+    return L.blocked_feed_flags(probes, V.v_blocked_feeds(spark)).select("site_url", "feed_url", "blocked")
+
+
+@register("review_order")
+def q_review_order(spark, sf_dir):
+    items = K.top_candidates(K.bucket_merge(_review(spark, sf_dir), _existing_bucket_items(spark, sf_dir)))
+    return K.review_rank(items).select("bucket", "url", "rank")

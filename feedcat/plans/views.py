@@ -182,7 +182,8 @@ def v_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BLOCKED_DOMAINS = ["spam-farm.example.org", "example.net"]
-BLOCKED_FEEDS = ["https://blog.ththan.example.net/feed", "https://ththed.example.org/rss.xml"]
+BLOCKED_FEEDS = ["https://blog.ththan.example.net/feed", "https://ththed.example.org/rss.xml",
+                 "http://ththed.example.org/rss.xml", "HTTP://THERHA.EXAMPLE.COM/FEED/"]
 EXCLUSION_RULES = ["# test rules", "domain:www.cheap-pills.example.com", "domain:spam-farm.example.org",
                    "url_contains:utm_", "title_contains:ththe"]
 
