@@ -116,3 +116,32 @@ def test_parse_bodies_rss_atom_bozo(spark):
     assert (e["a"]["summary"], e["a"]["link"]) == ("c", "https://x.org/1")
     valid = {r["feed_url"] for r in E.valid_feeds(bodies.withColumn("chunk", F.lit(0).cast("bigint")), feeds).collect()}
     assert valid == {"r", "a"}  # bozo/empty fail the entry test, 'short' is under 80 bytes, 'n' is a 404
+
+
+def test_site_dedup_and_best_ties(spark):
+    from feedcat.operators import candidates as K
+    rows = [("https://s.org/rss.xml", "https://s.org", "Blog  News", "rss", 7, "h1"),
+            ("https://s.org/feed", "https://s.org", "blog news", "rss", 5, "h2"),
+            ("https://s.org/atom.xml", "https://s.org", "Blog News", "atom", 6, "h3"),
+            ("https://s.org/custom", "https://s.org", "", "rss", 6, "h4"),
+            ("https://s.org/rss", "https://s.org", " ", "rss", 6, "h5"),
+            ("https://t.org/feed", "https://t.org", "x", "rss", 8, "hx"),
+            ("https://t.org/rss.xml", "https://t.org", "y", "rss", 8, "hx")]
+    df = spark.createDataFrame(rows, "feed_url string, site_url string, title string, feed_type string, score int, url_hash string")
+    kept = {r["feed_url"] for r in K.site_dedup(df).collect()}
+    # same type + same collapsed title -> lowest path rank (/feed beats /rss.xml); other type kept; blank titles group
+    assert kept == {"https://s.org/feed", "https://s.org/atom.xml", "https://s.org/rss",
+                    "https://t.org/feed", "https://t.org/rss.xml"}
+    best = {r["url_hash"]: r["feed_url"] for r in K.best_by_hash(df).collect()}
+    assert best["hx"] == "https://t.org/feed"  # score tie -> lower path rank
+
+
+def test_keyword_cap_and_density_edges(spark):
+    kws = [f"w{i:02d}" for i in range(26)]
+    lex = Lexicon(keywords=kws, strong=[], negative=[], category_rules=[], default_category="G")
+    texts = {"k26": " ".join(kws), "k5": " ".join(kws[:5]), "k9": " ".join(kws[:9])}
+    df = spark.createDataFrame([(k, 1, "", v) for k, v in texts.items()], "feed string, pos bigint, title string, summary string")
+    got = {r["feed"]: r for r in R.relevance_score(df, lex).collect()}
+    assert len(got["k26"]["matched_keywords"]) == 25 and got["k26"]["matched_keywords"][-1] == "w24"
+    assert got["k26"]["score"] == 26 + 5
+    assert got["k5"]["score"] == 5 and got["k9"]["score"] == 9 + 2
