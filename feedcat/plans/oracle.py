@@ -1013,3 +1013,8 @@ def o_review_order():
     top = f"SELECT * FROM ({merged_sql()}) m ORDER BY score DESC, url LIMIT 75"
     return (f"SELECT bucket, url, CAST(row_number() OVER (PARTITION BY bucket ORDER BY lower(category), lower(title), "
             f"lower(type), url) AS INTEGER) AS rank FROM ({top}) t")
+
+
+@oracle("stream_health_state")
+def o_stream_health_state():
+    return o_stream_health()

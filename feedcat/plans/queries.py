@@ -616,3 +616,11 @@ def q_blocked_feeds(spark, sf_dir):
 def q_review_order(spark, sf_dir):
     items = K.top_candidates(K.bucket_merge(_review(spark, sf_dir), _existing_bucket_items(spark, sf_dir)))
     return K.review_rank(items).select("bucket", "url", "rank")
+
+
+@register("stream_health_state")
+def q_stream_health_state(spark, sf_dir):
+    from ..streaming import health_state as HK
+    state = HK.run_to_completion(spark, V.checks_of(V.stream_table(spark, sf_dir, "events")))
+    return state.select("url", "status", "consecutive_failures", _iso(F.col("down_since")).alias("down_since"),
+                        _iso(F.col("last_seen_active")).alias("last_seen_active"))

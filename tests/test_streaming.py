@@ -60,3 +60,27 @@ def test_stream_new_earliest(spark, tmp_path):
     stream = spark.readStream.schema(df.schema).parquet(str(src))
     seen = {r["feed_url"]: r["first_event"] for r in NC.run_to_completion(spark, stream).collect()}
     assert seen == {"https://www.a.org/f/": 2, "https://b.org/f": 3}
+
+
+def test_keyed_state_stream_equals_history(spark, tmp_path):
+    import os
+
+    from feedcat.streaming import health_state as HK
+    rows = _log_rows()
+    full = spark.createDataFrame(rows, SCHEMA)
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for n, (lo, hi) in enumerate(((0, 3), (3, 5), (5, 8))):
+        part = full.where((F.col("run_idx") >= lo) & (F.col("run_idx") < hi)).coalesce(1)
+        d = tmp_path / f"p{n}"
+        part.write.parquet(str(d))
+        src = next(p for p in d.glob("*.parquet"))
+        dst = flat / f"{n:03d}.parquet"
+        dst.write_bytes(src.read_bytes())
+        os.utime(dst, (1_700_000_000 + n * 60, 1_700_000_000 + n * 60))
+    stream = spark.readStream.schema(full.schema).option("maxFilesPerTrigger", 1).parquet(str(flat))
+    got = {r["url"]: (r["status"], r["consecutive_failures"], r["down_since"], r["last_seen_active"])
+           for r in HK.run_to_completion(spark, stream).collect()}
+    exp = {r["url"]: (r["status"], r["consecutive_failures"], r["down_since"], r["last_seen_active"])
+           for r in H.latest_state(H.health_history(full)).collect()}
+    assert got == exp
