@@ -48,7 +48,9 @@ def _parse_yaml_items(strict: bool):
                     data = []
                 for idx, it in enumerate(data, start=1):
                     if isinstance(it, dict):
-                        vals = ["" if it.get(k) is None else str(it.get(k)) for k in FIELDS]
+                        # missing key -> NULL (e.g. the Markdown page files it under 'Uncategorized');
+                        # explicit YAML null -> ''
+                        vals = [None if k not in it else ("" if it[k] is None else str(it[k])) for k in FIELDS]
                         out.append((name, idx, *vals, True))
                     else:
                         out.append((name, idx, None, None, None, None, None, False))
@@ -59,7 +61,7 @@ def _parse_yaml_items(strict: bool):
 def read_yaml_catalog(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """A1: one row per YAML list item with (file, item_idx, ord); ``ord`` orders by file
     name then position.  ``strict`` fails on a non-list file (build/export); lenient
-    mode reads it as empty (discovery).  A YAML null becomes ''."""
+    mode reads it as empty (discovery).  A missing field is NULL, a YAML null ''."""
     raw = _whole_files(spark, path)
     if raw is None:
         return spark.createDataFrame([], ITEM_SCHEMA + ", ord bigint")
