@@ -104,7 +104,8 @@ def test_discover_job(spark):
     c = out["candidates"].collect()
     assert [(r["feed_url"], r["discovered_via"], r["feed_type"]) for r in c] == \
         [("https://site.example.org/news.xml", "rel=alternate", "rss")]
-    # 4 strong keywords (3 each) + 'exploit' weight... recency +3, >= 10 entries +2
-    assert c[0]["score"] >= 6 and c[0]["matched_keywords"] == ["campaign", "cve", "exploit", "malware"]
+    # malware, exploit, cve are strong (3 each), campaign 1; newest entry 8 days old +3; 12 entries +2
+    assert c[0]["score"] == 15 and c[0]["matched_keywords"] == ["campaign", "cve", "exploit", "malware"]
+    assert c[0]["suggested_category"] == "Vulnerabilities, CVEs"  # first matching rule wins
     top = out["top"].collect()
     assert [r["url"] for r in top] == ["https://site.example.org/news.xml"]
