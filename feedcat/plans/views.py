@@ -56,18 +56,18 @@ def v_catalog_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     nofrag = F.regexp_replace(u, "#.*$", "")
     utm = F.concat(nofrag, F.when(nofrag.contains("?"), F.lit("&")).otherwise(F.lit("?")),
                    F.lit("utm_medium=x"))
-    def variant(k, url, title, desc, typ, name):
-        return F.struct(F.lit(k).alias("k"), url.alias("url"), title.alias("title"), desc.alias("description"),
-                        typ.alias("type"), F.lit(name).alias("variant"))
-
-    rows = F.array(
-        variant(0, flipped, F.lit(""), F.col("description"), F.col("type"), "flipped"),
-        variant(1, u, F.col("title"), F.col("description"), F.col("type"), "original"),
-        variant(2, utm, F.col("title"), F.lit(""), F.lit("rss"), "tracked"))
-    ex = c.select("file", "item_idx", "ord", "category", F.explode(rows).alias("v"))  # one scan, three rows
-    return ex.select("file", "item_idx", (F.col("ord") * 3 + F.col("v.k")).alias("ord"), F.col("v.url").alias("url"),
-                     F.col("v.title").alias("title"), F.col("v.description").alias("description"),
-                     F.col("v.type").alias("type"), "category", F.col("v.variant").alias("variant"))
+    # one scan: explode a variant index, derive the variant's columns after it, so a query
+    # that needs only URLs prunes the title/description regexes and never reads html
+    ex = c.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
+    k = F.col("k")
+    return ex.select(
+        "file", "item_idx", (F.col("ord") * 3 + k).alias("ord"),
+        F.when(k == 0, flipped).when(k == 1, u).otherwise(utm).alias("url"),
+        F.when(k == 0, F.lit("")).otherwise(F.col("title")).alias("title"),
+        F.when(k == 2, F.lit("")).otherwise(F.col("description")).alias("description"),
+        F.when(k == 2, F.lit("rss")).otherwise(F.col("type")).alias("type"),
+        "category",
+        F.when(k == 0, F.lit("flipped")).when(k == 1, F.lit("original")).otherwise(F.lit("tracked")).alias("variant"))
 
 
 def v_categories(spark: SparkSession) -> DataFrame:

@@ -25,3 +25,13 @@ def test_plan_shape(spark, name):
     for line in plan.splitlines():
         if re.search(r"\bWindow \[", line):
             assert not re.search(r"\], \[\], \[", line), line
+
+
+@pytest.mark.parametrize("name,absent", [("check_worklist", "html"), ("url_key_export", "html"),
+                                         ("url_hash", "html"), ("first_entries", "text"),
+                                         ("health_history", "props")])
+def test_scan_prunes_columns(spark, name, absent):
+    """Column pruning reaches the parquet scan: unused heavy columns are never read."""
+    plan = E.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
+    assert schemas and all(f"{absent}:" not in s for s in schemas), schemas
