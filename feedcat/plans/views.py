@@ -28,7 +28,6 @@ def v_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages")
     seg = F.regexp_extract("url", SEGMENT_RE, 1)
     return p.select(
-        F.lit(None).cast("string").alias("_"),
         F.concat(seg, F.lit(".yaml")).alias("file"),
         F.col("page_id").alias("item_idx"),
         F.col("page_id").alias("ord"),
@@ -39,7 +38,7 @@ def v_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("url").contains("?"), F.lit("RSS"))
          .otherwise(F.lit("")).alias("type"),
         seg.alias("category"),
-    ).drop("_")
+    )
 
 
 def v_catalog_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
