@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -45,16 +44,22 @@ def get_spark(app: str = "feedcat", master: str | None = None,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and versioned state.
+def shared_dir(spark: SparkSession) -> str:
+    """Folder for intermediate tables that the driver and every executor see.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when that setting is absent (local tests).
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder in the session's
+    warehouse is taken (shared by definition) and named in the setting; never a machine-local one.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="feedcat-ckpt-")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
         spark.conf.set("spark.checkpoint.dir", d)
+    return d.rstrip("/")
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder, also set as the checkpoint folder of the Spark context."""
+    d = shared_dir(spark)
     try:
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. Spark Connect): the conf is enough
