@@ -61,8 +61,8 @@ WITH RECURSIVE doc AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '[^\x
 sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+2], ' ') AS s
        FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM doc WHERE len(ws) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM both JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+meet AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM meet JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
 least AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY 1)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(c, doc_id)) AS component_id
@@ -95,12 +95,12 @@ def _op10(bits: int = 5, shards: int = 40) -> str:
     """The same curve, written as one subquery for each step."""
     q = rf"""
 WITH tbl AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
-             (a, b) -> CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+             lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
 d AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
       md5(coalesce(doc_id::VARCHAR, '')) AS tie, hex(encode(coalesce(text, ''))) AS hx FROM documents),
 crc AS (SELECT d.* EXCLUDE (hx), xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(hx) // 2),
-        i -> ((instr('0123456789ABCDEF', hx[2*i+1]) - 1) * 16 + instr('0123456789ABCDEF', hx[2*i+2]) - 1)::BIGINT)),
-        (a, b) -> xor(a >> 8, t[xor(a & 255, b) + 1]))) AS text_crc32 FROM d, tbl),
+        lambda i: ((instr('0123456789ABCDEF', hx[2*i+1]) - 1) * 16 + instr('0123456789ABCDEF', hx[2*i+2]) - 1)::BIGINT)),
+        lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]))) AS text_crc32 FROM d, tbl),
 p AS (SELECT doc_id, size, text_crc32, tie, ('0x' || md5(lang)[1:2])::INT & {(1 << bits) - 1} AS x0, ('0x' || md5(source)[1:2])::INT & {(1 << bits) - 1} AS x1,
       least(2 * (len(bin(size)) - 5) + ((size >> (len(bin(size)) - 2)) & 1), {(1 << bits) - 1})::INT AS x2 FROM crc)"""
     last = "p"
@@ -119,10 +119,10 @@ p AS (SELECT doc_id, size, text_crc32, tie, ('0x' || md5(lang)[1:2])::INT & {(1
     return q + f""",
 g1 AS (SELECT * REPLACE (xor(x1, x0) AS x1) FROM {last}), g2 AS (SELECT * REPLACE (xor(x2, x1) AS x2) FROM g1),
 g3 AS (SELECT *, {turn} AS t FROM g2), g4 AS (SELECT * REPLACE (xor(x0, t) AS x0, xor(x1, t) AS x1, xor(x2, t) AS x2) FROM g3),
-r AS (SELECT *, row_number() OVER (ORDER BY {code}, tie, doc_id, text_crc32, size) - 1 AS at, count(*) OVER () // {shards} AS k, count(*) OVER () % {shards} AS m FROM g4)
+r AS (SELECT *, row_number() OVER (ORDER BY {code}, tie, doc_id, text_crc32, size) - 1 AS pos, count(*) OVER () // {shards} AS k, count(*) OVER () % {shards} AS m FROM g4)
 SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law,
-       (CASE WHEN at < m * (k + 1) THEN at // (k + 1) ELSE m + (at - m * (k + 1)) // greatest(k, 1) END)::INT AS shard,
-       (CASE WHEN at < m * (k + 1) THEN at % (k + 1) ELSE (at - m * (k + 1)) % greatest(k, 1) END)::BIGINT AS slot, NULL::INT AS grown_shard
+       (CASE WHEN pos < m * (k + 1) THEN pos // (k + 1) ELSE m + (pos - m * (k + 1)) // greatest(k, 1) END)::INT AS shard,
+       (CASE WHEN pos < m * (k + 1) THEN pos % (k + 1) ELSE (pos - m * (k + 1)) % greatest(k, 1) END)::BIGINT AS slot, NULL::INT AS grown_shard
 FROM r"""
 
 
