@@ -103,19 +103,60 @@ def arrow_batch(schema: T.StructType, cols: list) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type) for c, f in zip(cols, s)], schema=s)
 
 
-class WordHash(dict):
-    """64-bit hashes of words, kept while the vocabulary seen stays under ``LIMIT`` words."""
-
-    LIMIT = 250_000
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list) -> np.ndarray:
-        if len(self) > self.LIMIT:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), U64, len(words))
+SPACE = b" \t\n\x0b\x0c\r"
+NOT_ALNUM = bytes(c for c in range(128) if not chr(c).isalnum())
+
+
+class WordHash:
+    """64-bit hashes of all words of a text at once; words are runs of bytes other than ``apart``, A-Z
+    count as a-z. A word's hash is a polynomial of its bytes' random values, taken from running sums."""
+
+    PIECE = 1 << 18
+
+    def __init__(self, apart: bytes = SPACE) -> None:
+        values = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+        values[65:91] = values[97:123]
+        self.values, self.apart = values, np.zeros(256, bool)
+        self.apart[list(apart)] = True
+        self.base = 0xD1342543DE82EF95
+        self.up = self.down = np.ones(1, U64)
+
+    def _grow(self, n: int) -> None:
+        while len(self.up) < n:
+            k = len(self.up)
+            self.up = np.concatenate([self.up, self.up * U64(pow(self.base, k, 1 << 64))])
+            self.down = np.concatenate([self.down, self.down * U64(pow(self.base, -k, 1 << 64))])
+
+    def spans(self, text: bytes | None) -> tuple:
+        """``(hashes, starts, ends)``, places by bytes."""
+        got, at, n = [], 0, len(text or b"")
+        whole = np.frombuffer(text or b"", np.uint8)
+        while at < n:  # long texts in pieces that end between words
+            to = min(at + self.PIECE, n)
+            while to < n and not self.apart[whole[to]]:
+                to += 1
+            a = whole[at:to]
+            self._grow(len(a))
+            gap = self.apart[a]
+            edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+            if not gap[0]:
+                edge = np.concatenate([[0], edge])
+            if not gap[-1]:
+                edge = np.concatenate([edge, [len(a)]])
+            low, high = edge[::2], edge[1::2]
+            sums = np.zeros(len(a) + 1, U64)
+            np.cumsum(self.values[a] * self.up[:len(a)], out=sums[1:])
+            got.append(((sums[high] - sums[low]) * self.down[low], low + at, high + at))
+            at = to
+        if len(got) == 1:
+            return (mix(got[0][0]), *got[0][1:])
+        if not got:
+            return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+        h, low, high = (np.concatenate(x) for x in zip(*got))
+        return mix(h), low, high
+
+    def of(self, text: bytes | None) -> np.ndarray:
+        return self.spans(text)[0]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

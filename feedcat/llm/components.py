@@ -1,10 +1,10 @@
 """Connected components and clustering of bucketed candidates, without all pairs of a bucket."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_stage, sized, stage
+from .common import drop_stage, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,75 +13,88 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps; each is two aggregations with map-side combine and
     a join, so a node with many neighbours is never gathered in one task. Every round is staged.
     """
-    e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-              "edges")
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(sized(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
-            .where("u <> v").distinct()
-        large = stage(large, "large")
-        low = sized(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         nxt = stage(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                    .unionByName(low.select("u", F.col("m").alias("v")))
-                    .where("u <> v").distinct(), "small")
-        drop_stage(e, large)
+                    .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+        drop_stage(e)
         e = nxt
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            return stage(e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "components")
         seen = now
 
 
-def cluster(members: DataFrame, sets, similar, may_link=None) -> DataFrame:
+def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     """Components ``(node, root)`` of the links among nodes that share a bucket.
 
-    ``members (bucket, node, *attributes)`` has no repeated rows; ``sets(nodes)`` gives
-    ``(node, items)`` for the nodes asked for; ``similar(x, y)`` judges two item arrays exactly;
-    ``may_link(l, r)`` is a cheap necessary condition on the attributes of two aliases.
+    ``members (bucket, node, *attributes)`` has no repeated rows; ``sets(nodes)`` gives ``(node, items)``
+    for the nodes asked for; two nodes link when the Jaccard similarity of their items is at least the
+    fraction ``alike``; ``may_link(l, r)`` is a cheap necessary condition on the attributes.
 
-    First every member meets its bucket's most connected member only (a star: as many pairs as
-    members). Then, in buckets whose members aren't one component yet, those outside the bucket's
-    largest component meet all others of another component. Each candidate link either is verified
-    or joins two nodes already known to be connected, so no link between components is lost and a
-    bucket full of copies costs its size, not the square.
+    First every member meets its bucket's most connected member only: a star, as many pairs as
+    members. Most buckets are one component then. In the others, nodes outside the bucket's largest
+    component still have to meet those of other components. They do so on the prefix of their items,
+    rarest first, that two similar sets must share (exact, whatever the bucket holds), so many texts
+    that only have a common passage don't meet pairwise. Every link either is verified or joins nodes
+    that are connected already.
     """
-    spark = members.sparkSession
     attrs = [c for c in members.columns if c not in ("bucket", "node")]
     may_link = may_link or (lambda l, r: F.lit(True))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n_in")).where("n_in > 1")
-    m = stage(members.join(sized(sizes), "bucket"), "members")
+    m = stage(members.join(sizes, "bucket"), "members")
     weight = m.groupBy("node").agg(F.sum("n_in").alias("weight"))
-    mw = m.join(sized(weight), "node")
-    pivots = mw.groupBy("bucket").agg(F.max(F.struct("weight", "node", *attrs)).alias("p"))
-    pivots = pivots.select("bucket", *[F.col(f"p.{c}").alias(c) for c in ["node", *attrs]])
-    star = m.alias("l").join(sized(pivots).alias("r"), "bucket") \
+    pivots = m.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", *attrs)).alias("p")) \
+        .select("bucket", *[F.col(f"p.{c}").alias(c) for c in ["node", *attrs]])
+    star = m.alias("l").join(pivots.alias("r"), "bucket") \
         .where((F.col("l.node") != F.col("r.node")) & may_link("l", "r")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    links = stage(verified(star, sets, similar), "star")
-    comp = stage(components(links), "comp")
-    named = m.join(sized(comp), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = stage(named.drop("n_in"), "named")
-    parts = named.groupBy("bucket", "root").agg(F.count("*").alias("k"))
-    major = parts.groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("c")) \
-        .where("c > 1").select("bucket", F.col("top.root").alias("top"))
-    open_ = stage(named.join(sized(major), "bucket"), "open")
-    rest = open_.where("root <> top").alias("l").join(open_.alias("r"), "bucket") \
+    links = stage(verified(star, lambda nodes: stage(sets(nodes), "items"), alike), "star")
+    comp = components(links)
+    named = m.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    top = named.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket") \
+        .agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("c")).where("c > 1") \
+        .select("bucket", F.col("top.root").alias("top"))
+    first = [F.first(c).alias(c) for c in ["root", *attrs]]
+    open_ = stage(named.join(top, "bucket").groupBy("node").agg(F.max(F.col("root") != F.col("top")).alias("outside"), *first), "open")
+    if open_.isEmpty():
+        return comp
+    own = stage(sets(open_.select("node")), "open-items")
+    at = stage(open_.join(prefixes(own, alike), "node"), "prefixes")
+    rest = at.where("outside").alias("l").join(at.alias("r"), "item") \
         .where((F.col("l.root") != F.col("r.root")) & may_link("l", "r")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    more = stage(verified(rest, sets, similar), "rest")
-    out = stage(components(links.unionByName(more)), "roots")
-    drop_stage(m, links, comp, named, open_, more)
-    return out
+    more = stage(verified(rest, lambda nodes: own, alike), "rest")
+    if not more.isEmpty():
+        comp = components(links.unionByName(more))
+    drop_stage(m, links, open_, own, at, more)
+    return comp
 
 
-def verified(pairs: DataFrame, sets, similar) -> DataFrame:
+def prefixes(sets: DataFrame, alike: tuple) -> DataFrame:
+    """``(node, item)``: the rarest items of each set, so many that similar sets share one of them."""
+    num, den = alike
+    each = sets.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
+    freq = each.groupBy("item").agg(F.count("*").alias("freq"))
+    order = Window.partitionBy("node").orderBy("freq", "item")
+    return each.join(freq, "item").withColumn("at", F.row_number().over(order)) \
+        .where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1).select("node", "item")
+
+
+def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:
     """The distinct pairs ``(a, b)`` whose items are similar."""
+    num, den = alike
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     s = sets(nodes)
     x, y = s.select(F.col("node").alias("a"), F.col("items").alias("x")), \
         s.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return pairs.join(x, "a").join(y, "b").where(similar(F.col("x"), F.col("y"))).select("a", "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return pairs.join(x, "a").join(y, "b").withColumn("both", both) \
+        .where(den * F.col("both") >= num * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, sized, small_batches, stage, with_row_id
+from .common import NOT_ALNUM, U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, sized, small_batches, stage, with_row_id
 
 WINDOW = 13
 WIDTH = 5
@@ -74,9 +74,9 @@ def shingle_filter(shingles: DataFrame) -> tuple:
     schema = T.StructType([T.StructField("h", T.LongType())])
 
     def rows_of(batches):
-        known = WordHash()
+        known = WordHash(NOT_ALNUM)
         for b in batches:
-            h = [known.of(s.split(b" ")) for s in binaries(b, "shingle")]
+            h = [known.of(s) for s in binaries(b, "shingle")]
             yield arrow_batch(schema, [np.array([hashes(x, len(x))[0] for x in h], U64).view(np.int64)])
 
     return bit_filter(shingles.select("shingle").mapInArrow(rows_of, schema), "h"), widths
@@ -92,21 +92,20 @@ def possible_runs(docs: DataFrame, filter_: tuple) -> DataFrame:
 
     def rows_of(batches):
         possible, widths = shared.value
-        known = WordHash()
+        known = WordHash(NOT_ALNUM)
         for b in batches:
             counts, runs = [], []
             for text in binaries(b, "text"):
-                ws = words_of(text)
+                h, low, high = known.spans(text)
                 own = []
-                h = known.of(ws)
                 for width in widths:
                     at = np.flatnonzero(passes(possible, hashes(h, width)))
                     if len(at):
                         cut = np.flatnonzero(np.diff(at) > 1) + 1
                         for s in np.split(at, cut):
-                            own.append({"width": width, "start": int(s[0]),
-                                        "words": b" ".join(ws[s[0]:s[-1] + width]).decode("utf-8", "replace")})
-                counts.append(len(ws))
+                            words = b" ".join(words_of(text[low[s[0]]:high[s[-1] + width - 1]]))
+                            own.append({"width": width, "start": int(s[0]), "words": words.decode("utf-8", "replace")})
+                counts.append(len(h))
                 runs.append(own)
             yield arrow_batch(schema, [column(b, "rid"), column(b, "doc_id"), counts, runs])
 
@@ -141,9 +140,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
         "rid", "n_words", "i", "s.shingle", (F.col("start") + F.col("i")).alias("pos"),
         (F.col("i") + 1 - F.col("s.low")).alias("lead"), F.slice("ws", F.col("s.low"), 2 * window).alias("near"))
     known = shingles.select("shingle").distinct()
-    rarity = found.select("shingle").join(sized(known), "shingle").groupBy("shingle").agg(F.count("*").alias("freq"))
+    rarity = found.select("shingle").join(known, "shingle").groupBy("shingle").agg(F.count("*").alias("freq"))
     # a window with a shingle that no document has can't occur: its join partner is missing
-    rarest = shingles.join(sized(rarity), "shingle", "left") \
+    rarest = shingles.join(rarity, "shingle", "left") \
         .groupBy("words", "n").agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "shingle", "offset")).alias("p")) \
         .where("p.freq > 0").select("words", "n", "p.shingle", "p.offset")
     rarest = stage(rarest, "prefix")

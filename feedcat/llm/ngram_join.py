@@ -38,10 +38,8 @@ WIDTH = 3
 ALIKE = (90, 100)
 #: Bands grow by about this power of the similarity.
 SPREAD = 2
-#: Elements of a segment that two unrelated documents are taken not to share (boilerplate is shared).
-OWN_SHARE = 0.5
 #: Cost of a candidate pair in index rows.
-PAIR_COST = 4.0
+PAIR_COST = 1.0
 
 
 class Bands:
@@ -82,11 +80,11 @@ class Bands:
         for double in range((h + 1) // 2 + 1 + (h + 1) % 2):
             single = max(h + 1 - 2 * double, 0)
             size = least / (double + single)
-            own = OWN_SHARE * size
             rows = single + double * (size + 1)
             if best and rows > best[0]:
                 break  # more doubles only write more rows
-            pairs = sets / 2 * (single * math.exp(-2 * own) + double * (1 + 2 * own) * math.exp(-2 * own))
+            # two unrelated sets meet where both have no element, or at level 2 one of them
+            pairs = sets / 2 * (single + double * (1 + 2 * size)) * math.exp(-2 * size)
             cost = rows + PAIR_COST * pairs
             if best is None or cost < best[0]:
                 best = (cost, double, single)
@@ -144,7 +142,7 @@ def element_sets(docs: DataFrame, name: str, make, schema: T.StructType) -> Data
     def rows_of(batches):
         known = WordHash()
         for b in batches:
-            rows = [make(np.unique(shingle_hashes(known.of(t.lower().split() if t else []), WIDTH))) for t in binaries(b, "text")]
+            rows = [make(np.unique(shingle_hashes(known.of(t), WIDTH))) for t in binaries(b, "text")]
             keep = [column(b, n) for n in b.schema.names if n != "text"]
             yield arrow_batch(schema, [*keep, *(list(c) for c in zip(*rows))] if rows else [*keep, *[[]] * (len(schema) - len(keep))])
 
@@ -185,7 +183,8 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
     keyed = with_row_id(docs, "doc_id", F.xxhash64("text").alias("tk"), "text")
     sets = stage(element_sets(keyed, "sets", described, schema), "sets")
     twins = sets.where("n > 0").groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.count("*").alias("c")).where("c > 1")
-    copies = stage(sets.where("n > 0").select("rid", "f0", "f1").join(sized(twins.drop("c")), ["f0", "f1"])
+    twins = stage(twins.drop("c"), "twins")
+    copies = stage(sets.where("n > 0").select("rid", "f0", "f1").join(sized(twins), ["f0", "f1"])
                    .where("rid <> node").select("rid", "node"), "copies")
     nodes = sets.where("n > 0").join(sized(copies.select("rid")), "rid", "left_anti")
     rows = nodes.select(F.col("rid").alias("node"), F.explode("sigs").alias("bucket"))
@@ -193,32 +192,29 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
     shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     rows = stage(rows.join(sized(stage(shared, "shared")), "bucket"), "index")
     met = rows.select("node").distinct()
-    about = nodes.select(F.col("rid").alias("node"), "n", "p0", "p1").join(sized(met), "node")
-    members = rows.join(sized(about), "node").select("bucket", "node", "n", "p0", "p1")
+    about = nodes.select(F.col("rid").alias("node"), "n", "p0", "p1").join(met, "node")
+    members = rows.join(about, "node").select("bucket", "node", "n", "p0", "p1")
     item_schema = T.StructType([T.StructField("node", longs), T.StructField("items", T.ArrayType(longs))])
 
     def items_of(asked: DataFrame) -> DataFrame:
         """Sets of the nodes asked for, from their texts again: they aren't stored for all documents."""
-        want = sets.select(F.col("rid").alias("node"), "tk", "doc_id").join(sized(asked), "node")
+        want = sets.select(F.col("rid").alias("node"), "tk", "doc_id").join(asked, "node")
+        want = stage(want, "wanted")
         one = docs.select(F.xxhash64("text").alias("tk"), "doc_id", "text").alias("d").join(
             sized(want).alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
         return element_sets(one.select("w.node", "d.text"), "items", lambda x: (x.view(np.int64),), item_schema) \
             .dropDuplicates(["node"])  # texts with equal ids
 
-    def similar(x, y):
-        both = F.size(F.array_intersect(x, y))
-        return den * both >= num * (F.size(x) + F.size(y) - both)
-
-    roots = cluster(members, items_of, similar, differ_bound(bands))
-    named = copies.join(sized(roots), "node", "left").select("rid", F.coalesce("root", "node").alias("root")) \
+    roots = cluster(members, items_of, (num, den), differ_bound(bands))
+    named = copies.join(roots, "node", "left").select("rid", F.coalesce("root", "node").alias("root")) \
         .unionByName(roots.select(F.col("node").alias("rid"), "root")) \
         .unionByName(copies.select(F.col("node").alias("rid"), F.col("node").alias("root")).distinct()
-                     .join(sized(roots.select(F.col("node").alias("rid"))), "rid", "left_anti"))
+                     .join(roots.select(F.col("node").alias("rid")), "rid", "left_anti"))
     named = stage(named, "roots-of-rows")
     base = sets.select("rid", "doc_id", F.col("n").alias("n_shingles"))
     known = base.join(sized(named), "rid", "left")
     smallest = known.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return known.join(sized(smallest), "root", "left") \
+    return known.join(smallest, "root", "left") \
         .select("rid", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
