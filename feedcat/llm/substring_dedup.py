@@ -1,20 +1,22 @@
 """Substring dedup: MinHash banding over paragraphs, exact Jaccard, removals by components.
 
-A paragraph is a line of at least ``LEAST`` words, or a window of ``SPAN`` words that starts at a
-content-defined place: where the hash of a 5-word shingle is the least of ``GAP`` in a row. Any
-stretch of ``GAP + SPAN + 4`` (50) words that two documents share, at whatever place inside their
-lines, starts a window at the same words in both, so passages that were pasted into the middle of
-other text are found too.
-
-Each paragraph has ``BANDS`` bands of one MinHash of its 5-word shingles; at a similarity of 0.8 a
-pair meets in one of three bands with probability 0.992. Paragraphs that meet are verified by exact
-Jaccard and clustered by connected components; where a component spreads over several documents, the
-one with the smallest id keeps its paragraphs, the others lose them.
-
-Band keys that occur once are dropped before anything else is built: a first pass over the texts
-counts keys, a second one writes only paragraphs whose keys pass a bitmap of the repeated ones (of
-bounded size, followed by an exact join), a third one writes the shingles of paragraphs that meet a
-different one.
+A paragraph is a line of at least ``LEAST`` words, or a content-defined stretch of any text: places
+where a 5-word shingle's hash is the least of ``GAP`` in a row are anchors, and a stretch runs from an
+anchor to the first one at least ``SHORT`` shingles on. Any 45 words that two documents share, at
+whatever place inside their lines, hold a stretch that is the same in both, so passages pasted into
+the middle of other text are found too.
+
+A line has ``BANDS`` bands of one MinHash of its 5-word shingles: at a similarity of 0.8 two lines
+meet with probability 0.992. A stretch has one band of two MinHashes, its anchors, which are the least
+hashes around its ends; it meets all stretches between the same anchors and, unlike the overlapping
+stretches beside it, no others. Paragraphs that meet are verified by exact Jaccard and clustered by
+connected components; where a component spreads over several documents, the one with the smallest id
+keeps its paragraphs, the others lose them.
+
+Band keys that occur in one document only are dropped before anything else is built: a first pass over
+the texts counts keys, a second one writes only paragraphs whose keys pass a bitmap of the repeated
+ones (of bounded size, followed by an exact join), a third one writes the shingles of paragraphs that
+meet a different one.
 
 Words are split at ASCII white space, A-Z lower-cased. Edge cases: null, empty and short texts have
 no paragraphs; a document's own repeats don't count; documents with equal ids are ordered by row; a
@@ -24,7 +26,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,48 +36,68 @@ from .components import cluster
 
 WIDTH = 5
 LEAST = 20
-SPAN = 26
-GAP = 20
+GAP = 16
+SHORT = 10
 BANDS = 3
 ALIKE = (80, 100)
-_SEEDS = seeds(BANDS, 77)
+_SEEDS = seeds(BANDS + 3, 77)
+
+
+def sliding(op, x: np.ndarray, width: int) -> np.ndarray:
+    """``op`` (minimum or maximum) of every ``width`` values in a row, by doubling."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        x = op(x[:-step], x[step:])
+        have += step
+    return x
+
+
+def anchors(order: np.ndarray) -> np.ndarray:
+    """Positions that are the least of some ``GAP`` in a row: equal to the largest of the minima of
+    the windows they are in."""
+    low = sliding(np.minimum, order, GAP)
+    edge = np.zeros(GAP - 1, U64)
+    return np.flatnonzero(sliding(np.maximum, np.concatenate([edge, low, edge]), GAP) == order)
 
 
 def paragraphs(text: bytes | None, known: WordHash) -> tuple:
-    """``(starts, ends, shingle hashes, band keys)`` of a text's paragraphs, by words."""
-    lines = [x.split() for x in (text or b"").lower().split(b"\n")]
-    sizes = np.array([len(x) for x in lines])
-    s = shingle_hashes(known.of([w for x in lines for w in x]), WIDTH) if sizes.sum() >= WIDTH else np.empty(0, U64)
-    after = np.cumsum(sizes)
+    """``(starts, ends, shingle hashes, band keys, digests)`` of a text's paragraphs.
+
+    Places are by words; ``band keys`` are rows of ``BANDS`` (a stretch has the same key in each);
+    digests are two 64-bit sums over the shingles.
+    """
+    h, low, _ = known.spans(text)
+    if len(h) < WIDTH:
+        none = np.empty(0, np.int64)
+        return none, none, np.empty(0, U64), np.empty((0, BANDS), U64), np.empty((0, 2), U64)
+    s = shingle_hashes(h, WIDTH)
+    after = np.searchsorted(low, np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text)))
+    sizes = np.diff(after, prepend=0)
     long_ = sizes >= LEAST
-    starts, ends = [(after - sizes)[long_]], [after[long_]]
-    inner = SPAN - WIDTH + 1
-    if len(s) >= inner:
-        order = mix(s ^ U64(0xA5A5A5A5A5A5A5A5))
-        gap = min(GAP, len(s))
-        at = np.unique(np.lib.stride_tricks.sliding_window_view(order, gap).argmin(1) + np.arange(len(s) - gap + 1))
-        at = at[at + inner <= len(s)]
-        starts.append(at)
-        ends.append(at + SPAN)
-    keys = np.empty((sum(map(len, starts)), BANDS), U64)
-    for k in range(BANDS):
-        h = mix(s + _SEEDS[k])
-        mins = []
-        if len(starts[0]):
-            bounds = np.stack([starts[0], ends[0] - WIDTH + 1], 1).ravel()
-            mins.append(np.minimum.reduceat(np.append(h, U64(2**64 - 1)), bounds)[::2])
-        if len(starts) > 1:
-            mins.append(h[starts[1][:, None] + np.arange(inner)].min(1))
-        keys[:, k] = mix(np.concatenate(mins) + U64(k)) if mins else keys[:, k]
-    return np.concatenate(starts), np.concatenate(ends), s, keys
-
-
-def items(s: np.ndarray, start: int, end: int) -> np.ndarray:
-    return np.unique(s[start:end - WIDTH + 1])
-
-
-def digest(x: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(x.tobytes())
+    starts, ends = (after - sizes)[long_], after[long_] - WIDTH + 1
+    keys = np.empty((len(starts), BANDS), U64)
+    if len(starts):
+        bounds = np.stack([starts, ends], 1).ravel()
+        for k in range(BANDS):
+            mins = np.minimum.reduceat(np.append((s ^ _SEEDS[k]) * (_SEEDS[-1 - k] | U64(1)), U64(2**64 - 1)), bounds)[::2]
+            keys[:, k] = mix(mins + U64(k))
+    if len(s) >= GAP:
+        at = anchors(s)
+        to = np.searchsorted(at, at + SHORT)
+        first, last = at[to < len(at)], at[to[to < len(at)]]
+        pair = mix(mix(s[first]) + s[last])
+        starts, ends = np.concatenate([starts, first]), np.concatenate([ends, last])
+        keys = np.concatenate([keys, np.repeat(pair[:, None], BANDS, 1)])
+    sums = np.zeros((len(s) + 1, 2), U64)
+    np.cumsum(s, out=sums[1:, 0])
+    np.cumsum((s ^ (s >> U64(29))) * _SEEDS[BANDS], out=sums[1:, 1])
+    return starts, ends + WIDTH - 1, s, keys, sums[ends] - sums[starts]
+
+
+def node_names(digests: np.ndarray) -> list:
+    flat = np.ascontiguousarray(digests).tobytes()
+    return [flat[i:i + 16] for i in range(0, len(flat), 16)]
 
 
 def band_keys(docs: DataFrame) -> DataFrame:
@@ -102,15 +123,17 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
     def rows_of(batches):
         known = WordHash()
         for b in batches:
-            row, cols = [], [[], [], [], []]
+            row, parts = [], []
             for i, t in enumerate(binaries(b, "text")):
-                starts, ends, s, keys = paragraphs(t, known)
+                starts, ends, _, keys, sums = paragraphs(t, known)
                 ok = passes(shared.value, keys)
-                for j in np.flatnonzero(ok.any(1)):
-                    row.append(i)
-                    for c, v in zip(cols, (int(starts[j]), int(ends[j]), digest(items(s, starts[j], ends[j])), keys[j][ok[j]].view(np.int64))):
-                        c.append(v)
+                on = np.flatnonzero(ok.any(1))
+                if len(on):
+                    row += [i] * len(on)
+                    parts.append((starts[on], ends[on], node_names(sums[on]),
+                                  [np.unique(k[o]).view(np.int64) for k, o in zip(keys[on], ok[on])]))
             at = pa.array(row, pa.int64())
+            cols = [[x for p in parts for x in p[c]] for c in range(4)]
             yield arrow_batch(schema, [column(b, "rid").take(at), column(b, "doc_id").take(at), *cols])
 
     return docs.mapInArrow(rows_of, schema)
@@ -119,24 +142,22 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
 def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """``node, items`` of the paragraphs asked for."""
     schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("items", T.ArrayType(T.LongType()))])
-    asked = asked.select("node", F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long").alias("h"))
-    shared = docs.sparkSession.sparkContext.broadcast(bit_filter(asked, "h"))
+    filter_ = bit_filter(asked.select(F.conv(F.hex(F.reverse(F.substring("node", 1, 8))), 16, -10).cast("long").alias("h")), "h")
+    shared = docs.sparkSession.sparkContext.broadcast(filter_)
 
     def rows_of(batches):
         known = WordHash()
         for b in batches:
             got = {}
             for t in binaries(b, "text"):
-                starts, ends, s, _ = paragraphs(t, known)
-                if len(starts):
-                    own = [items(s, i, j) for i, j in zip(starts, ends)]
-                    nodes = [digest(x) for x in own]
-                    lead = np.frombuffer(b"".join(x[:8] for x in nodes), ">u8").astype(U64)
-                    for j in np.flatnonzero(passes(shared.value, lead)):
-                        got[nodes[j]] = own[j].view(np.int64)
+                starts, ends, s, _, sums = paragraphs(t, known)
+                on = np.flatnonzero(passes(shared.value, sums[:, 0]))
+                for j, node in zip(on, node_names(sums[on])):
+                    if node not in got:
+                        got[node] = np.unique(s[starts[j]:ends[j] - WIDTH + 1]).view(np.int64)
             yield arrow_batch(schema, [list(got), list(got.values())])
 
-    return docs.select("text").mapInArrow(rows_of, schema).join(sized(asked.select("node")), "node").dropDuplicates(["node"])
+    return docs.select("text").mapInArrow(rows_of, schema).join(asked, "node").dropDuplicates(["node"])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -146,17 +167,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs = with_row_id(docs, "doc_id", "text")
     again = stage(band_keys(docs).groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "band-keys")
     units = stage(met_paragraphs(docs, bit_filter(again, "key")), "paragraphs")
-    members = stage(units.select(F.explode("keys").alias("bucket"), "node").distinct(), "band-members")
-    several = members.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    members = stage(members.join(sized(several), "bucket"), "several")
-    sets = stage(shingles_of(docs, members.select("node").distinct()), "shingles")
-
-    def similar(x, y):
-        both = F.size(F.array_intersect(x, y))
-        return ALIKE[1] * both >= ALIKE[0] * (F.size(x) + F.size(y) - both)
-
-    roots = cluster(members, lambda nodes: sets.join(sized(nodes), "node"), similar)
-    units = units.join(sized(roots), "node", "left") \
+    met = units.select(F.explode("keys").alias("bucket"), "node")
+    h = F.xxhash64("node")
+    several = met.groupBy("bucket").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b").select("bucket")
+    members = stage(met.join(sized(stage(several, "several")), "bucket").distinct(), "band-members")
+    sets = stage(shingles_of(docs, stage(members.select("node").distinct(), "asked")), "shingles")
+    roots = cluster(members, lambda nodes: sets.join(nodes, "node"), ALIKE)
+    units = units.join(roots, "node", "left") \
         .select("rid", "doc_id", "start", "end", F.coalesce("root", "node").alias("root"))
     units = stage(units, "units")
     keep = units.groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.min("rid").alias("a"), F.max("rid").alias("b")) \
