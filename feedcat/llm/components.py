@@ -38,7 +38,8 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     for the nodes asked for; two nodes link when the Jaccard similarity of their items is at least the
     fraction ``alike``; ``may_link(l, r)`` is a cheap necessary condition on the attributes.
 
-    First every member meets its bucket's most connected member only: a star, as many pairs as
+    First every member meets its bucket's most copied (attribute ``copies``, if there is one) and most
+    connected member only: a star, as many pairs as
     members. Most buckets are one component then. In the others, nodes outside the bucket's largest
     component still have to meet those of other components. They do so on the prefix of their items,
     rarest first, that two similar sets must share (exact, whatever the bucket holds), so many texts
@@ -48,10 +49,12 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     attrs = [c for c in members.columns if c not in ("bucket", "node")]
     may_link = may_link or (lambda l, r: F.lit(True))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n_in")).where("n_in > 1")
-    m = stage(members.join(sizes, "bucket"), "members")
+    m = stage(members.join(stage(sizes, "sizes"), "bucket"), "members")
     weight = m.groupBy("node").agg(F.sum("n_in").alias("weight"))
-    pivots = m.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node", *attrs)).alias("p")) \
+    rank = [c for c in ("copies",) if c in attrs] + ["weight", "node"]
+    pivots = m.join(weight, "node").groupBy("bucket").agg(F.max(F.struct(*rank, *[c for c in attrs if c not in rank])).alias("p")) \
         .select("bucket", *[F.col(f"p.{c}").alias(c) for c in ["node", *attrs]])
+    pivots = stage(pivots, "pivots")
     star = m.alias("l").join(pivots.alias("r"), "bucket") \
         .where((F.col("l.node") != F.col("r.node")) & may_link("l", "r")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
@@ -62,14 +65,15 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
         .agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("c")).where("c > 1") \
         .select("bucket", F.col("top.root").alias("top"))
     first = [F.first(c).alias(c) for c in ["root", *attrs]]
-    open_ = stage(named.join(top, "bucket").groupBy("node").agg(F.max(F.col("root") != F.col("top")).alias("outside"), *first), "open")
+    open_ = stage(named.join(stage(top, "top"), "bucket").groupBy("node").agg(F.max(F.col("root") != F.col("top")).alias("outside"), *first), "open")
     if open_.isEmpty():
         return comp
     own = stage(sets(open_.select("node")), "open-items")
-    at = stage(open_.join(prefixes(own, alike), "node"), "prefixes")
+    at = stage(open_.join(prefixes(own, alike), "node").withColumn("item", F.explode("prefix")), "prefixes")
     rest = at.where("outside").alias("l").join(at.alias("r"), "item") \
         .where((F.col("l.root") != F.col("r.root")) & may_link("l", "r")) \
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        .where(F.get(F.array_intersect("l.prefix", "r.prefix"), 0) == F.col("item")) \
+        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))  # once for each pair, at the first item in common
     more = stage(verified(rest, lambda nodes: own, alike), "rest")
     if not more.isEmpty():
         comp = components(links.unionByName(more))
@@ -78,13 +82,14 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, alike: tuple) -> DataFrame:
-    """``(node, item)``: the rarest items of each set, so many that similar sets share one of them."""
+    """``(node, prefix)``: the rarest items of each set, so many that similar sets share one of them."""
     num, den = alike
     each = sets.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
     freq = each.groupBy("item").agg(F.count("*").alias("freq"))
     order = Window.partitionBy("node").orderBy("freq", "item")
     return each.join(freq, "item").withColumn("at", F.row_number().over(order)) \
-        .where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1).select("node", "item")
+        .where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) \
+        .groupBy("node").agg(F.array_sort(F.collect_list("item")).alias("prefix"))
 
 
 def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:

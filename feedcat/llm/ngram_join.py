@@ -149,9 +149,8 @@ def element_sets(docs: DataFrame, name: str, make, schema: T.StructType) -> Data
     return docs.mapInArrow(rows_of, schema)
 
 
-def differ_bound(bands: Bands):
+def differ_bound(num: int, den: int):
     """A necessary condition for similarity on sizes and parity bits of two aliases."""
-    num, den = bands.num, bands.den
 
     def may_link(l: str, r: str):
         a, b = F.col(f"{l}.n"), F.col(f"{r}.n")
@@ -205,7 +204,7 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
         return element_sets(one.select("w.node", "d.text"), "items", lambda x: (x.view(np.int64),), item_schema) \
             .dropDuplicates(["node"])  # texts with equal ids
 
-    roots = cluster(members, items_of, (num, den), differ_bound(bands))
+    roots = cluster(members, items_of, (num, den), differ_bound(num, den))
     named = copies.join(roots, "node", "left").select("rid", F.coalesce("root", "node").alias("root")) \
         .unionByName(roots.select(F.col("node").alias("rid"), "root")) \
         .unionByName(copies.select(F.col("node").alias("rid"), F.col("node").alias("root")).distinct()

@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, seeds, shingle_hashes, sized,
                      small_batches, stage, with_row_id)
 from .components import cluster
+from .ngram_join import differ_bound, parity
 
 WIDTH = 5
 LEAST = 20
@@ -140,8 +141,9 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
 
 
 def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """``node, items`` of the paragraphs asked for."""
-    schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("items", T.ArrayType(T.LongType()))])
+    """``node, items`` of the paragraphs asked for, with their number and parity bits."""
+    schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("items", T.ArrayType(T.LongType())),
+                           *(T.StructField(c, T.LongType()) for c in ("n", "p0", "p1"))])
     filter_ = bit_filter(asked.select(F.conv(F.hex(F.reverse(F.substring("node", 1, 8))), 16, -10).cast("long").alias("h")), "h")
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
 
@@ -154,8 +156,10 @@ def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 on = np.flatnonzero(passes(shared.value, sums[:, 0]))
                 for j, node in zip(on, node_names(sums[on])):
                     if node not in got:
-                        got[node] = np.unique(s[starts[j]:ends[j] - WIDTH + 1]).view(np.int64)
-            yield arrow_batch(schema, [list(got), list(got.values())])
+                        x = np.unique(s[starts[j]:ends[j] - WIDTH + 1])
+                        p = parity(x)
+                        got[node] = (x.view(np.int64), len(x), int(p[0]), int(p[1]))
+            yield arrow_batch(schema, [list(got), *([r[k] for r in got.values()] for k in range(4))])
 
     return docs.select("text").mapInArrow(rows_of, schema).join(asked, "node").dropDuplicates(["node"])
 
@@ -170,9 +174,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     met = units.select(F.explode("keys").alias("bucket"), "node")
     h = F.xxhash64("node")
     several = met.groupBy("bucket").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b").select("bucket")
-    members = stage(met.join(sized(stage(several, "several")), "bucket").distinct(), "band-members")
+    members = stage(met.join(sized(stage(several, "several")), "bucket").groupBy("bucket", "node")
+                    .agg(F.count("*").alias("copies")), "band-members")
     sets = stage(shingles_of(docs, stage(members.select("node").distinct(), "asked")), "shingles")
-    roots = cluster(members, lambda nodes: sets.join(nodes, "node"), ALIKE)
+    members = members.join(sets.drop("items"), "node")
+    roots = cluster(members, lambda nodes: sets.select("node", "items").join(nodes, "node"), ALIKE, differ_bound(*ALIKE))
     units = units.join(roots, "node", "left") \
         .select("rid", "doc_id", "start", "end", F.coalesce("root", "node").alias("root"))
     units = stage(units, "units")
