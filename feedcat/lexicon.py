@@ -136,15 +136,10 @@ CANONICAL_BUCKET_LABELS = [
 ]
 
 # Operating defaults.
-MAX_SEEDS = 30
-MAX_SITES = 400
 MIN_SCORE = 6
-MAX_NEW_CANDIDATES = 75
-MAX_CHECKS = 2500
 MAX_SCORED_ENTRIES = 15
 MIN_FEED_BODY_BYTES = 80
 SAMPLE_ENTRIES = 5
-MAX_MATCHED_KEYWORDS = 25
 DESCRIPTION_MAX = 220
 SLUG_MAX = 50
 # ---------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.text import WS, item_description, slug_short, strip_ws
-from ..lexicon import DEFAULT_CATEGORY, MAX_NEW_CANDIDATES, MIN_SCORE
+from ..lexicon import DEFAULT_CATEGORY, MIN_SCORE
 
 def assemble(feeds: DataFrame, scores: DataFrame, now: str, key: str = "feed_url") -> DataFrame:
     """Feed metadata + type + score + hash for every validated feed.
@@ -100,8 +100,8 @@ def bucket_merge(items: DataFrame, existing: DataFrame) -> DataFrame:
         .join(ex, ["bucket", "__u"], "left_anti").drop("__u")
 
 
-def top_candidates(items: DataFrame, max_new: int = MAX_NEW_CANDIDATES) -> DataFrame:
-    """The best ``max_new`` items by score (0 = all), ties on URL."""
+def top_candidates(items: DataFrame, max_new: int | None = None) -> DataFrame:
+    """The best ``max_new`` items by score (none or 0: all), ties on URL."""
     ordered = items.orderBy(F.col("discovery.score").desc(), F.col("url"))
     return ordered.limit(max_new) if max_new else ordered
 

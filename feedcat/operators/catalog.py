@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.text import clean_text, strip_ws
-from ..lexicon import MAX_CHECKS
 
 FIELDS = ["title", "description", "type", "category"]
 
@@ -86,7 +85,7 @@ def export_dedup(items: DataFrame) -> DataFrame:
     return agg.select(F.col("key").alias("url"), *[F.col("__it")[f].alias(f) for f in FIELDS], "ord")
 
 
-def check_worklist(items: DataFrame, max_checks: int | None = MAX_CHECKS) -> DataFrame:
+def check_worklist(items: DataFrame, max_checks: int | None = None) -> DataFrame:
     """Distinct B2 URLs in first-seen order, capped (0/None = no cap)."""
     df = U.normalize_url(items.withColumn("__raw", strip_ws(F.col("url"))), "__raw", "url_norm")
     out = (df.where(F.col("url_norm") != "").groupBy(F.col("url_norm").alias("url"))

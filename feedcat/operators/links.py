@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.text import html_unescape_basic, strip_ws
-from ..lexicon import COMMON_FEED_PATHS, IGNORED_HOSTS, MAX_SITES
+from ..lexicon import COMMON_FEED_PATHS, IGNORED_HOSTS
 
 # FIXED VALUES: HTML patterns (Java regex and RE2 read them the same way).
 STRIP_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -158,9 +158,9 @@ def skip_sites(df: DataFrame, origin_col: str, blocked: DataFrame | None) -> Dat
 
 
 def crawl_sites(pages: DataFrame, blocked: DataFrame | None = None,
-                max_sites: int | None = MAX_SITES) -> DataFrame:
+                max_sites: int | None = None) -> DataFrame:
     """Candidate site origins from outbound links; one origin per host (the
-    smallest string, so http:// beats https://), capped after ordering."""
+    smallest string, so http:// beats https://), capped after ordering if ``max_sites`` is given."""
     links = outbound_links(pages).select("link").distinct()
     df = U.url_origin(links, "link", "site_url").where(F.col("site_url") != "")
     df = skip_sites(df.select("site_url").distinct(), "site_url", blocked)
@@ -236,7 +236,7 @@ def probe_urls(sites: DataFrame, advertised: DataFrame | None = None,
     df = U.url_host(df, "__n", "__host")
     df = drop_blocked_hosts(df, "__host", blocked, key=["site_url", "feed_url"])
     if blocked_feeds is not None:
-        bf = blocked_feeds.select(F.col("feed").alias("__bf")).distinct()
+        bf = blocked_feeds.select(F.lower(strip_ws("feed")).alias("__bf")).distinct()
         df = df.join(bf, df["__n"] == bf["__bf"], "left_anti")
         df = df.join(bf, F.lower(df["feed_url"]) == bf["__bf"], "left_anti")
     return df.drop("__n", "__host")

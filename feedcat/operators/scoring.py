@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
-from ..lexicon import BUCKET_LABELS, DEFAULT_LEXICON, MAX_MATCHED_KEYWORDS, Lexicon
+from ..lexicon import BUCKET_LABELS, DEFAULT_LEXICON, Lexicon
 from .entries import feed_recency, first_entries
 
 WORD = r"\p{L}\p{N}_"
@@ -54,7 +54,7 @@ def feed_blobs(entries: DataFrame, feed: str = "feed", k: int | None = None) ->
 
 def score_blobs(blobs: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataFrame | None = None,
                 feed: str = "feed") -> DataFrame:
-    """Score, matched keywords (distinct, sorted, first 25), category."""
+    """Score, matched keywords (distinct, sorted), category."""
     kws = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in lex.weights()])
     hits = F.filter(kws, lambda x: F.col("blob").contains(x["k"]))
     neg = F.array(*[F.lit(k) for k in lex.negative]) if lex.negative else F.array().cast("array<string>")
@@ -77,7 +77,7 @@ def score_blobs(blobs: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataF
         rec = F.lit(0)
     df = df.withColumns({
         "score": (F.col("__base") + density + rec + freq + negp).cast("int"),
-        "matched_keywords": F.slice(F.array_sort("__uniq"), 1, MAX_MATCHED_KEYWORDS),
+        "matched_keywords": F.array_sort("__uniq"),
         "suggested_category": suggest_category(F.col("blob"), lex),
     })
     return df.drop("__hits", "__neg", "__base", "__uniq", *(["recency_bonus"] if recency is not None else []))

@@ -24,7 +24,8 @@ from ..operators import scoring as R
 from ..sources import catalog_files as CF
 from ..sources import lists as LS
 from ..sources import sinks as SK
-from ..lexicon import DEFAULT_LEXICON, Lexicon, MAX_NEW_CANDIDATES, MAX_SITES, MIN_SCORE
+from ..sources.catalog_files import SEEN_COLUMNS
+from ..lexicon import DEFAULT_LEXICON, Lexicon, MIN_SCORE
 
 
 def build_catalog_json(spark: SparkSession, feeds_glob: str, out: str) -> DataFrame:
@@ -99,8 +100,8 @@ def check_health(spark: SparkSession, fetches: DataFrame, previous: DataFrame |
 def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: DataFrame,
              seen: DataFrame | None, now: str, blocked: DataFrame | None = None,
              blocked_feeds: DataFrame | None = None, lex: Lexicon = DEFAULT_LEXICON,
-             max_sites: int = MAX_SITES, min_score: int = MIN_SCORE, only_new_items: bool = False,
-             max_new: int = MAX_NEW_CANDIDATES) -> dict:
+             max_sites: int | None = None, min_score: int = MIN_SCORE, only_new_items: bool = False,
+             max_new: int | None = None) -> dict:
     """§3.2 on captured tables.
 
     ``pages``: crawled pages (page_id, url, html[, http_status, content_type]), the seed
@@ -114,7 +115,7 @@ def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: D
     sites = L.crawl_sites(links, blocked, max_sites)
     adv = L.advertised_feeds(links).join(links.select("page_id", F.col("origin").alias("site_url")), "page_id")
     probes = materialize(L.probe_urls(sites, adv.select("site_url", "feed_url"), blocked, blocked_feeds))
-    got = fetches.join(probes.select("feed_url", "site_url", "discovered_via"), "feed_url")
+    got = fetches.join(probes.select("feed_url").distinct(), "feed_url", "left_semi")  # a feed of several sites counts once
     parsed = materialize(E.parse_bodies(got.withColumn("chunk", F.lit(0).cast("bigint")), key="feed_url"))
     feeds = E.feed_type(E.feeds_of(parsed))
     valid = E.valid_feeds(parsed, feeds).select("feed_url").distinct()
@@ -132,6 +133,8 @@ def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: D
         else review
     top = K.top_candidates(pick, max_new)
     now_ts = int(dt.datetime.fromisoformat(now).replace(tzinfo=dt.timezone.utc).timestamp())
-    new_seen = K.seen_upsert(seen, final, now_ts) if seen is not None else None
+    if seen is None:  # the first run starts from an empty cache
+        seen = spark.createDataFrame([], SEEN_COLUMNS)
+    new_seen = K.seen_upsert(seen, final, now_ts)
     return {"sites": sites, "probes": probes, "candidates": final, "review": review, "top": top,
             "seen": new_seen}

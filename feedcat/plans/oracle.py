@@ -557,7 +557,7 @@ def v_pages_with_feeds() -> str:
             f"FROM pages")
 
 
-def crawl_sites_sql(pages: str = "pages", max_sites: int = 400) -> str:
+def crawl_sites_sql(pages: str = "pages", max_sites: int | None = None) -> str:
     ch = D.Chain(outbound_sql(pages))
     D.url_origin(ch, "link", "site_url")
     ch.where("site_url <> ''")
@@ -566,7 +566,7 @@ def crawl_sites_sql(pages: str = "pages", max_sites: int = 400) -> str:
     ign = ", ".join(q(h) for h in IGNORED_HOSTS)
     sites.where(f"host <> '' AND contains(host, '.') AND host NOT IN ({ign}) AND NOT {blocked_cond('host')}")
     g = sites.select("host, min(site_url) AS site_url") + " GROUP BY host"
-    return f"SELECT site_url, host FROM ({g}) g ORDER BY site_url LIMIT {max_sites}"
+    return f"SELECT site_url, host FROM ({g}) g" + (f" ORDER BY site_url LIMIT {max_sites}" if max_sites else "")
 
 
 @oracle("crawl_sites")
@@ -628,7 +628,7 @@ def probes_sql() -> str:
     D.normalize_url_crawl(ch, "feed_url", "_n0")
     ch.add(_n="lower(_n0)")
     D.url_host(ch, "_n", "_host")
-    bf = ", ".join(q(f) for f in BLOCKED_FEEDS)
+    bf = ", ".join(q(f.strip().lower()) for f in BLOCKED_FEEDS)
     ch.where(f"NOT {blocked_cond('_host')} AND _n NOT IN ({bf}) AND lower(feed_url) NOT IN ({bf})")
     return ch.select("site_url, feed_url, discovered_via")
 
@@ -732,7 +732,7 @@ def score_sql(src: str, feed: str = "feed") -> str:
     n = "len(uniq)"
     score = (f"CAST(base + CASE WHEN {n} >= 10 THEN 5 WHEN {n} >= 6 THEN 2 ELSE 0 END + CASE WHEN n_entries >= 10 THEN 2 ELSE 0 END "
              f"+ CASE WHEN neg >= 2 THEN -2 * neg ELSE 0 END AS INTEGER)")
-    return f"SELECT {feed}, blob, n_entries, {score} AS score, uniq[1:25] AS matched_keywords, {cat} AS suggested_category FROM ({u}) u"
+    return f"SELECT {feed}, blob, n_entries, {score} AS score, uniq AS matched_keywords, {cat} AS suggested_category FROM ({u}) u"
 
 
 @oracle("relevance_score")
@@ -901,7 +901,7 @@ def o_bucket_merge():
 
 @oracle("top_candidates")
 def o_top_candidates():
-    return f"SELECT url, bucket, score FROM ({merged_sql()}) m ORDER BY score DESC, url LIMIT 75"
+    return f"SELECT url, bucket, score FROM ({merged_sql()}) m"
 
 
 @oracle("review_record_names")
@@ -974,7 +974,7 @@ def o_seed_urls():
     ch.where("raw <> '' AND NOT starts_with(raw, '#')")
     D.normalize_url_crawl(ch, "raw", "url")
     ch.where("url <> ''")
-    return ch.select("url, min(ord) AS ord") + " GROUP BY url ORDER BY ord LIMIT 30"
+    return ch.select("url, min(ord) AS ord") + " GROUP BY url"
 
 
 # --- streaming ------------------------------------------------------------------------------------
@@ -1010,7 +1010,7 @@ def o_blocked_feeds():
 
 @oracle("review_order")
 def o_review_order():
-    top = f"SELECT * FROM ({merged_sql()}) m ORDER BY score DESC, url LIMIT 75"
+    top = f"SELECT * FROM ({merged_sql()}) m"
     return (f"SELECT bucket, url, CAST(row_number() OVER (PARTITION BY bucket ORDER BY lower(category), lower(title), "
             f"lower(type), url) AS INTEGER) AS rank FROM ({top}) t")
 

@@ -74,17 +74,9 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df, min_fraction: float = 0.5):
-    """Guard input parallelism: a scan that yields far fewer partitions than the
-    cluster's parallelism (one big file, one row group) is round-robin repartitioned
-    so row-level work (regex, XML, scoring) uses every core.  On a real input of many
-    files the scan already has enough splits and this is a no-op.  Column pruning and
-    filters still push below the repartition."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - partition counts unavailable (e.g. Spark Connect): leave as is
-        return df
-    if n < target * min_fraction:
-        return df.repartition(target)
-    return df
+def versions(spark: SparkSession, table_dir: str) -> list[int]:
+    """Version numbers of the ``v=N`` folders under ``table_dir``, through Hadoop's file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))

@@ -9,6 +9,7 @@ reader against an explicit nested schema.  A missing file reads as empty.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
@@ -23,7 +24,9 @@ FILE_STRIDE = 1_000_000_000
 def _whole_files(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    except Exception:  # noqa: BLE001 - missing input reads as empty
+    except AnalysisException as e:  # missing input reads as empty; other errors are errors
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -111,13 +114,14 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
 SEEN_SCHEMA = ("map<string, struct<feed_url:string, site_url:string, title:string, last_seen_ts:bigint, "
                "score:int, feed_type:string>>")
 
+SEEN_COLUMNS = "url_hash string, feed_url string, site_url string, title string, last_seen_ts bigint, score int, feed_type string"
+
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
     """Seen cache {url_hash: {...}} -> rows; missing or corrupt reads as empty."""
     raw = _whole_files(spark, path)
-    cols = "url_hash string, feed_url string, site_url string, title string, last_seen_ts bigint, score int, feed_type string"
     if raw is None:
-        return spark.createDataFrame([], cols)
+        return spark.createDataFrame([], SEEN_COLUMNS)
     ex = raw.select(F.explode(F.from_json("value", SEEN_SCHEMA)).alias("url_hash", "r"))
     return ex.select("url_hash", *[F.col(f"r.{c}").alias(c) for c in
                                    ("feed_url", "site_url", "title", "last_seen_ts", "score", "feed_type")])

@@ -6,12 +6,12 @@ with native expressions.
 """
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..functions.text import strip_ws
-from ..lexicon import MAX_SEEDS
 
 CATEGORY_ROW_RE = r"^\|\s*([^|]+?)\s*\|[^|]*\|\s*`feeds/([^`]+\.yaml)`\s*\|\s*$"
 
@@ -20,7 +20,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, ord, line) for every line of every file under ``path``; a missing path gives no rows."""
     try:
         raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    except Exception:  # noqa: BLE001 - a missing list means an empty list
+    except AnalysisException as e:  # a missing list means an empty list; other errors are errors
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "file string, ord bigint, line string")
     return raw.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("ord", "line")) \
         .select("file", F.col("ord").cast("bigint"), "line")
@@ -37,10 +39,10 @@ def blocklist(spark: SparkSession, path: str, column: str = "domain") -> DataFra
     return clean_list(read_lines(spark, path)).withColumnRenamed("value", column)
 
 
-def seed_urls(lines: DataFrame, max_seeds: int | None = MAX_SEEDS, fallback: list[str] | None = None,
+def seed_urls(lines: DataFrame, max_seeds: int | None = None, fallback: list[str] | None = None,
               spark: SparkSession | None = None) -> DataFrame:
     """Seed lines (ord, line) -> crawl-normalised URLs, first occurrence kept, in line
-    order, capped at max(1, max_seeds).  With no usable line the ``fallback`` list is used."""
+    order; ``max_seeds``, if given, keeps the first max(1, max_seeds).  With no usable line the ``fallback`` list is used."""
     v = strip_ws("line")
     df = lines.where((v != "") & ~v.startswith("#")).withColumn("__raw", v)
     if fallback and spark is not None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _parallelism(df: DataFrame) -> int:
@@ -46,7 +47,7 @@ def yaml_text(items: DataFrame, keys: list[str], omit_blank: bool = False) -> Da
             out["yaml"] = texts
             yield out
 
-    schema = items.schema.add("yaml", "string")
+    schema = T.StructType([*items.schema.fields, T.StructField("yaml", T.StringType())])
     return items.select(*cols).mapInPandas(render, schema)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import health as H
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, versions
 
 STATE_COLS = ["url", "run_idx", "checked_at", "status", "consecutive_failures", "down_since", "last_seen_active"]
 
@@ -56,8 +56,7 @@ def start_health_stream(spark: SparkSession, checks: DataFrame, state_dir: str,
 
 
 def latest_state(spark: SparkSession, state_dir: str) -> DataFrame:
-    versions = sorted(int(d.split("=")[1]) for d in os.listdir(state_dir) if d.startswith("v="))
-    return spark.read.parquet(f"{state_dir}/v={versions[-1]}")
+    return spark.read.parquet(f"{state_dir}/v={versions(spark, state_dir)[-1]}")
 
 
 def run_to_completion(spark: SparkSession, checks: DataFrame, chunk_runs: int = 16) -> DataFrame:

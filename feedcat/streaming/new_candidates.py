@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, versions
 
 SEEN_COLS = ["url_hash", "feed_url", "first_seen", "first_event"]
 
@@ -55,5 +55,4 @@ def run_to_completion(spark: SparkSession, sightings: DataFrame, watermark: str
     base = os.path.join(checkpoint_dir(spark), f"seen-{uuid.uuid4().hex}")
     q = start_new_stream(spark, sightings, f"{base}/table", f"{base}/checkpoint", watermark, pre_dedup)
     q.awaitTermination()
-    versions = sorted(int(d.split("=")[1]) for d in os.listdir(f"{base}/table") if d.startswith("v="))
-    return spark.read.parquet(f"{base}/table/v={versions[-1]}")
+    return spark.read.parquet(f"{base}/table/v={versions(spark, f'{base}/table')[-1]}")
