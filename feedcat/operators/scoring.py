@@ -53,8 +53,8 @@ def feed_blobs(entries: DataFrame, feed: str = "feed", k: int | None = None) ->
 
 
 def score_blobs(blobs: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataFrame | None = None,
-                feed: str = "feed") -> DataFrame:
-    """Score, matched keywords (distinct, sorted), category."""
+                feed: str = "feed", max_keywords: int | None = None) -> DataFrame:
+    """Score, matched keywords (distinct, sorted; all, or the first ``max_keywords``), category."""
     kws = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in lex.weights()])
     hits = F.filter(kws, lambda x: F.col("blob").contains(x["k"]))
     neg = F.array(*[F.lit(k) for k in lex.negative]) if lex.negative else F.array().cast("array<string>")
@@ -77,20 +77,20 @@ def score_blobs(blobs: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataF
         rec = F.lit(0)
     df = df.withColumns({
         "score": (F.col("__base") + density + rec + freq + negp).cast("int"),
-        "matched_keywords": F.array_sort("__uniq"),
+        "matched_keywords": F.slice(F.array_sort("__uniq"), 1, max_keywords) if max_keywords else F.array_sort("__uniq"),
         "suggested_category": suggest_category(F.col("blob"), lex),
     })
     return df.drop("__hits", "__neg", "__base", "__uniq", *(["recency_bonus"] if recency is not None else []))
 
 
 def relevance_score(entries: DataFrame, lex: Lexicon = DEFAULT_LEXICON, now: str | None = None,
-                    feed: str = "feed") -> DataFrame:
+                    feed: str = "feed", max_keywords: int | None = None) -> DataFrame:
     """E15 end to end: first entries -> blob -> score (+ recency when dated and ``now`` given)."""
     blobs = feed_blobs(entries, feed=feed)
     rec = None
     if now is not None and "published_ts" in entries.columns:
         rec = feed_recency(first_entries(entries, feed=feed), now, feed=feed)
-    return score_blobs(blobs, lex, rec, feed=feed)
+    return score_blobs(blobs, lex, rec, feed=feed, max_keywords=max_keywords)
 
 
 def candidate_bucket(df: DataFrame, lex: Lexicon = DEFAULT_LEXICON, canonical_labels: bool = False) -> DataFrame:

@@ -141,7 +141,8 @@ def test_keyword_cap_and_density_edges(spark):
     lex = Lexicon(keywords=kws, strong=[], negative=[], category_rules=[], default_category="G")
     texts = {"k26": " ".join(kws), "k5": " ".join(kws[:5]), "k9": " ".join(kws[:9])}
     df = spark.createDataFrame([(k, 1, "", v) for k, v in texts.items()], "feed string, pos bigint, title string, summary string")
-    got = {r["feed"]: r for r in R.relevance_score(df, lex).collect()}
+    assert {len(r["matched_keywords"]) for r in R.relevance_score(df, lex).collect()} == {26, 5, 9}  # no cut unless asked for
+    got = {r["feed"]: r for r in R.relevance_score(df, lex, max_keywords=25).collect()}
     assert len(got["k26"]["matched_keywords"]) == 25 and got["k26"]["matched_keywords"][-1] == "w24"
     assert got["k26"]["score"] == 26 + 5
     assert got["k5"]["score"] == 5 and got["k9"]["score"] == 9 + 2
