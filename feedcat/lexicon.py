@@ -137,7 +137,7 @@ CANONICAL_BUCKET_LABELS = [
 
 # Operating defaults.
 MIN_SCORE = 6
-MAX_SCORED_ENTRIES = 15
+FIRST_ENTRIES = 15
 MIN_FEED_BODY_BYTES = 80
 SAMPLE_ENTRIES = 5
 DESCRIPTION_MAX = 220

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws, xml_attr_escape
-from ..lexicon import MAX_SCORED_ENTRIES, MIN_FEED_BODY_BYTES, SAMPLE_ENTRIES
+from ..lexicon import MIN_FEED_BODY_BYTES
 
 RSS_SCHEMA = ("struct<_version:string, channel:struct<title:string, description:string, language:string, "
               "item:array<struct<title:string, description:string, link:string, pubDate:string, guid:string>>>>")
@@ -97,7 +97,7 @@ def valid_feeds(fetches: DataFrame, feeds: DataFrame, key: str = "feed_url",
     return f.join(feeds.where(F.col("n_entries") >= 1).select(key, "chunk"), [key, "chunk"], "left_semi")
 
 
-def first_entries(entries: DataFrame, k: int = MAX_SCORED_ENTRIES, feed: str = "feed",
+def first_entries(entries: DataFrame, k: int, feed: str = "feed",
                   pos: str = "pos", salt_buckets: int = 32) -> DataFrame:
     """the first ``k`` entries of every feed in ``pos`` order, with ``rank`` 1..k.
 
@@ -111,19 +111,19 @@ def first_entries(entries: DataFrame, k: int = MAX_SCORED_ENTRIES, feed: str = "
     return s1.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
 
 
-def entry_sample(first: DataFrame, n: int = SAMPLE_ENTRIES, feed: str = "feed") -> DataFrame:
+def entry_sample(first: DataFrame, n: int, feed: str = "feed") -> DataFrame:
     """First ``n`` of (title, link, published-or-updated), stripped."""
     return first.where(F.col("rank") <= n).select(
         feed, "rank", strip_ws("title").alias("title"), strip_ws("link").alias("link"),
         strip_ws(F.coalesce(F.nullif(F.col("published"), F.lit("")), F.col("updated"))).alias("published"))
 
 
-def feed_recency(first: DataFrame, now: str, feed: str = "feed") -> DataFrame:
-    """E18 + B26: latest published/updated time (to the second) over the scored entries,
+def feed_recency(entries: DataFrame, now: str, feed: str = "feed") -> DataFrame:
+    """E18 + B26: latest published/updated time (to the second) over the entries,
     whole days of age (floor; future dates negative) and the recency bonus."""
     latest = F.greatest(F.date_trunc("second", F.col("published_ts")),
                         F.date_trunc("second", F.col("updated_ts")))
-    g = first.groupBy(feed).agg(F.max(latest).alias("latest"))
+    g = entries.groupBy(feed).agg(F.max(latest).alias("latest"))
     now_c = F.lit(now).cast(dict(g.dtypes).get("latest", "timestamp_ntz"))
     age = F.floor(F.timestamp_diff("SECOND", F.col("latest"), now_c) / 86400).cast("bigint")
     return g.withColumns({

@@ -1,13 +1,14 @@
 """Relevance scoring and classification.
 
-Everything is a native expression over a per-feed text blob built from at
-most ``MAX_SCORED_ENTRIES`` entries (a bounded ``collect_list``): keyword
-hits are ``filter`` over a literal array with substring containment,
-category rules are ordered ``rlike`` tests, buckets an ordered ``when``.
+Everything is a native expression: keywords (substring containment) and
+category rules (ordered ``rlike`` tests) are tested entry by entry, as bits
+of a few longs that meet per feed in a partial ``bit_or``; no text is
+gathered or shuffled. Buckets are an ordered ``when``.
 """
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,37 +32,54 @@ def category_rules_regex(lex: Lexicon) -> list[tuple[str, str]]:
     return [(cat, "(?i)" + "|".join(f"(?:{word_boundaries(p)})" for p in pats)) for cat, pats in lex.category_rules]
 
 
-def suggest_category(blob_col, lex: Lexicon = DEFAULT_LEXICON) -> F.Column:
-    """First category whose patterns match the blob, else the default."""
-    out = F.lit(lex.default_category)
-    for cat, rx in reversed(category_rules_regex(lex)):
-        out = F.when(blob_col.rlike(rx), F.lit(cat)).otherwise(out)
-    return out
+BITS = 62
 
 
-def feed_blobs(entries: DataFrame, feed: str = "feed", k: int | None = None) -> DataFrame:
-    """Per feed: blob = lower('title summary') of the first k entries joined by blanks,
-    plus the entry count (at most k)."""
-    from ..lexicon import MAX_SCORED_ENTRIES
-    k = k or MAX_SCORED_ENTRIES
-    first = first_entries(entries, k=k, feed=feed)
-    part = F.lower(F.concat(strip_ws("title"), F.lit(" "), strip_ws("summary")))
-    g = first.groupBy(feed).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("rank").alias("r"), part.alias("t")))).alias("__parts"),
-        F.count(F.lit(1)).alias("n_entries"))
-    return g.select(feed, F.array_join(F.transform("__parts", lambda s: s["t"]), " ").alias("blob"), "n_entries")
+def _hit_masks(text, tests: list) -> list[F.Column]:
+    """One long for each ``BITS`` of ``tests`` (functions of ``text``); bit i is set where test i holds."""
+    zero = F.lit(0).cast("long")
+    return [reduce(lambda acc, t: acc.bitwiseOR(F.when(t[1](text), F.lit(1 << t[0]).cast("long")).otherwise(zero)),
+                   enumerate(tests[at:at + BITS]), zero) for at in range(0, len(tests), BITS)]
 
 
-def score_blobs(blobs: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataFrame | None = None,
-                feed: str = "feed", max_keywords: int | None = None) -> DataFrame:
-    """Score, matched keywords (distinct, sorted; all, or the first ``max_keywords``), category."""
+def _contains(word: str):
+    return lambda text: text.contains(word)
+
+
+def _matches(regex: str):
+    return lambda text: text.rlike(regex)
+
+
+def entry_hits(entries: DataFrame, lex: Lexicon = DEFAULT_LEXICON, feed: str = "feed") -> DataFrame:
+    """Per feed: ``n_entries`` and the indexes ``hits``, ``negs`` and ``rules`` of the keywords, negative
+    keywords and category rules that at least one entry matches.
+
+    Every entry counts. Tests run on each entry's lower('title summary') alone, so a phrase that spans two
+    entries is no hit; what is grouped is a few longs, combined map-side with ``bit_or``, whatever a feed holds.
+    """
+    kinds = {"hits": [_contains(k) for k, _ in lex.weights()], "negs": [_contains(k) for k in lex.negative],
+             "rules": [_matches(rx) for _, rx in category_rules_regex(lex)]}
+    blank = F.lit("")
+    text = F.lower(F.concat_ws(" ", F.coalesce(strip_ws("title"), blank), F.coalesce(strip_ws("summary"), blank)))
+    df = entries.select(feed, text.alias("__text"))
+    masks = {kind: _hit_masks(F.col("__text"), tests) for kind, tests in kinds.items()}
+    df = df.select(feed, *[m.alias(f"__{kind}{i}") for kind, ms in masks.items() for i, m in enumerate(ms)])
+    g = df.groupBy(feed).agg(F.count(F.lit(1)).alias("n_entries"), *[F.bit_or(c).alias(c) for c in df.columns if c != feed])
+
+    def indexes(kind: str) -> F.Column:
+        return F.filter(F.array(*[F.when(F.getbit(f"__{kind}{i // BITS}", F.lit(i % BITS)) == 1, F.lit(i))
+                                  for i in range(len(kinds[kind]))]).cast("array<int>"), lambda i: i.isNotNull()).alias(kind)
+
+    return g.select(feed, "n_entries", *[indexes(kind) for kind in kinds])
+
+
+def score_hits(found: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataFrame | None = None,
+               feed: str = "feed", max_keywords: int | None = None) -> DataFrame:
+    """Score, matched keywords (distinct, sorted; all, or the first ``max_keywords``), category
+    (the first rule with a matching entry) from ``entry_hits``."""
     kws = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k, w in lex.weights()])
-    hits = F.filter(kws, lambda x: F.col("blob").contains(x["k"]))
-    neg = F.array(*[F.lit(k) for k in lex.negative]) if lex.negative else F.array().cast("array<string>")
-    df = blobs.withColumns({
-        "__hits": hits,
-        "__neg": F.size(F.filter(neg, lambda k: F.col("blob").contains(k))),
-    })
+    cats = F.array(*[F.lit(c) for c, _ in lex.category_rules]) if lex.category_rules else F.array().cast("array<string>")
+    df = found.withColumns({"__hits": F.transform("hits", lambda i: F.get(kws, i)), "__neg": F.size("negs")})
     df = df.withColumns({
         "__base": F.aggregate("__hits", F.lit(0), lambda acc, x: acc + x["w"]),
         "__uniq": F.array_distinct(F.transform("__hits", lambda x: x["k"])),
@@ -78,19 +96,22 @@ def score_blobs(blobs: DataFrame, lex: Lexicon = DEFAULT_LEXICON, recency: DataF
     df = df.withColumns({
         "score": (F.col("__base") + density + rec + freq + negp).cast("int"),
         "matched_keywords": F.slice(F.array_sort("__uniq"), 1, max_keywords) if max_keywords else F.array_sort("__uniq"),
-        "suggested_category": suggest_category(F.col("blob"), lex),
+        "suggested_category": F.coalesce(F.get(cats, F.get("rules", F.lit(0))), F.lit(lex.default_category)),
     })
-    return df.drop("__hits", "__neg", "__base", "__uniq", *(["recency_bonus"] if recency is not None else []))
+    return df.drop("hits", "negs", "rules", "__hits", "__neg", "__base", "__uniq",
+                   *(["recency_bonus"] if recency is not None else []))
 
 
-def relevance_score(entries: DataFrame, lex: Lexicon = DEFAULT_LEXICON, now: str | None = None,
-                    feed: str = "feed", max_keywords: int | None = None) -> DataFrame:
-    """E15 end to end: first entries -> blob -> score (+ recency when dated and ``now`` given)."""
-    blobs = feed_blobs(entries, feed=feed)
+def relevance_score(entries: DataFrame, lex: Lexicon = DEFAULT_LEXICON, now: str | None = None, feed: str = "feed",
+                    max_keywords: int | None = None, max_entries: int | None = None) -> DataFrame:
+    """E15 end to end: all entries of a feed, or its first ``max_entries`` -> hits -> score (+ recency when
+    dated and ``now`` given)."""
+    if max_entries is not None:
+        entries = first_entries(entries, max_entries, feed=feed)
     rec = None
     if now is not None and "published_ts" in entries.columns:
-        rec = feed_recency(first_entries(entries, feed=feed), now, feed=feed)
-    return score_blobs(blobs, lex, rec, feed=feed, max_keywords=max_keywords)
+        rec = feed_recency(entries, now, feed=feed)
+    return score_hits(entry_hits(entries, lex, feed), lex, rec, feed=feed, max_keywords=max_keywords)
 
 
 def candidate_bucket(df: DataFrame, lex: Lexicon = DEFAULT_LEXICON, canonical_labels: bool = False) -> DataFrame:

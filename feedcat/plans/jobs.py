@@ -101,7 +101,7 @@ def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: D
              seen: DataFrame | None, now: str, blocked: DataFrame | None = None,
              blocked_feeds: DataFrame | None = None, lex: Lexicon = DEFAULT_LEXICON,
              max_sites: int | None = None, min_score: int = MIN_SCORE, only_new_items: bool = False,
-             max_new: int | None = None) -> dict:
+             max_new: int | None = None, max_entries: int | None = None) -> dict:
     """§3.2 on captured tables.
 
     ``pages``: crawled pages (page_id, url, html[, http_status, content_type]), the seed
@@ -121,7 +121,7 @@ def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: D
     valid = E.valid_feeds(parsed, feeds).select("feed_url").distinct()
     entries = E.entries_of(parsed).withColumn("pos", F.col("idx").cast("bigint"))
     scores = R.relevance_score(entries.select(F.col("feed_url").alias("feed"), "pos", "title", "summary",
-                                              "published_ts", "updated_ts"), lex, now=now) \
+                                              "published_ts", "updated_ts"), lex, now=now, max_entries=max_entries) \
         .withColumnRenamed("feed", "feed_url")
     meta = feeds.join(valid, "feed_url", "left_semi").join(probes.select("feed_url", "site_url", "discovered_via"),
                                                            "feed_url")

@@ -708,31 +708,30 @@ def o_feed_recency():
     ev = ("SELECT user_id AS feed, event_id AS pos, ts AS published_ts, "
           "CASE WHEN event_type = 'signup' THEN ts + INTERVAL 40 DAY END AS updated_ts FROM events")
     g = (f"SELECT feed, max(greatest(date_trunc('second', published_ts), coalesce(date_trunc('second', updated_ts), date_trunc('second', published_ts)))) AS latest "
-         f"FROM ({first_sql(ev, 'feed', 'pos')}) f GROUP BY feed")
+         f"FROM ({ev}) f GROUP BY feed")
     age = "CAST(floor((epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(latest)) / 86400) AS BIGINT)"
     return (f"SELECT feed, strftime(latest, '%Y-%m-%dT%H:%M:%S') AS latest, {age} AS age_days, "
             f"CASE WHEN latest IS NULL THEN 0 WHEN {age} <= 30 THEN 3 WHEN {age} <= 90 THEN 1 WHEN {age} > 365 THEN -4 ELSE 0 END AS recency_bonus FROM ({g}) g")
 
 
-def blob_sql(src: str, feed: str = "feed") -> str:
-    part = f"lower({D.strip_ws('title')} || ' ' || {D.strip_ws('summary')})"
-    return (f"SELECT {feed}, string_agg({part}, ' ' ORDER BY rank) AS blob, count(*) AS n_entries "
-            f"FROM ({first_sql(src, feed, 'pos')}) f GROUP BY {feed}")
-
-
 def score_sql(src: str, feed: str = "feed") -> str:
     lex = _V.test_lexicon()
-    kws = "[" + ", ".join(f"{{'k': {q(k)}, 'w': {w}}}" for k, w in lex.weights()) + "]"
-    negs = "[" + ", ".join(q(k) for k in lex.negative) + "]"
+    kws = dict(lex.weights())
     rules = [(cat, "(?i)" + "|".join(f"(?:{word_boundaries(p)})" for p in pats)) for cat, pats in lex.category_rules]
-    cat = "CASE " + " ".join(f"WHEN regexp_matches(blob, {q(rx)}) THEN {q(c)}" for c, rx in rules) + f" ELSE {q(lex.default_category)} END"
-    h = (f"SELECT *, list_filter({kws}, lambda x: contains(blob, x.k)) AS hits, "
-         f"len(list_filter({negs}, lambda x: contains(blob, x))) AS neg FROM ({blob_sql(src, feed)}) b")
-    u = f"SELECT *, list_sort(list_distinct(list_transform(hits, lambda x: x.k))) AS uniq, coalesce(list_sum(list_transform(hits, lambda x: x.w)), 0) AS base FROM ({h}) h"
+    text = f"lower(coalesce({D.strip_ws('title')}, '') || ' ' || coalesce({D.strip_ws('summary')}, ''))"
+    flags = ([f"bool_or(contains(t, {q(k)})) AS k{i}" for i, k in enumerate(kws)]
+             + [f"bool_or(contains(t, {q(k)})) AS n{i}" for i, k in enumerate(lex.negative)]
+             + [f"bool_or(regexp_matches(t, {q(rx)})) AS c{i}" for i, (_, rx) in enumerate(rules)])
+    g = f"SELECT {feed}, count(*) AS n_entries, {', '.join(flags)} FROM (SELECT {feed}, {text} AS t FROM ({src}) s) e GROUP BY {feed}"
+    uniq = "list_sort(list_filter([" + ", ".join(f"CASE WHEN k{i} THEN {q(k)} END" for i, k in enumerate(kws)) + "], lambda x: x IS NOT NULL))"
+    base = " + ".join(f"CASE WHEN k{i} THEN {w} ELSE 0 END" for i, w in enumerate(kws.values()))
+    neg = " + ".join(f"CAST(n{i} AS INTEGER)" for i in range(len(lex.negative))) or "0"
+    cat = "CASE " + " ".join(f"WHEN c{i} THEN {q(c)}" for i, (c, _) in enumerate(rules)) + f" ELSE {q(lex.default_category)} END"
+    u = f"SELECT {feed}, n_entries, {uniq} AS uniq, {base} AS base, {neg} AS neg, {cat} AS cat FROM ({g}) g"
     n = "len(uniq)"
     score = (f"CAST(base + CASE WHEN {n} >= 10 THEN 5 WHEN {n} >= 6 THEN 2 ELSE 0 END + CASE WHEN n_entries >= 10 THEN 2 ELSE 0 END "
              f"+ CASE WHEN neg >= 2 THEN -2 * neg ELSE 0 END AS INTEGER)")
-    return f"SELECT {feed}, blob, n_entries, {score} AS score, uniq AS matched_keywords, {cat} AS suggested_category FROM ({u}) u"
+    return f"SELECT {feed}, n_entries, {score} AS score, uniq AS matched_keywords, cat AS suggested_category FROM ({u}) u"
 
 
 @oracle("relevance_score")

@@ -346,6 +346,7 @@ def q_feed_path_rank(spark, sf_dir):
 
 # --- entries, scoring, candidates ----------------------------------------------------
 
+from ..lexicon import FIRST_ENTRIES, SAMPLE_ENTRIES  # noqa: E402
 from ..operators import candidates as K  # noqa: E402
 from ..operators import entries as E  # noqa: E402
 from ..operators import scoring as R  # noqa: E402
@@ -387,21 +388,20 @@ def q_feed_type(spark, sf_dir):
 
 @register("first_entries")
 def q_first_entries(spark, sf_dir):
-    return E.first_entries(V.v_entries(spark, sf_dir)).select("feed", "pos", "rank")
+    return E.first_entries(V.v_entries(spark, sf_dir), FIRST_ENTRIES).select("feed", "pos", "rank")
 
 
 @register("entry_sample")
 def q_entry_sample(spark, sf_dir):
     first = E.first_entries(V.v_entries(spark, sf_dir).withColumns(
         {"link": F.concat(F.lit("https://chat.example.org/"), F.col("feed").cast("string")),
-         "published": F.lit(""), "updated": F.lit(" 2024-01-01 ")}))
-    return E.entry_sample(first).select("feed", "rank", "title", "link", "published")
+         "published": F.lit(""), "updated": F.lit(" 2024-01-01 ")}), SAMPLE_ENTRIES)
+    return E.entry_sample(first, SAMPLE_ENTRIES).select("feed", "rank", "title", "link", "published")
 
 
 @register("feed_recency")
 def q_feed_recency(spark, sf_dir):
-    first = E.first_entries(V.v_entry_dates(spark, sf_dir))
-    r = E.feed_recency(first, V.NOW)
+    r = E.feed_recency(V.v_entry_dates(spark, sf_dir), V.NOW)
     return r.select("feed", F.date_format("latest", "yyyy-MM-dd'T'HH:mm:ss").alias("latest"), "age_days",
                     "recency_bonus")
 
@@ -437,8 +437,7 @@ def _raw_candidates(spark, sf_dir):
         "feed_url", "site_url", F.col("m.title").alias("title"), F.col("m.description").alias("description"),
         F.col("m.language").alias("language"), F.col("m.feed_type").alias("feed_type"),
         F.lit("common_path").alias("discovered_via"))
-    blobs = R.feed_blobs(entries.select(F.col("feed_url").alias("feed"), "pos", "title", "summary"))
-    scores = R.score_blobs(blobs, lex).withColumnRenamed("feed", "feed_url")
+    scores = R.relevance_score(entries, lex, feed="feed_url")
     return K.assemble(meta, scores, V.NOW)
 
 

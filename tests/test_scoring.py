@@ -34,10 +34,31 @@ def test_density_and_negative(spark):
     assert got["neg2"]["score"] == 1 - 4
 
 
-def test_first_fifteen_and_frequency(spark):
-    rows = [("f", p, "", "k1" if p == 16 else "x") for p in range(1, 17)]
-    got = _score(spark, rows)
-    assert got["f"]["n_entries"] == 15 and got["f"]["matched_keywords"] == [] and got["f"]["score"] == 2
+def test_all_entries_count_unless_capped(spark):
+    df = spark.createDataFrame([("f", p, None if p == 3 else "", "k1" if p == 16 else "x") for p in range(1, 17)],
+                               "feed string, pos bigint, title string, summary string")
+    r = R.relevance_score(df, LEX).first()
+    assert (r["n_entries"], r["matched_keywords"], r["score"]) == (16, ["k1"], 1 + 2)
+    r = R.relevance_score(df, LEX, max_entries=15).first()
+    assert (r["n_entries"], r["matched_keywords"], r["score"]) == (15, [], 2)
+
+
+def test_phrase_across_entries_is_no_hit(spark):
+    lex = Lexicon(keywords=["zero day"], strong=[], negative=[], category_rules=[("Z", ["zero day"])], default_category="G")
+    df = spark.createDataFrame([("apart", 1, "", "zero"), ("apart", 2, "day", ""), ("within", 1, "Zero", "Day"),
+                                ("null", 1, None, "zero day"), ("empty", 1, None, None)],
+                               "feed string, pos bigint, title string, summary string")
+    got = {r["feed"]: (r["score"], r["suggested_category"]) for r in R.relevance_score(df, lex).collect()}
+    assert got == {"apart": (0, "G"), "within": (1, "Z"), "null": (1, "Z"), "empty": (0, "G")}
+
+
+def test_more_keywords_than_one_mask_holds(spark):
+    kws = [f"w{i:03d}" for i in range(130)]
+    lex = Lexicon(keywords=kws, strong=kws[:1], negative=[], category_rules=[], default_category="G")
+    df = spark.createDataFrame([("f", i, "", f"{kws[j]} x") for i, j in enumerate([0, 61, 62, 123, 124, 129, 129])],
+                               "feed string, pos bigint, title string, summary string")
+    r = R.relevance_score(df, lex).first()
+    assert r["matched_keywords"] == [kws[j] for j in (0, 61, 62, 123, 124, 129)] and r["score"] == 3 + 5 + 2
 
 
 def test_recency_boundaries(spark):
@@ -45,7 +66,7 @@ def test_recency_boundaries(spark):
     ages = {"d30": 30, "d31": 31, "d90": 90, "d91": 91, "d365": 365, "d366": 366, "future": -3}
     rows = [(k, 1, now - dt.timedelta(days=v), None) for k, v in ages.items()] + [("none", 1, None, None)]
     df = spark.createDataFrame(rows, "feed string, pos bigint, published_ts timestamp_ntz, updated_ts timestamp_ntz")
-    got = {r["feed"]: r for r in E.feed_recency(E.first_entries(df), "2024-06-01 00:00:00").collect()}
+    got = {r["feed"]: r for r in E.feed_recency(df, "2024-06-01 00:00:00").collect()}
     assert {k: got[k]["recency_bonus"] for k in ages} == {"d30": 3, "d31": 1, "d90": 1, "d91": 0, "d365": 0,
                                                            "d366": -4, "future": 3}
     assert got["future"]["age_days"] == -3 and got["none"]["recency_bonus"] == 0
