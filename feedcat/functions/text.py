@@ -17,6 +17,10 @@ WS_CHARS = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
 WS = f"[{WS_CHARS}]"
 
 
+# FIXED VALUES: named character references.
+NAMED_REFERENCES = [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")]
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -91,13 +95,24 @@ def xml_attr_escape(col) -> Column:
     return v
 
 
-def html_unescape_basic(col) -> Column:
-    """Decode the entities that occur in attribute values; &amp; last."""
+def html_unescape(col) -> Column:
+    """Decode decimal, hexadecimal and the common named character references, each once: the text is cut at
+    every ``&``, so what a reference gives is never read again. A reference to no character gives U+FFFD."""
     v = _c(col)
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                 ("&#x27;", "'"), ("&amp;", "&")):
-        v = F.replace(v, F.lit(a), F.lit(b))
-    return v
+
+    def decoded(part):
+        digits = F.regexp_extract(part, "^&#[xX]?([0-9a-fA-F]+);$", 1)
+        base_16 = F.lower(F.substring(part, 3, 1)) == "x"
+        code = F.when(F.length(digits) > 8, F.lit(-1)).when(base_16, F.conv(digits, 16, 10).cast("long")).otherwise(digits.cast("long"))
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        out = F.when(part.rlike("^&#([0-9]+|[xX][0-9a-fA-F]+);$"), char)
+        for ref, c in NAMED_REFERENCES:
+            out = out.when(part == ref, F.lit(c))
+        return out.otherwise(part)
+
+    parts = F.regexp_extract_all(v, F.lit("&#?[0-9a-zA-Z]+;|[^&]+|&"), F.lit(0))
+    return F.when(F.contains(v, F.lit("&")), F.array_join(F.transform(parts, decoded), "")).otherwise(v)
 
 
 def iso_utc(col) -> Column:

@@ -1,8 +1,8 @@
 """Feed bodies -> feeds and entries; per-feed entry windows (A12, C5, F3, E17,
 E18, B21, B26).
 
-Bodies are parsed row-locally with ``from_xml`` against an RSS and an Atom
-schema (PERMISSIVE: a body that parses as neither is 'bozo').  The first-k
+Bodies are parsed row-locally with ``from_xml`` against the RSS, RDF or Atom
+schema of their root element (PERMISSIVE: a body that doesn't parse is 'bozo').  The first-k
 entries per feed use a salted two-stage top-k so a feed with a huge number
 of entries is ranked by many tasks, never by one.
 """
@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from ..functions.text import strip_ws, xml_attr_escape
 from ..lexicon import MIN_FEED_BODY_BYTES
 
-RSS_SCHEMA = ("struct<_version:string, channel:struct<title:string, description:string, language:string, "
-              "item:array<struct<title:string, description:string, link:string, pubDate:string, guid:string>>>>")
+ITEM = ("struct<title:string, description:string, `content:encoded`:string, link:string, pubDate:string, "
+        "`dc:date`:string, guid:string>")
+RSS_SCHEMA = f"struct<_version:string, channel:struct<title:string, description:string, language:string, item:array<{ITEM}>>>"
+RDF_SCHEMA = ("struct<channel:struct<title:string, description:string, `dc:language`:string>, "
+              f"item:array<{ITEM}>>")  # RSS 1.0: items stand beside the channel
 ATOM_SCHEMA = ("struct<_xmlns:string, title:string, subtitle:string, "
-               "entry:array<struct<title:string, summary:string, content:string, link:struct<_href:string>, "
-               "published:string, updated:string>>>")
+               "entry:array<struct<title:string, summary:string, content:string, "
+               "link:array<struct<_href:string, _rel:string>>, published:string, updated:string>>>")
 XML_OPTS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 ROOT_RE = r"^\s*(?:<\?[^>]*\?>\s*)?(?:<!--.*?-->\s*)*<([A-Za-z_][\w.:-]*)"
 # RFC-822 forms after the optional weekday prefix (Spark parses no day-of-week text)
@@ -34,19 +37,22 @@ def parse_date(col) -> F.Column:
 
 
 def parse_bodies(bodies: DataFrame, key: str = "feed_url") -> DataFrame:
-    """A12 step 1: parse each body once with the RSS and Atom schemas.
+    """A12 step 1: parse each body once, with the schema of its root element (RSS, RDF or Atom).
 
-    Keeps (key, chunk, root, rss, atom, namespaces) plus the fetch columns
+    Keeps (key, chunk, root, rss, rdf, atom, namespaces) plus the fetch columns
     http_status and body_bytes when present; this relation is the stage to
     checkpoint when both feeds and entries are needed.
     """
     chunk = F.col("chunk") if "chunk" in bodies.columns else F.lit(0).cast("bigint")
     extra = [c for c in ("http_status", "body_bytes") if c in bodies.columns]
     root = F.lower(F.regexp_extract(F.col("body"), ROOT_RE, 1))
-    return bodies.select(
-        F.col(key), chunk.alias("chunk"), *extra, root.alias("root"),
-        F.from_xml("body", RSS_SCHEMA, XML_OPTS).alias("rss"),
-        F.from_xml("body", ATOM_SCHEMA, XML_OPTS).alias("atom"),
+
+    def parsed(name: str, schema: str) -> F.Column:
+        return F.when(F.col("root") == name, F.from_xml("body", schema, XML_OPTS))
+
+    return bodies.select(key, chunk.alias("chunk"), *extra, root.alias("root"), "body").select(
+        key, "chunk", *extra, "root", parsed("rss", RSS_SCHEMA).alias("rss"), parsed("rdf:rdf", RDF_SCHEMA).alias("rdf"),
+        parsed("feed", ATOM_SCHEMA).alias("atom"),
         F.regexp_extract_all(F.col("body"), F.lit(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*)[\"']"), 1)
         .alias("namespaces"))
 
@@ -54,31 +60,38 @@ def parse_bodies(bodies: DataFrame, key: str = "feed_url") -> DataFrame:
 def feeds_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
     """A12 step 2: feed-level rows (version, namespaces, title, description, language,
     n_entries, bozo) of parsed bodies."""
-    is_rss, is_atom = F.col("root") == "rss", F.col("root") == "feed"
-    ok = (is_rss & F.col("rss.channel").isNotNull()) | (is_atom & F.col("atom").isNotNull())
-    version = (F.when(is_rss, F.concat(F.lit("rss"), F.regexp_replace(F.coalesce(F.col("rss._version"), F.lit("")), r"\.", "")))
-               .when(is_atom, F.lit("atom10")).when(F.col("root") == "rdf:rdf", F.lit("rss10")).otherwise(F.lit("")))
+    ok = F.coalesce(F.col("rss.channel").isNotNull() | F.col("rdf.channel").isNotNull() | F.col("atom").isNotNull(), F.lit(False))
+    version = (F.when(F.col("root") == "rss", F.concat(F.lit("rss"), F.regexp_replace(F.coalesce("rss._version", F.lit("")), r"\.", "")))
+               .when(F.col("root") == "feed", F.lit("atom10")).when(F.col("root") == "rdf:rdf", F.lit("rss10")).otherwise(F.lit("")))
     extra = [c for c in ("http_status", "body_bytes") if c in p.columns]
+    n = F.coalesce(*[F.when(F.col(c).isNotNull(), F.size(c)) for c in ("rss.channel.item", "rdf.item", "atom.entry")], F.lit(0))
     return p.select(
         key, "chunk", *extra, "root", version.alias("version"), "namespaces",
-        F.when(is_rss, F.col("rss.channel.title")).otherwise(F.col("atom.title")).alias("title"),
-        F.when(is_rss, F.col("rss.channel.description")).otherwise(F.col("atom.subtitle")).alias("description"),
-        F.when(is_rss, F.col("rss.channel.language")).alias("language"),
-        F.coalesce(F.when(is_rss, F.size(F.col("rss.channel.item"))).when(is_atom, F.size(F.col("atom.entry"))),
-                   F.lit(0)).cast("int").alias("n_entries"),
-        (~ok).alias("bozo"))
+        F.coalesce("rss.channel.title", "rdf.channel.title", "atom.title").alias("title"),
+        F.coalesce("rss.channel.description", "rdf.channel.description", "atom.subtitle").alias("description"),
+        F.coalesce("rss.channel.language", F.col("rdf.channel")["dc:language"]).alias("language"),
+        n.cast("int").alias("n_entries"), (~ok).alias("bozo"))
+
+
+def _atom_link(links) -> F.Column:
+    """The first link without ``rel`` or with ``rel="alternate"``."""
+    return F.get(F.filter(links, lambda x: F.coalesce(F.lower(x["_rel"]), F.lit("alternate")) == "alternate"), 0)["_href"]
 
 
 def entries_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
-    """A12 step 3: one row per RSS item or Atom entry, in document order (idx)."""
-    is_rss, is_atom = F.col("root") == "rss", F.col("root") == "feed"
-    items = F.when(is_rss, F.transform(F.col("rss.channel.item"), lambda e: F.struct(
-        e["title"].alias("title"), e["description"].alias("summary"), e["link"].alias("link"),
-        e["pubDate"].alias("published"), F.lit(None).cast("string").alias("updated"), e["guid"].alias("guid")))) \
-        .when(is_atom, F.transform(F.col("atom.entry"), lambda e: F.struct(
-            e["title"].alias("title"), F.coalesce(e["summary"], e["content"]).alias("summary"),
-            e["link"]["_href"].alias("link"), e["published"].alias("published"), e["updated"].alias("updated"),
-            F.lit(None).cast("string").alias("guid"))))
+    """A12 step 3: one row per RSS item, RDF item or Atom entry, in document order (idx). The content stands
+    in for a missing summary, ``dc:date`` is a time of update."""
+    def item(e):
+        return F.struct(e["title"].alias("title"), F.coalesce(e["description"], e["content:encoded"]).alias("summary"),
+                        e["link"].alias("link"), e["pubDate"].alias("published"), e["dc:date"].alias("updated"),
+                        e["guid"].alias("guid"))
+
+    def entry(e):
+        return F.struct(e["title"].alias("title"), F.coalesce(e["summary"], e["content"]).alias("summary"),
+                        _atom_link(e["link"]).alias("link"), e["published"].alias("published"),
+                        e["updated"].alias("updated"), F.lit(None).cast("string").alias("guid"))
+
+    items = F.coalesce(F.transform("rss.channel.item", item), F.transform("rdf.item", item), F.transform("atom.entry", entry))
     ex = p.select(key, "chunk", F.posexplode(items).alias("idx", "e")).select(key, "chunk", "idx", "e.*")
     return ex.withColumns({"published_ts": parse_date(F.col("published")), "updated_ts": parse_date(F.col("updated"))})
 

@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
-from ..functions.text import html_unescape_basic, strip_ws
+from ..functions.text import html_unescape, strip_ws
 from ..lexicon import COMMON_FEED_PATHS, IGNORED_HOSTS
 
 # FIXED VALUES: HTML patterns (Java regex and RE2 read them the same way).
 STRIP_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-A_HREF_RE = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-LINK_TAG_RE = r"(?is)<link\b[^>]*>"
-ATTR_RE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# attributes before the one wanted; quoted values are taken whole, so a '>' or a name inside them counts for nothing
+BEFORE = r"""(?:[^>=]*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]))*"""
+A_HREF_RE = rf"(?is)<a\b{BEFORE}?[^>=]*?\shref\s*=\s*{VALUE}"
+LINK_TAG_RE = rf"(?is)<link\b{BEFORE}[^>]*>"
+ATTR_RE = rf"(?is)^<link\b{BEFORE}?[^>=]*?\s{{name}}\s*=\s*{VALUE}"
 
 
 def _unquote_attr(c):
@@ -52,7 +55,7 @@ def page_hrefs(pages: DataFrame, keep=("page_id", "url"), stripped: bool = False
     raw = F.regexp_extract_all(body, F.lit(A_HREF_RE), 1)
     df = pages.select(*keep, F.posexplode(raw).alias("pos", "__h"))
     return df.select(*keep, "pos",
-                     strip_ws(html_unescape_basic(_unquote_attr(F.col("__h")))).alias("href"))
+                     strip_ws(html_unescape(_unquote_attr(F.col("__h")))).alias("href"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -71,11 +74,11 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 
 def _clean_href(c):
-    return strip_ws(html_unescape_basic(_unquote_attr(c)))
+    return strip_ws(html_unescape(_unquote_attr(c)))
 
 
 def _attr(tag, name):
-    return html_unescape_basic(_unquote_attr(F.regexp_extract(tag, ATTR_RE.format(name=name), 1)))
+    return html_unescape(_unquote_attr(F.regexp_extract(tag, ATTR_RE.format(name=name), 1)))
 
 
 def _links_of(pages: DataFrame) -> DataFrame:

@@ -238,7 +238,8 @@ def o_promote():
 # --- links --------------------------------------------------------------------------
 
 STRIP_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-A_HREF_RE = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+ATTRS = r"""(?:=\s*"[^"]*"|=\s*'[^']*'|=\s*[^\s"'>]|[^>=])*"""
+A_HREF_RE = rf"""(?is)<a\b{ATTRS}?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def unquote_attr(e: str) -> str:
@@ -246,10 +247,13 @@ def unquote_attr(e: str) -> str:
 
 
 def unescape(e: str) -> str:
-    v = e
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        v = f"replace({v}, {q(a)}, {q(b)})"
-    return v
+    named = " ".join(f"WHEN s = {q(a)} THEN {q(b)}" for a, b in
+                     (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")))
+    code = ("CASE WHEN length(s) > 12 THEN 0 WHEN lower(substr(s, 3, 1)) = 'x' THEN CAST('0x' || substr(s, 4, length(s) - 4) AS BIGINT) "
+            "ELSE CAST(substr(s, 3, length(s) - 3) AS BIGINT) END")
+    ch = f"CASE WHEN {code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111 THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END"
+    return (f"array_to_string(list_transform(regexp_extract_all({e}, '&#?[0-9a-zA-Z]+;|[^&]+|&'), lambda s: "
+            f"CASE {named} WHEN regexp_full_match(s, '&#([0-9]+|[xX][0-9a-fA-F]+);') THEN {ch} ELSE s END), '')")
 
 
 def hrefs_sql(pages: str = "pages", keep: str = "page_id, url", col: str = "html", stripped: bool = False) -> str:
@@ -574,8 +578,8 @@ def o_crawl_sites():
     return crawl_sites_sql()
 
 
-LINK_TAG_RE = r"(?is)<link\b[^>]*>"
-ATTR_RE = r"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+LINK_TAG_RE = rf"(?is)<link\b{ATTRS}>"
+ATTR_RE = rf"""(?is)^<link\b{ATTRS}?\s{{name}}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def advertised_sql() -> str:

@@ -66,3 +66,20 @@ def test_probe_urls(spark):
     assert p["https://s.example.org/feed"] == "rel=alternate"
     assert p["https://s.example.org/atom.xml"] == "common_path"
     assert "https://s.example.org/rss.xml" not in p
+
+
+def test_quoted_markup_and_character_references(spark):
+    html = """<a title="x>y" href="/one">1</a><a title="z href=/no" href='/two?a=1&amp;b=2'>2</a><a href="&#47;three&#x2F;x">3</a>
+<a title=it's href="/four">4</a><a title="href=/none">5</a><a href="/five?x=&amp;#47;&#0;&lt;&bogus;&">6</a><a data-href="/six">7</a>
+<a title="a = 'b>" href = /seven>8</a><a href="/&#233;&#x1F600;">9</a>
+<link title="a>b href=/bad" rel="alternate" type="application/rss+xml" href="/good&#46;xml">"""
+    pages = spark.createDataFrame([(1, "https://site.example.org/", html)], "page_id bigint, url string, html string")
+    assert [r["href"] for r in L.page_hrefs(pages).orderBy("pos").collect()] == [
+        "/one", "/two?a=1&b=2", "/three/x", "/four", "/five?x=&#47;\ufffd<&bogus;&", "/seven", "/\u00e9\U0001f600"]
+    assert {r["feed_url"] for r in L.advertised_feeds(pages).collect()} == {"https://site.example.org/good.xml"}
+
+
+def test_tag_with_very_many_attributes(spark):
+    html = "<a " + " ".join(f"data-x{i}='{i}'" for i in range(300)) + " title='" + "t" * 200_000 + "' href='/end'>x</a>"
+    pages = spark.createDataFrame([(1, "https://site.example.org/", html)], "page_id bigint, url string, html string")
+    assert [r["href"] for r in L.page_hrefs(pages).collect()] == ["/end"]

@@ -139,6 +139,26 @@ def test_parse_bodies_rss_atom_bozo(spark):
     assert valid == {"r", "a"}  # bozo/empty fail the entry test, 'short' is under 80 bytes, 'n' is a 404
 
 
+def test_parse_rdf_content_and_links(spark):
+    rdf = ('<?xml version="1.0"?><rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" '
+           'xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>D</title><description>dd</description>'
+           '<dc:language>en</dc:language></channel><item><title>one</title><link>https://x.org/1</link><dc:date>2024-01-05T00:00:00Z</dc:date>'
+           '</item><item><title>two</title><description>s</description></item></rdf:RDF>')
+    rss = ('<rss version="2.0" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>R</title><item><title>t</title>'
+           '<content:encoded>long text</content:encoded></item></channel></rss>')
+    atom = ('<feed xmlns="http://www.w3.org/2005/Atom"><title>A</title><entry><title>e</title><link rel="self" href="https://x.org/self"/>'
+            '<link rel="alternate" href="https://x.org/page"/><link rel="replies" href="https://x.org/comments"/></entry></feed>')
+    feeds, entries = E.parse_feed_bodies(spark.createDataFrame([("d", rdf), ("r", rss), ("a", atom), ("h", "<html/>"), ("n", None)],
+                                                               "feed_url string, body string"))
+    f = {r["feed_url"]: r for r in E.feed_type(feeds).collect()}
+    assert (f["d"]["version"], f["d"]["title"], f["d"]["language"], f["d"]["n_entries"], f["d"]["bozo"]) == ("rss10", "D", "en", 2, False)
+    assert {k: f[k]["bozo"] for k in "rahn"} == {"r": False, "a": False, "h": True, "n": True}
+    e = {(r["feed_url"], r["idx"]): r for r in entries.collect()}
+    assert len(e) == 4 and (e["d", 0]["link"], e["d", 0]["updated_ts"], e["d", 1]["summary"]) == \
+        ("https://x.org/1", dt.datetime(2024, 1, 5), "s")
+    assert e["r", 0]["summary"] == "long text" and e["a", 0]["link"] == "https://x.org/page"
+
+
 def test_site_dedup_and_best_ties(spark):
     from feedcat.operators import candidates as K
     rows = [("https://s.org/rss.xml", "https://s.org", "Blog  News", "rss", 7, "h1"),
