@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedcat.llm import decontamination, language_id, line_dedup, ngram_join, packing
-from feedcat.llm.common import sized, stage, table
+from feedcat.llm.common import pin_splits, stage, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text whose language is less sure than this is no prose in a language that was learned.
@@ -20,8 +20,9 @@ LEAST_SCORE = 0.1
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows whose positions are in ``gone (rid)``."""
+    pin_splits(docs.sparkSession)
     return docs.select(F.monotonically_increasing_id().alias("rid"), *COLUMNS) \
-        .join(sized(gone), "rid", "left_anti").select(*COLUMNS)
+        .join(gone, "rid", "left_anti").select(*COLUMNS)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     rows = stage(ngram_join.join_components(docs).where("n_shingles > 0"), "joined")
     keepers = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.count("*").alias("n")) \
         .where("component_id is not null and n > 1").select("component_id", F.col("k.rid").alias("keeper"))
-    gone = rows.join(sized(keepers), "component_id").where("rid <> keeper").select("rid")
+    gone = rows.join(stage(keepers, "keepers"), "component_id").where("rid <> keeper").select("rid")
     return _without(docs, stage(gone, "near-copies"))
 
 

@@ -1,4 +1,8 @@
-"""Helpers shared by the training-data operators: staging, size-checked broadcasts, text hashing."""
+"""Helpers shared by the training-data operators: staging, row positions, text hashing.
+
+No join is hinted to broadcast: sides that are often small are staged first, so that Spark knows their
+size from the files and decides by ``autoBroadcastJoinThreshold``.
+"""
 from __future__ import annotations
 
 import atexit
@@ -14,7 +18,7 @@ from pyspark.sql import types as T
 from ..session import shared_dir
 
 U64 = np.uint64
-#: Rows a side may have to be broadcast; beyond it every join falls back to a shuffle.
+#: Rows of 16 bytes that may go to the executors as one set; beyond it they are joined.
 BROADCAST_ROWS = 500_000
 _STAGED: list = []
 
@@ -74,13 +78,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if its row count is proven small, else as it is (shuffle join)."""
-    return F.broadcast(df) if small(df, rows) else df
+def pin_splits(spark: SparkSession) -> None:
+    """Fix the number that file splits are cut by. Unset, Spark takes the cores of the moment, so after
+    a lost executor a second plan over the same table would cut it, and number its rows, differently."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
 def with_row_id(docs: DataFrame, *cols: str) -> DataFrame:
-    """``rid`` and the chosen columns; names of other columns can't clash."""
+    """``rid`` and the chosen columns; names of other columns can't clash. Over a stored table a row has
+    the same ``rid`` in every plan of the session."""
+    pin_splits(docs.sparkSession)
     return docs.select(F.monotonically_increasing_id().alias("rid"), *cols)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NOT_ALNUM, U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, sized, small_batches, stage, with_row_id
+from .common import NOT_ALNUM, U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, small_batches, stage, with_row_id
 
 WINDOW = 13
 WIDTH = 5
@@ -147,7 +147,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
         .where("p.freq > 0").select("words", "n", "p.shingle", "p.offset")
     rarest = stage(rarest, "prefix")
     first = F.col("lead") - F.col("offset")
-    hits = found.join(sized(rarest), "shingle") \
+    hits = found.join(rarest, "shingle") \
         .where((F.col("pos") >= F.col("offset")) & (F.col("pos") - F.col("offset") + F.col("n") <= F.col("n_words"))
                & (first >= 0) & (F.size("near") >= first + F.col("n"))) \
         .where(F.array_join(F.slice("near", F.greatest(first, F.lit(0)) + 1, F.col("n")), " ") == F.col("words")) \
@@ -155,7 +155,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
     hits = stage(hits, "hits")
     spans = hits.groupBy("rid", "start").agg(F.max("n").alias("n")).groupBy("rid").agg(F.array_sort(F.collect_list(
         F.struct(F.col("start").cast("long").alias("start"), (F.col("start") + F.col("n")).cast("long").alias("end")))).alias("spans"))
-    items = hits.select("rid", "words").distinct().join(sized(windows.where("item is not null")), "words") \
+    items = hits.select("rid", "words").distinct().join(windows.where("item is not null"), "words") \
         .groupBy("rid").agg(F.array_sort(F.collect_set("item")).alias("items"))
     return d.drop("runs").join(spans, "rid", "left").join(items, "rid", "left") \
         .withColumns({"spans": F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")),

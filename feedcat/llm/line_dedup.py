@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, _delete, arrow_batch, binaries, column, shared_dir, small, small_batches, stage
+from .common import BROADCAST_ROWS, _delete, arrow_batch, binaries, column, pin_splits, shared_dir, small, small_batches, stage
 
 MIN_DOCS = 10
 FANOUT = 2
@@ -158,6 +158,7 @@ def drop_lines(docs: DataFrame, gone: DataFrame, text: str = "text", rows: int =
             both = np.frombuffer(b"".join(digests(k for _, _, k in at)), np.int64).reshape(-1, 2)
             yield arrow_batch(spots, [[x[0] for x in at], [x[1] for x in at], pa.array(both[:, 0]), pa.array(both[:, 1])])
 
+    pin_splits(spark)
     numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
     hit = numbered.select(F.col("_rid").alias("rid"), text).mapInArrow(lines_of, spots) \
         .join(gone, ["lo", "hi"], "left_semi").groupBy("rid").agg(F.collect_list("line").alias("_gone"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (U64, WordHash, arrow_batch, binaries, column, mix, seeds, shingle_hashes, sized, small_batches, stage,
+from .common import (U64, WordHash, arrow_batch, binaries, column, mix, seeds, shingle_hashes, small_batches, stage,
                      with_row_id)
 from .components import cluster
 
@@ -183,13 +183,13 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
     sets = stage(element_sets(keyed, "sets", described, schema), "sets")
     twins = sets.where("n > 0").groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.count("*").alias("c")).where("c > 1")
     twins = stage(twins.drop("c"), "twins")
-    copies = stage(sets.where("n > 0").select("rid", "f0", "f1").join(sized(twins), ["f0", "f1"])
+    copies = stage(sets.where("n > 0").select("rid", "f0", "f1").join(twins, ["f0", "f1"])
                    .where("rid <> node").select("rid", "node"), "copies")
-    nodes = sets.where("n > 0").join(sized(copies.select("rid")), "rid", "left_anti")
+    nodes = sets.where("n > 0").join(copies.select("rid"), "rid", "left_anti")
     rows = nodes.select(F.col("rid").alias("node"), F.explode("sigs").alias("bucket"))
     # of the index only buckets with two sets or more matter; the others go before anything is joined
     shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    rows = stage(rows.join(sized(stage(shared, "shared")), "bucket"), "index")
+    rows = stage(rows.join(stage(shared, "shared"), "bucket"), "index")
     met = rows.select("node").distinct()
     about = nodes.select(F.col("rid").alias("node"), "n", "p0", "p1").join(met, "node")
     members = rows.join(about, "node").select("bucket", "node", "n", "p0", "p1")
@@ -200,7 +200,7 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
         want = sets.select(F.col("rid").alias("node"), "tk", "doc_id").join(asked, "node")
         want = stage(want, "wanted")
         one = docs.select(F.xxhash64("text").alias("tk"), "doc_id", "text").alias("d").join(
-            sized(want).alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
+            want.alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
         return element_sets(one.select("w.node", "d.text"), "items", lambda x: (x.view(np.int64),), item_schema) \
             .dropDuplicates(["node"])  # texts with equal ids
 
@@ -211,7 +211,7 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
                      .join(roots.select(F.col("node").alias("rid")), "rid", "left_anti"))
     named = stage(named, "roots-of-rows")
     base = sets.select("rid", "doc_id", F.col("n").alias("n_shingles"))
-    known = base.join(sized(named), "rid", "left")
+    known = base.join(named, "rid", "left")
     smallest = known.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return known.join(smallest, "root", "left") \
         .select("rid", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))

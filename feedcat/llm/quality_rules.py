@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import sized, stage, with_row_id
+from .common import stage, with_row_id
 
 #: A line may occur in so many documents of one host.
 MAX_DOCS = 50
@@ -89,7 +89,7 @@ def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEF
     bad = stage(counts.where(F.col("n") > max_docs).select("line"), "lines")
     lines = docs.select("rid", F.explode(F.transform(own_lines(), lambda x: F.struct(
         line_key(x).alias("line"), F.length(F.regexp_replace(x, SPACE, "")).cast("long").alias("chars")))).alias("l"))
-    dropped = lines.select("rid", "l.line", "l.chars").join(sized(bad), "line") \
+    dropped = lines.select("rid", "l.line", "l.chars").join(bad, "line") \
         .groupBy("rid").agg(F.sum("chars").alias("dropped_chars"))
     out = base_counts(docs).join(dropped, "rid", "left") \
         .withColumn("dropped_chars", F.coalesce("dropped_chars", F.lit(0).cast("long")))

@@ -81,14 +81,14 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     width = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     cells = d.groupBy("curve").agg(F.count("*").alias("in_cell")) \
         .select("curve", F.ceil(F.col("in_cell") * width / max(total, 1)).cast("long").alias("parts"))
-    d = d.join(F.broadcast(cells), "curve")  # at most 2**15 cells
+    d = d.join(stage(cells, "cells"), "curve")  # at most 2**15 cells
     draw = F.conv(F.substring("_tie", 1, 4), 16, 10).cast("long")
     d = d.withColumn("bucket", F.floor(draw * F.col("parts") / 65536).cast("long")).drop("parts")
     sums = d.groupBy("curve", "bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("curve", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("curve", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     own = Window.partitionBy("curve", "bucket").orderBy("_tie", "doc_id", "text_crc32", "size")
-    ranked = d.withColumn("at", F.row_number().over(own) - 1).join(F.broadcast(sums), ["curve", "bucket"]) \
+    ranked = d.withColumn("at", F.row_number().over(own) - 1).join(stage(sums, "sums"), ["curve", "bucket"]) \
         .withColumn("at", F.col("at") + F.col("before"))
     least, more = divmod(total, shards)
     cut = more * (least + 1)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, seeds, shingle_hashes, sized,
+from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, seeds, shingle_hashes,
                      small_batches, stage, with_row_id)
 from .components import cluster
 from .ngram_join import differ_bound, parity
@@ -174,7 +174,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     met = units.select(F.explode("keys").alias("bucket"), "node")
     h = F.xxhash64("node")
     several = met.groupBy("bucket").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b").select("bucket")
-    members = stage(met.join(sized(stage(several, "several")), "bucket").groupBy("bucket", "node")
+    members = stage(met.join(stage(several, "several"), "bucket").groupBy("bucket", "node")
                     .agg(F.count("*").alias("copies")), "band-members")
     sets = stage(shingles_of(docs, stage(members.select("node").distinct(), "asked")), "shingles")
     members = members.join(sets.drop("items"), "node")
@@ -184,7 +184,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     units = stage(units, "units")
     keep = units.groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.min("rid").alias("a"), F.max("rid").alias("b")) \
         .where("a <> b").select("root", F.col("k.doc_id").alias("cluster_id"), F.col("k.rid").alias("keeper"))
-    spans = units.join(sized(stage(keep, "keepers")), "root") \
+    spans = units.join(stage(keep, "keepers"), "root") \
         .select("rid", "doc_id", "start", "end", "cluster_id", (F.col("rid") != F.col("keeper")).alias("removed"))
     own = Window.partitionBy("rid", "removed").orderBy("start", "end")
     reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
