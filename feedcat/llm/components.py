@@ -26,8 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
         e = nxt
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
-            return stage(e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+            out = stage(e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "components")
+            drop_stage(e)
+            return out
         seen = now
 
 
@@ -35,7 +37,7 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     """Components ``(node, root)`` of the links among nodes that share a bucket.
 
     ``members (bucket, node, *attributes)`` has no repeated rows; ``sets(nodes)`` gives ``(node, items)``
-    for the nodes asked for; two nodes link when the Jaccard similarity of their items is at least the
+    for the nodes asked for, staged where it's dear to compute again; two nodes link when the Jaccard similarity of their items is at least the
     fraction ``alike``; ``may_link(l, r)`` is a cheap necessary condition on the attributes.
 
     First every member meets its bucket's most copied (attribute ``copies``, if there is one) and most
@@ -49,7 +51,9 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     attrs = [c for c in members.columns if c not in ("bucket", "node")]
     may_link = may_link or (lambda l, r: F.lit(True))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n_in")).where("n_in > 1")
-    m = stage(members.join(stage(sizes, "sizes"), "bucket"), "members")
+    sizes = stage(sizes, "sizes")
+    m = stage(members.join(sizes, "bucket"), "members")
+    drop_stage(sizes)
     weight = m.groupBy("node").agg(F.sum("n_in").alias("weight"))
     rank = [c for c in ("copies",) if c in attrs] + ["weight", "node"]
     pivots = m.join(weight, "node").groupBy("bucket").agg(F.max(F.struct(*rank, *[c for c in attrs if c not in rank])).alias("p")) \
@@ -58,26 +62,33 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     star = m.alias("l").join(pivots.alias("r"), "bucket") \
         .where((F.col("l.node") != F.col("r.node")) & may_link("l", "r")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    links = stage(verified(star, lambda nodes: stage(sets(nodes), "items"), alike), "star")
+    links = verified(star, sets, alike)
+    drop_stage(pivots)
     comp = components(links)
     named = m.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
     top = named.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket") \
         .agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("c")).where("c > 1") \
         .select("bucket", F.col("top.root").alias("top"))
     first = [F.first(c).alias(c) for c in ["root", *attrs]]
-    open_ = stage(named.join(stage(top, "top"), "bucket").groupBy("node").agg(F.max(F.col("root") != F.col("top")).alias("outside"), *first), "open")
+    top = stage(top, "top")
+    open_ = stage(named.join(top, "bucket").groupBy("node").agg(F.max(F.col("root") != F.col("top")).alias("outside"), *first), "open")
+    drop_stage(m, top)
     if open_.isEmpty():
+        drop_stage(links, open_)
         return comp
-    own = stage(sets(open_.select("node")), "open-items")
+    own = sets(open_.select("node"))
+    own = own if hasattr(own, "staged_at") else stage(own, "open-items")
     at = stage(open_.join(prefixes(own, alike), "node").withColumn("item", F.explode("prefix")), "prefixes")
     rest = at.where("outside").alias("l").join(at.alias("r"), "item") \
         .where((F.col("l.root") != F.col("r.root")) & may_link("l", "r")) \
         .where(F.get(F.array_intersect("l.prefix", "r.prefix"), 0) == F.col("item")) \
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))  # once for each pair, at the first item in common
-    more = stage(verified(rest, lambda nodes: own, alike), "rest")
+    more = verified(rest, lambda nodes: own, alike)
+    drop_stage(open_, at)
     if not more.isEmpty():
+        drop_stage(comp)
         comp = components(links.unionByName(more))
-    drop_stage(m, links, open_, own, at, more)
+    drop_stage(links, more)
     return comp
 
 
@@ -93,7 +104,7 @@ def prefixes(sets: DataFrame, alike: tuple) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:
-    """The distinct pairs ``(a, b)`` whose items are similar."""
+    """The distinct pairs ``(a, b)`` whose items are similar, staged; the pairs and a staged table of sets go."""
     num, den = alike
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -101,5 +112,7 @@ def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:
     x, y = s.select(F.col("node").alias("a"), F.col("items").alias("x")), \
         s.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return pairs.join(x, "a").join(y, "b").withColumn("both", both) \
-        .where(den * F.col("both") >= num * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
+    links = stage(pairs.join(x, "a").join(y, "b").withColumn("both", both)
+                  .where(den * F.col("both") >= num * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b"), "links")
+    drop_stage(pairs, s)
+    return links

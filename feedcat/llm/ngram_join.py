@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (U64, WordHash, arrow_batch, binaries, column, mix, seeds, shingle_hashes, small_batches, stage,
+from .common import (U64, WordHash, arrow_batch, binaries, column, drop_stage, mix, seeds, shingle_hashes, small_batches, stage,
                      with_row_id)
 from .components import cluster
 
@@ -201,8 +201,10 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
         want = stage(want, "wanted")
         one = docs.select(F.xxhash64("text").alias("tk"), "doc_id", "text").alias("d").join(
             want.alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-        return element_sets(one.select("w.node", "d.text"), "items", lambda x: (x.view(np.int64),), item_schema) \
-            .dropDuplicates(["node"])  # texts with equal ids
+        out = stage(element_sets(one.select("w.node", "d.text"), "items", lambda x: (x.view(np.int64),), item_schema)
+                    .dropDuplicates(["node"]), "items")  # texts with equal ids
+        drop_stage(want)
+        return out
 
     roots = cluster(members, items_of, (num, den), differ_bound(num, den))
     named = copies.join(roots, "node", "left").select("rid", F.coalesce("root", "node").alias("root")) \

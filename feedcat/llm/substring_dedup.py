@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, mix, passes, seeds, shingle_hashes,
+from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, drop_stage, mix, passes, seeds, shingle_hashes,
                      small_batches, stage, with_row_id)
 from .components import cluster
 from .ngram_join import differ_bound, parity
@@ -141,19 +141,25 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
 
 
 def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """``node, items`` of the paragraphs asked for, with their number and parity bits."""
+    """``node, items`` of the paragraphs ``asked`` for, with their number and parity bits.
+
+    ``asked (node, owner)`` names one document that has the paragraph, by the hash of its id: the
+    copies in other documents aren't built (but for a bitmap's few false positives).
+    """
     schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("items", T.ArrayType(T.LongType())),
                            *(T.StructField(c, T.LongType()) for c in ("n", "p0", "p1"))])
-    filter_ = bit_filter(asked.select(F.conv(F.hex(F.reverse(F.substring("node", 1, 8))), 16, -10).cast("long").alias("h")), "h")
+    low = F.conv(F.hex(F.reverse(F.substring("node", 1, 8))), 16, -10).cast("long")
+    filter_ = bit_filter(asked.select(low.bitwiseXOR(F.col("owner")).alias("h")), "h")
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
 
     def rows_of(batches):
         known = WordHash()
         for b in batches:
             got = {}
-            for t in binaries(b, "text"):
+            owners = column(b, "owner").to_numpy().view(U64)
+            for t, owner in zip(binaries(b, "text"), owners):
                 starts, ends, s, _, sums = paragraphs(t, known)
-                on = np.flatnonzero(passes(shared.value, sums[:, 0]))
+                on = np.flatnonzero(passes(shared.value, sums[:, 0] ^ owner))
                 for j, node in zip(on, node_names(sums[on])):
                     if node not in got:
                         x = np.unique(s[starts[j]:ends[j] - WIDTH + 1])
@@ -161,7 +167,8 @@ def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
                         got[node] = (x.view(np.int64), len(x), int(p[0]), int(p[1]))
             yield arrow_batch(schema, [list(got), *([r[k] for r in got.values()] for k in range(4))])
 
-    return docs.select("text").mapInArrow(rows_of, schema).join(asked, "node").dropDuplicates(["node"])
+    return docs.select(F.xxhash64("doc_id").alias("owner"), "text").mapInArrow(rows_of, schema) \
+        .join(asked.select("node"), "node").dropDuplicates(["node"])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -171,17 +178,24 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs = with_row_id(docs, "doc_id", "text")
     again = stage(band_keys(docs).groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "band-keys")
     units = stage(met_paragraphs(docs, bit_filter(again, "key")), "paragraphs")
-    met = units.select(F.explode("keys").alias("bucket"), "node")
+    drop_stage(again)
+    met = units.select(F.explode("keys").alias("bucket"), "node", F.xxhash64("doc_id").alias("owner"))
     h = F.xxhash64("node")
     several = met.groupBy("bucket").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b").select("bucket")
-    members = stage(met.join(stage(several, "several"), "bucket").groupBy("bucket", "node")
-                    .agg(F.count("*").alias("copies")), "band-members")
-    sets = stage(shingles_of(docs, stage(members.select("node").distinct(), "asked")), "shingles")
-    members = members.join(sets.drop("items"), "node")
-    roots = cluster(members, lambda nodes: sets.select("node", "items").join(nodes, "node"), ALIKE, differ_bound(*ALIKE))
-    units = units.join(roots, "node", "left") \
-        .select("rid", "doc_id", "start", "end", F.coalesce("root", "node").alias("root"))
-    units = stage(units, "units")
+    several = stage(several, "several")
+    members = stage(met.join(several, "bucket").groupBy("bucket", "node")
+                    .agg(F.count("*").alias("copies"), F.min("owner").alias("owner")), "band-members")
+    asked = stage(members.groupBy("node").agg(F.min("owner").alias("owner")), "asked")
+    drop_stage(several)
+    sets = stage(shingles_of(docs, asked), "shingles")
+    drop_stage(asked)
+    about = members.drop("owner").join(sets.drop("items"), "node")
+    roots = cluster(about, lambda nodes: sets.select("node", "items").join(nodes, "node", "left_semi"), ALIKE, differ_bound(*ALIKE))
+    drop_stage(members, sets)
+    met_units = units
+    units = stage(units.join(roots, "node", "left")
+                  .select("rid", "doc_id", "start", "end", F.coalesce("root", "node").alias("root")), "units")
+    drop_stage(met_units, roots)
     keep = units.groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.min("rid").alias("a"), F.max("rid").alias("b")) \
         .where("a <> b").select("root", F.col("k.doc_id").alias("cluster_id"), F.col("k.rid").alias("keeper"))
     spans = units.join(stage(keep, "keepers"), "root") \
