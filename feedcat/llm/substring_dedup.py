@@ -97,7 +97,7 @@ def paragraphs(text: bytes | None, known: WordHash) -> tuple:
 
 
 def node_names(digests: np.ndarray) -> list:
-    flat = np.ascontiguousarray(digests).tobytes()
+    flat = digests.astype(">u8").tobytes()  # so that the hex digits of a name are those of its numbers
     return [flat[i:i + 16] for i in range(0, len(flat), 16)]
 
 
@@ -148,7 +148,7 @@ def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
     """
     schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("items", T.ArrayType(T.LongType())),
                            *(T.StructField(c, T.LongType()) for c in ("n", "p0", "p1"))])
-    low = F.conv(F.hex(F.reverse(F.substring("node", 1, 8))), 16, -10).cast("long")
+    low = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
     filter_ = bit_filter(asked.select(low.bitwiseXOR(F.col("owner")).alias("h")), "h")
     shared = docs.sparkSession.sparkContext.broadcast(filter_)
 

@@ -94,6 +94,16 @@ def test_substring_dedup(spark, docs, empty):
     assert substring_dedup.op2(spark, empty).count() == 0
 
 
+def test_substring_dedup_links_every_near_pair(spark):
+    """Lines that differ in their last word: each second one goes whole, whatever its hashes are."""
+    rng = random.Random(11)
+    lines = [" ".join("v%d" % rng.randrange(5000) for _ in range(59)) for _ in range(60)]
+    rows = [(2 * i + k, f"{line} end{k}") for i, line in enumerate(lines) for k in range(2)]
+    got = substring_dedup.op2(spark, spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r["doc_id"], r["start_word"], r["end_word"], r["cluster_id"], r["removed"]) for r in got.collect()} == {
+        (2 * i + k, 0, 60, 2 * i, k == 1) for i in range(60) for k in range(2)}
+
+
 def test_line_dedup(spark, docs, empty):
     rows = rows_of(docs, "doc_id", "text")
     key = lambda x: x.translate(LOWER).strip(" \t\n\x0b\x0c\r")
