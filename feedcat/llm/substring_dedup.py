@@ -192,13 +192,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     about = members.drop("owner").join(sets.drop("items"), "node")
     roots = cluster(about, lambda nodes: sets.select("node", "items").join(nodes, "node", "left_semi"), ALIKE, differ_bound(*ALIKE))
     drop_stage(members, sets)
-    met_units = units
-    units = stage(units.join(roots, "node", "left")
-                  .select("rid", "doc_id", "start", "end", F.coalesce("root", "node").alias("root")), "units")
-    drop_stage(met_units, roots)
-    keep = units.groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.min("rid").alias("a"), F.max("rid").alias("b")) \
-        .where("a <> b").select("root", F.col("k.doc_id").alias("cluster_id"), F.col("k.rid").alias("keeper"))
-    spans = units.join(stage(keep, "keepers"), "root") \
+    # one row for each different paragraph, then for each component; the paragraphs themselves move once
+    names = units.groupBy("node").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.min("rid").alias("a"), F.max("rid").alias("b")) \
+        .join(roots, "node", "left").where("root is not null or a <> b").withColumn("root", F.coalesce("root", "node"))
+    names = stage(names, "names")
+    keep = names.groupBy("root").agg(F.min("k").alias("k"), F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b")
+    keep = stage(names.select("node", "root").join(keep, "root")
+                 .select("node", F.col("k.doc_id").alias("cluster_id"), F.col("k.rid").alias("keeper")), "keepers")
+    drop_stage(names, roots)
+    spans = units.join(keep, "node") \
         .select("rid", "doc_id", "start", "end", "cluster_id", (F.col("rid") != F.col("keeper")).alias("removed"))
     own = Window.partitionBy("rid", "removed").orderBy("start", "end")
     reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
