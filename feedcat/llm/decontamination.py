@@ -17,6 +17,7 @@ An empty benchmark leaves all documents clean. Other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,6 +113,29 @@ def possible_runs(docs: DataFrame, filter_: tuple) -> DataFrame:
     return docs.mapInArrow(rows_of, schema)
 
 
+def prefix_places(runs: DataFrame, filter_: tuple, window: int) -> DataFrame:
+    """``rid, n_words, shingle, pos, lead, near`` for the places of runs whose shingle passes the bitmap of the
+    prefixes; ``near`` holds the words around a place, which it begins ``lead`` words into."""
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("rid", "n_words")), T.StructField("shingle", T.StringType()),
+                           *(T.StructField(c, T.IntegerType()) for c in ("pos", "lead")), T.StructField("near", T.ArrayType(T.StringType()))])
+    shared = runs.sparkSession.sparkContext.broadcast(filter_)
+
+    def rows_of(batches):
+        hashed = WordHash(NOT_ALNUM)
+        for b in batches:
+            row, out = [], []
+            for k, (words, width, start) in enumerate(zip(binaries(b, "words"), column(b, "width").to_pylist(), column(b, "start").to_pylist())):
+                ws = words.decode("utf-8", "replace").split(" ")
+                for i in np.flatnonzero(passes(shared.value, hashes(hashed.of(words), width))).tolist():
+                    low = max(i + width - window, 0)
+                    row.append(k)
+                    out.append((" ".join(ws[i:i + width]), start + i, i - low, ws[low:low + 2 * window]))
+            at = pa.array(row, pa.int64())
+            yield arrow_batch(schema, [column(b, "rid").take(at), column(b, "n_words").take(at), *([r[c] for r in out] for c in range(4))])
+
+    return runs.select("rid", "n_words", "width", "start", "words").mapInArrow(rows_of, schema)
+
+
 def covered(spans: str) -> Column:
     """Words inside at least one of the spans, which are sorted by start."""
     zero = F.lit(0).cast("long")
@@ -132,20 +156,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, w
     shingles = stage(window_shingles(windows, width), "shingles")
     d = stage(possible_runs(with_row_id(docs, "doc_id", "text"), shingle_filter(shingles)), "runs")
     runs = d.where(F.size("runs") > 0).select("rid", "n_words", F.explode("runs").alias("r")) \
-        .select("rid", "n_words", "r.width", "r.start", F.split("r.words", " ").alias("ws"))
-    at = F.posexplode(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("width") + 1), lambda i: F.struct(
-        F.array_join(F.slice("ws", i, F.col("width")), " ").alias("shingle"),
-        F.greatest(i - window + F.col("width"), F.lit(1)).alias("low")))).alias("i", "s")
-    found = runs.select("rid", "n_words", "start", "ws", at).select(
-        "rid", "n_words", "i", "s.shingle", (F.col("start") + F.col("i")).alias("pos"),
-        (F.col("i") + 1 - F.col("s.low")).alias("lead"), F.slice("ws", F.col("s.low"), 2 * window).alias("near"))
+        .select("rid", "n_words", "r.width", "r.start", "r.words", F.split("r.words", " ").alias("ws"))
     known = shingles.select("shingle").distinct()
-    rarity = found.select("shingle").join(known, "shingle").groupBy("shingle").agg(F.count("*").alias("freq"))
+    rarity = runs.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - F.col("width") + 1), lambda i: F.array_join(
+        F.slice("ws", i, F.col("width")), " "))).alias("shingle")).groupBy("shingle").agg(F.count("*").alias("freq")).join(known, "shingle")
     # a window with a shingle that no document has can't occur: its join partner is missing
     rarest = shingles.join(rarity, "shingle", "left") \
-        .groupBy("words", "n").agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "shingle", "offset")).alias("p")) \
-        .where("p.freq > 0").select("words", "n", "p.shingle", "p.offset")
+        .groupBy("words", "n").agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "shingle", "offset", "width")).alias("p")) \
+        .where("p.freq > 0").select("words", "n", "p.shingle", "p.offset", "p.width")
     rarest = stage(rarest, "prefix")
+    found = prefix_places(runs, shingle_filter(rarest)[0], window)
     first = F.col("lead") - F.col("offset")
     hits = found.join(rarest, "shingle") \
         .where((F.col("pos") >= F.col("offset")) & (F.col("pos") - F.col("offset") + F.col("n") <= F.col("n_words"))
