@@ -123,13 +123,23 @@ def prefix_places(runs: DataFrame, filter_: tuple, window: int) -> DataFrame:
     def rows_of(batches):
         hashed = WordHash(NOT_ALNUM)
         for b in batches:
+            texts, starts = binaries(b, "words"), column(b, "start").to_pylist()
+            widths = column(b, "width").to_numpy()
+            ends = np.cumsum([t.count(b" ") + 1 for t in texts]).astype(np.int64)  # of the runs, in one row of words
+            h = hashed.of(b" ".join(texts))
             row, out = [], []
-            for k, (words, width, start) in enumerate(zip(binaries(b, "words"), column(b, "width").to_pylist(), column(b, "start").to_pylist())):
-                ws = words.decode("utf-8", "replace").split(" ")
-                for i in np.flatnonzero(passes(shared.value, hashes(hashed.of(words), width))).tolist():
+            for width in np.unique(widths).tolist():
+                at = np.flatnonzero(passes(shared.value, hashes(h, width)))
+                of = np.searchsorted(ends, at, "right")
+                own = (widths[of] == width) & (at + width <= ends[of])
+                last, ws = -1, []
+                for k, place in zip(of[own].tolist(), at[own].tolist()):
+                    if k != last:
+                        last, ws = k, texts[k].decode("utf-8", "replace").split(" ")
+                    i = place - int(ends[k]) + len(ws)
                     low = max(i + width - window, 0)
                     row.append(k)
-                    out.append((" ".join(ws[i:i + width]), start + i, i - low, ws[low:low + 2 * window]))
+                    out.append((" ".join(ws[i:i + width]), starts[k] + i, i - low, ws[low:low + 2 * window]))
             at = pa.array(row, pa.int64())
             yield arrow_batch(schema, [column(b, "rid").take(at), column(b, "n_words").take(at), *([r[c] for r in out] for c in range(4))])
 
