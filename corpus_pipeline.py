@@ -40,12 +40,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by similar word 3-grams the one with the smallest id stays, of equal ids the
-    first row; documents without words are linked with nothing and stay."""
-    rows = stage(ngram_join.join_components(docs).where("n_shingles > 0"), "joined")
-    keepers = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.count("*").alias("n")) \
-        .where("component_id is not null and n > 1").select("component_id", F.col("k.rid").alias("keeper"))
-    gone = rows.join(stage(keepers, "keepers"), "component_id").where("rid <> keeper").select("rid")
+    """Of documents linked by similar word 3-grams the one with the smallest id stays (a null id before any
+    other), of equal ids the first row; documents without words are linked with nothing and stay.
+
+    A group is named by its least row, not by ``component_id``: ids can be null, or be those of other texts."""
+    rows = stage(ngram_join.join_components(docs).where("n_shingles > 0").select("rid", "doc_id", "root"), "joined")
+    keepers = rows.groupBy("root").agg(F.min(F.struct("doc_id", "rid")).alias("k"), F.count("*").alias("n")) \
+        .where("n > 1").select("root", F.col("k.rid").alias("keeper"))
+    gone = rows.join(stage(keepers, "keepers"), "root").where("rid <> keeper").select("rid")
     return _without(docs, stage(gone, "near-copies"))
 
 

@@ -162,7 +162,8 @@ def differ_bound(num: int, den: int):
 
 
 def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -> DataFrame:
-    """``rid, doc_id, n_shingles, component_id`` for each row of ``docs``."""
+    """``rid, doc_id, n_shingles, component_id, root`` for each row of ``docs``; ``root`` is the least ``rid`` of the
+    row's component, its own if it is linked with nothing. Ids can be equal or null, so rows go together by ``root``."""
     spark = docs.sparkSession
     small_batches(spark)
     bands = Bands(num, den)
@@ -216,7 +217,7 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
     known = base.join(named, "rid", "left")
     smallest = known.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return known.join(smallest, "root", "left") \
-        .select("rid", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+        .select("rid", "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), F.coalesce("root", "rid").alias("root"))
 
 
 def op6(spark, docs: DataFrame) -> DataFrame:
