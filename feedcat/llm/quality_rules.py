@@ -5,9 +5,9 @@ document with fewer than 10 words, or with over 20 % of its words in repeated wi
 documents: lines are normalised (white space folded, lower case) and hashed, each host's distinct
 documents with a line are counted, lines in more than ``MAX_DOCS`` documents of a host are removed
 there, and a document that keeps less than ``MIN_LEFT`` of its characters in words is depleted and
-rejected.
+rejected. The text without the removed lines is ``clean_text``; the query's columns come from it.
 
-Edge cases: a null or empty text has no words and fails. A null host is a host of its own. A line is
+Edge cases: a null or empty text has no words and fails, and stays as it is. A null host is a host of its own. A line is
 counted once for each row it occurs in, so repeated rows count as documents. Lines without a word are
 never counted. Other columns are ignored.
 """
@@ -24,6 +24,7 @@ MAX_DOCS = 50
 MIN_LEFT = 0.5
 WINDOW = 5
 SPACE = r"[ \t\n\x0b\f\r]+"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
 def let(value: Column, body) -> Column:
@@ -58,16 +59,16 @@ def repeated_words(hashes: Column) -> Column:
         let(F.transform(F.sequence(F.lit(0), n - WINDOW), window), of))
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """``rid, doc_id`` with the per-document counts."""
+def base_counts(docs: DataFrame, *more: str) -> DataFrame:
+    """``rid, doc_id`` and the columns ``more`` with the per-document counts."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select("rid", "doc_id", text.alias("text"), words(text).alias("ws"), own_lines().alias("ls"))
+    d = docs.select("rid", "doc_id", text.alias("text"), words(text).alias("ws"), own_lines().alias("ls"), *more)
     d = d.select(
         "rid", "doc_id", F.size("ws").cast("long").alias("n_words"),
         F.length(F.array_join("ws", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
-        let(F.transform("ws", lambda w: F.xxhash64(w)), repeated_words).cast("long").alias("n_repeat_words"))
+        let(F.transform("ws", lambda w: F.xxhash64(w)), repeated_words).cast("long").alias("n_repeat_words"), *more)
     return d.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
@@ -81,21 +82,28 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.coalesce("source", F.lit("\0none")), F.lower(F.trim(F.regexp_replace(line, SPACE, " "))))
 
 
+def without_lines(gone: Column) -> Column:
+    """The text without its lines whose keys are in ``gone``; lines without a word stay."""
+    kept = F.filter(F.split("text", "\n"), lambda x: ~(x.rlike(r"[^ \t\n\x0b\f\r]") & F.array_contains(gone, line_key(x))))
+    return F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+
+
 def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
-    """The counts, ``dropped_chars`` (word characters in lines above the limit), and ``kept``."""
+    """The counts (of the whole text), ``dropped_chars`` (word characters in lines above the limit), ``kept``, and
+    ``clean_text``: the text without those lines."""
     docs = with_row_id(docs, "doc_id", "text", "source")
     counts = docs.select(F.explode(F.array_distinct(F.transform(own_lines(), line_key))).alias("line")) \
         .groupBy("line").agg(F.count("*").alias("n"))
     bad = stage(counts.where(F.col("n") > max_docs).select("line"), "lines")
-    lines = docs.select("rid", F.explode(F.transform(own_lines(), lambda x: F.struct(
-        line_key(x).alias("line"), F.length(F.regexp_replace(x, SPACE, "")).cast("long").alias("chars")))).alias("l"))
-    dropped = lines.select("rid", "l.line", "l.chars").join(bad, "line") \
-        .groupBy("rid").agg(F.sum("chars").alias("dropped_chars"))
-    out = base_counts(docs).join(dropped, "rid", "left") \
-        .withColumn("dropped_chars", F.coalesce("dropped_chars", F.lit(0).cast("long")))
-    left = F.col("word_chars") - F.col("dropped_chars")
-    return out.withColumn("kept", ~F.col("base_failed") & (left >= min_left * F.col("word_chars"))).drop("rid")
+    lines = docs.select("rid", F.explode(F.array_distinct(F.transform(own_lines(), line_key))).alias("line"))
+    gone = stage(lines.join(bad, "line").groupBy("rid").agg(F.collect_set("line").alias("gone")), "gone")
+    clean = docs.join(gone, "rid", "left").withColumn("clean_text", without_lines(F.col("gone")))
+    left = F.when(F.col("gone").isNull(), F.col("word_chars")).otherwise(F.length(F.regexp_replace("clean_text", SPACE, "")).cast("long"))
+    out = base_counts(clean, "gone", "clean_text").withColumn("left", left) \
+        .withColumn("dropped_chars", F.col("word_chars") - F.col("left")) \
+        .withColumn("kept", ~F.col("base_failed") & (F.col("left") >= min_left * F.col("word_chars")))
+    return out.select("doc_id", *COUNTS, "dropped_chars", "kept", "clean_text")
 
 
 def op4(spark, docs: DataFrame) -> DataFrame:
-    return quality(docs)
+    return quality(docs).drop("clean_text")
