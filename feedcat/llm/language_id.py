@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_batch, binaries, column, small_batches
+from .common import arrow_batch, binaries, column, drop_stage, small_batches, stage
 
 BITS = 12
-#: Labelled rows the classifier is fitted on, all languages together (documented bound).
-TRAIN_ROWS = 2400
-#: The most frequent labels are learned, at most so many.
-MAX_LANGUAGES = 100
+#: Labelled rows of each language the classifier is fitted on (documented bound); every label is learned.
+TRAIN_ROWS = 600
+#: One side of a classifier has few rows if it has at most one in so many.
+FEW = 10
+#: Feature rows that are widened to floats at a time.
+PART = 8192
 # Languages by family; a language not listed is a family of its own.
 FAMILIES = {
     "germanic": ("da", "de", "en", "is", "nl", "no", "sv"),
@@ -53,14 +55,21 @@ def features(text: str) -> np.ndarray:
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 150, reg: float = 1e-4) -> np.ndarray:
-    """Weights (dims + 1, classes) of linear SVMs for targets ``y`` in -1, +1; 0 leaves a row out."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w = np.zeros((x.shape[1], y.shape[1]), np.float32)
-    used = np.maximum((y != 0).sum(0), 1)
+    """Weights (dims + 1, classes) of linear SVMs for targets ``y`` in -1, +1; 0 leaves a row out. A side with few
+    rows counts as much as the other, so that one of very many classes is learned too."""
+    w = np.zeros((x.shape[1] + 1, y.shape[1]), np.float32)
+    wide = lambda at: np.hstack([x[at:at + PART].astype(np.float32), np.ones((len(x[at:at + PART]), 1), np.float32)])
+    whole = wide(0) if len(x) <= PART else None
+    used, yes, no = (np.maximum(side.sum(0), 1) for side in (y != 0, y > 0, y < 0))
+    up, down = (np.where(used >= FEW * n, used / n - 1, 1).astype(np.float32) for n in (yes, no))
     mean = np.zeros_like(w)
     for t in range(rounds):
-        wrong = (y * (x @ w) < 1) * y
-        w += (8 / math.sqrt(1 + t)) * (x.T @ wrong.astype(np.float32) / used - reg * w)
+        slope = np.zeros_like(w)
+        for at in range(0, len(x), PART):
+            own, to = wide(at) if whole is None else whole, y[at:at + PART]
+            wrong = (to * (own @ w) < 1) * to
+            slope += own.T @ (wrong * np.where(wrong > 0, up, down))
+        w += (8 / math.sqrt(1 + t)) * (slope / used - reg * w)
         if t >= rounds // 2:
             mean += w
     return mean / (rounds - rounds // 2)
@@ -76,11 +85,11 @@ def fit(x: np.ndarray, labels: list, families: dict | None = None) -> dict | Non
     got = np.array(labels)
     fam_of = np.array([of.get(g, g) for g in got])
     model = {"langs": langs, "fams": fams, "in": [[i for i, g in enumerate(langs) if of.get(g, g) == f] for f in fams]}
-    model["fam_w"] = fit_svm(x, np.stack([np.where(fam_of == f, 1, -1) for f in fams], 1)) if len(fams) > 1 else None
+    model["fam_w"] = fit_svm(x, np.stack([np.where(fam_of == f, 1, -1).astype(np.int8) for f in fams], 1)) if len(fams) > 1 else None
     pairs = [p for own in model["in"] for p in itertools.combinations(own, 2)]
     model["pairs"] = pairs
     model["pair_w"] = fit_svm(x, np.stack(
-        [np.where(got == langs[i], 1, np.where(got == langs[j], -1, 0)) for i, j in pairs], 1)) if pairs else None
+        [np.where(got == langs[i], 1, np.where(got == langs[j], -1, 0)).astype(np.int8) for i, j in pairs], 1)) if pairs else None
     return model
 
 
@@ -112,23 +121,19 @@ def predict(model: dict, x: np.ndarray) -> tuple[list, np.ndarray]:
 
 
 def training_rows(docs: DataFrame, lang: str, key: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most about ``rows`` labelled rows, evenly from each language, drawn by a hash of ``key``.
+    """About ``rows`` labelled rows of each language (all, if it has fewer), drawn by a hash of ``key``.
 
-    The counts per language are one aggregation over all labelled rows; what the driver gets of it
-    is a row for each of at most ``MAX_LANGUAGES`` languages.
+    The counts per language are one aggregation over all labelled rows, staged and joined to them, so
+    the number of languages has no limit.
     """
-    counts = docs.where(F.col(lang).isNotNull()).groupBy(lang).count() \
-        .orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return docs.where("false")
-    each = rows / len(counts)
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r[0], min(1.0, each / r[1]))])
+    counts = stage(docs.where(F.col(lang).isNotNull()).groupBy(lang).agg(F.count("*").alias("rows_of_lang")), "languages")
     draw = F.pmod(F.xxhash64(key, F.lit("draw")), F.lit(1_000_000)) / 1_000_000
-    return docs.where(draw < share[F.col(lang)])
+    return docs.join(counts, lang).where(draw < F.least(F.lit(1.0), F.lit(float(rows)) / F.col("rows_of_lang"))).select(*docs.columns)
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = TRAIN_ROWS) -> dict | None:
-    """Fit on a bounded sample: ``rows`` feature rows of 2**BITS half floats reach the driver."""
+    """Fit on a bounded sample: for each language ``rows`` feature rows of 2**BITS half floats (8 kB) reach the
+    driver, a staged part at a time."""
     small_batches(docs.sparkSession)
     sample = training_rows(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")),
                            "lang", "key", rows).where("text is not null").select("lang", "text")
@@ -140,11 +145,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
                    zip(column(b, "lang").to_pylist(), column(b, "text").to_pylist()) if has_letter(t)]
             yield arrow_batch(schema, [[g for g, _ in got], [x for _, x in got]])
 
-    got = sorted(map(tuple, sample.mapInArrow(rows_of, schema).collect()))
+    vectors = stage(sample.mapInArrow(rows_of, schema), "vectors")
+    got = sorted(map(tuple, vectors.toLocalIterator()))
+    drop_stage(vectors)
     if not got:
         return None
-    x = np.stack([np.frombuffer(r[1], np.float16) for r in got]).astype(np.float32)
-    return fit(x, [r[0] for r in got])
+    labels = [r[0] for r in got]
+    x = np.stack([np.frombuffer(r[1], np.float16) for r in got])
+    del got
+    return fit(x, labels)
 
 
 def identify(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
