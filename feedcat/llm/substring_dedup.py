@@ -1,13 +1,14 @@
 """Substring dedup: MinHash banding over paragraphs, exact Jaccard, removals by components.
 
-A paragraph is a line of at least ``LEAST`` words, or a content-defined stretch of any text: places
+A paragraph is a line of at least ``LEAST`` words, a block of lines up to the next one without a word
+that has as many, or a content-defined stretch of any text: places
 where a 5-word shingle's hash is the least of ``GAP`` in a row are anchors, and a stretch runs from an
 anchor to the first one at least ``SHORT`` shingles on. Any 45 words that two documents share, at
 whatever place inside their lines, hold a stretch that is the same in both, so passages pasted into
 the middle of other text are found too.
 
-A line has ``BANDS`` bands of one MinHash of its 5-word shingles: at a similarity of 0.8 two lines
-meet with probability 0.992. A stretch has one band of two MinHashes, its anchors, which are the least
+A line or block has ``BANDS`` bands of one MinHash of its 5-word shingles: at a similarity of 0.8 two
+of them meet with probability 0.992. A stretch has one band of two MinHashes, its anchors, which are the least
 hashes around its ends; it meets all stretches between the same anchors and, unlike the overlapping
 stretches beside it, no others. Paragraphs that meet are verified by exact Jaccard and clustered by
 connected components; where a component spreads over several documents, the one with the smallest id
@@ -62,6 +63,13 @@ def anchors(order: np.ndarray) -> np.ndarray:
     return np.flatnonzero(sliding(np.maximum, np.concatenate([edge, low, edge]), GAP) == order)
 
 
+def blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of each run of two or more lines with words, from the lines' numbers of words."""
+    edge = np.diff(np.concatenate([[0], sizes > 0, [0]]).astype(np.int8))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    return first[last > first], last[last > first]
+
+
 def paragraphs(text: bytes | None, known: WordHash) -> tuple:
     """``(starts, ends, shingle hashes, band keys, digests)`` of a text's paragraphs.
 
@@ -76,7 +84,10 @@ def paragraphs(text: bytes | None, known: WordHash) -> tuple:
     after = np.searchsorted(low, np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text)))
     sizes = np.diff(after, prepend=0)
     long_ = sizes >= LEAST
-    starts, ends = (after - sizes)[long_], after[long_] - WIDTH + 1
+    first, last = blocks(sizes)
+    whole = after[last] - (after - sizes)[first] >= LEAST
+    starts = np.concatenate([(after - sizes)[long_], (after - sizes)[first[whole]]])
+    ends = np.concatenate([after[long_], after[last[whole]]]) - WIDTH + 1
     keys = np.empty((len(starts), BANDS), U64)
     if len(starts):
         bounds = np.stack([starts, ends], 1).ravel()
