@@ -126,5 +126,34 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law,
 FROM r"""
 
 
+OP11 = rf"""
+WITH doc AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents WHERE text IS NOT NULL),
+item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+total AS (SELECT count(*)::HUGEINT AS docs, sum(len(ws))::HUGEINT AS terms FROM doc WHERE len(ws) > 0),
+tf AS (SELECT doc_id, t, count(*)::HUGEINT AS tf FROM (SELECT doc_id, unnest(ws) AS t FROM doc) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY t),
+size AS (SELECT doc_id, 10 + (90 * len(ws)::HUGEINT * docs) // terms AS m FROM doc, total),
+score AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+          FROM item JOIN tf USING (t) JOIN w USING (t) JOIN size USING (doc_id) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY rank <= 10
+"""
+
+OP12 = """
+WITH vec AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+             WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+dim AS (SELECT vec_id, label, unnest(v) AS x, unnest(range(len(v))) AS d FROM vec),
+score AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, sum(a.x * b.x)::BIGINT AS s
+          FROM dim a JOIN dim b USING (d) WHERE a.vec_id % 100 = 0 GROUP BY a.vec_id, a.label, b.vec_id, b.label),
+pos AS (SELECT anchor_id, other AS positive_id, s AS positive_score FROM score WHERE same AND other <> anchor_id
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other))::INT AS rank,
+       other AS negative_id, positive_score, s AS negative_score
+FROM pos JOIN score USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s AND 100 * s <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 ORACLE = {"op1_decontamination": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op6_ngram_join": OP6,
-          "op8_chat_format": OP8, "op10_sharding": _op10()}
+          "op8_chat_format": OP8, "op10_sharding": _op10(), "op11_lexical_search": OP11, "op12_hard_negatives": OP12}

@@ -1,8 +1,8 @@
 """Registered queries of the training-data operators, one for each, and their DuckDB SQL."""
 from __future__ import annotations
 
-from . import (chat_format, decontamination, language_id, line_dedup, ngram_join, packing, quality_rules, sharding,
-               substring_dedup, token_counts)
+from . import (chat_format, decontamination, hard_negatives, language_id, lexical_search, line_dedup, ngram_join, packing,
+               quality_rules, sharding, simhash, substring_dedup, token_counts)
 from .common import table
 
 
@@ -21,4 +21,7 @@ QUERIES = {
     "op8_chat_format": _over(chat_format.op8, "conversations"),
     "op9_language_id": _over(language_id.op9, "documents"),
     "op10_sharding": _over(sharding.op10, "documents"),
+    "op11_lexical_search": _over(lexical_search.op11, "documents", "benchmark"),
+    "op12_hard_negatives": _over(hard_negatives.op12, "embeddings"),
+    "op13_simhash": _over(simhash.op13, "documents"),
 }
