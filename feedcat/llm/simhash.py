@@ -81,7 +81,7 @@ def buckets(fps: DataFrame) -> DataFrame:
     ``own`` tells whether the variant is a member; bit ``i`` of ``mask`` that the variant with bit ``i`` flipped is."""
     # a fingerprint makes 65 rows, so small partitions of fingerprints aren't merged before that
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = fps.repartition(parts, "fp").select("fp", F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("bit"))
+    near = fps.repartition(parts).select("fp", F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("bit"))
     flipped = F.col("bit") >= 0
     spread = near.select(F.when(flipped, _flip(F.col("fp"), "bit")).otherwise(F.col("fp")).alias("variant"),
                          F.when(flipped, F.expr("shiftleft(1L, bit)")).otherwise(F.lit(0).cast("long")).alias("mask"),
