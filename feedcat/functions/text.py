@@ -26,8 +26,8 @@ def _c(x) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Trim Unicode whitespace at both ends (NULL -> '')."""
-    return F.regexp_replace(F.coalesce(_c(col), F.lit("")), f"^{WS}+|{WS}+$", "")
+    """Trim Unicode whitespace at both ends (NULL -> ''). A run inside the text is tried once, not from each of its characters."""
+    return F.regexp_replace(F.coalesce(_c(col), F.lit("")), f"^{WS}++|(?<!{WS}){WS}++$", "")
 
 
 def clean_text(col) -> Column:

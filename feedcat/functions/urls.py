@@ -148,7 +148,7 @@ def normalize_url(df: DataFrame, src, out: str, default_scheme: str = "http",
     path = F.col(f"{p}_path")
     df = df.withColumns({
         f"{p}_n2": strip_default_port(f"{p}_s2", f"{p}_n"),
-        f"{p}_path2": F.regexp_replace(path, "/+$", "") if strip_trailing_slash else path,
+        f"{p}_path2": F.regexp_replace(path, "(?<!/)/++$", "") if strip_trailing_slash else path,
         f"{p}_f2": F.lit("") if drop_fragment else F.col(f"{p}_f"),
     })
     res = unsplit(f"{p}_s2", f"{p}_n2", f"{p}_path2", f"{p}_q", f"{p}_f2")
@@ -247,7 +247,7 @@ def url_key_discovery(df: DataFrame, src, out: str) -> DataFrame:
     df = df.withColumn(f"{p}_in", F.lower(strip_ws(_c(src))))
     df = split_cols(df, f"{p}_in", p)
     s = F.col(f"{p}_s")
-    path = F.regexp_replace(F.col(f"{p}_path"), "/+$", "")
+    path = F.regexp_replace(F.col(f"{p}_path"), "(?<!/)/++$", "")
     df = df.withColumns({
         f"{p}_s2": F.when(s.isin("http", "https"), F.lit("https")).otherwise(s),
         f"{p}_n2": F.regexp_replace(F.col(f"{p}_n"), r"^www\.", ""),
@@ -341,7 +341,7 @@ def feed_path_rank(df: DataFrame, src, out: str) -> DataFrame:
     p = _tmp()
     df = df.withColumn(f"{p}_in", F.lower(F.coalesce(_c(src), F.lit(""))))
     df = split_cols(df, f"{p}_in", p)
-    path = F.regexp_replace(F.col(f"{p}_path"), "/+$", "")
+    path = F.regexp_replace(F.col(f"{p}_path"), "(?<!/)/++$", "")
     path = F.when(path == "", F.lit("/")).otherwise(path)
     pos = F.array_position(F.array(*[F.lit(x) for x in FEED_PATH_PREFERENCE]), path)
     df = df.withColumn(out, F.when(pos > 0, pos - 1)

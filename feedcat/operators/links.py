@@ -1,7 +1,7 @@
 """Link mining over captured pages.
 
-Pages are processed row-locally: comments, scripts and styles are cut, hrefs
-are pulled with ``regexp_extract_all`` and exploded, then resolved and
+Pages are processed row-locally: comments, scripts and styles are cut, tags
+are pulled with ``regexp_extract_all``, hrefs read from the tags and exploded, then resolved and
 normalised with native expressions.  The large ``html`` column is projected
 away before any exchange, so shuffles carry only URLs.  Blocklists are
 equi-joins on exploded host suffixes (never a theta join); Spark's
@@ -17,14 +17,16 @@ from ..functions import urls as U
 from ..functions.text import html_unescape, strip_ws
 from ..lexicon import COMMON_FEED_PATHS, IGNORED_HOSTS
 
-# FIXED VALUES: HTML patterns (Java regex and RE2 read them the same way).
-STRIP_RE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# attributes before the one wanted; quoted values are taken whole, so a '>' or a name inside them counts for nothing
-BEFORE = r"""(?:[^>=]*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]))*"""
-A_HREF_RE = rf"(?is)<a\b{BEFORE}?[^>=]*?\shref\s*=\s*{VALUE}"
-LINK_TAG_RE = rf"(?is)<link\b{BEFORE}[^>]*>"
-ATTR_RE = rf"(?is)^<link\b{BEFORE}?[^>=]*?\s{{name}}\s*=\s*{VALUE}"
+# HTML patterns. Every loop is possessive, which Java runs without recursion, and every pattern that has begun ends
+# somewhere (at the latest at the end of the page), so a page is read once whatever is in it: no tag with very many
+# attributes, unclosed tag, quote, comment or script makes it deep or slow.
+STRIP_RE = (r"(?is)<!--(?:.*?-->|.*+)|<script\b(?:.*?</script\s*+>|.*+)|<style\b(?:.*?</style\s*+>|.*+)")
+# a value is quoted, and then taken whole, or ends at white space or the tag's end
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+TAG_RE = rf"(?is)<(?:a|link)(?=[\s/>])(?:[^>=]++|=\s*+{VALUE})*+(?:>|\z)"
+# one attribute whose name isn't the one wanted
+OTHER = rf"[\s/]*+(?!{{name}}[\s/=>])[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE})?+"
+ATTR_RE = rf"(?is)^<(?:a|link)(?:{OTHER})*+[\s/]*+{{name}}\s*+=\s*+({VALUE})"
 
 
 def _unquote_attr(c):
@@ -46,14 +48,28 @@ def html_pages(pages: DataFrame) -> DataFrame:
     return pages.where(cond)
 
 
-def page_hrefs(pages: DataFrame, keep=("page_id", "url"), stripped: bool = False) -> DataFrame:
+def page_tags(html) -> F.Column:
+    """The page's whole <a> and <link> tags in document order, those in comments, scripts and styles left out."""
+    body = F.regexp_replace(html, STRIP_RE, " ")
+    return F.filter(F.regexp_extract_all(body, F.lit(TAG_RE), 0), lambda t: F.endswith(t, F.lit(">")))
+
+
+def _is_anchor(tag):
+    return tag.rlike(r"(?i)^<a[\s/>]")
+
+
+def _raw_hrefs(tags) -> F.Column:
+    """The href values of the anchors that have one, as written."""
+    return F.filter(F.transform(F.filter(tags, _is_anchor), lambda t: _raw_attr(t, "href")), lambda v: v != "")
+
+
+def page_hrefs(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
     """Every <a href> of a page in document order: (*keep, pos, href).
 
     href is entity-decoded and trimmed, as an HTML parser would hand it over.
     """
-    body = F.col("html") if stripped else F.regexp_replace(F.col("html"), STRIP_RE, " ")
-    raw = F.regexp_extract_all(body, F.lit(A_HREF_RE), 1)
-    df = pages.select(*keep, F.posexplode(raw).alias("pos", "__h"))
+    df = pages.select(*keep, page_tags(F.col("html")).alias("__tags"))
+    df = df.select(*keep, F.posexplode(_raw_hrefs(F.col("__tags"))).alias("pos", "__h"))
     return df.select(*keep, "pos",
                      strip_ws(html_unescape(_unquote_attr(F.col("__h")))).alias("href"))
 
@@ -61,24 +77,28 @@ def page_hrefs(pages: DataFrame, keep=("page_id", "url"), stripped: bool = False
 def page_links(pages: DataFrame) -> DataFrame:
     """One pass over each page's HTML: (page_id, url, origin, hrefs, tags).
 
+    The page is cut into its <a> and <link> tags, and attributes are read from a tag alone.
     ``hrefs`` are the raw captured <a href> values in document order, ``tags``
     the raw <link> tags; decoding happens after the explode, row by row.  The
     relation is small next to ``html`` and is the natural stage to checkpoint
     when several operators (outbound links, advertised feeds) read the pages.
     """
-    base = html_pages(pages).select("page_id", "url", F.regexp_replace(F.col("html"), STRIP_RE, " ").alias("__b"))
+    base = html_pages(pages).select("page_id", "url", page_tags(F.col("html")).alias("__tags"))
     base = U.url_origin(base, "url", "origin")
-    return base.select("page_id", "url", "origin",
-                       F.regexp_extract_all(F.col("__b"), F.lit(A_HREF_RE), 1).alias("hrefs"),
-                       F.regexp_extract_all(F.col("__b"), F.lit(LINK_TAG_RE), 0).alias("tags"))
+    return base.select("page_id", "url", "origin", _raw_hrefs(F.col("__tags")).alias("hrefs"),
+                       F.filter("__tags", lambda t: ~_is_anchor(t)).alias("tags"))
 
 
 def _clean_href(c):
     return strip_ws(html_unescape(_unquote_attr(c)))
 
 
+def _raw_attr(tag, name):
+    return F.regexp_extract(tag, ATTR_RE.format(name=name), 1)
+
+
 def _attr(tag, name):
-    return html_unescape(_unquote_attr(F.regexp_extract(tag, ATTR_RE.format(name=name), 1)))
+    return html_unescape(_unquote_attr(_raw_attr(tag, name)))
 
 
 def _links_of(pages: DataFrame) -> DataFrame:

@@ -83,3 +83,50 @@ def test_tag_with_very_many_attributes(spark):
     html = "<a " + " ".join(f"data-x{i}='{i}'" for i in range(300)) + " title='" + "t" * 200_000 + "' href='/end'>x</a>"
     pages = spark.createDataFrame([(1, "https://site.example.org/", html)], "page_id bigint, url string, html string")
     assert [r["href"] for r in L.page_hrefs(pages).collect()] == ["/end"]
+
+
+def _hostile():
+    """(page, hrefs of its anchors): pages that are deep or slow to read when a pattern goes back."""
+    many = " ".join(f"data-x{i}='{i}'" for i in range(100_000))
+    text = "a = b, c = 'd " * 80_000
+    return [
+        (f"<a {many} href='/end'>x</a>", ["/end"]),
+        ("<a " + "x " * 200_000 + "href=/bare>", ["/bare"]),
+        ("<a " + text, []),
+        ("<a href=/lost " * 80_000, []),
+        ("<a href=/one>1</a>" + "<a " * 300_000, ["/one"]),
+        ("<a href=/two>2</a>" + "<!-- " * 250_000, ["/two"]),
+        ("<a href=/three>3</a>" + "<script " * 150_000 + "<a href=/in>", ["/three"]),
+        ("<a title='never closed href=/no " + "<b> " * 200_000 + "<a href=/four>4</a>", ["/no", "/four"]),
+        ("<a" + " =" * 199_998 + " href=/five>", ["/five"]),  # a name, a sign and a value of three signs each
+        ("<a href='/six" + "x" * 1_000_000 + "'>6</a>", ["/six" + "x" * 1_000_000]),
+        ("<a href='/a" + " " * 500_000 + "b  \n'>", ["/a" + " " * 500_000 + "b"]),
+        ("<" * 1_000_000 + "<a href=/seven>7</a>", ["/seven"]),
+        ("<a-b href=/no><abbr href=/no><a\nhref=/eight><a/href=/nine><a x=\"1\"href=/ten><a href><a href=>", ["/eight", "/nine", "/ten"]),
+    ]
+
+
+def test_hostile_pages_are_read_once(spark):
+    import time
+    cases = _hostile()
+    pages = spark.createDataFrame([(i, "https://site.example.org/", h) for i, (h, _) in enumerate(cases)],
+                                  "page_id bigint, url string, html string").repartition(4)
+    began = time.time()
+    got = {}
+    for r in L.page_hrefs(pages).orderBy("page_id", "pos").collect():
+        got.setdefault(r["page_id"], []).append(r["href"])
+    assert time.time() - began < 60
+    for i, (_, want) in enumerate(cases):
+        assert got.get(i, []) == want, i
+    links = {r["link"] for r in L.outbound_links(pages).where("page_id not in (9, 10)").collect()}
+    assert links == {f"https://site.example.org/{x}" for x in ("end", "bare", "one", "two", "three", "four", "no", "five", "seven", "eight", "nine", "ten")}
+
+
+def test_link_tag_with_very_many_attributes(spark):
+    many = " ".join(f'data-x{i}="rel=alternate"' for i in range(100_000))
+    html = (f'<link {many} rel="alternate" type="application/rss+xml" href="/good.xml">' + "<link " * 100_000
+            + '<link rel=alternate type=application/atom+xml href=/late>')
+    pages = spark.createDataFrame([(1, "https://site.example.org/", html)], "page_id bigint, url string, html string")
+    # the many unclosed tags are one tag up to the first '>', whose first attributes are the names "<link"
+    assert {r["feed_url"] for r in L.advertised_feeds(pages).collect()} == {
+        "https://site.example.org/good.xml", "https://site.example.org/late"}
