@@ -13,27 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import markup as M
 from ..functions import urls as U
 from ..functions.text import html_unescape, strip_ws
 from ..lexicon import COMMON_FEED_PATHS, IGNORED_HOSTS
 
-# HTML patterns. Every loop is possessive, which Java runs without recursion, and every pattern that has begun ends
-# somewhere (at the latest at the end of the page), so a page is read once whatever is in it: no tag with very many
-# attributes, unclosed tag, quote, comment or script makes it deep or slow.
-STRIP_RE = (r"(?is)<!--(?:.*?-->|.*+)|<script\b(?:.*?</script\s*+>|.*+)|<style\b(?:.*?</style\s*+>|.*+)")
-# a value is quoted, and then taken whole, or ends at white space or the tag's end
-VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
-TAG_RE = rf"(?is)<(?:a|link)(?=[\s/>])(?:[^>=]++|=\s*+{VALUE})*+(?:>|\z)"
-# one attribute whose name isn't the one wanted
-OTHER = rf"[\s/]*+(?!{{name}}[\s/=>])[^\s/>][^\s/>=]*+(?:\s*+=\s*+{VALUE})?+"
-ATTR_RE = rf"(?is)^<(?:a|link)(?:{OTHER})*+[\s/]*+{{name}}\s*+=\s*+({VALUE})"
-
-
-def _unquote_attr(c):
-    """Drop the surrounding quotes of a captured attribute value."""
-    first = F.substring(c, 1, 1)
-    inner = F.substring(c, F.lit(2), F.greatest(F.length(c) - 2, F.lit(0)))
-    return F.when(first.isin('"', "'"), inner).otherwise(c)
+# what begins and isn't closed goes to the end of the page, as for a browser, and so is looked for once
+STRIP_RE = r"(?is)<!--(?:.*?-->|.*+)|<script\b(?:.*?</script\s*+>|.*+)|<style\b(?:.*?</style\s*+>|.*+)"
+NAMES = "a|link"
 
 
 def html_pages(pages: DataFrame) -> DataFrame:
@@ -50,8 +37,7 @@ def html_pages(pages: DataFrame) -> DataFrame:
 
 def page_tags(html) -> F.Column:
     """The page's whole <a> and <link> tags in document order, those in comments, scripts and styles left out."""
-    body = F.regexp_replace(html, STRIP_RE, " ")
-    return F.filter(F.regexp_extract_all(body, F.lit(TAG_RE), 0), lambda t: F.endswith(t, F.lit(">")))
+    return M.tags(F.regexp_replace(html, STRIP_RE, " "), NAMES)
 
 
 def _is_anchor(tag):
@@ -60,7 +46,7 @@ def _is_anchor(tag):
 
 def _raw_hrefs(tags) -> F.Column:
     """The href values of the anchors that have one, as written."""
-    return F.filter(F.transform(F.filter(tags, _is_anchor), lambda t: _raw_attr(t, "href")), lambda v: v != "")
+    return F.filter(F.transform(F.filter(tags, _is_anchor), lambda t: M.raw_attribute(t, "href", NAMES)), lambda v: v != "")
 
 
 def page_hrefs(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
@@ -71,7 +57,7 @@ def page_hrefs(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
     df = pages.select(*keep, page_tags(F.col("html")).alias("__tags"))
     df = df.select(*keep, F.posexplode(_raw_hrefs(F.col("__tags"))).alias("pos", "__h"))
     return df.select(*keep, "pos",
-                     strip_ws(html_unescape(_unquote_attr(F.col("__h")))).alias("href"))
+                     _clean_href(F.col("__h")).alias("href"))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -90,15 +76,11 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 
 def _clean_href(c):
-    return strip_ws(html_unescape(_unquote_attr(c)))
-
-
-def _raw_attr(tag, name):
-    return F.regexp_extract(tag, ATTR_RE.format(name=name), 1)
+    return strip_ws(html_unescape(M.unquoted(c)))
 
 
 def _attr(tag, name):
-    return html_unescape(_unquote_attr(_raw_attr(tag, name)))
+    return M.attribute(tag, name, NAMES)
 
 
 def _links_of(pages: DataFrame) -> DataFrame:

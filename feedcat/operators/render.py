@@ -40,16 +40,16 @@ def opml_lines(items: DataFrame) -> DataFrame:
                     F.concat_ws(" ", attr("text", title), attr("title", title), attr("type", ftype),
                                 attr("xmlUrl", url), attr("htmlUrl", url), attr("description", desc)),
                     F.lit(" />"))
-    feeds = items.select(cat.alias("category"), F.lit(1).alias("part"), F.lower(title).alias("k_title"),
-                         F.col("ord"), line.alias("line"))
+    feeds = items.select(cat.alias("category"), F.lit(1).alias("part"),
+                         F.lower(F.coalesce("title", F.lit(""))).alias("k_title"), F.col("ord"), line.alias("line"))
     cats = feeds.select("category").distinct()
     esc = xml_attr_escape(F.col("category"))
     opens = cats.select("category", F.lit(0).alias("part"), F.lit("").alias("k_title"),
-                        F.lit(None).cast("bigint").alias("ord"),
+                        F.lit(None).cast(feeds.schema["ord"].dataType).alias("ord"),
                         F.concat(F.lit(CAT_INDENT + '<outline text="'), esc, F.lit('" title="'), esc, F.lit('">'))
                         .alias("line"))
     closes = cats.select("category", F.lit(2).alias("part"), F.lit("").alias("k_title"),
-                         F.lit(None).cast("bigint").alias("ord"), F.lit(CAT_INDENT + "</outline>").alias("line"))
+                         F.lit(None).cast(feeds.schema["ord"].dataType).alias("ord"), F.lit(CAT_INDENT + "</outline>").alias("line"))
     out = opens.unionByName(feeds).unionByName(closes)
     return out.withColumn("k_cat", F.lower("category"))
 

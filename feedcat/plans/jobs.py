@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
+from ..functions.text import iso_utc
 from ..operators import catalog as C
 from ..operators import candidates as K
 from ..operators import entries as E
@@ -21,17 +22,27 @@ from ..operators import links as L
 from ..operators import quality as Q
 from ..operators import render as W
 from ..operators import scoring as R
+from ..session import materialize
 from ..sources import catalog_files as CF
+from ..sources import documents as D
 from ..sources import lists as LS
 from ..sources import sinks as SK
 from ..sources.catalog_files import SEEN_COLUMNS
 from ..lexicon import DEFAULT_LEXICON, Lexicon, MIN_SCORE
 
 
-def build_catalog_json(spark: SparkSession, feeds_glob: str, out: str) -> DataFrame:
-    """§3.1: YAML -> clean (B2) -> dedup (E1) -> G1 order -> JSON lines (A13).  Returns the rows."""
+def build_catalog_json(spark: SparkSession, feeds_glob: str, out: str, generated_at: str | None = None) -> DataFrame:
+    """§3.1: YAML -> clean (B2) -> dedup (E1) -> G1 order -> JSON (A13).  Returns the rows.
+
+    With ``generated_at`` the folder ``out`` gets the whole documents feeds.json and feeds.min.json, else JSON lines."""
     items = C.clean_items(CF.read_yaml_catalog(spark, feeds_glob, strict=True))
-    rows = W.catalog_json_rows(C.catalog_dedup(items))
+    feeds = C.catalog_dedup(items)
+    rows = W.catalog_json_rows(feeds)
+    if generated_at is not None:
+        feeds = materialize(feeds)
+        D.write_catalog_json(feeds, f"{out}/feeds.json", generated_at)
+        D.write_catalog_json(feeds, f"{out}/feeds.min.json", generated_at, pretty=False)
+        return rows
     SK.write_lines(rows.withColumnRenamed("json", "line"), out, ["k_category", "k_title", "k_url"])
     return rows
 
@@ -44,9 +55,9 @@ def validate_catalog(spark: SparkSession, feeds_glob: str, categories_md: str) -
 
 
 def export_opml(spark: SparkSession, feeds_glob: str, out: str, status_path: str | None = None,
-                only_active: bool = False, candidates_glob: str | None = None) -> DataFrame:
+                only_active: bool = False, candidates_glob: str | None = None, title: str | None = None) -> DataFrame:
     """§3.4 export: [promotion D7] -> clean (B4, blank category 'Uncategorized') -> E3 ->
-    [C10 active only] -> OPML lines (A15), written in document order."""
+    [C10 active only] -> OPML (A15): with ``title`` the whole document ``out``, else its body lines in order."""
     items = C.clean_items(CF.read_yaml_catalog(spark, feeds_glob), url_policy="export",
                           blank_category="Uncategorized")
     if candidates_glob:
@@ -62,6 +73,9 @@ def export_opml(spark: SparkSession, feeds_glob: str, out: str, status_path: str
             act = U.url_key_export(st.where(F.col("status") == "active"), "url", "__k")
             exp = exp.join(act.select(F.col("__k").alias("url")).distinct(), "url", "left_semi")
     lines = W.opml_lines(exp)
+    if title is not None:
+        D.write_opml(exp, out, title)
+        return lines
     SK.write_lines(lines, out, ["k_cat", "category", "part", "k_title", "ord"])
     return lines
 
@@ -78,9 +92,14 @@ def import_opml(spark: SparkSession, opml_path: str, out_dir: str) -> DataFrame:
     return out
 
 
-def markdown_page(spark: SparkSession, feeds_glob: str, out: str) -> DataFrame:
-    """Contents lines then per-category tables, in category / title / URL order."""
-    rows = W.markdown_rows(CF.read_yaml_catalog(spark, feeds_glob))
+def markdown_page(spark: SparkSession, feeds_glob: str, out: str, generated_at: str | None = None, **page) -> DataFrame:
+    """Contents, then per-category tables, in category / title / URL order: with ``generated_at`` the whole
+    page ``out`` (title, intro and note as in ``write_markdown``), else its rows as lines."""
+    items = CF.read_yaml_catalog(spark, feeds_glob)
+    rows = W.markdown_rows(items)
+    if generated_at is not None:
+        D.write_markdown(items, out, generated_at, **page)
+        return rows
     keyed = rows.withColumn("k_kind", F.when(F.col("kind") == "toc", F.lit(0)).otherwise(F.lit(1))) \
         .withColumn("k_cat", F.lower("category"))
     SK.write_lines(keyed, out, ["k_kind", "k_cat", "category", "k_title", "k_url"])
@@ -90,10 +109,12 @@ def markdown_page(spark: SparkSession, feeds_glob: str, out: str) -> DataFrame:
 def check_health(spark: SparkSession, fetches: DataFrame, previous: DataFrame | None, now: str,
                  out_base: str, run_id: str) -> DataFrame:
     """§3.3: captured fetch attempts (A11) -> C9 -> E21 -> D6 with the previous state ->
-    status snapshot (A14) with totals (E9)."""
+    status snapshot (A14) with totals (E9), as a table and as the whole document status.json."""
     resolved = H.retry_resolution(H.fetch_status(fetches))
-    merged = H.health_merge(resolved, previous, now)
+    merged = materialize(H.health_merge(resolved, previous, now))
     SK.write_status_snapshot(merged, out_base, run_id)
+    texts = {c: iso_utc(c) for c in ("down_since", "last_seen_active")}
+    D.write_status_json(merged.withColumns(texts), f"{out_base.rstrip('/')}/run={run_id}/status.json", now)
     return merged
 
 
@@ -110,7 +131,6 @@ def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: D
     seen cache.  Returns the stages as DataFrames (sites, probes, final candidates,
     review items, top new items, updated seen cache).
     """
-    from ..session import materialize
     links = materialize(L.page_links(pages))
     sites = L.crawl_sites(links, blocked, max_sites)
     adv = L.advertised_feeds(links).join(links.select("page_id", F.col("origin").alias("site_url")), "page_id")

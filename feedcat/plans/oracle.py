@@ -937,9 +937,9 @@ def o_opml_blocks():
 
     line = (f"'      <outline ' || concat_ws(' ', {attr('text', '_t')}, {attr('title', '_t')}, {attr('type', '_ty')}, "
             f"{attr('xmlUrl', '_u')}, {attr('htmlUrl', '_u')}, {attr('description', '_d')}) || ' />'")
-    base = (f"SELECT {cat} AS category, {title} AS _t, {ftype} AS _ty, coalesce(url, '') AS _u, {desc} AS _d, ord "
+    base = (f"SELECT {cat} AS category, {title} AS _t, {ftype} AS _ty, coalesce(url, '') AS _u, {desc} AS _d, ord, lower(coalesce(title, '')) AS k_title "
             f"FROM ({o_export_dedup()}) e")
-    feeds = f"SELECT category, 1 AS part, lower(_t) AS k_title, ord, {line} AS line FROM ({base}) b"
+    feeds = f"SELECT category, 1 AS part, k_title, ord, {line} AS line FROM ({base}) b"
     esc = D.xml_escape("category")
     return (f"WITH f AS ({feeds}) SELECT * FROM f UNION ALL "
             f"SELECT DISTINCT category, 0, '', CAST(NULL AS BIGINT), '    <outline text=\"' || {esc} || '\" title=\"' || {esc} || '\">' FROM f "
@@ -1021,3 +1021,6 @@ def o_review_order():
 @oracle("stream_health_state")
 def o_stream_health_state():
     return o_stream_health()
+
+
+from . import artifacts_oracle  # noqa: E402, F401

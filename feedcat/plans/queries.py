@@ -623,3 +623,6 @@ def q_stream_health_state(spark, sf_dir):
     state = HK.run_to_completion(spark, V.checks_of(V.stream_table(spark, sf_dir, "events")))
     return state.select("url", "status", "consecutive_failures", _iso(F.col("down_since")).alias("down_since"),
                         _iso(F.col("last_seen_active")).alias("last_seen_active"))
+
+
+from . import artifacts  # noqa: E402, F401

@@ -3,8 +3,8 @@ seen cache (A1, A2, A3, A4, A9).
 
 Files are read whole (one row per file, ``_metadata.file_name`` keeps the
 name); YAML is parsed per file with ``mapInPandas`` (the only Python-side
-parsing in the library), JSON with ``from_json`` and OPML with Spark's XML
-reader against an explicit nested schema.  A missing file reads as empty.
+parsing in the library), JSON with ``from_json``, and OPML is cut into its tags.
+A missing file reads as empty.
 """
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from ..functions import markup as M
 from ..functions import urls as U
 from ..functions.text import clean_text
 
@@ -127,60 +128,53 @@ def read_seen(spark: SparkSession, path: str) -> DataFrame:
                                    ("feed_url", "site_url", "title", "last_seen_ts", "score", "feed_type")])
 
 
-def _outline(children: str | None) -> str:
-    attrs = ("_text:string, _title:string, _type:string, _xmlUrl:string, _url:string, _href:string, "
-             "_htmlUrl:string, _description:string, _desc:string")
-    return f"struct<{attrs}" + (f", outline:array<{children}>" if children else "") + ">"
+# what an OPML document is cut into; comments, CDATA and instructions hold no outlines
+XML_SKIP_RE = r"(?s)<!--(?:.*?-->|.*+)|<!\[CDATA\[(?:.*?\]\]>|.*+)|<\?(?:.*?\?>|.*+)"
+OUTLINE = "outline"
+OPML_COLUMNS = ("file string, ord struct<file:string,pos:int>, url string, title string, description string, type string, "
+                "category string")
 
 
-O4 = _outline(None)
-O3 = _outline(O4)
-O2 = _outline(O3)
-O1 = _outline(O2)
-OPML_SCHEMA = f"head struct<title:string>, body struct<outline:array<{O1}>>, outline array<{O1}>"
-
-
-def _opml_feed_cols(node: str):
-    n = F.col(node)
-
-    def first(*names):
-        return F.coalesce(*[F.nullif(n[x], F.lit("")) for x in names])
-
-    return (first("_xmlUrl", "_url", "_href").alias("raw_url"),
-            clean_text(F.coalesce(first("_title", "_text"), F.lit(""))).alias("title"),
-            clean_text(F.coalesce(first("_description", "_desc"), F.lit(""))).alias("description"),
-            F.lower(clean_text(F.coalesce(n["_type"], F.lit("")))).alias("type"))
+def _opml_value(tag, *names: str):
+    """The first of the attributes that isn't empty; '' if all are."""
+    values = [F.nullif(M.attribute(tag, n, OUTLINE, "s"), F.lit("")) for n in names]
+    return F.coalesce(*values, F.lit(""))
 
 
 def read_opml(spark: SparkSession, path: str) -> DataFrame:
-    """A3: OPML -> feed items.  Top-level outlines are categories; their descendants
-    (to depth 4) with xmlUrl|url|href are feeds in document order.  Without <body> the
-    root's outlines are used; a document with no feed under any category yields all
-    outlines with a URL as 'Uncategorized'."""
-    df = spark.read.format("xml").option("rowTag", "opml").schema(OPML_SCHEMA).load(path) \
-        .withColumn("file", F.col("_metadata.file_name"))
-    top = df.select("file", F.posexplode(F.coalesce(F.col("body.outline"), F.col("outline"))).alias("i1", "o1"))
-    cat = clean_text(F.coalesce(F.nullif(F.col("o1._title"), F.lit("")), F.nullif(F.col("o1._text"), F.lit("")),
-                                F.lit("Uncategorized")))
-    top = top.withColumn("cat", cat)
-    l2 = top.select("file", "i1", "cat", "o1", F.posexplode_outer("o1.outline").alias("i2", "o2"))
-    l3 = l2.select("file", "i1", "cat", "i2", "o2", F.posexplode_outer("o2.outline").alias("i3", "o3"))
-    l4 = l3.select("file", "i1", "cat", "i2", "i3", "o3", F.posexplode_outer("o3.outline").alias("i4", "o4"))
-
-    def nodes(src, node, keys):
-        k = [F.lit(-1).alias(x) if x not in keys else F.col(x) for x in ("i2", "i3", "i4")]
-        return src.where(F.col(node).isNotNull()).select("file", "i1", "cat", *k, *_opml_feed_cols(node))
-
-    under = nodes(l2.where(F.col("i2").isNotNull()), "o2", ["i2"]) \
-        .unionByName(nodes(l3.where(F.col("i3").isNotNull()), "o3", ["i2", "i3"])) \
-        .unionByName(nodes(l4.where(F.col("i4").isNotNull()), "o4", ["i2", "i3", "i4"]))
-    feeds = under.where(F.col("raw_url").isNotNull())
-    tops = top.select("file", "i1", F.lit("Uncategorized").alias("cat"), F.lit(-1).alias("i2"), F.lit(-1).alias("i3"),
-                      F.lit(-1).alias("i4"), *_opml_feed_cols("o1"))
-    every = tops.unionByName(under.withColumn("cat", F.lit("Uncategorized"))).where(F.col("raw_url").isNotNull())
-    with_cats = feeds.select("file").distinct()
-    fallback = every.join(with_cats, "file", "left_anti")
-    out = feeds.unionByName(fallback)
+    """A3: OPML -> feed items, outlines nested to any depth, in document order (``ord``).
+
+    Top-level outlines are categories; their descendants with xmlUrl|url|href are feeds. Without <body> the
+    root's outlines are used; a document with no feed under any category yields all outlines with a URL as
+    'Uncategorized'. A document is cut into its tags; an outline's depth is the number of outlines open
+    before it, a running sum over the document's tags."""
+    raw = _whole_files(spark, path)
+    if raw is None:
+        return spark.createDataFrame([], OPML_COLUMNS)
+    cut = M.tags(F.regexp_replace("value", XML_SKIP_RE, " "), "/?(?:outline|body)", "s")
+    tag = F.col("tag")
+    t = raw.select("file", F.posexplode(cut).alias("pos", "tag"))
+    outline, ends = tag.startswith("<outline"), tag.startswith("</")
+    alone = tag.rlike(r"/>$")
+    t = t.select("file", "pos", "tag", outline.alias("is_outline"),
+                 F.when(tag.contains("body"), F.when(ends, -1).when(alone, 0).otherwise(1)).otherwise(0).alias("body"),
+                 F.when(outline & ~alone, 1).when(tag.startswith("</outline"), -1).otherwise(0).alias("step")) \
+        .withColumn("body", F.when(F.col("is_outline"), 0).otherwise(F.col("body")))
+    whole = Window.partitionBy("file")
+    before = whole.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = whole.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.select("file", "pos", "tag", "is_outline", F.coalesce(F.sum("step").over(before), F.lit(0)).alias("depth"),
+                 F.coalesce(F.sum("body").over(before), F.lit(0)).alias("inside"),
+                 F.max(F.when(F.col("body") == 1, True)).over(whole).alias("has_body"))
+    t = t.withColumn("inside", F.col("has_body").isNull() | (F.col("inside") > 0))
+    top = F.when(F.col("is_outline") & F.col("inside") & (F.col("depth") == 0), _opml_value(tag, "title", "text"))
+    t = t.withColumn("group", F.last(top, ignorenulls=True).over(so_far)).where("is_outline")
+    t = t.withColumn("raw_url", _opml_value(tag, "xmlUrl", "url", "href")).where("raw_url <> ''")
+    t = t.withColumn("filed", F.col("inside") & (F.col("depth") > 0))
+    t = t.withColumn("any_filed", F.max("filed").over(whole)).where(F.col("filed") | ~F.col("any_filed"))
+    named = clean_text(F.when(F.col("filed") & (F.col("group") != ""), F.col("group")).otherwise(F.lit("Uncategorized")))
+    out = t.select("file", "raw_url", F.struct("file", "pos").alias("ord"), clean_text(_opml_value(tag, "title", "text")).alias("title"),
+                   clean_text(_opml_value(tag, "description", "desc")).alias("description"),
+                   F.lower(clean_text(_opml_value(tag, "type"))).alias("type"), named.alias("category"))
     out = U.normalize_url(out, "raw_url", "url")
-    return out.select("file", F.struct("file", "i1", "i2", "i3", "i4").alias("ord"), "url", "title", "description",
-                      "type", F.col("cat").alias("category"))
+    return out.select("file", "ord", "url", "title", "description", "type", "category")

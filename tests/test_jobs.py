@@ -59,6 +59,18 @@ def test_build_validate_export_markdown(spark, tmp_path):
     assert "| zeta \\| pipe |  |  | <https://z.example.org/feed> |" in md
 
 
+def test_whole_documents(spark, tmp_path):
+    glob = _catalog(tmp_path)
+    J.build_catalog_json(spark, glob, str(tmp_path / "out"), generated_at="2024")
+    doc = json.loads((tmp_path / "out" / "feeds.json").read_text())
+    assert doc == json.loads((tmp_path / "out" / "feeds.min.json").read_text())
+    assert (doc["generated_at"], doc["total"], [f["title"] for f in doc["feeds"]]) == ("2024", 3, ["Alpha", "zeta | pipe", "Beta"])
+    J.export_opml(spark, glob, str(tmp_path / "feeds.opml"), title="T")
+    assert J.CF.read_opml(spark, str(tmp_path / "feeds.opml")).count() == 3
+    J.markdown_page(spark, glob, str(tmp_path / "page.md"), generated_at="2024", title="T")
+    assert (tmp_path / "page.md").read_text().startswith("# T\n\n**Generated:** `2024` (UTC)\n\n\n---\n\n## Contents\n\n- [News & Blogs]")
+
+
 def test_import_opml(spark, tmp_path):
     (tmp_path / "in.opml").write_text(
         '<opml><body><outline text="A &amp; B"><outline text="x" xmlUrl="https://x.example.org/f"/></outline>'
@@ -82,6 +94,8 @@ def test_check_health_job(spark, tmp_path):
     assert out["https://b.org/f"]["consecutive_failures"] == 3 and out["https://a.org/f"]["status"] == "active"
     tot = spark.read.json(str(tmp_path / "st" / "run=1" / "totals")).first()
     assert (tot["active"], tot["down"]) == (1, 1)
+    back = {r["url"]: r for r in J.CF.read_status(spark, str(tmp_path / "st" / "run=1" / "status.json")).collect()}
+    assert back["https://b.org/f"]["down_since"] == "2024-01-01T00:00:00.000000Z" and len(back) == 2
 
 
 def test_discover_job(spark):
