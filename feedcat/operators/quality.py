@@ -2,7 +2,8 @@
 
 Duplicate reports avoid a window over the key (one hot key would sort in a
 single task): the first location per key is a partial ``min_by`` aggregate,
-and only keys seen more than once join back to the items.
+and only keys seen more than once join back to the items.  A report stages the
+few columns it needs of the items, so the items are scanned and their keys computed once.
 """
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..functions.text import strip_ws
 from ..lexicon import ALLOWED_TYPES
+from ..session import materialize
 
 
 def _loc() -> F.Column:
@@ -30,47 +32,60 @@ def validation_items(items: DataFrame) -> DataFrame:
                      F.lower(strip_ws("title")).alias("title_v"))
 
 
+def keyed_items(items: DataFrame) -> DataFrame:
+    """Validation items with their duplicate keys: ``key`` (B6), ``host`` and the lower title; '' where there is none.
+
+    Everything a report needs of the items, so that one scan serves it (see ``quality_report``)."""
+    v = validation_items(items)
+    v = U.url_key_validate(v, "url_raw", "key")
+    v = U.normalize_url(v, "url_raw", "__n")
+    v = U.url_host(v, "__n", "host")
+    has_url = F.col("is_dict") & (F.col("url_raw") != "")
+    return v.select("file", "item_idx", "ord", "is_dict", "url_raw", "category_v", "type_v", "title_v",
+                    F.when(has_url, F.col("key")).alias("key"), F.when(has_url & (F.col("title_v") != ""), F.col("host")).alias("host"))
+
+
+def repeated(keyed: DataFrame) -> DataFrame:
+    """F1 and F2 at once: every later item of a key, with the key's first location.
+
+    The keys of both kinds are stacked, so one aggregate finds the first of each and one join goes back to the items:
+    (ord, file, item_idx, url_raw, kind, k1, k2, first_loc), kind 'url' or 'title'."""
+    each = F.array_compact(F.array(
+        F.when(F.col("key").isNotNull(), F.struct(F.lit("url").alias("kind"), F.col("key").alias("k1"), F.lit("").alias("k2"))),
+        F.when(F.col("host").isNotNull(), F.struct(F.lit("title").alias("kind"), F.col("host").alias("k1"), F.col("title_v").alias("k2")))))
+    stacked = keyed.select("ord", "file", "item_idx", "url_raw", F.inline(each))
+    first = stacked.groupBy("kind", "k1", "k2").agg(
+        F.min_by(_loc(), F.col("ord")).alias("first_loc"), F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return stacked.join(first.drop("n"), ["kind", "k1", "k2"]).where(F.col("ord") > F.col("first_ord")).drop("first_ord")
+
+
 def duplicate_urls(items: DataFrame) -> DataFrame:
     """every later item whose B6 key was seen before, pointing at the first location."""
-    v = validation_items(items).where(F.col("is_dict") & (F.col("url_raw") != ""))
-    v = U.url_key_validate(v, "url_raw", "key")
-    first = (v.groupBy("key").agg(F.min_by(_loc(), F.col("ord")).alias("first_loc"),
-                                  F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1))
-    dup = v.join(first, "key").where(F.col("ord") > F.col("first_ord"))
-    return dup.select("ord", "file", "item_idx", "url_raw", "key", "first_loc")
+    dup = repeated(keyed_items(items).withColumn("host", F.lit(None).cast("string")))
+    return dup.select("ord", "file", "item_idx", "url_raw", F.col("k1").alias("key"), "first_loc")
 
 
 def duplicate_titles(items: DataFrame) -> DataFrame:
     """later items with the same (host without 'www.', lower title), title not blank."""
-    v = validation_items(items).where(F.col("is_dict") & (F.col("url_raw") != "") & (F.col("title_v") != ""))
-    v = U.normalize_url(v, "url_raw", "__n")
-    v = U.url_host(v, "__n", "host")
-    first = (v.groupBy("host", "title_v").agg(F.min_by(_loc(), F.col("ord")).alias("first_loc"),
-                                             F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1))
-    dup = v.join(first, ["host", "title_v"]).where(F.col("ord") > F.col("first_ord"))
-    return dup.select("ord", "file", "item_idx", "host", F.col("title_v").alias("title"), "first_loc")
+    dup = repeated(keyed_items(items).withColumn("key", F.lit(None).cast("string")))
+    return dup.select("ord", "file", "item_idx", F.col("k1").alias("host"), F.col("k2").alias("title"), "first_loc")
 
 
-def quality_violations(items: DataFrame, categories: DataFrame) -> DataFrame:
-    """C12 + F1 + F2: one row per finding (level error|warn, rule, detail).
-
-    ``categories`` holds the canonical (category, file) table (D11, small,
-    left-joined).  Rules: file not listed (once per file), item not a dict,
-    missing url, category differs from the file's canonical name, unusual
-    type (warn), duplicate URL (error), same host+title (warn).
-    """
-    v = validation_items(items)
+def _findings(keyed: DataFrame, categories: DataFrame, files: DataFrame) -> DataFrame:
     canon = categories.select(F.col("file").alias("file"), F.col("category").alias("expected"))
-    v = v.join(canon, "file", "left")
-    files = v.select("file", F.col("expected").isNull().alias("unlisted")).distinct()
-    unlisted = files.where("unlisted").select(
-        F.lit(None).cast("bigint").alias("ord"), "file", F.lit(None).cast("bigint").alias("item_idx"),
-        F.lit("error").alias("level"), F.lit("file_not_listed").alias("rule"), F.lit("").alias("detail"))
+    ord_type = keyed.schema["ord"].dataType
+    none = [F.lit(None).cast(ord_type).alias("ord"), F.lit(None).cast("bigint").alias("item_idx")]
+
     def finding(level, rule, detail):
         return F.struct(F.lit(level).alias("level"), F.lit(rule).alias("rule"), detail.alias("detail"))
 
+    listed = files.join(canon, "file", "left")
+    per_file = F.when(F.col("state") != "ok", finding("error", "file_unreadable", F.col("state"))) \
+        .when(F.col("expected").isNull(), finding("error", "file_not_listed", F.lit("")))
+    of_files = listed.select("file", per_file.alias("c")).where("c is not null").select(none[0], "file", none[1], "c.*")
+    no_files = files.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
+        none[0], F.lit("").alias("file"), none[1], F.lit("error").alias("level"), F.lit("no_files").alias("rule"), F.lit("").alias("detail"))
+    v = keyed.join(canon, "file", "left")
     has_url = F.col("is_dict") & (F.col("url_raw") != "")
     checks = F.array_compact(F.array(
         F.when(~F.col("is_dict"), finding("error", "not_a_dict", F.lit(""))),
@@ -80,30 +95,35 @@ def quality_violations(items: DataFrame, categories: DataFrame) -> DataFrame:
                        F.concat(F.col("category_v"), F.lit(" != "), F.col("expected")))),
         F.when(has_url & ~F.col("type_v").isin(*ALLOWED_TYPES), finding("warn", "unusual_type", F.col("type_v"))),
     ))
-    per_item = v.select("ord", "file", "item_idx", F.explode(checks).alias("c")).select(
-        "ord", "file", "item_idx", F.col("c.level").alias("level"), F.col("c.rule").alias("rule"),
-        F.col("c.detail").alias("detail"))
-    dups = duplicate_urls(items).select("ord", "file", "item_idx", F.lit("error").alias("level"),
-                                        F.lit("duplicate_url").alias("rule"), F.col("first_loc").alias("detail"))
-    titles = duplicate_titles(items).select("ord", "file", "item_idx", F.lit("warn").alias("level"),
-                                            F.lit("possible_duplicate").alias("rule"),
-                                            F.col("first_loc").alias("detail"))
-    return unlisted.unionByName(per_item).unionByName(dups).unionByName(titles)
-
-
-def quality_summary(items: DataFrame, categories: DataFrame) -> DataFrame:
-    """Errors, warnings, items, unique URLs (distinct B6 keys), passed.
+    of_items = v.select("ord", "file", F.col("item_idx").cast("bigint").alias("item_idx"), F.inline(checks))
+    is_url = F.col("kind") == "url"
+    of_keys = repeated(keyed).select(
+        "ord", "file", F.col("item_idx").cast("bigint").alias("item_idx"), F.when(is_url, "error").otherwise("warn").alias("level"),
+        F.when(is_url, "duplicate_url").otherwise("possible_duplicate").alias("rule"), F.col("first_loc").alias("detail"))
+    return of_files.unionByName(no_files).unionByName(of_items).unionByName(of_keys)
 
-    Findings and items are tagged and unioned so one global aggregate yields
-    every total.
+
+def _files_of(keyed: DataFrame) -> DataFrame:
+    return keyed.select("file").distinct().withColumn("state", F.lit("ok"))
+
+
+def quality_violations(items: DataFrame, categories: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """C12 + F1 + F2: one row per finding (level error|warn, rule, detail).
+
+    ``categories`` holds the canonical (category, file) table (D11, small,
+    left-joined); ``files`` (file, state) the catalog's files, also those without an item; they are the
+    items' files if it isn't given.  Rules: no file at all, a file that can't be read or isn't a list, a file not listed,
+    item not a dict, missing url, category differs from the file's canonical name, unusual
+    type (warn), duplicate URL (error), same host+title (warn).  The items are scanned once.
     """
-    viol = quality_violations(items, categories).select(
-        F.col("level").alias("kind"), F.lit(None).cast("string").alias("key"))
-    v = validation_items(items)
-    keyed = U.url_key_validate(v, "url_raw", "__k").select(
-        F.lit("item").alias("kind"),
-        F.when(F.col("is_dict") & (F.col("url_raw") != ""), F.col("__k")).alias("key"))
-    out = viol.unionByName(keyed).groupBy().agg(
+    keyed = materialize(keyed_items(items))
+    return _findings(keyed, categories, _files_of(keyed) if files is None else files.select("file", "state"))
+
+
+def _summary(keyed: DataFrame, findings: DataFrame) -> DataFrame:
+    tagged = findings.select(F.col("level").alias("kind"), F.lit(None).cast("string").alias("key")) \
+        .unionByName(keyed.select(F.lit("item").alias("kind"), "key"))
+    out = tagged.groupBy().agg(
         F.count_if(F.col("kind") == "error").alias("errors"),
         F.count_if(F.col("kind") == "warn").alias("warnings"),
         F.count_if(F.col("kind") == "item").alias("items"),
@@ -111,6 +131,22 @@ def quality_summary(items: DataFrame, categories: DataFrame) -> DataFrame:
     return out.withColumn("passed", F.col("errors") == 0)
 
 
+def quality_report(items: DataFrame, categories: DataFrame, files: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(findings, one-row summary) from one scan of the items."""
+    keyed = materialize(keyed_items(items))
+    findings = _findings(keyed, categories, _files_of(keyed) if files is None else files.select("file", "state"))
+    return findings, _summary(keyed, findings)
+
+
+def quality_summary(items: DataFrame, categories: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Errors, warnings, items, unique URLs (distinct B6 keys), passed.
+
+    Findings and items are tagged and unioned so one global aggregate yields
+    every total.
+    """
+    return quality_report(items, categories, files)[1]
+
+
 def parse_exclusion_rules(lines) -> list[tuple[str, str]]:
     """Rule-file lines -> (rule_type, value); comments and blanks skipped."""
     out = []

@@ -48,10 +48,10 @@ def build_catalog_json(spark: SparkSession, feeds_glob: str, out: str, generated
 
 
 def validate_catalog(spark: SparkSession, feeds_glob: str, categories_md: str) -> tuple[DataFrame, DataFrame]:
-    """(findings, one-row summary)."""
-    items = CF.read_yaml_catalog(spark, feeds_glob, strict=False)
+    """(findings, one-row summary); empty, unlisted and unreadable files are findings, and so is no file."""
+    files = materialize(CF.read_yaml_files(spark, feeds_glob))
     canon = LS.canonical_categories(LS.read_lines(spark, categories_md))
-    return Q.quality_violations(items, canon), Q.quality_summary(items, canon)
+    return Q.quality_report(CF.items_of_files(files), canon, files)
 
 
 def export_opml(spark: SparkSession, feeds_glob: str, out: str, status_path: str | None = None,
@@ -80,6 +80,21 @@ def export_opml(spark: SparkSession, feeds_glob: str, out: str, status_path: str
     return lines
 
 
+def promote(spark: SparkSession, folder: str, candidates_glob: str) -> tuple[DataFrame, list[str]]:
+    """§3.4 promotion (D7/G3): candidate items whose export key is nowhere in ``folder``/*.yaml go to the file of the
+    same name there, first wins. Only files that get an item are written: theirs is the order of category, title and
+    URL, all others keep their bytes. Returns (promoted items, names of the files written)."""
+    def load(glob):
+        return C.clean_items(CF.read_yaml_catalog(spark, glob), url_policy="export", blank_category="Uncategorized")
+
+    both = materialize(C.promote_candidates(load(f"{folder.rstrip('/')}/*.yaml"), load(candidates_glob)))
+    added = both.where("promoted")
+    touched = both.join(added.select("file").distinct(), "file", "left_semi")
+    names = SK.write_yaml_files(touched, folder, ["url", "category", "title", "type", "description"],
+                                [F.lower("category"), F.lower("title"), F.lower("url"), "ord"])
+    return added, names
+
+
 def import_opml(spark: SparkSession, opml_path: str, out_dir: str) -> DataFrame:
     """§3.4 import: OPML (A3) -> E2 -> per-category files (F5) -> YAML (A16), title then URL order."""
     items = CF.read_opml(spark, opml_path)

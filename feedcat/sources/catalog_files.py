@@ -8,6 +8,8 @@ A missing file reads as empty.
 """
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -19,7 +21,6 @@ from ..functions.text import clean_text
 ITEM_SCHEMA = ("file string, item_idx int, url string, title string, description string, type string, "
                "category string, is_dict boolean")
 FIELDS = ["url", "title", "description", "type", "category"]
-FILE_STRIDE = 1_000_000_000
 
 
 def _whole_files(spark: SparkSession, path: str) -> DataFrame | None:
@@ -31,49 +32,88 @@ def _whole_files(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _yaml_list(text: str) -> tuple[str, list]:
+    """How a catalog file reads: its state (ok, corrupt or not_a_list) and its items."""
+    import yaml
+    try:
+        data = yaml.safe_load(text)
+    except yaml.YAMLError:
+        return "corrupt", []
+    if data is None:
+        return "ok", []
+    return ("ok", data) if isinstance(data, list) else ("not_a_list", [])
+
+
+def _yaml_item(item) -> tuple:
+    """The item's fields and whether it is a mapping. A missing key is None (e.g. the Markdown page files it under
+    'Uncategorized'), a YAML null ''."""
+    if not isinstance(item, dict):
+        return (*[None] * len(FIELDS), False)
+    return (*[None if k not in item else ("" if item[k] is None else str(item[k])) for k in FIELDS], True)
+
+
 def _parse_yaml_items(strict: bool):
     def parse(batches):
         import pandas as pd
-        import yaml
         for pdf in batches:
             out = []
             for name, text in zip(pdf["file"], pdf["value"]):
-                try:
-                    data = yaml.safe_load(text)
-                except yaml.YAMLError:
-                    if strict:
-                        raise
-                    data = []
-                if data is None:
-                    data = []
-                if not isinstance(data, list):
-                    if strict:
-                        raise ValueError(f"Invalid YAML in {name} (expected list)")
-                    data = []
-                for idx, it in enumerate(data, start=1):
-                    if isinstance(it, dict):
-                        # missing key -> NULL (e.g. the Markdown page files it under 'Uncategorized');
-                        # explicit YAML null -> ''
-                        vals = [None if k not in it else ("" if it[k] is None else str(it[k])) for k in FIELDS]
-                        out.append((name, idx, *vals, True))
-                    else:
-                        out.append((name, idx, None, None, None, None, None, False))
+                state, data = _yaml_list(text)
+                if strict and state != "ok":
+                    raise ValueError(f"Invalid YAML in {name} ({'expected list' if state == 'not_a_list' else 'corrupt'})")
+                out += [(name, idx, *_yaml_item(it)) for idx, it in enumerate(data, start=1)]
             yield pd.DataFrame(out, columns=["file", "item_idx", *FIELDS, "is_dict"])
     return parse
 
 
+def _with_ord(items: DataFrame) -> DataFrame:
+    """``ord``: the order of file names, then of places in the file; no number has to be dealt out for that."""
+    return items.withColumn("ord", F.struct("file", "item_idx"))
+
+
 def read_yaml_catalog(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """A1: one row per YAML list item with (file, item_idx, ord); ``ord`` orders by file
-    name then position.  ``strict`` fails on a non-list file (build/export); lenient
+    name then position.  ``strict`` fails on a corrupt or non-list file (build/export); lenient
     mode reads it as empty (discovery).  A missing field is NULL, a YAML null ''."""
     raw = _whole_files(spark, path)
     if raw is None:
-        return spark.createDataFrame([], ITEM_SCHEMA + ", ord bigint")
-    # file numbers: a window over the file names only (one row per file)
-    files = raw.select("file").distinct().withColumn("file_no", F.row_number().over(Window.orderBy("file")))
-    items = raw.mapInPandas(_parse_yaml_items(strict), ITEM_SCHEMA)
-    return items.join(files, "file").withColumn(
-        "ord", (F.col("file_no") * F.lit(FILE_STRIDE) + F.col("item_idx")).cast("bigint")).drop("file_no")
+        return _with_ord(spark.createDataFrame([], ITEM_SCHEMA))
+    return _with_ord(raw.mapInPandas(_parse_yaml_items(strict), ITEM_SCHEMA))
+
+
+FILE_SCHEMA = ("file string, bytes bigint, state string, n_items int, items array<struct<item_idx:int, url:string, title:string, "
+               "description:string, type:string, category:string, is_dict:boolean>>")
+
+
+def read_yaml_files(spark: SparkSession, path: str) -> DataFrame:
+    """A1 by file: one row per catalog file, empty, corrupt and non-list ones too, with how it reads (``state``: ok,
+    corrupt, not_a_list), its size and its items. No file gives no row."""
+    raw = _whole_files(spark, path)
+    if raw is None:
+        return spark.createDataFrame([], FILE_SCHEMA)
+
+    def parse(batches):
+        import pandas as pd
+        names = ["item_idx", *FIELDS, "is_dict"]
+        for pdf in batches:
+            out = []
+            for name, text in zip(pdf["file"], pdf["value"]):
+                state, data = _yaml_list(text)
+                items = [dict(zip(names, (idx, *_yaml_item(it)))) for idx, it in enumerate(data, start=1)]
+                out.append((name, len(text.encode()), state, len(items), items))
+            yield pd.DataFrame(out, columns=["file", "bytes", "state", "n_items", "items"])
+
+    parsed = raw.mapInPandas(parse, FILE_SCHEMA)
+    # scans leave files without a byte out, so names come from the scan's own listing
+    names = [(unquote(f.rsplit("/", 1)[-1]),) for f in raw.inputFiles()]
+    return spark.createDataFrame(names, "file string").join(parsed, "file", "left").select(
+        "file", F.coalesce("bytes", F.lit(0).cast("bigint")).alias("bytes"), F.coalesce("state", F.lit("ok")).alias("state"),
+        F.coalesce("n_items", F.lit(0)).alias("n_items"), "items")
+
+
+def items_of_files(files: DataFrame) -> DataFrame:
+    """The items of ``read_yaml_files`` as ``read_yaml_catalog`` gives them."""
+    return _with_ord(files.select("file", F.inline("items")))
 
 
 CATALOG_JSON_SCHEMA = ("generated_at string, total bigint, "

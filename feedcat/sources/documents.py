@@ -9,6 +9,7 @@ bytes; elsewhere the parts are streamed through a buffer of fixed size. No line
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import UnsupportedOperationException
@@ -57,6 +58,8 @@ class Files:
         first, *rest = parts
         try:
             self.fs.rename(self.path(first), self.path(target))
+            if not rest:
+                return
             sources = self.gateway.new_array(self.jvm.org.apache.hadoop.fs.Path, len(rest))
             for i, p in enumerate(rest):
                 sources[i] = self.path(p)
@@ -98,20 +101,18 @@ def write_document(lines: DataFrame, path: str, keys: list[str], head: str = "",
                    last_sep: str | None = None, line: str = "line", partitions: int | None = None) -> None:
     """``head``, every ``line`` in the order of ``keys`` and ``sep`` after each, ``tail``.
 
-    With ``last_sep`` that is what stands after the last line; ``keys`` tell all lines apart then."""
+    With ``last_sep`` that is what stands after the last line."""
     spark = lines.sparkSession
     files = Files(spark, path)
     work = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     n = partitions or spark.sparkContext.defaultParallelism
     try:
         if last_sep is not None:
-            lines = materialize(lines)
-            last = lines.agg(F.max_by(F.struct(line, *keys), F.struct(*keys)).alias("r")).first()["r"]  # one line
+            lines = materialize(lines.withColumn("__row", F.monotonically_increasing_id()))
+            keys = [*keys, "__row"]
+            last = lines.agg(F.max_by(F.struct(F.col(line).alias("line"), "__row"), F.struct(*keys)).alias("r")).first()["r"]  # one line
             if last is not None:
-                other = F.lit(False)
-                for k in keys:
-                    other = other | ~F.col(k).eqNullSafe(F.lit(last[k]).cast(lines.schema[k].dataType))
-                lines, tail = lines.where(other), last[line] + last_sep + tail
+                lines, tail = lines.where(F.col("__row") != last["__row"]), last["line"] + last_sep + tail
         lines.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select(F.col(line).alias("value")) \
             .write.option("lineSep", sep).text(f"{work}/body")
         files.write(f"{work}/head", head)
@@ -123,6 +124,30 @@ def write_document(lines: DataFrame, path: str, keys: list[str], head: str = "",
         files.delete(work)
 
 
+def write_documents(lines: DataFrame, folder: str, name: str, keys: list[str], line: str = "line",
+                    partitions: int | None = None) -> list[str]:
+    """The file ``folder``/``name`` for each value of the column ``name``, its lines in the order of ``keys``; each is put
+    in place of the old one by itself, other files stay. Returns the names."""
+    spark = lines.sparkSession
+    files = Files(spark, folder)
+    folder = folder.rstrip("/")
+    work = f"{folder}/.{uuid.uuid4().hex}"
+    n = partitions or spark.sparkContext.defaultParallelism
+    try:
+        lines.repartitionByRange(n, name, *keys).sortWithinPartitions(name, *keys) \
+            .select(F.col(name).alias("__name"), F.col(line).alias("value")).write.partitionBy("__name").text(f"{work}/body")
+        names = []
+        for entry in files.names(f"{work}/body"):
+            if entry.startswith("__name="):
+                parts = [f"{work}/body/{entry}/{f}" for f in files.names(f"{work}/body/{entry}") if f.startswith("part-")]
+                names.append(unquote(entry.removeprefix("__name=")))
+                files.join(parts, f"{work}/{len(names)}")
+                files.move(f"{work}/{len(names)}", f"{folder}/{names[-1]}", replace=True)
+    finally:
+        files.delete(work)
+    return names
+
+
 def _json(value: Column) -> Column:
     """A value as JSON text; null is ``null``."""
     wrapped = F.to_json(F.array(value), {"ignoreNullFields": "false"})
@@ -150,7 +175,7 @@ def write_catalog_json(items: DataFrame, path: str, generated_at: str, pretty: b
     """``{generated_at, total, feeds: [...]}`` in G1 order, pretty or minified."""
     items = items.withColumns({f: F.coalesce(F.col(f), F.lit("")) for f in ITEM_FIELDS})
     keyed = items.select(F.lower("category").alias("k_category"), F.lower("title").alias("k_title"), F.lower("url").alias("k_url"),
-                         F.col("url").alias("k_raw"), *([F.col("ord").alias("k_ord")] if "ord" in items.columns else []), *ITEM_FIELDS)
+                         F.col("url").alias("k_raw"), *ITEM_FIELDS)
     keys = [c for c in keyed.columns if c.startswith("k_")]
     obj = json_object(keyed, ITEM_FIELDS, 4 if pretty else None)
     lines = materialize(keyed.select(*keys, F.concat(F.lit("    " if pretty else ""), obj).alias("line")))

@@ -1,5 +1,4 @@
-"""Sinks: ordered text artifacts, per-file YAML, JSON rows, versioned tables
-(A13-A17, A20).
+"""Sinks: ordered text artifacts, per-file YAML, JSON rows, status snapshots.
 
 Ordered artifacts are range-partitioned on their sort keys and sorted within
 partitions, so part files concatenated in name order give the document in
@@ -11,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .documents import write_documents
 
 
 def _parallelism(df: DataFrame) -> int:
@@ -29,35 +29,25 @@ def write_lines(df: DataFrame, path: str, keys: list[str], line: str = "line", p
 
 
 def yaml_text(items: DataFrame, keys: list[str], omit_blank: bool = False) -> DataFrame:
-    """Render every item as its YAML list entry with a fixed key order
-    (``omit_blank`` drops empty optional fields, as the OPML import does)."""
-    cols = list(items.columns)
-
-    def render(batches):
-        import pandas as pd
-        import yaml
-        for pdf in batches:
-            texts = []
-            for rec in pdf[keys].to_dict("records"):
-                item = {k: ("" if v is None else v) for k, v in rec.items()}
-                if omit_blank:
-                    item = {k: v for k, v in item.items() if k in ("url", "category") or v}
-                texts.append(yaml.safe_dump([item], sort_keys=False, allow_unicode=True))
-            out = pdf.copy()
-            out["yaml"] = texts
-            yield out
-
-    schema = T.StructType([*items.schema.fields, T.StructField("yaml", T.StringType())])
-    return items.select(*cols).mapInPandas(render, schema)
+    """``yaml``, every item as its YAML list entry with a fixed key order
+    (``omit_blank`` drops empty optional fields, as the OPML import does).  Values are double-quoted scalars, whose
+    escapes YAML shares with JSON, so any text reads back as it was."""
+    fields = []
+    for k in keys:
+        value = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        quoted = F.to_json(F.array(value))
+        field = F.concat(F.lit(f"{k}: "), F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+        fields.append(F.when(value != "", field) if omit_blank and k not in ("url", "category") else field)
+    return items.withColumn("yaml", F.concat(F.lit("- "), F.concat_ws("\n  ", *fields)))
 
 
 def write_yaml_files(items: DataFrame, path: str, keys: list[str], sort_cols: list, file_col: str = "file",
-                     omit_blank: bool = False) -> None:
-    """One directory per target file, entries in ``sort_cols`` order (range partitioned)."""
-    y = yaml_text(items, keys, omit_blank)
-    n = _parallelism(items)
-    (y.repartitionByRange(n, F.col(file_col), *sort_cols).sortWithinPartitions(F.col(file_col), *sort_cols)
-      .select(file_col, F.col("yaml").alias("value")).write.mode("overwrite").partitionBy(file_col).text(path))
+                     omit_blank: bool = False) -> list[str]:
+    """The file ``path``/``file`` for each target file, entries in ``sort_cols`` order; every file is put in place of
+    the old one at once, files without an item aren't touched.  Returns the files' names."""
+    order = {f"__k{i}": (F.col(c) if isinstance(c, str) else c) for i, c in enumerate(sort_cols)}
+    y = yaml_text(items, keys, omit_blank).withColumns(order).select(file_col, *order, "yaml")
+    return write_documents(y, path, file_col, list(order), "yaml")
 
 
 def write_json_rows(df: DataFrame, path: str, bucket_col: str | None = None) -> None:
@@ -69,13 +59,6 @@ def write_json_rows(df: DataFrame, path: str, bucket_col: str | None = None) ->
     w.json(path)
 
 
-def write_version(df: DataFrame, base: str, version: str, fmt: str = "parquet") -> str:
-    """Write a new version of a table under ``base``; readers pick the latest."""
-    out = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").format(fmt).save(out)
-    return out
-
-
 def write_status_snapshot(results: DataFrame, base: str, run_id: str) -> str:
     """One status snapshot version: per-URL rows (sorted by URL) and a totals row.
 

@@ -59,6 +59,31 @@ def test_build_validate_export_markdown(spark, tmp_path):
     assert "| zeta \\| pipe |  |  | <https://z.example.org/feed> |" in md
 
 
+def test_validation_goes_by_file(spark, tmp_path):
+    glob = _catalog(tmp_path)
+    cats = str(tmp_path / "categories.md")
+    extra = {"c.yaml": "", "d.yaml": "- url: [unclosed", "e.yaml": "key: value", "f.yaml": "- url: https://f.example.org/\n  type: rss\n- text"}
+    for name, text in extra.items():
+        (tmp_path / "feeds" / name).write_text(text)
+    findings, summary = J.validate_catalog(spark, glob, cats)
+    by_file = sorted((r["file"], r["rule"], r["detail"]) for r in findings.where("file > 'b.yaml'").collect())
+    assert by_file == [("c.yaml", "file_not_listed", ""), ("d.yaml", "file_unreadable", "corrupt"), ("e.yaml", "file_unreadable", "not_a_list"),
+                       ("f.yaml", "file_not_listed", ""), ("f.yaml", "not_a_dict", "")]
+    s = summary.first()
+    assert (s["errors"], s["items"], s["passed"]) == (3 + 5, 6, False)
+    files = {r["file"]: (r["state"], r["n_items"], r["bytes"]) for r in J.CF.read_yaml_files(spark, glob).collect()}
+    assert files["c.yaml"] == ("ok", 0, 0) and files["f.yaml"] == ("ok", 2, len(extra["f.yaml"])) and files["d.yaml"][0] == "corrupt"
+    # a listed file may be empty
+    (tmp_path / "listed").mkdir()
+    (tmp_path / "listed" / "a.yaml").write_text("# nothing yet\n")
+    findings, summary = J.validate_catalog(spark, str(tmp_path / "listed" / "*.yaml"), cats)
+    assert findings.count() == 0 and summary.first()["passed"]
+    # no files at all
+    findings, summary = J.validate_catalog(spark, str(tmp_path / "none" / "*.yaml"), cats)
+    assert [(r["level"], r["rule"]) for r in findings.collect()] == [("error", "no_files")]
+    assert tuple(summary.first()) == (1, 0, 0, 0, False)
+
+
 def test_whole_documents(spark, tmp_path):
     glob = _catalog(tmp_path)
     J.build_catalog_json(spark, glob, str(tmp_path / "out"), generated_at="2024")
@@ -76,8 +101,35 @@ def test_import_opml(spark, tmp_path):
         '<opml><body><outline text="A &amp; B"><outline text="x" xmlUrl="https://x.example.org/f"/></outline>'
         '<outline text="A and B"><outline text="y" xmlUrl="https://y.example.org/f"/></outline></body></opml>')
     J.import_opml(spark, str(tmp_path / "in.opml"), str(tmp_path / "out"))
-    dirs = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir())
-    assert dirs == ["file=a-and-b-2.yaml", "file=a-and-b.yaml"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")) == ["a-and-b-2.yaml", "a-and-b.yaml"]
+    back = J.CF.read_yaml_catalog(spark, str(tmp_path / "out" / "*.yaml"))
+    assert sorted((r["file"], r["category"], r["title"], r["type"]) for r in back.collect()) == [
+        ("a-and-b-2.yaml", "A and B", "y", None), ("a-and-b.yaml", "A & B", "x", None)]
+
+
+def test_promotion_touches_its_files_only(spark, tmp_path):
+    _catalog(tmp_path)
+    d = tmp_path / "feeds"
+    (d / "c.yaml").write_text("# by hand\n- {url: https://c.example.org/f, title: C}\n")
+    cand = tmp_path / "feeds" / "_candidates"
+    cand.mkdir()
+    (cand / "a.yaml").write_text("- url: http://new.example.org/x/\n  title: 'it''s: \\new \"q\"'\n  category: aaa\n- url: http://c.example.org/f/\n"
+                                 "- url: https://www.b.example.org/other\n  category: News & Blogs\n  title: beta\n")
+    (cand / "n.yaml").write_text("- url: https://new.example.org/x\n- url: https://n.example.org/\n  title: é ✓\n")
+    before = {n: (d / n).read_bytes() for n in ("b.yaml", "c.yaml")}
+    added, names = J.promote(spark, str(d), str(cand / "*.yaml"))
+    assert sorted(names) == ["a.yaml", "n.yaml"]
+    assert sorted((r["file"], r["url"]) for r in added.collect()) == [
+        ("a.yaml", "https://new.example.org/x"), ("a.yaml", "https://www.b.example.org/other"), ("n.yaml", "https://n.example.org")]
+    assert {n: (d / n).read_bytes() for n in before} == before
+    import yaml
+    a = yaml.safe_load((d / "a.yaml").read_text())
+    assert [list(x) for x in a] == [["url", "category", "title", "type", "description"]] * 5
+    assert [(x["category"], x["title"]) for x in a] == [("aaa", 'it\'s: \\new "q"'), ("News & Blogs", "Alpha"), ("News & Blogs", "beta"),
+                                                       ("News & Blogs", "zeta | pipe"), ("Uncategorized", "")]
+    assert yaml.safe_load((d / "n.yaml").read_text())[0]["title"] == "é ✓"
+    added, names = J.promote(spark, str(d), str(cand / "*.yaml"))  # nothing is new any more
+    assert names == [] and added.isEmpty()
 
 
 def test_check_health_job(spark, tmp_path):
