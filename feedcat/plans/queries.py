@@ -593,14 +593,15 @@ from ..streaming import new_candidates as NC  # noqa: E402
 
 @register("stream_health")
 def q_stream_health(spark, sf_dir):
-    state = HS.run_to_completion(spark, V.checks_of(V.stream_table(spark, sf_dir, "events")))
+    state = HS.run_to_completion(spark, V.checks_of(V.stream_in_batches(spark, sf_dir, "events", "event_id")),
+                                 buckets=8, block_runs=8)
     return state.select("url", "status", "consecutive_failures", _iso(F.col("down_since")).alias("down_since"),
                         _iso(F.col("last_seen_active")).alias("last_seen_active"))
 
 
 @register("stream_new")
 def q_stream_new(spark, sf_dir):
-    seen = NC.run_to_completion(spark, V.sightings_of(V.stream_table(spark, sf_dir, "events")))
+    seen = NC.run_to_completion(spark, V.sightings_of(V.stream_in_batches(spark, sf_dir, "events", "event_id")), buckets=16)
     return seen.select("url_hash", "feed_url", _iso(F.col("first_seen")).alias("first_seen"), "first_event")
 
 

@@ -237,6 +237,18 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             .parquet(f"{sf_dir}/{name}.parque[t]"))
 
 
+def stream_in_batches(spark: SparkSession, sf_dir: str, name: str, key: str, batches: int = 4) -> DataFrame:
+    """A driver table as a stream of ``batches`` micro-batches, dealt by a hash of ``key``: each brings rows of all
+    times, so all but the first are late."""
+    import uuid
+
+    from ..session import shared_dir
+    t = table(spark, sf_dir, name)
+    path = f"{shared_dir(spark)}/batches-{uuid.uuid4().hex}"
+    t.repartition(batches, key).write.parquet(path)
+    return spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def checks_of(events: DataFrame) -> DataFrame:
     """Events as check-log rows (same mapping as v_checks, usable on a stream)."""
     return events.select(
