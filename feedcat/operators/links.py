@@ -95,12 +95,12 @@ def resolve_links(pages: DataFrame) -> DataFrame:
     return df.select("page_id", "pos", "href", "base", "resolved")
 
 
-def outbound_links(pages: DataFrame) -> DataFrame:
-    """Distinct outbound http(s) links per page after join + crawl normalisation,
-    skipping '#', mailto:, javascript:, blanks and asset paths."""
+def _outbound(pages: DataFrame) -> DataFrame:
+    """C4: (page_id, page_url, link) for every outbound http(s) link after join + crawl normalisation,
+    skipping '#', mailto:, javascript:, blanks and asset paths; a link as often as it occurs."""
     pl = _links_of(pages)
-    df = pl.select("page_id", F.col("origin").alias("base"), F.explode("hrefs").alias("__raw"))
-    df = df.select("page_id", "base", _clean_href(F.col("__raw")).alias("href"))
+    df = pl.select("page_id", F.col("url").alias("page_url"), F.col("origin").alias("base"), F.explode("hrefs").alias("__raw"))
+    df = df.select("page_id", "page_url", "base", _clean_href(F.col("__raw")).alias("href"))
     h = F.col("href")
     df = df.where((h != "") & ~h.startswith("#") & ~h.startswith("mailto:") & ~h.startswith("javascript:"))
     df = U.resolve_url(df, "base", "href", "__j")
@@ -109,7 +109,31 @@ def outbound_links(pages: DataFrame) -> DataFrame:
     df = U.url_scheme(df, "link", "__s")
     df = U.url_path(df, "link", "__p")
     df = df.where(F.col("__s").isin("http", "https") & ~U.is_asset_path(F.lower(F.col("__p"))))
-    return df.select("page_id", "link").distinct()
+    return df.select("page_id", "page_url", "link")
+
+
+def outbound_links(pages: DataFrame) -> DataFrame:
+    """Distinct outbound links per page."""
+    return _outbound(pages).select("page_id", "link").distinct()
+
+
+#: Copies of the blocklist that a suffix's hosts are dealt over: short suffixes (a top-level domain) have very many.
+SALTS = 16
+
+
+def _salt(host) -> F.Column:
+    return F.pmod(F.xxhash64(host), F.lit(SALTS)).cast("int")
+
+
+def suffix_rows(df: DataFrame, host_col: str) -> DataFrame:
+    """A row for each dot-suffix of the host, with the salt that spreads a suffix over its hosts."""
+    return df.select(*df.columns, _salt(host_col).alias("__salt"), F.explode(U.host_suffixes(F.col(host_col))).alias("__sfx"))
+
+
+def salted_blocklist(blocked: DataFrame) -> DataFrame:
+    """(__sfx, __salt) of each blocked domain, once for each salt."""
+    return blocked.select(F.col("domain").alias("__sfx")).where(F.col("__sfx") != "").distinct() \
+        .select("__sfx", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
 
 
 def blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None) -> DataFrame:
@@ -119,10 +143,8 @@ def blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None) -> Da
     blank = F.col(host_col) == ""
     if blocked is None:
         return df.withColumn("blocked", blank)
-    bl = blocked.select(F.col("domain").alias("__sfx")).where(F.col("__sfx") != "").distinct()
-    sfx = df.select(F.col(host_col).alias("__h")).distinct() \
-        .select("__h", F.explode(U.host_suffixes(F.col("__h"))).alias("__sfx"))
-    bad = sfx.join(bl, "__sfx", "left_semi").select("__h").distinct().withColumn("__hit", F.lit(True))
+    sfx = suffix_rows(df.select(F.col(host_col).alias("__h")).distinct(), "__h")
+    bad = sfx.join(salted_blocklist(blocked), ["__sfx", "__salt"], "left_semi").select("__h").distinct().withColumn("__hit", F.lit(True))
     out = df.join(bad, df[host_col] == bad["__h"], "left")
     return out.withColumn("blocked", blank | F.coalesce(F.col("__hit"), F.lit(False))).drop("__h", "__hit")
 
@@ -140,46 +162,62 @@ def drop_blocked_hosts(df: DataFrame, host_col: str, blocked: DataFrame | None,
     df = df.where(F.col(host_col) != "")
     if blocked is None:
         return df
-    bl = blocked.select(F.col("domain").alias("__sfx"), F.lit(True).alias("__hit")).where(F.col("__sfx") != "").distinct()
+    bl = salted_blocklist(blocked)
     if key:
         # rows are unique on ``key``, so grouping on every column keeps them whole while the
         # only aggregate is a boolean (hash aggregation, no sort)
-        ex = df.select(*df.columns, F.explode(U.host_suffixes(F.col(host_col))).alias("__sfx"))
-        j = ex.join(bl, "__sfx", "left")
+        j = suffix_rows(df, host_col).join(bl.withColumn("__hit", F.lit(True)), ["__sfx", "__salt"], "left")
         g = j.groupBy(*df.columns).agg(F.max(F.coalesce(F.col("__hit"), F.lit(False))).alias("__bad"))
         return g.where(~F.col("__bad")).select(*df.columns)
-    sfx = df.select(F.col(host_col).alias("__h")).distinct() \
-        .select("__h", F.explode(U.host_suffixes(F.col("__h"))).alias("__sfx"))
-    bad = sfx.join(bl.select("__sfx"), "__sfx", "left_semi").select("__h").distinct()
+    sfx = suffix_rows(df.select(F.col(host_col).alias("__h")).distinct(), "__h")
+    bad = sfx.join(bl, ["__sfx", "__salt"], "left_semi").select("__h").distinct()
     return df.join(bad, df[host_col] == bad["__h"], "left_anti")
 
 
-def skip_sites(df: DataFrame, origin_col: str, blocked: DataFrame | None) -> DataFrame:
-    """Drop origins with no host, no dot in the host, an ignored host or a blocked host."""
-    df = U.url_host(df, origin_col, "__host")
-    df = df.where((F.col("__host") != "") & F.col("__host").contains(".")
-                  & ~F.col("__host").isin(*IGNORED_HOSTS))
-    return drop_blocked_hosts(df, "__host", blocked, key=[origin_col]).drop("__host")
+def page_key(df: DataFrame, url_col: str, out: str) -> DataFrame:
+    """The name a page is asked for by: the crawl-normalised URL, a site's root with or without its slash alike."""
+    df = U.normalize_url_crawl(df, url_col, out)
+    return df.withColumn(out, F.regexp_replace(out, r"^([A-Za-z]+://[^/?#]+)/$", "$1"))
 
 
-def crawl_sites(pages: DataFrame, blocked: DataFrame | None = None,
-                max_sites: int | None = None) -> DataFrame:
-    """Candidate site origins from outbound links; one origin per host (the
-    smallest string, so http:// beats https://), capped after ordering if ``max_sites`` is given."""
-    links = outbound_links(pages).select("link").distinct()
-    df = U.url_origin(links, "link", "site_url").where(F.col("site_url") != "")
-    df = skip_sites(df.select("site_url").distinct(), "site_url", blocked)
+def seed_links(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Hop 1 of the crawl: ``page_links`` of the pages that are seeds (``url``), and of no others. The few seeds meet the
+    pages' URLs, so HTML of other pages isn't read into tags."""
+    keyed = page_key(html_pages(pages), "url", "__key")
+    wanted = page_key(seeds.select("url"), "url", "__key").where("__key <> ''").select("__key").distinct()
+    return page_links(keyed.join(wanted, "__key", "left_semi"))
+
+
+def home_links(pages: DataFrame, sites: DataFrame) -> DataFrame:
+    """Hop 2 of the crawl: ``page_links`` of the sites' home pages (``site_url``), and of no others. Pages are cut to
+    their tags before they are joined, so no HTML is shuffled however many sites there are."""
+    keyed = page_key(page_links(pages), "url", "__key")
+    return keyed.join(sites.select(F.col("site_url").alias("__key")), "__key", "left_semi").drop("__key")
+
+
+def linked_sites(links: DataFrame, blocked: DataFrame | None = None, max_sites: int | None = None) -> DataFrame:
+    """E7/C1 with provenance: (site_url, host, found_on, n_links). Origins are taken right from the links, so what is
+    shuffled is one row per task and host; ``site_url`` is the host's smallest origin (so http:// beats https://),
+    ``found_on`` the smallest URL of a page that links to it. Hosts without a dot, ignored and blocked ones are
+    dropped; capped after ordering if ``max_sites`` is given."""
+    df = U.url_origin(_outbound(links), "link", "site_url").where(F.col("site_url") != "")
     df = U.url_host(df, "site_url", "host")
-    out = df.groupBy("host").agg(F.min("site_url").alias("site_url"))
+    df = df.where((F.col("host") != "") & F.col("host").contains(".") & ~F.col("host").isin(*IGNORED_HOSTS))
+    out = df.groupBy("host").agg(F.min("site_url").alias("site_url"), F.min("page_url").alias("found_on"), F.count("*").alias("n_links"))
+    out = drop_blocked_hosts(out, "host", blocked, key=["host"])
     if max_sites:
         out = out.orderBy("site_url").limit(max_sites)
-    return out.select("site_url", "host")
+    return out.select("site_url", "host", "found_on", "n_links")
 
 
-def advertised_feeds(pages: DataFrame) -> DataFrame:
-    """H1: <link rel="alternate"> whose type mentions rss/atom/xml or whose href hints,
-    plus <a href> that hint; resolved against the page origin and crawl-normalised.
-    One explode over both kinds (no second pass over the page).  Output (page_id, feed_url)."""
+def crawl_sites(pages: DataFrame, blocked: DataFrame | None = None,
+                max_sites: int | None = None) -> DataFrame:
+    """Candidate site origins from outbound links, one per host; see ``linked_sites``."""
+    return linked_sites(pages, blocked, max_sites).select("site_url", "host")
+
+
+def _advertised(pages: DataFrame) -> DataFrame:
+    """(page_id, origin, feed_url) for every advertised feed, as often as it occurs."""
     pl = _links_of(pages)
     ex = pl.select("page_id", "origin", F.size("tags").alias("__nt"),
                    F.posexplode(F.concat("tags", "hrefs")).alias("__i", "__raw"))
@@ -196,7 +234,19 @@ def advertised_feeds(pages: DataFrame) -> DataFrame:
                            | (~F.col("__link") & hint))
     df = U.resolve_url(df.where(keep), "origin", "href", "__j")
     df = U.normalize_url_crawl(df, "__j", "feed_url")
-    return df.where(F.col("feed_url") != "").select("page_id", "feed_url").distinct()
+    return df.where(F.col("feed_url") != "").select("page_id", "origin", "feed_url")
+
+
+def advertised_feeds(pages: DataFrame) -> DataFrame:
+    """H1: <link rel="alternate"> whose type mentions rss/atom/xml or whose href hints,
+    plus <a href> that hint; resolved against the page origin and crawl-normalised.
+    One explode over both kinds (no second pass over the page).  Output (page_id, feed_url)."""
+    return _advertised(pages).select("page_id", "feed_url").distinct()
+
+
+def site_feeds(pages: DataFrame) -> DataFrame:
+    """H1 by site: distinct (site_url, feed_url), the site being the page's origin."""
+    return _advertised(pages).select(F.col("origin").alias("site_url"), "feed_url").distinct()
 
 
 def blocked_feed_flags(probes: DataFrame, blocked_feeds: DataFrame) -> DataFrame:
@@ -219,20 +269,13 @@ def probe_urls(sites: DataFrame, advertised: DataFrame | None = None,
 
     ``sites`` has site_url; ``advertised`` has (site_url, feed_url).
     """
-    paths = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(False).alias("adv")) for p in COMMON_FEED_PATHS])
+    paths = F.array(*[F.lit(p) for p in COMMON_FEED_PATHS])
     s = sites.select("site_url")
-    if advertised is not None:
-        s = s.join(advertised.select("site_url", F.col("feed_url").alias("__adv_url")), "site_url", "left")
-        extra = F.when(F.col("__adv_url").isNotNull(),
-                       F.array(F.struct(F.col("__adv_url").alias("p"), F.lit(True).alias("adv"))))
-        cand = F.concat(paths, F.coalesce(extra, F.array().cast("array<struct<p:string,adv:boolean>>")))
-    else:
-        cand = paths
-    ex = s.select("site_url", F.explode(cand).alias("c")).select("site_url", F.col("c.p").alias("__p"),
-                                                                  F.col("c.adv").alias("__adv"))
+    ex = s.select("site_url", F.explode(paths).alias("__p"))
     ex = U.resolve_url(ex, "site_url", "__p", "__j")
-    ex = U.normalize_url_crawl(ex, "__j", "__common").withColumn(
-        "feed_url", F.when(F.col("__adv"), F.col("__p")).otherwise(F.col("__common")))
+    ex = U.normalize_url_crawl(ex, "__j", "feed_url").select("site_url", "feed_url", F.lit(False).alias("__adv"))
+    if advertised is not None:
+        ex = ex.unionByName(advertised.join(s, "site_url", "left_semi").select("site_url", "feed_url", F.lit(True).alias("__adv")))
     df = ex.groupBy("site_url", "feed_url").agg(F.max("__adv").alias("__adv"))
     df = df.withColumn("discovered_via", F.when(F.col("__adv"), F.lit("rel=alternate"))
                        .otherwise(F.lit("common_path"))).drop("__adv")

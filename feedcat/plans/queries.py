@@ -330,8 +330,7 @@ def _probes(spark, sf_dir):
     from ..session import materialize
     links = materialize(L.page_links(V.v_pages_with_feeds(spark, sf_dir)))  # one pass over the HTML
     sites = L.crawl_sites(links, V.v_blocked(spark))
-    adv = L.advertised_feeds(links).join(links.select("page_id", F.col("origin").alias("site_url")), "page_id")
-    return L.probe_urls(sites, adv.select("site_url", "feed_url"), V.v_blocked(spark), V.v_blocked_feeds(spark))
+    return L.probe_urls(sites, L.site_feeds(links), V.v_blocked(spark), V.v_blocked_feeds(spark))
 
 
 @register("probe_urls")
