@@ -21,11 +21,21 @@ def assemble(feeds: DataFrame, scores: DataFrame, now: str, key: str = "feed_url
     ``scores``: feed_url, score, matched_keywords, suggested_category.
     """
     df = feeds.join(scores.select(key, "score", "matched_keywords", "suggested_category"), key)
+    return _candidate(df, now, key)
+
+
+def _candidate(df: DataFrame, now: str, key: str = "feed_url") -> DataFrame:
     df = U.url_hash(df, key, "url_hash")
     return df.select(
         key, "site_url", strip_ws("title").alias("title"), strip_ws("description").alias("description"),
         strip_ws("language").alias("language"), "feed_type", "score", "matched_keywords", "suggested_category",
-        "discovered_via", "url_hash", F.lit(now).cast("timestamp_ntz").alias("discovered_at"))
+        "discovered_via", *(["entries_sample"] if "entries_sample" in df.columns else []), "url_hash",
+        F.lit(now).cast("timestamp_ntz").alias("discovered_at"))
+
+
+def site_candidates(scored: DataFrame, probes: DataFrame, now: str) -> DataFrame:
+    """I1 with all 13 fields: every scored feed for each site that probes it (``feed_url, site_url, discovered_via``)."""
+    return _candidate(scored.join(probes.select("feed_url", "site_url", "discovered_via"), "feed_url"), now)
 
 
 def site_dedup(cands: DataFrame) -> DataFrame:
@@ -94,10 +104,13 @@ def review_items(cands: DataFrame) -> DataFrame:
 
 
 def bucket_merge(items: DataFrame, existing: DataFrame) -> DataFrame:
-    """Drop review items whose trimmed URL already sits in the same bucket."""
+    """Drop review items whose trimmed URL already sits in the same bucket, or comes again in the batch (the best
+    score stays, then the smallest hash)."""
     ex = existing.select("bucket", strip_ws("url").alias("__u")).distinct()
-    return items.withColumn("__u", strip_ws("url")).where(F.col("__u") != "") \
-        .join(ex, ["bucket", "__u"], "left_anti").drop("__u")
+    fresh = items.withColumn("__u", strip_ws("url")).where(F.col("__u") != "").join(ex, ["bucket", "__u"], "left_anti")
+    cols = items.columns
+    best = F.struct((-F.col("discovery.score")).alias("s"), F.col("discovery.url_hash").alias("h"))
+    return fresh.groupBy("bucket", "__u").agg(F.min_by(F.struct(*cols), best).alias("__it")).select("__it.*")
 
 
 def top_candidates(items: DataFrame, max_new: int | None = None) -> DataFrame:
@@ -111,12 +124,23 @@ def review_order(items: DataFrame) -> DataFrame:
     return items.orderBy(F.lower("category"), F.lower("title"), F.lower("type"), F.col("url"))
 
 
-def review_rank(items: DataFrame) -> DataFrame:
-    """G2 inside each bucket file: position of every review item (bucket files hold at
-    most the top-N new items, so each window partition is bounded)."""
+def review_rank(items: DataFrame, partitions: int | None = None) -> DataFrame:
+    """G2 inside each bucket file: position of every review item.
+
+    Items are dealt by ranges of (bucket, sort keys), ranked inside each range, and moved on by the number of the
+    bucket's items in the ranges before, from a table with a row per range and bucket; so no bucket is sorted in one task."""
     from pyspark.sql import Window
-    w = Window.partitionBy("bucket").orderBy(F.lower("category"), F.lower("title"), F.lower("type"), F.col("url"))
-    return items.withColumn("rank", F.row_number().over(w))
+
+    from ..session import materialize
+    keys = [F.lower("category"), F.lower("title"), F.lower("type"), F.col("url")]
+    n = partitions or int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(items.repartitionByRange(n, F.col("bucket"), *keys).withColumn("__part", F.spark_partition_id()))
+    inside = F.row_number().over(Window.partitionBy("__part", "bucket").orderBy(*keys))
+    before = Window.partitionBy("bucket").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("__part", "bucket").agg(F.count(F.lit(1)).alias("__n")) \
+        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return dealt.withColumn("__rank", inside).join(counts, ["__part", "bucket"]) \
+        .select(*items.columns, (F.col("__rank") + F.col("__before")).cast("int").alias("rank"))
 
 
 def review_record_names(cands: DataFrame) -> DataFrame:

@@ -57,13 +57,13 @@ def parse_bodies(bodies: DataFrame, key: str = "feed_url") -> DataFrame:
         .alias("namespaces"))
 
 
-def feeds_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
+def feeds_of(p: DataFrame, key: str = "feed_url", keep: tuple = ()) -> DataFrame:
     """A12 step 2: feed-level rows (version, namespaces, title, description, language,
-    n_entries, bozo) of parsed bodies."""
+    n_entries, bozo) of parsed bodies, with the columns ``keep``."""
     ok = F.coalesce(F.col("rss.channel").isNotNull() | F.col("rdf.channel").isNotNull() | F.col("atom").isNotNull(), F.lit(False))
     version = (F.when(F.col("root") == "rss", F.concat(F.lit("rss"), F.regexp_replace(F.coalesce("rss._version", F.lit("")), r"\.", "")))
                .when(F.col("root") == "feed", F.lit("atom10")).when(F.col("root") == "rdf:rdf", F.lit("rss10")).otherwise(F.lit("")))
-    extra = [c for c in ("http_status", "body_bytes") if c in p.columns]
+    extra = [c for c in ("http_status", "body_bytes", *keep) if c in p.columns]
     n = F.coalesce(*[F.when(F.col(c).isNotNull(), F.size(c)) for c in ("rss.channel.item", "rdf.item", "atom.entry")], F.lit(0))
     return p.select(
         key, "chunk", *extra, "root", version.alias("version"), "namespaces",
@@ -78,9 +78,9 @@ def _atom_link(links) -> F.Column:
     return F.get(F.filter(links, lambda x: F.coalesce(F.lower(x["_rel"]), F.lit("alternate")) == "alternate"), 0)["_href"]
 
 
-def entries_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
-    """A12 step 3: one row per RSS item, RDF item or Atom entry, in document order (idx). The content stands
-    in for a missing summary, ``dc:date`` is a time of update."""
+def entry_array() -> F.Column:
+    """The entries of a parsed body in document order, of an RSS, RDF or Atom feed alike: title, summary, link,
+    published, updated (texts) and guid. The content stands in for a missing summary, ``dc:date`` is a time of update."""
     def item(e):
         return F.struct(e["title"].alias("title"), F.coalesce(e["description"], e["content:encoded"]).alias("summary"),
                         e["link"].alias("link"), e["pubDate"].alias("published"), e["dc:date"].alias("updated"),
@@ -91,11 +91,28 @@ def entries_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
                         _atom_link(e["link"]).alias("link"), e["published"].alias("published"),
                         e["updated"].alias("updated"), F.lit(None).cast("string").alias("guid"))
 
-    items = F.coalesce(F.transform("rss.channel.item", item), F.transform("rdf.item", item), F.transform("atom.entry", entry))
-    ex = p.select(key, "chunk", F.posexplode(items).alias("idx", "e")).select(key, "chunk", "idx", "e.*")
+    return F.coalesce(F.transform("rss.channel.item", item), F.transform("rdf.item", item), F.transform("atom.entry", entry))
+
+
+def entries_of(p: DataFrame, key: str = "feed_url") -> DataFrame:
+    """A12 step 3: one row per RSS item, RDF item or Atom entry, in document order (idx)."""
+    ex = p.select(key, "chunk", F.posexplode(entry_array()).alias("idx", "e")).select(key, "chunk", "idx", "e.*")
     return ex.withColumns({"published_ts": parse_date(F.col("published")), "updated_ts": parse_date(F.col("updated"))})
 
 
+def valid_bodies(p: DataFrame, min_bytes: int = MIN_FEED_BODY_BYTES) -> DataFrame:
+    """C5 on parsed bodies, row by row: answered exactly 200, of ``min_bytes`` bytes at least, with an entry."""
+    return p.where((F.col("http_status") == 200) & (F.col("body_bytes") >= min_bytes) & (F.size(F.coalesce(
+        entry_array(), F.array())) >= 1))
+
+
+def recency_bonus(latest, now: str) -> tuple[F.Column, F.Column]:
+    """B26 and E15's recency points of a latest entry time: (whole days of age, bonus)."""
+    age = F.floor(F.timestamp_diff("SECOND", latest, F.lit(now).cast("timestamp")) / 86400).cast("bigint")
+    return age, F.when(latest.isNull(), F.lit(0)).when(age <= 30, F.lit(3)).when(age <= 90, F.lit(1)) \
+        .when(age > 365, F.lit(-4)).otherwise(F.lit(0))
+
+
 def parse_feed_bodies(bodies: DataFrame, key: str = "feed_url") -> tuple[DataFrame, DataFrame]:
     """(key, [chunk], body) -> (feeds, entries); see parse_bodies / feeds_of / entries_of."""
     p = parse_bodies(bodies, key)

@@ -21,7 +21,17 @@ def observe_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, O
     return df.observe(obs, *metrics), obs
 
 
-def discovery_summary(seeds: DataFrame, sites: DataFrame, kept: DataFrame, added: DataFrame) -> dict:
-    """Seeds scanned, candidate sites, candidates kept and added, as one small dict
-    (four global counts, each a partial aggregate)."""
-    return {"seeds": seeds.count(), "sites": sites.count(), "kept": kept.count(), "added": added.count()}
+class RunSummary:
+    """Counts of a job's stages, taken while the stages are computed for the job's own outputs."""
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def count(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, whose rows are counted as ``name`` by the first action on what is returned."""
+        self._seen[name] = Observation(name)
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("rows"))
+
+    def counts(self) -> dict[str, int]:
+        """All counts; waits for stages that haven't run."""
+        return {name: obs.get["rows"] for name, obs in self._seen.items()}

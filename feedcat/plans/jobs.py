@@ -22,13 +22,15 @@ from ..operators import links as L
 from ..operators import quality as Q
 from ..operators import render as W
 from ..operators import scoring as R
+from ..operators.summary import RunSummary
 from ..session import materialize
 from ..sources import catalog_files as CF
 from ..sources import documents as D
 from ..sources import lists as LS
 from ..sources import sinks as SK
 from ..sources.catalog_files import SEEN_COLUMNS
-from ..lexicon import DEFAULT_LEXICON, Lexicon, MIN_SCORE
+from ..sources.versions import VersionedTable, merge_or_replace
+from ..lexicon import DEFAULT_LEXICON, Lexicon, MIN_FEED_BODY_BYTES, MIN_SCORE
 
 
 def build_catalog_json(spark: SparkSession, feeds_glob: str, out: str, generated_at: str | None = None) -> DataFrame:
@@ -133,43 +135,83 @@ def check_health(spark: SparkSession, fetches: DataFrame, previous: DataFrame |
     return merged
 
 
+CANDIDATE_FIELDS = ["feed_url", "site_url", "title", "description", "language", "feed_type", "score", "matched_keywords",
+                    "suggested_category", "discovered_via", "entries_sample", "url_hash", "discovered_at"]
+#: A review item as its file has it.
+REVIEW_FIELDS = ["url", "category", "title", "type", "description"]
+
+
 def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: DataFrame,
              seen: DataFrame | None, now: str, blocked: DataFrame | None = None,
              blocked_feeds: DataFrame | None = None, lex: Lexicon = DEFAULT_LEXICON,
              max_sites: int | None = None, min_score: int = MIN_SCORE, only_new_items: bool = False,
-             max_new: int | None = None, max_entries: int | None = None) -> dict:
-    """§3.2 on captured tables.
+             max_new: int | None = None, max_entries: int | None = None, seeds: DataFrame | None = None,
+             out: str | None = None, merge_existing: bool = True) -> dict:
+    """§3.2 on captured tables: seeds, then the sites they link to, then those sites' home pages and feeds.
 
-    ``pages``: crawled pages (page_id, url, html[, http_status, content_type]), the seed
-    pages and the site home pages alike; ``fetches``: captured feed fetches (feed_url,
+    ``pages``: captured pages (page_id, url, html[, http_status, content_type]); ``seeds``: the seed list (``url``, A6),
+    without it every page is a seed; ``fetches``: captured feed fetches (feed_url,
     http_status, body, body_bytes); ``known``: catalog rows with ``url``; ``seen``: the
-    seen cache.  Returns the stages as DataFrames (sites, probes, final candidates,
-    review items, top new items, updated seen cache).
+    seen cache.  A page that is neither a seed nor a site's home page is not looked at.
+    Returns the stages as DataFrames (sites with what they were found on, probes, final candidates of 13 fields,
+    review items, top new items, updated seen cache) and ``summary``, a RunSummary.
+
+    With ``out`` the run's outputs are written there: candidates.json (all final candidates), records/ (one record per
+    candidate, by hash prefix), review-files/*.yaml (the new items, in the files of their buckets), and the versioned
+    tables ``review``, ``discovered`` (merged by URL, or replaced) and ``seen``, which the next run reads; ``seen``
+    overrides the table then.
     """
-    links = materialize(L.page_links(pages))
-    sites = L.crawl_sites(links, blocked, max_sites)
-    adv = L.advertised_feeds(links).join(links.select("page_id", F.col("origin").alias("site_url")), "page_id")
-    probes = materialize(L.probe_urls(sites, adv.select("site_url", "feed_url"), blocked, blocked_feeds))
-    got = fetches.join(probes.select("feed_url").distinct(), "feed_url", "left_semi")  # a feed of several sites counts once
-    parsed = materialize(E.parse_bodies(got.withColumn("chunk", F.lit(0).cast("bigint")), key="feed_url"))
-    feeds = E.feed_type(E.feeds_of(parsed))
-    valid = E.valid_feeds(parsed, feeds).select("feed_url").distinct()
-    entries = E.entries_of(parsed).withColumn("pos", F.col("idx").cast("bigint"))
-    scores = R.relevance_score(entries.select(F.col("feed_url").alias("feed"), "pos", "title", "summary",
-                                              "published_ts", "updated_ts"), lex, now=now, max_entries=max_entries) \
-        .withColumnRenamed("feed", "feed_url")
-    meta = feeds.join(valid, "feed_url", "left_semi").join(probes.select("feed_url", "site_url", "discovered_via"),
-                                                           "feed_url")
-    raw = K.assemble(meta.select("feed_url", "site_url", "title", "description", "language", "feed_type",
-                                 "discovered_via"), scores, now)
+    summary = RunSummary()
+    if seeds is not None:
+        hop = L.seed_links(pages, summary.count("seeds", seeds))
+    else:
+        hop = summary.count("seeds", L.page_links(pages))
+    sites = materialize(summary.count("sites", L.linked_sites(hop, blocked, max_sites)))
+    homes = L.home_links(pages, sites)
+    probes = materialize(summary.count("probes", L.probe_urls(sites, L.site_feeds(homes), blocked, blocked_feeds)))
+    # only what can be a feed is parsed, and a feed of several sites once
+    got = fetches.where((F.col("http_status") == 200) & (F.col("body_bytes") >= MIN_FEED_BODY_BYTES)) \
+        .join(probes.select("feed_url").distinct(), "feed_url", "left_semi")
+    parsed = E.valid_bodies(E.parse_bodies(got.withColumn("chunk", F.lit(0).cast("bigint")), key="feed_url"))
+    raw = K.site_candidates(R.scored_feeds(parsed, lex, now, max_entries=max_entries), probes, now)
     final = K.unknown_candidates(K.best_by_hash(K.min_score(K.site_dedup(raw), min_score)), K.known_urls(known))
+    final = materialize(summary.count("kept", final))
     review = K.review_items(R.candidate_bucket(final, lex))
-    pick = K.only_new(review.withColumn("url_hash", F.col("discovery.url_hash")), seen) if (only_new_items and seen is not None) \
-        else review
-    top = K.top_candidates(pick, max_new)
-    now_ts = int(dt.datetime.fromisoformat(now).replace(tzinfo=dt.timezone.utc).timestamp())
+    tables = {name: VersionedTable(spark, f"{out}/{name}") for name in ("review", "discovered", "seen")} if out else {}
+    if seen is None and out:
+        seen = tables["seen"].read()
     if seen is None:  # the first run starts from an empty cache
         seen = spark.createDataFrame([], SEEN_COLUMNS)
+    pick = review
+    if only_new_items:
+        pick = K.only_new(review.withColumn("url_hash", F.col("discovery.url_hash")), seen).drop("url_hash")
+    filed = tables["review"].read() if out else None
+    if filed is not None:
+        pick = K.bucket_merge(pick, filed)
+    else:
+        pick = K.bucket_merge(pick, spark.createDataFrame([], "bucket string, url string"))
+    top = K.top_candidates(pick, max_new)
+    now_ts = int(dt.datetime.fromisoformat(now).replace(tzinfo=dt.timezone.utc).timestamp())
     new_seen = K.seen_upsert(seen, final, now_ts)
+    if out:
+        top = materialize(summary.count("added", top))
+        new_seen = materialize(new_seen)
+        D.write_json_array(final, f"{out}/candidates.json", ["url_hash"], CANDIDATE_FIELDS)
+        names = K.review_record_names(final)
+        records = final.select(*CANDIDATE_FIELDS).join(names, "url_hash").withColumn("prefix", F.substring("url_hash", 1, 2))
+        SK.write_json_rows(records, f"{out}/records", "prefix")
+        tables["review"].update(lambda old: top if old is None else old.unionByName(top))
+        _write_review(tables["review"].read(), top, f"{out}/review-files")
+        items = K.candidate_items(final).select(*REVIEW_FIELDS, F.col("url").alias("ord"))
+        merge_or_replace(tables["discovered"], items, merge_existing)
+        tables["seen"].update(lambda old: new_seen)
     return {"sites": sites, "probes": probes, "candidates": final, "review": review, "top": top,
-            "seen": new_seen}
+            "seen": new_seen, "summary": summary}
+
+
+def _write_review(filed: DataFrame, added: DataFrame, folder: str) -> None:
+    """The review files of the buckets that got an item, in G2 order; the others stay."""
+    touched = filed.join(added.select("bucket").distinct(), "bucket", "left_semi")
+    rows = touched.select(*REVIEW_FIELDS, F.to_json("discovery").alias("discovery"), F.concat("bucket", F.lit(".yaml")).alias("file"))
+    SK.write_yaml_files(rows, folder, [*REVIEW_FIELDS, "discovery"],
+                        [F.lower("category"), F.lower("title"), F.lower("type"), "url"])

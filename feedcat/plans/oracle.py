@@ -74,7 +74,7 @@ def _first(col: str, cond: str | None = None) -> str:
 def o_clean_text():
     h = D.clean_text(f"regexp_extract(html, {q('(?is)<h1>(.*?)</h1>')}, 1)")
     f = D.clean_text(f"regexp_extract(html, {q('(?is)<footer>(.*?)</footer>')}, 1)")
-    return f"SELECT page_id, {h} AS heading, {f} AS footer FROM pages"
+    return f"SELECT page_id, {h} AS heading, {f} AS footer, {D.clean_text('html')} AS page FROM pages"
 
 
 def _url_query(fn, out, **kw):
@@ -582,9 +582,9 @@ LINK_TAG_RE = rf"(?is)<link\b{ATTRS}>"
 ATTR_RE = rf"""(?is)^<link\b{ATTRS}?\s{{name}}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
-def advertised_sql() -> str:
+def advertised_sql(pages: str | None = None) -> str:
     body = f"regexp_replace(html, {q(STRIP_RE)}, ' ', 'g')"
-    base = D.Chain(f"SELECT page_id, url, {body} AS b FROM ({v_pages_with_feeds()}) p")
+    base = D.Chain(f"SELECT page_id, url, {body} AS b FROM {pages or f'({v_pages_with_feeds()}) p'}")
     D.url_origin(base, "url", "origin")
     based = base.select("page_id, origin, b")
 
@@ -617,15 +617,20 @@ def o_feed_hint_links():
 
 def probes_sql() -> str:
     sites = crawl_sites_sql(f"({v_pages_with_feeds()}) pw")
+    ps = D.Chain("SELECT page_id, url FROM pages")
+    D.url_origin(ps, "url", "site_url")
+    adv = (f"SELECT ps.site_url, a.feed_url, true AS adv FROM ({advertised_sql()}) a JOIN ({ps.select('page_id, site_url')}) ps "
+           f"ON a.page_id = ps.page_id WHERE ps.site_url IN (SELECT site_url FROM ({sites}) s2)")
+    return probes_of(sites, adv)
+
+
+def probes_of(sites: str, adv: str) -> str:
+    """Probes of ``sites (site_url)`` and their advertised feeds ``adv (site_url, feed_url, adv)``."""
     paths = "[" + ", ".join(q(p) for p in COMMON_FEED_PATHS) + "]"
     common = D.Chain(f"SELECT site_url, unnest({paths}) AS p FROM ({sites}) s")
     D.resolve_url(common, "site_url", "p", "_j")
     D.normalize_url_crawl(common, "_j", "feed_url")
     common_sql = common.select("site_url, feed_url, false AS adv")
-    ps = D.Chain("SELECT page_id, url FROM pages")
-    D.url_origin(ps, "url", "site_url")
-    adv = (f"SELECT ps.site_url, a.feed_url, true AS adv FROM ({advertised_sql()}) a JOIN ({ps.select('page_id, site_url')}) ps "
-           f"ON a.page_id = ps.page_id WHERE ps.site_url IN (SELECT site_url FROM ({sites}) s2)")
     g = (f"SELECT site_url, feed_url, CASE WHEN bool_or(adv) THEN 'rel=alternate' ELSE 'common_path' END AS discovered_via "
          f"FROM ({common_sql} UNION ALL {adv}) u GROUP BY site_url, feed_url")
     ch = D.Chain(g)
@@ -793,6 +798,14 @@ def final_sql() -> str:
     return ch.select("* EXCLUDE (_k)")
 
 
+def best_of_sites_sql(raw: str) -> str:
+    """E5, C6 and E4 on raw candidates."""
+    norm = f"regexp_replace(lower({D.strip_ws('title')}), {q(_WS + '+')}, ' ', 'g')"
+    site = (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY site_url, feed_type, {norm} "
+            f"ORDER BY path_rank, feed_url) AS rn FROM ({raw}) r) x WHERE rn = 1")
+    return best_sql(f"SELECT * FROM ({site}) s WHERE score >= 6")
+
+
 def bucket_sql(src: str) -> str:
     lex = _V.test_lexicon()
     cat = f"lower({D.strip_ws('suggested_category')})"
@@ -827,7 +840,7 @@ def o_candidate_best():
 
 @oracle("known_urls")
 def o_known_urls():
-    return known_sql(f"SELECT url FROM ({v_catalog_dups()}) c WHERE variant IN ('original', 'tracked')")
+    return known_sql(f"SELECT url FROM ({v_catalog_dups()}) c")
 
 
 @oracle("unknown_candidates")
@@ -1023,4 +1036,4 @@ def o_stream_health_state():
     return o_stream_health()
 
 
-from . import artifacts_oracle  # noqa: E402, F401
+from . import artifacts_oracle, chain_oracle  # noqa: E402, F401

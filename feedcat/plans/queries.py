@@ -38,7 +38,8 @@ def _dups(spark, sf_dir):
 def q_clean_text(spark, sf_dir):
     p = V.table(spark, sf_dir, "pages")
     return p.select("page_id", T.clean_text(F.regexp_extract("html", r"(?is)<h1>(.*?)</h1>", 1)).alias("heading"),
-                    T.clean_text(F.regexp_extract("html", r"(?is)<footer>(.*?)</footer>", 1)).alias("footer"))
+                    T.clean_text(F.regexp_extract("html", r"(?is)<footer>(.*?)</footer>", 1)).alias("footer"),
+                    T.clean_text("html").alias("page"))
 
 
 @register("url_normalize")
@@ -468,7 +469,7 @@ def q_candidate_best(spark, sf_dir):
 @register("known_urls")
 def q_known_urls(spark, sf_dir):
     raw = V.v_catalog_dups(spark, sf_dir)
-    return K.known_urls(raw.where(F.col("variant") == "original"), raw.where(F.col("variant") == "tracked"))
+    return K.known_urls(raw.where(F.col("variant") == "original"), raw.where(F.col("variant") != "original"))
 
 
 @register("unknown_candidates")
@@ -625,4 +626,4 @@ def q_stream_health_state(spark, sf_dir):
                         _iso(F.col("last_seen_active")).alias("last_seen_active"))
 
 
-from . import artifacts  # noqa: E402, F401
+from . import artifacts, chain  # noqa: E402, F401

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -11,6 +12,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes when its DataFrame does
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -48,11 +50,13 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that the driver and every executor see.
 
     The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a folder in the session's
-    warehouse is taken (shared by definition) and named in the setting; never a machine-local one.
+    warehouse is taken and named in the setting; a warehouse on the driver's own disk serves a local master only.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+        if d.startswith(("file:", "/")) and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {d} is the driver's own")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 

@@ -188,6 +188,15 @@ def write_catalog_json(items: DataFrame, path: str, generated_at: str, pretty: b
     write_document(lines, path, keys, head, tail, *((",\n", "\n") if pretty else (",", "")))
 
 
+def write_json_array(rows: DataFrame, path: str, keys: list[str], fields: list[str]) -> None:
+    """The rows as objects of one JSON array, in the order of ``keys``."""
+    order = {f"__k{i}": F.col(k) for i, k in enumerate(keys)}
+    obj = F.to_json(F.struct(*fields), {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"})
+    lines = materialize(rows.select(*[c.alias(k) for k, c in order.items()], F.concat(F.lit("  "), obj).alias("line")))
+    empty = lines.isEmpty()
+    write_document(lines, path, list(order), "[]\n" if empty else "[\n", "" if empty else "]\n", ",\n", "\n")
+
+
 STATE_FIELDS = ["status", "http_status", "error", "bozo", "entries", "final_url", "content_type", "latency_ms", "retried",
                 "consecutive_failures", "down_since", "last_seen_active"]
 

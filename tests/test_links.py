@@ -130,3 +130,56 @@ def test_link_tag_with_very_many_attributes(spark):
     # the many unclosed tags are one tag up to the first '>', whose first attributes are the names "<link"
     assert {r["feed_url"] for r in L.advertised_feeds(pages).collect()} == {
         "https://site.example.org/good.xml", "https://site.example.org/late"}
+
+
+def test_crawl_goes_by_hops(spark):
+    """A page that is neither a seed nor a site's home page changes nothing; errors and other types aren't read."""
+    link = '<a href="https://{}.example.org/x">l</a>'.format
+    feed = '<link rel="alternate" type="application/rss+xml" href="/{}.xml">'.format
+    rows = [(1, "https://seed.example.org/list", link("one") + link("two"), 200, "text/html"),
+            (2, "https://seed.example.org/list2", link("three"), 404, "text/html"),
+            (3, "https://seed.example.org/list3", link("four"), 200, "application/pdf"),
+            (4, "https://one.example.org", feed("a"), 200, "text/html; charset=x"),
+            (5, "https://two.example.org/", feed("b"), 500, "text/html"),
+            (6, "HTTPS://TWO.example.org:443/#top", feed("c"), 200, "text/html")]
+    other = [(7, "https://other.example.org/", link("five") + feed("d"), 200, "text/html"),
+             (8, "https://one.example.org/deep", link("six") + feed("e"), 200, "text/html")]
+    seeds = spark.createDataFrame([("https://seed.example.org/list",), ("https://seed.example.org/list2",), ("https://seed.example.org/list3",),
+                                   ("https://never.example.org/",)], "url string")
+    schema = "page_id bigint, url string, html string, http_status int, content_type string"
+
+    def crawl(pages):
+        pages = spark.createDataFrame(pages, schema)
+        sites = L.linked_sites(L.seed_links(pages, seeds))
+        feeds = L.site_feeds(L.home_links(pages, sites))
+        return (sorted((r["site_url"], r["found_on"], r["n_links"]) for r in sites.collect()),
+                sorted((r["site_url"], r["feed_url"]) for r in feeds.collect()))
+
+    want = ([(f"https://{s}.example.org", "https://seed.example.org/list", 1) for s in ("one", "two")],
+            [("https://one.example.org", "https://one.example.org/a.xml"), ("https://two.example.org", "https://two.example.org/c.xml")])
+    assert crawl(rows) == want and crawl(rows + other) == want
+
+
+def test_hot_suffixes_are_dealt_over_tasks(spark):
+    """Very many hosts of one top-level domain against a list that isn't broadcast: no task gets far more than others."""
+    hosts = spark.range(60_000).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".shop.com")).alias("host"))
+    blocked = spark.createDataFrame([(f"h{i}.shop.com",) for i in range(0, 60_000, 50)] + [("com.org",), ("b.com",)], "domain string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = L.drop_blocked_hosts(hosts, "host", blocked)
+        assert kept.count() == 60_000 - 1_200
+        assert L.drop_blocked_hosts(hosts, "host", blocked, key=["host"]).count() == 60_000 - 1_200
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = L.suffix_rows(hosts, "host").where("__sfx = 'com'").repartition(4, "__sfx", "__salt")
+    sizes = sorted(r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_probes_of_a_site_with_very_many_feeds(spark):
+    sites = spark.createDataFrame([("https://s.example.org",), ("https://t.example.org",)], "site_url string")
+    adv = spark.range(500).select(F.lit("https://s.example.org").alias("site_url"), F.concat(F.lit("https://s.example.org/f"), "id").alias("feed_url")) \
+        .unionByName(spark.createDataFrame([("https://u.example.org", "https://u.example.org/feed")], "site_url string, feed_url string"))
+    got = L.probe_urls(sites, adv)
+    assert got.groupBy("site_url", "discovered_via").count().orderBy("site_url", "discovered_via").collect() == [
+        ("https://s.example.org", "common_path", 14), ("https://s.example.org", "rel=alternate", 500), ("https://t.example.org", "common_path", 14)]
