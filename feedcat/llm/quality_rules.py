@@ -22,6 +22,8 @@ from .common import stage, with_row_id
 MAX_DOCS = 50
 #: Share of its word characters that a document must keep.
 MIN_LEFT = 0.5
+#: So many bad lines go along with the plan; more are joined.
+FEW = 50_000
 WINDOW = 5
 SPACE = r"[ \t\n\x0b\f\r]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -82,24 +84,51 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.coalesce("source", F.lit("\0none")), F.lower(F.trim(F.regexp_replace(line, SPACE, " "))))
 
 
-def without_lines(gone: Column) -> Column:
-    """The text without its lines whose keys are in ``gone``; lines without a word stay."""
-    kept = F.filter(F.split("text", "\n"), lambda x: ~(x.rlike(r"[^ \t\n\x0b\f\r]") & F.array_contains(gone, line_key(x))))
-    return F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+def _lines() -> Column:
+    return F.split("text", "\n")
 
 
-def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+def _keys(lines: Column) -> Column:
+    """Each line's key, null for one without a word."""
+    return F.transform(lines, lambda x: F.when(x.rlike(r"[^ \t\n\x0b\f\r]"), line_key(x)))
+
+
+def _without(lines: Column, hit: Column) -> Column:
+    """The text without the lines whose place in ``hit`` is true; the text itself if there is none."""
+    kept = F.filter(lines, lambda x, i: ~F.get(hit, i))
+    return F.when(F.exists(hit, lambda h: h), F.array_join(kept, "\n")).otherwise(F.col("text"))
+
+
+def cleaned(docs: DataFrame, bad: DataFrame, few: int = FEW) -> DataFrame:
+    """``docs`` with ``clean_text``: the text without its lines whose keys are in ``bad (line)``; lines without a word stay.
+
+    Up to ``few`` bad lines go along with the plan as a set, and every text is cut where it was read. Beyond that
+    the bad lines meet the documents' lines in a join, and their documents' texts; both ways are exact."""
+    if bad.limit(few + 1).count() <= few:
+        found = [str(r["line"]) for r in bad.collect()]  # at most `few` numbers
+        if not found:
+            return docs.withColumn("clean_text", F.col("text"))
+        hit = F.expr(f"transform(__keys, k -> coalesce(k IN ({', '.join(found)}), false))")
+        cut = docs.withColumn("__keys", _keys(_lines())).withColumn("__hit", hit)
+    else:
+        lines = docs.select("rid", F.explode(F.array_distinct(F.transform(own_lines(), line_key))).alias("line"))
+        gone = stage(lines.join(bad, "line").groupBy("rid").agg(F.collect_set("line").alias("__gone")), "gone")
+        cut = docs.join(gone, "rid", "left").withColumn("__hit", F.transform(
+            _keys(_lines()), lambda k: F.coalesce(F.array_contains(F.coalesce("__gone", F.array().cast("array<bigint>")), k), F.lit(False)))).drop("__gone")
+        cut = cut.withColumn("__keys", F.lit(None))
+    return cut.withColumn("clean_text", _without(_lines(), F.col("__hit"))).drop("__keys", "__hit")
+
+
+def quality(docs: DataFrame, max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT, few: int = FEW) -> DataFrame:
     """The counts (of the whole text), ``dropped_chars`` (word characters in lines above the limit), ``kept``, and
     ``clean_text``: the text without those lines."""
     docs = with_row_id(docs, "doc_id", "text", "source")
     counts = docs.select(F.explode(F.array_distinct(F.transform(own_lines(), line_key))).alias("line")) \
         .groupBy("line").agg(F.count("*").alias("n"))
     bad = stage(counts.where(F.col("n") > max_docs).select("line"), "lines")
-    lines = docs.select("rid", F.explode(F.array_distinct(F.transform(own_lines(), line_key))).alias("line"))
-    gone = stage(lines.join(bad, "line").groupBy("rid").agg(F.collect_set("line").alias("gone")), "gone")
-    clean = docs.join(gone, "rid", "left").withColumn("clean_text", without_lines(F.col("gone")))
-    left = F.when(F.col("gone").isNull(), F.col("word_chars")).otherwise(F.length(F.regexp_replace("clean_text", SPACE, "")).cast("long"))
-    out = base_counts(clean, "gone", "clean_text").withColumn("left", left) \
+    clean = cleaned(docs, bad, few)
+    left = F.length(F.regexp_replace(F.coalesce("clean_text", F.lit("")), SPACE, "")).cast("long")
+    out = base_counts(clean, "clean_text").withColumn("left", left) \
         .withColumn("dropped_chars", F.col("word_chars") - F.col("left")) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("left") >= min_left * F.col("word_chars")))
     return out.select("doc_id", *COUNTS, "dropped_chars", "kept", "clean_text")

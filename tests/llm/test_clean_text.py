@@ -18,7 +18,10 @@ def test_lines_above_the_limit_leave_the_text(spark):
     for i, t, s in rows:
         clean = None if t is None else "\n".join(x for x in t.split("\n") if not norm(x) or counts[s, norm(x)] <= 3)
         want.append((i, clean, chars(t) - chars(clean)))
-    got = quality_rules.quality(docs, max_docs=3).collect()
-    assert sorted(((r["doc_id"], r["clean_text"], r["dropped_chars"]) for r in got), key=repr) == sorted(want, key=repr)
+    for few in (quality_rules.FEW, 0):  # the bad lines as a set, and joined
+        got = quality_rules.quality(docs, max_docs=3, few=few).collect()
+        assert sorted(((r["doc_id"], r["clean_text"], r["dropped_chars"]) for r in got), key=repr) == sorted(want, key=repr)
+    same = quality_rules.quality(docs, max_docs=100)  # no line is bad
+    assert sorted((r["clean_text"] for r in same.collect()), key=repr) == sorted((t for _, t, _ in rows), key=repr)
     assert want[0][1] == "own words 0\n\n \t\nlast 0" and want[7][1] == ""
     assert quality_rules.quality(docs.where("false")).count() == 0
