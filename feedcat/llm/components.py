@@ -1,10 +1,13 @@
 """Connected components and clustering of bucketed candidates, without all pairs of a bucket."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import drop_stage, stage
+from .common import U64, arrow_batch, bit_filter, column, drop_stage, passes, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,8 +46,8 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     First every member meets its bucket's most copied (attribute ``copies``, if there is one) and most
     connected member only: a star, as many pairs as
     members. Most buckets are one component then. In the others, nodes outside the bucket's largest
-    component still have to meet those of other components. They do so on the prefix of their items,
-    rarest first, that two similar sets must share (exact, whatever the bucket holds), so many texts
+    component still have to meet those of other components: bucket mates that share an item of their prefixes
+    (``open_pairs``; exact, whatever the bucket holds), so many texts
     that only have a common passage don't meet pairwise. Every link either is verified or joins nodes
     that are connected already.
     """
@@ -69,22 +72,16 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     top = named.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket") \
         .agg(F.max(F.struct("k", "root")).alias("top"), F.count("*").alias("c")).where("c > 1") \
         .select("bucket", F.col("top.root").alias("top"))
-    first = [F.first(c).alias(c) for c in ["root", *attrs]]
     top = stage(top, "top")
-    open_ = stage(named.join(top, "bucket").groupBy("node").agg(F.max(F.col("root") != F.col("top")).alias("outside"), *first), "open")
+    open_ = stage(named.join(top, "bucket").select("bucket", "node", "root", (F.col("root") != F.col("top")).alias("outside"), *attrs), "open")
     drop_stage(m, top)
     if open_.isEmpty():
         drop_stage(links, open_)
         return comp
-    own = sets(open_.select("node"))
+    own = sets(open_.select("node").distinct())
     own = own if hasattr(own, "staged_at") else stage(own, "open-items")
-    at = stage(open_.join(prefixes(own, alike), "node").withColumn("item", F.explode("prefix")), "prefixes")
-    rest = at.where("outside").alias("l").join(at.alias("r"), "item") \
-        .where((F.col("l.root") != F.col("r.root")) & may_link("l", "r")) \
-        .where(F.get(F.array_intersect("l.prefix", "r.prefix"), 0) == F.col("item")) \
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))  # once for each pair, at the first item in common
-    more = verified(rest, lambda nodes: own, alike)
-    drop_stage(open_, at)
+    more = verified(open_pairs(open_, own, alike, may_link), lambda nodes: own, alike)
+    drop_stage(open_)
     if not more.isEmpty():
         drop_stage(comp)
         comp = components(links.unionByName(more))
@@ -92,15 +89,74 @@ def cluster(members: DataFrame, sets, alike: tuple, may_link=None) -> DataFrame:
     return comp
 
 
+#: Items of more open nodes than this come last in the order of items.
+HOT = 32
+
+
 def prefixes(sets: DataFrame, alike: tuple) -> DataFrame:
-    """``(node, prefix)``: the rarest items of each set, so many that similar sets share one of them."""
+    """``(node, size, prefix)``: the first items of each set, so many that similar sets share one of them.
+
+    Any order of items that is the same for all sets will do. Items in many sets come last, so that sets which have
+    only a common passage don't share; among the others hashes decide. What is frequent is told by a bitmap of
+    bounded size, whose false positives are the same for all sets, so a set is put in order where it is."""
     num, den = alike
-    each = sets.select("node", F.size("items").alias("n"), F.explode("items").alias("item"))
-    freq = each.groupBy("item").agg(F.count("*").alias("freq"))
-    order = Window.partitionBy("node").orderBy("freq", "item")
-    return each.join(freq, "item").withColumn("at", F.row_number().over(order)) \
-        .where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) \
-        .groupBy("node").agg(F.array_sort(F.collect_list("item")).alias("prefix"))
+    often = sets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c")).where(F.col("c") > HOT)
+    often = stage(often, "hot-items")
+    hot = bit_filter(often, "item")
+    drop_stage(often)
+    fields = sets.schema
+    schema = T.StructType([fields["node"], T.StructField("size", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+
+    def cut(batches):
+        for b in batches:
+            lists = column(b, "items")
+            flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            size, out = np.diff(ends), []
+            for at, n in zip(ends[:-1] - ends[0], size):
+                items = flat[at:at + n].view(U64)
+                order = np.lexsort((items, passes(hot, items)))
+                out.append(items[order[:n + (-num * int(n)) // den + 1]].view(np.int64))
+            yield arrow_batch(schema, [column(b, "node"), size.astype(np.int64).tolist(), out])
+
+    return sets.select("node", "items").mapInArrow(cut, schema)
+
+
+def open_pairs(open_: DataFrame, own: DataFrame, alike: tuple, may_link) -> DataFrame:
+    """Pairs ``(a, b)`` of bucket mates of different components, one of them outside its bucket's largest, whose prefixes
+    share an item and whose common items, by where that stands in both, can still be enough.
+
+    Of a pair the smaller set (then the smaller node) shows only the short prefix that must hold a common item with a
+    larger set, the other one its whole prefix. So sets that share most of an order's end, pages of one template say, but
+    too little to be similar, never meet on it, however many there are."""
+    num, den = alike
+    attrs = [c for c in open_.columns if c not in ("bucket", "node", "root", "outside")]
+    pre = stage(prefixes(own, alike), "prefixes")
+    at = stage(open_.join(pre, "node").select("bucket", "node", "root", "outside", *attrs, "size", F.posexplode("prefix").alias("pos", "item"))
+               .withColumn("key", F.xxhash64("bucket", "item")), "prefix-items")
+    drop_stage(pre)
+    short = F.col("pos") <= F.col("size") - F.ceil(2 * num * F.col("size") / (num + den))
+    met = at.groupBy("key").agg(F.max("outside").alias("o"), F.max(short).alias("s"), F.min("root").alias("x"), F.max("root").alias("y")) \
+        .where("o and s and x <> y").select("key")
+    met = stage(met, "met-keys")
+    held = bit_filter(met, "key")
+    drop_stage(met)
+
+    def wanted(batches):
+        for b in batches:
+            yield b.filter(pa.array(passes(held, column(b, "key").to_numpy().view(U64))))
+
+    rows = stage(at.mapInArrow(wanted, at.schema), "met-items")
+    drop_stage(at)
+    first, second = F.struct("l.size", "l.node"), F.struct("r.size", "r.node")
+    total = F.col("l.size") + F.col("r.size")
+    left = F.least(F.col("l.size") - F.col("l.pos"), F.col("r.size") - F.col("r.pos"))  # common items from here on, at most
+    may = (F.col("l.root") != F.col("r.root")) & (first < second) & (left >= F.ceil(num * total / (num + den))) & may_link("l", "r")
+
+    def pairs(l, r):
+        return l.alias("l").join(r.alias("r"), ["bucket", "item"]).where(may).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+
+    out, into = rows.where(short & F.col("outside")), rows.where(short & ~F.col("outside"))
+    return pairs(out, rows).unionByName(pairs(into, rows.where("outside")))
 
 
 def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:

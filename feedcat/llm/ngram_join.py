@@ -24,13 +24,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (U64, WordHash, arrow_batch, binaries, column, drop_stage, mix, seeds, shingle_hashes, small_batches, stage,
-                     with_row_id)
+from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, drop_stage, mix, passes, seeds, shingle_hashes,
+                     small_batches, stage, with_row_id)
 from .components import cluster
 
 WIDTH = 3
@@ -182,28 +183,58 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
 
     keyed = with_row_id(docs, "doc_id", F.xxhash64("text").alias("tk"), "text")
     sets = stage(element_sets(keyed, "sets", described, schema), "sets")
-    twins = sets.where("n > 0").groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.count("*").alias("c")).where("c > 1")
-    twins = stage(twins.drop("c"), "twins")
-    copies = stage(sets.where("n > 0").select("rid", "f0", "f1").join(twins, ["f0", "f1"])
-                   .where("rid <> node").select("rid", "node"), "copies")
-    nodes = sets.where("n > 0").join(copies.select("rid"), "rid", "left_anti")
-    rows = nodes.select(F.col("rid").alias("node"), F.explode("sigs").alias("bucket"))
-    # of the index only buckets with two sets or more matter; the others go before anything is joined
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    rows = stage(rows.join(stage(shared, "shared"), "bucket"), "index")
-    met = rows.select("node").distinct()
-    about = nodes.select(F.col("rid").alias("node"), "n", "p0", "p1").join(met, "node")
-    members = rows.join(about, "node").select("bucket", "node", "n", "p0", "p1")
-    item_schema = T.StructType([T.StructField("node", longs), T.StructField("items", T.ArrayType(longs))])
+    narrow = sets.where("n > 0").select("rid", "f0", "f1")
+    twins = stage(narrow.groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.count("*").alias("c")).where("c > 1").drop("c"), "twins")
+    copies = stage(narrow.join(twins, ["f0", "f1"]).where("rid <> node").select("rid", "node"), "copies")
+    # sets without a twin stay where they are; of the others (and a bitmap's few false positives) one of each stays
+    twin = bit_filter(twins, "f0")
+    own = ["n", "p0", "p1", "sigs"]
+
+    def part(of_twins: bool):
+        def rows_of(batches):
+            for b in batches:
+                is_twin = passes(twin, column(b, "f0").to_numpy().view(U64))
+                yield b.filter(pa.array(is_twin if of_twins else ~is_twin))
+        return sets.where("n > 0").select("rid", "f0", "f1", *own).mapInArrow(rows_of, described_schema)
+
+    described_schema = sets.select("rid", "f0", "f1", *own).schema
+    one = part(True).groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.min_by(F.struct(*own), F.col("rid")).alias("s")).select("node", "s.*")
+    nodes = part(False).select(F.col("rid").alias("node"), *own).unionByName(one)
+    # of the index only buckets with two sets or more matter; the others go, by a bitmap, before anything is joined
+    counted = nodes.select(F.explode("sigs").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("c"))
+    shared = stage(counted.where("c > 1").select("bucket"), "shared")
+    held = bit_filter(shared, "bucket")
+    index_schema = nodes.schema
+
+    def met(batches):
+        for b in batches:
+            sigs = column(b, "sigs")
+            ends, flat = sigs.offsets.to_numpy(), sigs.flatten()
+            keep = passes(held, flat.to_numpy().view(U64))
+            kept = np.concatenate([[0], np.cumsum(keep)])[ends - ends[0]]
+            sigs = pa.ListArray.from_arrays(pa.array(kept, pa.int32()), flat.filter(pa.array(keep)))
+            out = arrow_batch(index_schema, [*(column(b, c) for c in ("node", "n", "p0", "p1")), sigs])
+            yield out.filter(pa.array(np.diff(kept) > 0))
+
+    rows = stage(nodes.mapInArrow(met, index_schema).select("node", "n", "p0", "p1", F.explode("sigs").alias("bucket")), "index")
+    members = rows.join(shared, "bucket").select("bucket", "node", "n", "p0", "p1")
+    item_schema = T.StructType([T.StructField("tk", longs), id_field, T.StructField("items", T.ArrayType(longs))])
 
     def items_of(asked: DataFrame) -> DataFrame:
-        """Sets of the nodes asked for, from their texts again: they aren't stored for all documents."""
+        """Sets of the nodes asked for, from their texts again: they aren't stored for all documents. Texts that weren't
+        asked for are left out, by a bitmap of their hashes, before anything is moved."""
         want = sets.select(F.col("rid").alias("node"), "tk", "doc_id").join(asked, "node")
         want = stage(want, "wanted")
-        one = docs.select(F.xxhash64("text").alias("tk"), "doc_id", "text").alias("d").join(
-            want.alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-        out = stage(element_sets(one.select("w.node", "d.text"), "items", lambda x: (x.view(np.int64),), item_schema)
-                    .dropDuplicates(["node"]), "items")  # texts with equal ids
+        wanted = bit_filter(want, "tk")
+
+        def texts(batches):
+            for b in batches:
+                yield b.filter(pa.array(passes(wanted, column(b, "tk").to_numpy().view(U64))))
+
+        texts_of = docs.select(F.xxhash64("text").alias("tk"), "doc_id", "text")
+        found = element_sets(texts_of.mapInArrow(texts, texts_of.schema), "items", lambda x: (x.view(np.int64),), item_schema)
+        out = stage(found.alias("d").join(want.alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
+                    .select("w.node", "d.items").dropDuplicates(["node"]), "items")  # texts with equal ids
         drop_stage(want)
         return out
 
