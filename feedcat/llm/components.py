@@ -130,20 +130,20 @@ def open_pairs(open_: DataFrame, own: DataFrame, alike: tuple, may_link) -> Data
     too little to be similar, never meet on it, however many there are."""
     num, den = alike
     attrs = [c for c in open_.columns if c not in ("bucket", "node", "root", "outside")]
+    each = open_.groupBy("node").agg(F.max("outside").alias("outside"), *[F.first(c).alias(c) for c in ["root", *attrs]])
     pre = stage(prefixes(own, alike), "prefixes")
-    at = stage(open_.join(pre, "node").select("bucket", "node", "root", "outside", *attrs, "size", F.posexplode("prefix").alias("pos", "item"))
-               .withColumn("key", F.xxhash64("bucket", "item")), "prefix-items")
+    at = stage(each.join(pre, "node").select("node", "root", "outside", *attrs, "size", F.posexplode("prefix").alias("pos", "item")), "prefix-items")
     drop_stage(pre)
     short = F.col("pos") <= F.col("size") - F.ceil(2 * num * F.col("size") / (num + den))
-    met = at.groupBy("key").agg(F.max("outside").alias("o"), F.max(short).alias("s"), F.min("root").alias("x"), F.max("root").alias("y")) \
-        .where("o and s and x <> y").select("key")
-    met = stage(met, "met-keys")
-    held = bit_filter(met, "key")
+    met = at.groupBy("item").agg(F.max("outside").alias("o"), F.max(short).alias("s"), F.min("root").alias("x"), F.max("root").alias("y")) \
+        .where("o and s and x <> y").select("item")
+    met = stage(met, "met-items")
+    held = bit_filter(met, "item")
     drop_stage(met)
 
     def wanted(batches):
         for b in batches:
-            yield b.filter(pa.array(passes(held, column(b, "key").to_numpy().view(U64))))
+            yield b.filter(pa.array(passes(held, column(b, "item").to_numpy().view(U64))))
 
     rows = stage(at.mapInArrow(wanted, at.schema), "met-items")
     drop_stage(at)
@@ -153,10 +153,13 @@ def open_pairs(open_: DataFrame, own: DataFrame, alike: tuple, may_link) -> Data
     may = (F.col("l.root") != F.col("r.root")) & (first < second) & (left >= F.ceil(num * total / (num + den))) & may_link("l", "r")
 
     def pairs(l, r):
-        return l.alias("l").join(r.alias("r"), ["bucket", "item"]).where(may).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+        return l.alias("l").join(r.alias("r"), "item").where(may).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
     out, into = rows.where(short & F.col("outside")), rows.where(short & ~F.col("outside"))
-    return pairs(out, rows).unionByName(pairs(into, rows.where("outside")))
+    found = stage(pairs(out, rows).unionByName(pairs(into, rows.where("outside"))).distinct(), "prefix-pairs")
+    drop_stage(rows)
+    mates = open_.select("bucket", "node")
+    return found.join(mates.withColumnRenamed("node", "a"), "a").join(mates.withColumnRenamed("node", "b"), ["b", "bucket"], "left_semi").select("a", "b")
 
 
 def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:
