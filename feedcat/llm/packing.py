@@ -17,7 +17,7 @@ ignored.
 """
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,14 +112,14 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int =
                            T.StructField("piece", T.LongType()), T.StructField("length", T.LongType()),
                            T.StructField("bin_id", T.StringType()), T.StructField("bin_offset", T.LongType())])
 
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "cluster", "rid"], ascending=[False, True, True, True])
-        got = pack(list(zip(pdf["length"], pdf["source"], pdf["cluster"])), capacity)
-        pdf["bin_id"] = [f"{s}-{b}" for s, (b, _) in zip(pdf["shard"], got)]
-        pdf["bin_offset"] = [o for _, o in got]
-        return pdf[[f.name for f in schema]]
+    def packed(shard: pa.Table) -> pa.Table:  # Arrow keeps ids as they are, next to null ids too
+        shard = shard.sort_by([("length", "descending"), ("doc_id", "ascending"), ("cluster", "ascending"), ("rid", "ascending")])
+        got = pack(list(zip(*(shard.column(c).to_pylist() for c in ("length", "source", "cluster")))), capacity)
+        names = [f"{s}-{b}" for s, (b, _) in zip(shard.column("shard").to_pylist(), got)]
+        return shard.select([f.name for f in schema][:5]).append_column("bin_id", pa.array(names, pa.string())) \
+            .append_column("bin_offset", pa.array([o for _, o in got], pa.int64()))
 
-    rest = pieces.where(~full).groupBy("shard").applyInPandas(packed, schema)
+    rest = pieces.where(~full).groupBy("shard").applyInArrow(packed, schema)
     whole = pieces.where(full).select(
         "rid", "doc_id", "source", "piece", "length",
         F.when(F.col("length") > 0, F.concat_ws("-", F.lit("full"), "rid", "piece")).alias("bin_id"),
