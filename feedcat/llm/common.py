@@ -92,6 +92,14 @@ def with_row_id(docs: DataFrame, *cols: str) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("rid"), *cols)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, or what is like it and no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def binaries(batch: pa.RecordBatch, col: str) -> list:
     """A string column as UTF-8 bytes (None stays None), without decoding."""
     a = batch.column(batch.schema.get_field_index(col))

@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BROADCAST_ROWS, _delete, arrow_batch, binaries, column, pin_splits, shared_dir, small, small_batches, stage
+from .common import (BROADCAST_ROWS, _delete, arrow_batch, binaries, column, free_name, pin_splits, shared_dir, small, small_batches,
+                     stage)
 
 MIN_DOCS = 10
 FANOUT = 2
@@ -122,6 +123,7 @@ def drop_lines(docs: DataFrame, gone: DataFrame, text: str = "text", rows: int =
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
+    rid_name, gone_name = free_name("_rid", docs), free_name("_gone", docs)
     fields = [*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     schema = T.StructType(fields)
 
@@ -134,7 +136,7 @@ def drop_lines(docs: DataFrame, gone: DataFrame, text: str = "text", rows: int =
             kept.append((b"\n".join(x for k, x in enumerate(lines) if k not in bad) if bad else t or b"").decode("utf-8", "replace"))
             n_lines.append(len(lines))
             n_dropped.append(len(bad))
-        cols = [pa.array(kept, f.type) if f.name == text else column(b, f.name) for f in b.schema if f.name != "_gone"]
+        cols = [pa.array(kept, f.type) if f.name == text else column(b, f.name) for f in b.schema if f.name != gone_name]
         return pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
                                           names=[f.name for f in fields])
 
@@ -159,17 +161,17 @@ def drop_lines(docs: DataFrame, gone: DataFrame, text: str = "text", rows: int =
             yield arrow_batch(spots, [[x[0] for x in at], [x[1] for x in at], pa.array(both[:, 0]), pa.array(both[:, 1])])
 
     pin_splits(spark)
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    hit = numbered.select(F.col("_rid").alias("rid"), text).mapInArrow(lines_of, spots) \
-        .join(gone, ["lo", "hi"], "left_semi").groupBy("rid").agg(F.collect_list("line").alias("_gone"))
-    hit = stage(hit.withColumnRenamed("rid", "_rid"), "line-hits")
+    numbered = docs.withColumn(rid_name, F.monotonically_increasing_id())
+    hit = numbered.select(F.col(rid_name).alias("rid"), text).mapInArrow(lines_of, spots) \
+        .join(gone, ["lo", "hi"], "left_semi").groupBy("rid").agg(F.collect_list("line").alias(gone_name))
+    hit = stage(hit.withColumnRenamed("rid", rid_name), "line-hits")
 
     def with_numbers(batches):
         for b in batches:
-            gone_of = column(b, "_gone").to_pylist()
+            gone_of = column(b, gone_name).to_pylist()
             yield rewritten(b, lambda i, _: set(gone_of[i] or ()))
 
-    return numbered.join(hit, "_rid", "left").drop("_rid").mapInArrow(with_numbers, schema)
+    return numbered.join(hit, rid_name, "left").drop(rid_name).mapInArrow(with_numbers, schema)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES, text: str = "text",
