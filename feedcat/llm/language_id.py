@@ -25,6 +25,8 @@ from .common import arrow_batch, binaries, column, drop_stage, small_batches, st
 BITS = 12
 #: Labelled rows of each language the classifier is fitted on (documented bound); every label is learned.
 TRAIN_ROWS = 600
+#: Labelled rows that reach the driver in all, however many languages there are.
+MOST_ROWS = 20_000
 #: One side of a classifier has few rows if it has at most one in so many.
 FEW = 10
 #: Feature rows that are widened to floats at a time.
@@ -120,20 +122,21 @@ def predict(model: dict, x: np.ndarray) -> tuple[list, np.ndarray]:
     return [model["langs"][i] for i in lang], sure
 
 
-def training_rows(docs: DataFrame, lang: str, key: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """About ``rows`` labelled rows of each language (all, if it has fewer), drawn by a hash of ``key``.
+def training_rows(docs: DataFrame, lang: str, key: str, rows: int = TRAIN_ROWS, most: int = MOST_ROWS) -> DataFrame:
+    """About ``rows`` labelled rows of each language (all, if it has fewer), drawn by a hash of ``key``; in all about
+    ``most``, of which each language has the same share if there are so many.
 
-    The counts per language are one aggregation over all labelled rows, staged and joined to them, so
-    the number of languages has no limit.
+    The counts per language are one aggregation over all labelled rows, staged and joined to them.
     """
     counts = stage(docs.where(F.col(lang).isNotNull()).groupBy(lang).agg(F.count("*").alias("rows_of_lang")), "languages")
+    share = min(float(rows), most / max(counts.count(), 1))
     draw = F.pmod(F.xxhash64(key, F.lit("draw")), F.lit(1_000_000)) / 1_000_000
-    return docs.join(counts, lang).where(draw < F.least(F.lit(1.0), F.lit(float(rows)) / F.col("rows_of_lang"))).select(*docs.columns)
+    return docs.join(counts, lang).where(draw < F.least(F.lit(1.0), F.lit(share) / F.col("rows_of_lang"))).select(*docs.columns)
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = TRAIN_ROWS) -> dict | None:
-    """Fit on a bounded sample: for each language ``rows`` feature rows of 2**BITS half floats (8 kB) reach the
-    driver, a staged part at a time."""
+    """Fit on a bounded sample: for each language ``rows`` feature rows of 2**BITS half floats (8 kB), about ``MOST_ROWS``
+    in all, reach the driver, a staged part at a time."""
     small_batches(docs.sparkSession)
     sample = training_rows(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")),
                            "lang", "key", rows).where("text is not null").select("lang", "text")
