@@ -7,11 +7,12 @@ their own.
 """
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedcat.llm import decontamination, language_id, line_dedup, ngram_join, packing
-from feedcat.llm.common import pin_splits, stage, table
+from feedcat.llm.common import U64, bit_filter, column, passes, pin_splits, small_batches, stage, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text whose language is less sure than this is no prose in a language that was learned.
@@ -19,10 +20,21 @@ LEAST_SCORE = 0.1
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose positions are in ``gone (rid)``."""
+    """``docs`` without the rows whose positions are in ``gone (rid)``. A bitmap of bounded size lets rows that surely
+    stay pass where they are; only the others (those that go, and its few false positives) meet ``gone`` in a join."""
     pin_splits(docs.sparkSession)
-    return docs.select(F.monotonically_increasing_id().alias("rid"), *COLUMNS) \
-        .join(gone, "rid", "left_anti").select(*COLUMNS)
+    small_batches(docs.sparkSession)
+    held = bit_filter(gone.select(F.xxhash64("rid").alias("key")), "key")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), *COLUMNS).withColumn("key", F.xxhash64("rid"))
+
+    def told(maybe: bool) -> DataFrame:
+        def part(batches):
+            for b in batches:
+                found = passes(held, column(b, "key").to_numpy().view(U64))
+                yield b.filter(pa.array(found if maybe else ~found))
+        return rows.mapInArrow(part, rows.schema).drop("key")
+
+    return told(False).unionByName(told(True).join(gone, "rid", "left_anti")).select(*COLUMNS)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
