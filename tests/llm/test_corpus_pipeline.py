@@ -17,3 +17,57 @@ def test_one_of_each_group_stays_whatever_the_ids(spark):
                                  "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_each_group(spark, docs.repartition(3).cache(), "").collect()]
     assert sorted(got, key=repr) in (sorted(want, key=repr), sorted([x if x != rows[7] else (None, near) for x in want], key=repr))
+
+
+def test_run_equals_brute_force(spark, tmp_path):
+    """All five stages on planted rows: what has no letter, repeated lines, near copies, benchmark passages."""
+    import re
+    from collections import Counter
+
+    rng = random.Random(3)
+    vocab = {"en": [f"th{a}{b}ing" for a in "aeiou" for b in "bdfglmnprst"], "de": [f"sch{a}{b}ung" for a in "aeiou" for b in "bdfglmnprst"]}
+    prose = lambda g, n: [rng.choice(vocab[g]) for _ in range(n)]
+    passage = " ".join(prose("en", 30))
+    rows = []
+    for i in range(60):
+        g = ("en", "de")[i % 2]
+        rows.append([i, " ".join(prose(g, 40)) + f"\n{' '.join(prose(g, 30))}", g])
+    for i in range(0, 24, 2):
+        rows[i][1] += "\n  Share THIS line \n"
+    rows += [[100, rows[5][1], "de"], [None, rows[5][1] + " ende", "de"], [7, rows[7][1], "de"]]  # copies, one id twice, a null id
+    rows += [[101, " ".join(prose("en", 50)) + " " + passage, "en"], [102, passage.upper(), None], [103, "12 34 -- 56", "en"], [104, None, None], [105, "", "en"]]
+    rows += [[106, " ".join(prose("en", 400)) + " " + " ".join(passage.split()[:13]), "en"]]  # 13 of 413 words: too few
+    docs = spark.createDataFrame([(i, t, g, f"s{k % 3}", len(t or "")) for k, (i, t, g) in enumerate(rows)],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, passage), (2, "too few words")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    kept = [(i, t) for i, t, _ in rows if t and re.search(r"[a-z]", t.lower())]
+    key = lambda x: x.strip(" \t\x0b\x0c\r").lower()
+    count = Counter(k for _, t in kept for k in {key(x) for x in t.split("\n")} if k)
+    kept = [(i, "\n".join(x for x in t.split("\n") if count[key(x)] < 10)) for i, t in kept]
+    sets = [{tuple(w[j:j + 3]) for j in range(max(len(w) - 2, 1))} for w in ([*t.lower().split()] for _, t in kept)]
+    group = list(range(len(kept)))
+    for a in range(len(kept)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+                group = [group[b] if x == group[a] else x for x in group]
+    least = {}
+    for k, (i, _) in enumerate(kept):
+        order = (i is not None, i or 0, k)  # a null id before any other
+        least[group[k]] = min(least.get(group[k], (order, k)), (order, k))
+    kept = [kept[k] for _, k in sorted(least.values(), key=lambda x: x[1])]
+    ws = passage.lower().split()
+    windows = {tuple(ws[j:j + 13]) for j in range(len(ws) - 12)}
+
+    def contaminated(t):
+        w, hit = re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower()), set()
+        for j in range(len(w) - 12):
+            if tuple(w[j:j + 13]) in windows:
+                hit |= set(range(j, j + 13))
+        return hit and 20 * len(hit) >= len(w)
+
+    want = Counter((i, len(t.split())) for i, t in kept if not contaminated(t))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["n_words"]) for r in got) == want
+    assert (106, 413) in want and not {101, 102, 103, 104, 105} & {i for i, _ in want} and sum(want.values()) == 61
