@@ -8,6 +8,8 @@ of entries is ranked by many tasks, never by one.
 """
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,8 +109,11 @@ def valid_bodies(p: DataFrame, min_bytes: int = MIN_FEED_BODY_BYTES) -> DataFram
 
 
 def recency_bonus(latest, now: str) -> tuple[F.Column, F.Column]:
-    """B26 and E15's recency points of a latest entry time: (whole days of age, bonus)."""
-    age = F.floor(F.timestamp_diff("SECOND", latest, F.lit(now).cast("timestamp")) / 86400).cast("bigint")
+    """B26 and E15's recency points of a latest entry time: (whole days of age, bonus). ``now`` without a zone is UTC,
+    whatever the session's zone."""
+    at = dt.datetime.fromisoformat(now)
+    at = at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
+    age = F.floor((F.lit(int(at.timestamp())) - F.unix_seconds(latest)) / 86400).cast("bigint")
     return age, F.when(latest.isNull(), F.lit(0)).when(age <= 30, F.lit(3)).when(age <= 90, F.lit(1)) \
         .when(age > 365, F.lit(-4)).otherwise(F.lit(0))
 

@@ -124,15 +124,7 @@ def v_entry_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a check log: url per user, run = day index, status by event type."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
-        F.col("event_id"),
-        F.concat(F.lit("https://feeds.example.org/u/"), F.col("user_id").cast("string")).alias("url"),
-        F.datediff(F.to_date("ts"), F.lit("2024-01-01")).alias("run_idx"),
-        F.col("ts").alias("checked_at"),
-        F.when(F.col("event_type") == "error", F.lit("down"))
-         .when(F.col("event_type") == "signup", F.lit("rate_limited"))
-         .otherwise(F.lit("active")).alias("status"))
+    return checks_of(table(spark, sf_dir, "events"))
 
 
 def v_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
