@@ -7,21 +7,22 @@ anchor to the first one at least ``SHORT`` shingles on. Any 45 words that two do
 whatever place inside their lines, hold a stretch that is the same in both, so passages pasted into
 the middle of other text are found too.
 
-A line or block has ``BANDS`` bands of one MinHash of its 5-word shingles: at a similarity of 0.8 two
-of them meet with probability 0.992. A stretch has one band of two MinHashes, its anchors, which are the least
-hashes around its ends; it meets all stretches between the same anchors and, unlike the overlapping
-stretches beside it, no others. Paragraphs that meet are verified by exact Jaccard and clustered by
-connected components; where a component spreads over several documents, the one with the smallest id
+A line or block has ``BANDS`` bands of ``ROWS`` MinHashes of its 5-word shingles: at a similarity of 0.8 two
+of them meet with probability 0.983, at 0.2 with 0.15. Those that meet are verified by exact Jaccard and clustered by
+connected components. A stretch has less than ``GAP + SHORT`` shingles, of which one changed word takes five, so of
+stretches without a repeated shingle only equal ones are similar enough: its one band is the digest of all its shingles.
+Where a component spreads over several documents, the one with the smallest id
 keeps its paragraphs, the others lose them.
 
 Band keys that occur in one document only are dropped before anything else is built: a first pass over
 the texts counts keys, a second one writes only paragraphs whose keys pass a bitmap of the repeated
-ones (of bounded size, followed by an exact join), a third one writes the shingles of paragraphs that
-meet a different one.
+ones (of bounded size, followed by an exact count), a third one writes the shingles of lines and blocks that
+meet a different one, from one document for each.
 
 Words are split at ASCII white space, A-Z lower-cased. Edge cases: null, empty and short texts have
 no paragraphs; a document's own repeats don't count; documents with equal ids are ordered by row; a
-null id keeps before any other. Repeated rows are copies: one keeps. Other columns are ignored.
+null id keeps before any other. Repeated rows are copies: one keeps. Other columns are ignored. A very long text is
+hashed in pieces; what is held of it at once are its words' places and hashes, some 50 bytes a word.
 """
 from __future__ import annotations
 
@@ -40,9 +41,10 @@ WIDTH = 5
 LEAST = 20
 GAP = 16
 SHORT = 10
-BANDS = 3
+BANDS = 4
+ROWS = 2
 ALIKE = (80, 100)
-_SEEDS = seeds(BANDS + 3, 77)
+_SEEDS = seeds(2 * BANDS * ROWS + 1, 77)
 
 
 def sliding(op, x: np.ndarray, width: int) -> np.ndarray:
@@ -71,45 +73,64 @@ def blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def paragraphs(text: bytes | None, known: WordHash) -> tuple:
-    """``(starts, ends, shingle hashes, band keys, digests)`` of a text's paragraphs.
-
-    Places are by words; ``band keys`` are rows of ``BANDS`` (a stretch has the same key in each);
-    digests are two 64-bit sums over the shingles.
-    """
+    """``(starts, ends, shingle hashes)`` of a text's lines and blocks; places are by shingles."""
     h, low, _ = known.spans(text)
+    none = np.empty(0, np.int64)
     if len(h) < WIDTH:
-        none = np.empty(0, np.int64)
-        return none, none, np.empty(0, U64), np.empty((0, BANDS), U64), np.empty((0, 2), U64)
-    s = shingle_hashes(h, WIDTH)
+        return none, none, np.empty(0, U64)
     after = np.searchsorted(low, np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text)))
     sizes = np.diff(after, prepend=0)
     long_ = sizes >= LEAST
     first, last = blocks(sizes)
     whole = after[last] - (after - sizes)[first] >= LEAST
     starts = np.concatenate([(after - sizes)[long_], (after - sizes)[first[whole]]])
-    ends = np.concatenate([after[long_], after[last[whole]]]) - WIDTH + 1
+    return starts, np.concatenate([after[long_], after[last[whole]]]) - WIDTH + 1, shingle_hashes(h, WIDTH)
+
+
+def bands(s: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Rows of ``BANDS`` keys, each of ``ROWS`` MinHashes, of the shingles from ``starts`` up to ``ends``."""
     keys = np.empty((len(starts), BANDS), U64)
     if len(starts):
         bounds = np.stack([starts, ends], 1).ravel()
+        hashed = np.full(len(s) + 1, 2**64 - 1, U64)
         for k in range(BANDS):
-            mins = np.minimum.reduceat(np.append((s ^ _SEEDS[k]) * (_SEEDS[-1 - k] | U64(1)), U64(2**64 - 1)), bounds)[::2]
-            keys[:, k] = mix(mins + U64(k))
-    if len(s) >= GAP:
-        at = anchors(s)
-        to = np.searchsorted(at, at + SHORT)
-        first, last = at[to < len(at)], at[to[to < len(at)]]
-        pair = mix(mix(s[first]) + s[last])
-        starts, ends = np.concatenate([starts, first]), np.concatenate([ends, last])
-        keys = np.concatenate([keys, np.repeat(pair[:, None], BANDS, 1)])
+            keys[:, k] = k
+            for j in range(2 * ROWS * k, 2 * ROWS * (k + 1), 2):
+                hashed[:-1] = (s ^ _SEEDS[j]) * (_SEEDS[j + 1] | U64(1))
+                keys[:, k] = mix(keys[:, k] + np.minimum.reduceat(hashed, bounds)[::2])
+    return keys
+
+
+def stretches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the content-defined stretches, by shingles."""
+    if len(s) < GAP:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = anchors(s)
+    to = np.searchsorted(at, at + SHORT)
+    return at[to < len(at)], at[to[to < len(at)]]
+
+
+def digests(s: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over the shingles from ``starts`` up to ``ends``."""
     sums = np.zeros((len(s) + 1, 2), U64)
     np.cumsum(s, out=sums[1:, 0])
-    np.cumsum((s ^ (s >> U64(29))) * _SEEDS[BANDS], out=sums[1:, 1])
-    return starts, ends + WIDTH - 1, s, keys, sums[ends] - sums[starts]
+    np.cumsum((s ^ (s >> U64(29))) * _SEEDS[-1], out=sums[1:, 1])
+    return sums[ends] - sums[starts]
+
+
+def stretch_keys(sums: np.ndarray) -> np.ndarray:
+    return mix(sums[:, 0] + mix(sums[:, 1]))
+
 
+def node_names(sums: np.ndarray) -> pa.Array:
+    """16 bytes for each digest; the hex digits of a name are those of its numbers."""
+    places = np.arange(len(sums) + 1, dtype=np.int32) * np.int32(16)
+    return pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer(places), pa.py_buffer(sums.astype(">u8").tobytes())])
 
-def node_names(digests: np.ndarray) -> list:
-    flat = digests.astype(">u8").tobytes()  # so that the hex digits of a name are those of its numbers
-    return [flat[i:i + 16] for i in range(0, len(flat), 16)]
+
+def lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
 def band_keys(docs: DataFrame) -> DataFrame:
@@ -119,14 +140,18 @@ def band_keys(docs: DataFrame) -> DataFrame:
     def rows_of(batches):
         known = WordHash()
         for b in batches:
-            got = [np.unique(paragraphs(t, known)[3]) for t in binaries(b, "text")]
-            yield arrow_batch(schema, [pa.array(np.concatenate(got).view(np.int64) if got else [], pa.int64())])
+            got = [np.empty(0, U64)]
+            for t in binaries(b, "text"):
+                starts, ends, s = paragraphs(t, known)
+                got.append(np.unique(np.concatenate([bands(s, starts, ends).ravel(), stretch_keys(digests(s, *stretches(s)))])))
+            yield arrow_batch(schema, [pa.array(np.concatenate(got).view(np.int64))])
 
     return docs.select("text").mapInArrow(rows_of, schema)
 
 
 def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
-    """``rid, doc_id, start, end, node, keys``: paragraphs with a key that passes the filter."""
+    """``rid, doc_id, start, end, node, keys``: paragraphs with a key that passes the filter; places are by words, a
+    stretch has no ``keys``."""
     schema = T.StructType([T.StructField("rid", T.LongType()), docs.schema["doc_id"], T.StructField("start", T.IntegerType()),
                            T.StructField("end", T.IntegerType()), T.StructField("node", T.BinaryType()),
                            T.StructField("keys", T.ArrayType(T.LongType()))])
@@ -135,48 +160,62 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
     def rows_of(batches):
         known = WordHash()
         for b in batches:
-            row, parts = [], []
+            row, places, names, kept, sizes = [], [np.empty((0, 2), np.int64)], [np.empty((0, 2), U64)], [np.empty(0, U64)], [np.empty(0, np.int64)]
             for i, t in enumerate(binaries(b, "text")):
-                starts, ends, _, keys, sums = paragraphs(t, known)
+                starts, ends, s = paragraphs(t, known)
+                keys = bands(s, starts, ends)
                 ok = passes(shared.value, keys)
-                on = np.flatnonzero(ok.any(1))
-                if len(on):
-                    row += [i] * len(on)
-                    parts.append((starts[on], ends[on], node_names(sums[on]),
-                                  [np.unique(k[o]).view(np.int64) for k, o in zip(keys[on], ok[on])]))
-            at = pa.array(row, pa.int64())
-            cols = [[x for p in parts for x in p[c]] for c in range(4)]
-            yield arrow_batch(schema, [column(b, "rid").take(at), column(b, "doc_id").take(at), *cols])
+                on = ok.any(1)
+                first, last = stretches(s)
+                sums = digests(s, first, last)
+                also = passes(shared.value, stretch_keys(sums))
+                row.append(np.full(on.sum() + also.sum(), i))
+                places += [np.stack([starts[on], ends[on]], 1), np.stack([first[also], last[also]], 1)]
+                names += [digests(s, starts[on], ends[on]), sums[also]]
+                kept.append(keys[ok])
+                sizes += [ok[on].sum(1), np.zeros(also.sum(), np.int64)]
+            if not row:
+                continue
+            at, places = pa.array(np.concatenate(row)), np.concatenate(places)
+            yield arrow_batch(schema, [
+                column(b, "rid").take(at), column(b, "doc_id").take(at), pa.array(places[:, 0], pa.int32()),
+                pa.array(places[:, 1] + WIDTH - 1, pa.int32()), node_names(np.concatenate(names)),
+                lists(np.concatenate(kept), np.concatenate(sizes))])
 
     return docs.mapInArrow(rows_of, schema)
 
 
 def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """``node, items`` of the paragraphs ``asked`` for, with their number and parity bits.
+    """``node, items`` of the lines and blocks ``asked`` for, with their number and parity bits.
 
-    ``asked (node, owner)`` names one document that has the paragraph, by the hash of its id: the
-    copies in other documents aren't built (but for a bitmap's few false positives).
+    ``asked (node, owner)`` names one document that has the paragraph, by the hash of its id: other documents are
+    passed over, and of the paragraphs of these the others (but for a bitmap's few false positives).
     """
     schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("items", T.ArrayType(T.LongType())),
                            *(T.StructField(c, T.LongType()) for c in ("n", "p0", "p1"))])
     low = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
-    filter_ = bit_filter(asked.select(low.bitwiseXOR(F.col("owner")).alias("h")), "h")
-    shared = docs.sparkSession.sparkContext.broadcast(filter_)
+    spark = docs.sparkSession.sparkContext
+    shared = spark.broadcast((bit_filter(asked, "owner"), bit_filter(asked.select(low.bitwiseXOR(F.col("owner")).alias("h")), "h")))
 
     def rows_of(batches):
         known = WordHash()
         for b in batches:
-            got = {}
+            owns, wanted = shared.value
             owners = column(b, "owner").to_numpy().view(U64)
-            for t, owner in zip(binaries(b, "text"), owners):
-                starts, ends, s, _, sums = paragraphs(t, known)
-                on = np.flatnonzero(passes(shared.value, sums[:, 0] ^ owner))
-                for j, node in zip(on, node_names(sums[on])):
-                    if node not in got:
-                        x = np.unique(s[starts[j]:ends[j] - WIDTH + 1])
-                        p = parity(x)
-                        got[node] = (x.view(np.int64), len(x), int(p[0]), int(p[1]))
-            yield arrow_batch(schema, [list(got), *([r[k] for r in got.values()] for k in range(4))])
+            names, items, rest = [np.empty((0, 2), U64)], [np.empty(0, U64)], []
+            has = passes(owns, owners)
+            for t, owner in zip(binaries(b.filter(pa.array(has)), "text"), owners[has]):
+                starts, ends, s = paragraphs(t, known)
+                sums = digests(s, starts, ends)
+                on = np.flatnonzero(passes(wanted, sums[:, 0] ^ owner))
+                names.append(sums[on])
+                for j in on:
+                    x = np.unique(s[starts[j]:ends[j]])
+                    items.append(x)
+                    rest.append((len(x), *parity(x)))
+            rest = np.array(rest, np.int64).reshape(-1, 3)
+            yield arrow_batch(schema, [node_names(np.concatenate(names)), lists(np.concatenate(items), rest[:, 0]),
+                                       *(pa.array(rest[:, k]) for k in range(3))])
 
     return docs.select(F.xxhash64("doc_id").alias("owner"), "text").mapInArrow(rows_of, schema) \
         .join(asked.select("node"), "node").dropDuplicates(["node"])
@@ -196,8 +235,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     several = stage(several, "several")
     members = stage(met.join(several, "bucket").groupBy("bucket", "node")
                     .agg(F.count("*").alias("copies"), F.min("owner").alias("owner")), "band-members")
-    asked = stage(members.groupBy("node").agg(F.min("owner").alias("owner")), "asked")
     drop_stage(several)
+    asked = stage(members.groupBy("node").agg(F.min("owner").alias("owner")), "asked")
     sets = stage(shingles_of(docs, asked), "shingles")
     drop_stage(asked)
     about = members.drop("owner").join(sets.drop("items"), "node")
@@ -223,8 +262,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``doc_id, text`` of ``docs`` (unique ids) without the removed stretches' words."""
-    gone = spans.where("removed").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias("gone"))
+    """``doc_id, text`` of every row of ``docs`` without the words of the stretches that ``repeated_spans`` of the same
+    stored table removes; ids may be equal or null."""
+    gone = spans.where("removed").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start_word", "end_word"))).alias("gone"))
     schema = T.StructType([docs.schema["doc_id"], T.StructField("text", T.StringType())])
 
     def rows_of(batches):
@@ -244,7 +284,7 @@ def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                 out.append(None if t is None else t.decode("utf-8", "replace"))
             yield arrow_batch(schema, [column(b, "doc_id"), out])
 
-    return docs.select("doc_id", "text").join(gone, "doc_id", "left").mapInArrow(rows_of, schema)
+    return with_row_id(docs, "doc_id", "text").join(gone, "rid", "left").mapInArrow(rows_of, schema)
 
 
 def op2(spark, docs: DataFrame) -> DataFrame:
