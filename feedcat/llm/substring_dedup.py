@@ -128,6 +128,20 @@ def node_names(sums: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sums), [None, pa.py_buffer(places), pa.py_buffer(sums.astype(">u8").tobytes())])
 
 
+def turned(key: np.ndarray) -> np.ndarray:
+    return (key << U64(32)) | (key >> U64(32))
+
+
+def twice(keys: DataFrame) -> DataFrame:
+    """Both values by which a key is told in a bitmap: of the others about one in 250 has both."""
+    low = F.call_function("shiftrightunsigned", "key", F.lit(32))
+    return keys.select(F.explode(F.array("key", F.shiftleft("key", 32).bitwiseOR(low))).alias("key"))
+
+
+def known_key(filter_: tuple, keys: np.ndarray) -> np.ndarray:
+    return passes(filter_, keys) & passes(filter_, turned(keys))
+
+
 def lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
@@ -164,11 +178,11 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
             for i, t in enumerate(binaries(b, "text")):
                 starts, ends, s = paragraphs(t, known)
                 keys = bands(s, starts, ends)
-                ok = passes(shared.value, keys)
+                ok = known_key(shared.value, keys)
                 on = ok.any(1)
                 first, last = stretches(s)
                 sums = digests(s, first, last)
-                also = passes(shared.value, stretch_keys(sums))
+                also = known_key(shared.value, stretch_keys(sums))
                 row.append(np.full(on.sum() + also.sum(), i))
                 places += [np.stack([starts[on], ends[on]], 1), np.stack([first[also], last[also]], 1)]
                 names += [digests(s, starts[on], ends[on]), sums[also]]
@@ -227,7 +241,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = with_row_id(docs, "doc_id", "text")
     again = stage(band_keys(docs).groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "band-keys")
-    units = stage(met_paragraphs(docs, bit_filter(again, "key")), "paragraphs")
+    units = stage(met_paragraphs(docs, bit_filter(twice(again), "key")), "paragraphs")
     drop_stage(again)
     met = units.select(F.explode("keys").alias("bucket"), "node", F.xxhash64("doc_id").alias("owner"))
     h = F.xxhash64("node")
