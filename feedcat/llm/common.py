@@ -209,7 +209,7 @@ def bit_filter(hashes: DataFrame, name: str, least: int = 16, most: int = 27) ->
     lead = F.call_function("shiftrightunsigned", "h", F.lit(64 - power))
     bits = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(63).cast("int"))
     slots = distinct.select(F.shiftright(lead, 6).alias("slot"), bits.alias("bits")) \
-        .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toPandas()
+        .groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (power - 6), np.int64)
     bitmap[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
     return bitmap.view(U64), power
