@@ -83,6 +83,19 @@ def pack(pieces: list, capacity: int) -> list:
     return out
 
 
+def word_count(text: bytes | None) -> tuple[int, bytes]:
+    """The number of words and the digest of the word sequence, A-Z lower-cased."""
+    words = text.lower().split() if text else []
+    return len(words), xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def lengths(batch: pa.RecordBatch, schema: T.StructType) -> pa.RecordBatch:
+    """The rows of ``measured`` for a batch; the words of one text at a time are held, not those of the batch."""
+    counts = [word_count(t) for t in binaries(batch, "text")]
+    return arrow_batch(schema, [column(batch, "rid"), column(batch, "doc_id"), column(batch, "source"),
+                                [n for n, _ in counts], [d for _, d in counts]])
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """``rid, doc_id, source, n_words, cluster`` without the texts."""
     schema = T.StructType([T.StructField("rid", T.LongType()), docs.schema["doc_id"], T.StructField("source", T.StringType()),
@@ -90,9 +103,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     def rows_of(batches):
         for b in batches:
-            ws = [t.lower().split() if t else [] for t in binaries(b, "text")]
-            yield arrow_batch(schema, [column(b, "rid"), column(b, "doc_id"), column(b, "source"), [len(w) for w in ws],
-                                       [xxhash.xxh3_128_digest(b" ".join(w)) for w in ws]])
+            yield lengths(b, schema)
 
     return with_row_id(docs, "doc_id", F.col("source").cast("string").alias("source"), "text").mapInArrow(rows_of, schema)
 
