@@ -52,11 +52,13 @@ def parse_bodies(bodies: DataFrame, key: str = "feed_url") -> DataFrame:
     def parsed(name: str, schema: str) -> F.Column:
         return F.when(F.col("root") == name, F.from_xml("body", schema, XML_OPTS))
 
-    return bodies.select(key, chunk.alias("chunk"), *extra, root.alias("root"), "body").select(
-        key, "chunk", *extra, "root", parsed("rss", RSS_SCHEMA).alias("rss"), parsed("rdf:rdf", RDF_SCHEMA).alias("rdf"),
-        parsed("feed", ATOM_SCHEMA).alias("atom"),
-        F.regexp_extract_all(F.col("body"), F.lit(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*)[\"']"), 1)
-        .alias("namespaces"))
+    spaces = F.regexp_extract_all(F.col("body"), F.lit(r"xmlns(?::[\w.-]+)?\s*=\s*[\"']([^\"']*)[\"']"), 1)
+    trees = F.struct(parsed("rss", RSS_SCHEMA).alias("rss"), parsed("rdf:rdf", RDF_SCHEMA).alias("rdf"),
+                     parsed("feed", ATOM_SCHEMA).alias("atom"))
+    # a filter isn't moved below ``inline``; below a plain projection it would take a second parse of every body
+    return bodies.select(key, chunk.alias("chunk"), *extra, root.alias("root"), "body", spaces.alias("namespaces")).select(
+        key, "chunk", *extra, "root", "namespaces", F.inline(F.array(trees))).select(
+        key, "chunk", *extra, "root", "rss", "rdf", "atom", "namespaces")
 
 
 def feeds_of(p: DataFrame, key: str = "feed_url", keep: tuple = ()) -> DataFrame:

@@ -182,16 +182,18 @@ def page_key(df: DataFrame, url_col: str, out: str) -> DataFrame:
 
 def seed_links(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """Hop 1 of the crawl: ``page_links`` of the pages that are seeds (``url``), and of no others, under the URL they were
-    asked for by. The few seeds meet the pages' URLs, so HTML of other pages isn't read into tags."""
-    keyed = page_key(html_pages(pages), "url", "__key")
+    asked for by. Pages (or their ``page_links``) are cut to their tags before they are joined, so no HTML is shuffled
+    however many seeds there are."""
+    keyed = page_key(_links_of(pages), "url", "__key")
     wanted = page_key(seeds.select("url"), "url", "__key").where("__key <> ''").select("__key").distinct()
-    return page_links(keyed.join(wanted, "__key", "left_semi").withColumn("url", F.col("__key")))
+    asked = keyed.join(wanted, "__key", "left_semi").select("page_id", F.col("__key").alias("url"), "hrefs", "tags")
+    return U.url_origin(asked, "url", "origin").select("page_id", "url", "origin", "hrefs", "tags")
 
 
 def home_links(pages: DataFrame, sites: DataFrame) -> DataFrame:
-    """Hop 2 of the crawl: ``page_links`` of the sites' home pages (``site_url``), and of no others. Pages are cut to
-    their tags before they are joined, so no HTML is shuffled however many sites there are."""
-    keyed = page_key(page_links(pages), "url", "__key")
+    """Hop 2 of the crawl: ``page_links`` of the sites' home pages (``site_url``), and of no others. Pages (or their
+    ``page_links``) are cut to their tags before they are joined, so no HTML is shuffled however many sites there are."""
+    keyed = page_key(_links_of(pages), "url", "__key")
     homes = keyed.join(sites.select(F.col("site_url").alias("__key")), "__key", "left_semi")
     return homes.select("page_id", F.col("__key").alias("url"), F.col("__key").alias("origin"), "hrefs", "tags")
 

@@ -162,12 +162,13 @@ def discover(spark: SparkSession, pages: DataFrame, fetches: DataFrame, known: D
     overrides the table then.
     """
     summary = RunSummary()
+    links = materialize(L.page_links(pages))  # HTML is read into tags once, for both hops
     if seeds is not None:
-        hop = L.seed_links(pages, summary.count("seeds", seeds))
+        hop = L.seed_links(links, summary.count("seeds", seeds))
     else:
-        hop = summary.count("seeds", L.page_links(pages))
+        hop = summary.count("seeds", links)
     sites = materialize(summary.count("sites", L.linked_sites(hop, blocked, max_sites)))
-    homes = L.home_links(pages, sites)
+    homes = L.home_links(links, sites)
     probes = materialize(summary.count("probes", L.probe_urls(sites, L.site_feeds(homes), blocked, blocked_feeds)))
     # only what can be a feed is parsed, and a feed of several sites once
     got = fetches.where((F.col("http_status") == 200) & (F.col("body_bytes") >= MIN_FEED_BODY_BYTES)) \

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedcat.operators import candidates as K
 from feedcat.operators import entries as E
+from feedcat.operators import links as L
 from feedcat.operators import scoring as R
 from feedcat.plans import jobs as J
 from feedcat.sources.versions import VersionedTable
@@ -97,3 +98,16 @@ def test_review_rank_over_ranges(spark):
     for n in (1, 7):
         got = [(r["bucket"], r["title"], r["url"]) for r in K.review_rank(items, n).orderBy("bucket", "rank").collect()]
         assert got == sorted((r["bucket"], r["title"], r["url"]) for r in items.collect())
+
+
+def test_a_body_is_parsed_once_and_html_stays_out_of_joins(spark):
+    pages, fetches, _, seeds = _tables(spark)
+    parsed = E.valid_bodies(E.parse_bodies(fetches.withColumn("chunk", F.lit(0).cast("bigint"))), min_bytes=10)
+    scored = R.scored_feeds(parsed, now=NOW)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 3  # one for each kind of root
+    assert sorted(r["feed_url"] for r in scored.collect()) == ["https://elsewhere.example.org/feed"] + [f"https://s{i}.example.org/news{i}.xml" for i in range(3)]
+    hop = L.seed_links(pages, seeds)
+    plan = hop._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("regexp_extract_all")  # the tags are cut below the join
+    cut = L.seed_links(L.page_links(pages), seeds)
+    assert hop.collect() == cut.collect() and [(r["page_id"], r["origin"], len(r["hrefs"])) for r in cut.collect()] == [(0, "https://seed.example.org", 3)]
