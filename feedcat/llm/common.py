@@ -20,6 +20,8 @@ from ..session import shared_dir
 U64 = np.uint64
 #: Rows of 16 bytes that may go to the executors as one set; beyond it they are joined.
 BROADCAST_ROWS = 500_000
+#: Bits of a bitmap for each value where what passes by chance is dear to make or to move.
+RARE = 256
 _STAGED: list = []
 
 
@@ -198,14 +200,14 @@ def seeds(n: int, salt: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U64) * U64(0x9E3779B97F4A7C15) + U64(salt))
 
 
-def bit_filter(hashes: DataFrame, name: str, least: int = 16, most: int = 27) -> tuple[np.ndarray, int]:
+def bit_filter(hashes: DataFrame, name: str, least: int = 16, most: int = 27, each: int = 16) -> tuple[np.ndarray, int]:
     """A bitmap over the leading bits of the distinct 64-bit values of column ``name``, and its size as
-    a power of two: 16 bits for each value, up to ``2**most`` bits (16 MB), however many there are.
+    a power of two: ``each`` bits for each value, up to ``2**most`` bits (16 MB), however many there are.
 
     A value that was put in always passes ``passes``; others pass seldom, so an exact join follows.
     """
     distinct = hashes.select(F.col(name).alias("h")).distinct()
-    power = int(min(max(least, np.ceil(np.log2(16 * max(distinct.count(), 1)))), most))
+    power = int(min(max(least, np.ceil(np.log2(each * max(distinct.count(), 1)))), most))
     lead = F.call_function("shiftrightunsigned", "h", F.lit(64 - power))
     bits = F.call_function("shiftleft", F.lit(1).cast("long"), lead.bitwiseAND(63).cast("int"))
     slots = distinct.select(F.shiftright(lead, 6).alias("slot"), bits.alias("bits")) \

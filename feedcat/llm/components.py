@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, arrow_batch, bit_filter, column, drop_stage, passes, stage
+from .common import RARE, U64, arrow_batch, bit_filter, column, drop_stage, passes, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -163,15 +163,45 @@ def open_pairs(open_: DataFrame, own: DataFrame, alike: tuple, may_link) -> Data
 
 
 def verified(pairs: DataFrame, sets, alike: tuple) -> DataFrame:
-    """The distinct pairs ``(a, b)`` whose items are similar, staged; the pairs and a staged table of sets go."""
+    """The distinct pairs ``(a, b)`` whose items are similar, staged; the pairs and a staged table of sets go.
+
+    Sets that come with their size ``n`` and parity bits ``sketch`` meet by these first, and only items of pairs that
+    these leave are moved."""
     num, den = alike
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     s = sets(nodes)
-    x, y = s.select(F.col("node").alias("a"), F.col("items").alias("x")), \
-        s.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    items = s
+    if "sketch" in s.columns:
+        near = stage(sketched(pairs, s, alike), "near-pairs")
+        drop_stage(pairs)
+        pairs, items = near, of_nodes(s, near)
+    x, y = items.select(F.col("node").alias("a"), F.col("items").alias("x")), \
+        items.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     links = stage(pairs.join(x, "a").join(y, "b").withColumn("both", both)
                   .where(den * F.col("both") >= num * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b"), "links")
     drop_stage(pairs, s)
     return links
+
+
+def sketched(pairs: DataFrame, s: DataFrame, alike: tuple) -> DataFrame:
+    """The pairs that can be similar by sizes and parity bits: sets differ in at least as many items as bits."""
+    num, den = alike
+    x, y = s.select(F.col("node").alias("a"), F.col("n").alias("n_x"), F.col("sketch").alias("x")), \
+        s.select(F.col("node").alias("b"), F.col("n").alias("n_y"), F.col("sketch").alias("y"))
+    bits = F.aggregate(F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, c: t + c)
+    total = F.col("n_x") + F.col("n_y")
+    return pairs.join(x, "a").join(y, "b").where(bits <= total - 2 * F.ceil(num * total / (num + den))).select("a", "b")
+
+
+def of_nodes(s: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node, items`` of the nodes of ``pairs``, and of a bitmap's few false positives."""
+    held = bit_filter(pairs.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))).alias("key")), "key", each=RARE)
+    rows = s.select("node", F.xxhash64("node").alias("key"), "items")
+
+    def asked(batches):
+        for b in batches:
+            yield b.filter(pa.array(passes(held, column(b, "key").to_numpy().view(U64))))
+
+    return rows.mapInArrow(asked, rows.schema).drop("key")

@@ -12,7 +12,8 @@ to meet in a segment by chance, from the number of documents in the band. Level-
 and larger, so crowded bands and short texts use them and long texts don't.
 
 Sets meet in the buckets of the index; ``components.cluster`` verifies candidates exactly, after a
-bound on their difference from sizes and 128 parity bits. Equal sets are one node from the start.
+bound on their difference from sizes and 128 parity bits, then one from 1,024. Equal sets are one node
+from the start.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text of one or two words has its whole
 sequence as its only element; one without words (null, empty, blank) has the empty set and links with
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (U64, WordHash, arrow_batch, binaries, bit_filter, column, drop_stage, mix, passes, seeds, shingle_hashes,
+from .common import (RARE, U64, WordHash, arrow_batch, binaries, bit_filter, column, drop_stage, mix, passes, seeds, shingle_hashes,
                      small_batches, stage, with_row_id)
 from .components import cluster
 
@@ -41,6 +42,8 @@ ALIKE = (90, 100)
 SPREAD = 2
 #: Cost of a candidate pair in index rows.
 PAIR_COST = 1.0
+#: Parity bits that come with a set's items; a pair whose bits differ too much is dropped before its items move.
+SKETCH = 1024
 
 
 class Bands:
@@ -132,19 +135,22 @@ def signatures(items: np.ndarray, plan: dict, bands: Bands) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, U64)
 
 
-def parity(items: np.ndarray) -> np.ndarray:
-    """128 parity bits: two sets differ in at least as many elements as bits."""
-    odd = np.bincount((items & U64(127)).astype(np.int64), minlength=128) & 1
+def parity(items: np.ndarray, bits: int = 128) -> np.ndarray:
+    """Parity bits: two sets differ in at least as many elements as bits."""
+    odd = np.bincount((items & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def element_sets(docs: DataFrame, name: str, make, schema: T.StructType) -> DataFrame:
-    """``make(row's first columns, distinct hashed shingles)`` as a row for each document."""
+def element_sets(docs: DataFrame, name: str, make, schema: T.StructType, chosen=None) -> DataFrame:
+    """``make(row's first columns, distinct hashed shingles)`` as a row for each document, or for those that
+    ``chosen(batch)`` tells by column ``key``."""
     def rows_of(batches):
         known = WordHash()
         for b in batches:
+            if chosen:
+                b = b.filter(pa.array(chosen(b)))
             rows = [make(np.unique(shingle_hashes(known.of(t), WIDTH))) for t in binaries(b, "text")]
-            keep = [column(b, n) for n in b.schema.names if n != "text"]
+            keep = [column(b, n) for n in b.schema.names if n not in ("text", "key")]
             yield arrow_batch(schema, [*keep, *(list(c) for c in zip(*rows))] if rows else [*keep, *[[]] * (len(schema) - len(keep))])
 
     return docs.mapInArrow(rows_of, schema)
@@ -186,56 +192,69 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
     narrow = sets.where("n > 0").select("rid", "f0", "f1")
     twins = stage(narrow.groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.count("*").alias("c")).where("c > 1").drop("c"), "twins")
     copies = stage(narrow.join(twins, ["f0", "f1"]).where("rid <> node").select("rid", "node"), "copies")
-    # sets without a twin stay where they are; of the others (and a bitmap's few false positives) one of each stays
-    twin = bit_filter(twins, "f0")
-    own = ["n", "p0", "p1", "sigs"]
-
-    def part(of_twins: bool):
-        def rows_of(batches):
-            for b in batches:
-                is_twin = passes(twin, column(b, "f0").to_numpy().view(U64))
-                yield b.filter(pa.array(is_twin if of_twins else ~is_twin))
-        return sets.where("n > 0").select("rid", "f0", "f1", *own).mapInArrow(rows_of, described_schema)
-
-    described_schema = sets.select("rid", "f0", "f1", *own).schema
-    one = part(True).groupBy("f0", "f1").agg(F.min("rid").alias("node"), F.min_by(F.struct(*own), F.col("rid")).alias("s")).select("node", "s.*")
-    nodes = part(False).select(F.col("rid").alias("node"), *own).unionByName(one)
+    drop_stage(twins)
+    copied = bit_filter(copies.select(F.xxhash64("rid").alias("key")), "key")
+    keyed_sets = sets.where("n > 0").select("rid", F.xxhash64("rid").alias("key"), "n", "p0", "p1", "sigs")
+    node_schema = keyed_sets.drop("key").withColumnRenamed("rid", "node").schema
+
+    def nodes(held: tuple | None = None) -> DataFrame:
+        """``node, n, p0, p1, sigs``, the first row of each different set, with those of its buckets that pass ``held``. What
+        surely is no copy stays where it is; the copies (and a bitmap's few false positives) meet ``copies`` in a join.
+        One pass of Python each, so that a task never needs a second worker."""
+        def part(maybe: bool):
+            def rows_of(batches):
+                for b in batches:
+                    b = b.filter(pa.array(passes(copied, column(b, "key").to_numpy().view(U64)) == maybe))
+                    sigs = column(b, "sigs")
+                    if held:
+                        ends, flat = sigs.offsets.to_numpy(), sigs.flatten()
+                        keep = passes(held, flat.to_numpy().view(U64))
+                        kept = np.concatenate([[0], np.cumsum(keep)])[ends - ends[0]]
+                        sigs = pa.ListArray.from_arrays(pa.array(kept, pa.int32()), flat.filter(pa.array(keep)))
+                    out = arrow_batch(node_schema, [*(column(b, c) for c in ("rid", "n", "p0", "p1")), sigs])
+                    yield out.filter(pa.array(np.diff(kept) > 0)) if held else out
+            return keyed_sets.mapInArrow(rows_of, node_schema)
+
+        return part(False).unionByName(part(True).join(copies.select(F.col("rid").alias("node")), "node", "left_anti"))
+
     # of the index only buckets with two sets or more matter; the others go, by a bitmap, before anything is joined
-    counted = nodes.select(F.explode("sigs").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("c"))
+    counted = nodes().select(F.explode("sigs").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("c"))
     shared = stage(counted.where("c > 1").select("bucket"), "shared")
     held = bit_filter(shared, "bucket")
-    index_schema = nodes.schema
-
-    def met(batches):
-        for b in batches:
-            sigs = column(b, "sigs")
-            ends, flat = sigs.offsets.to_numpy(), sigs.flatten()
-            keep = passes(held, flat.to_numpy().view(U64))
-            kept = np.concatenate([[0], np.cumsum(keep)])[ends - ends[0]]
-            sigs = pa.ListArray.from_arrays(pa.array(kept, pa.int32()), flat.filter(pa.array(keep)))
-            out = arrow_batch(index_schema, [*(column(b, c) for c in ("node", "n", "p0", "p1")), sigs])
-            yield out.filter(pa.array(np.diff(kept) > 0))
-
-    rows = stage(nodes.mapInArrow(met, index_schema).select("node", "n", "p0", "p1", F.explode("sigs").alias("bucket")), "index")
-    members = rows.join(shared, "bucket").select("bucket", "node", "n", "p0", "p1")
-    item_schema = T.StructType([T.StructField("tk", longs), id_field, T.StructField("items", T.ArrayType(longs))])
+    drop_stage(shared)
+    # a bucket that passed by chance has one row, which ``cluster`` leaves out
+    members = stage(nodes(held).select("node", "n", "p0", "p1", F.explode("sigs").alias("bucket")), "index") \
+        .select("bucket", "node", "n", "p0", "p1")
+    rows_of_docs = stage(sets.select("rid", "doc_id", "tk", "n"), "rows")
+    drop_stage(sets)  # the buckets are the most of it
+    item_schema = T.StructType([T.StructField("node", longs), id_field, T.StructField("tk", longs), T.StructField("items", T.ArrayType(longs)),
+                                T.StructField("n", longs), T.StructField("sketch", T.ArrayType(longs))])
+
+    def itemized(items):
+        return items.view(np.int64), len(items), parity(items, SKETCH)
+
+    def of_texts(want: DataFrame, key, rows: DataFrame) -> DataFrame:
+        """Sets of the ``rows (node, doc_id, tk, text)`` that ``want`` surely or by a bitmap's chance has the ``key`` of."""
+        wanted = bit_filter(want.select(key.alias("key")), "key", each=RARE)
+        return element_sets(rows.select("node", "doc_id", "tk", key.alias("key"), "text"), "items", itemized, item_schema,
+                            lambda b: passes(wanted, column(b, "key").to_numpy().view(U64)))
 
     def items_of(asked: DataFrame) -> DataFrame:
-        """Sets of the nodes asked for, from their texts again: they aren't stored for all documents. Texts that weren't
-        asked for are left out, by a bitmap of their hashes, before anything is moved."""
-        want = sets.select(F.col("rid").alias("node"), "tk", "doc_id").join(asked, "node")
-        want = stage(want, "wanted")
-        wanted = bit_filter(want, "tk")
-
-        def texts(batches):
-            for b in batches:
-                yield b.filter(pa.array(passes(wanted, column(b, "tk").to_numpy().view(U64))))
-
-        texts_of = docs.select(F.xxhash64("text").alias("tk"), "doc_id", "text")
-        found = element_sets(texts_of.mapInArrow(texts, texts_of.schema), "items", lambda x: (x.view(np.int64),), item_schema)
-        out = stage(found.alias("d").join(want.alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-                    .select("w.node", "d.items").dropDuplicates(["node"]), "items")  # texts with equal ids
-        drop_stage(want)
+        """Sets of the nodes asked for (and of few others), from their texts again: they aren't stored for all documents.
+        A row of a stored table has the same position again, so sets are written where their texts are read. What isn't
+        found by position, as ``docs`` isn't stored, is looked up by text and id."""
+        want = stage(rows_of_docs.select(F.col("rid").alias("node"), "tk", "doc_id").join(asked, "node"), "wanted")
+        rows = with_row_id(docs, "doc_id", F.xxhash64("text").alias("tk"), "text").withColumnRenamed("rid", "node")
+        out = stage(of_texts(want, F.xxhash64("node", "tk"), rows).drop("doc_id", "tk"), "items")
+        rest = stage(want.join(out.select("node"), "node", "left_anti"), "not-found")
+        if not rest.isEmpty():
+            found = of_texts(rest, F.xxhash64("tk", "doc_id"), rows).drop("node")
+            found = found.alias("d").join(rest.alias("w"), (F.col("d.tk") == F.col("w.tk")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))) \
+                .select("w.node", "d.items", "d.n", "d.sketch").dropDuplicates(["node"])  # texts with equal ids
+            both = stage(out.join(want.select("node"), "node", "left_semi").unionByName(found), "items")
+            drop_stage(out)
+            out = both
+        drop_stage(want, rest)
         return out
 
     roots = cluster(members, items_of, (num, den), differ_bound(num, den))
@@ -244,7 +263,7 @@ def join_components(docs: DataFrame, num: int = ALIKE[0], den: int = ALIKE[1]) -
         .unionByName(copies.select(F.col("node").alias("rid"), F.col("node").alias("root")).distinct()
                      .join(roots.select(F.col("node").alias("rid")), "rid", "left_anti"))
     named = stage(named, "roots-of-rows")
-    base = sets.select("rid", "doc_id", F.col("n").alias("n_shingles"))
+    base = rows_of_docs.select("rid", "doc_id", F.col("n").alias("n_shingles"))
     known = base.join(named, "rid", "left")
     smallest = known.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return known.join(smallest, "root", "left") \
