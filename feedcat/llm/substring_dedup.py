@@ -21,8 +21,9 @@ meet a different one, from one document for each.
 
 Words are split at ASCII white space, A-Z lower-cased. Edge cases: null, empty and short texts have
 no paragraphs; a document's own repeats don't count; documents with equal ids are ordered by row; a
-null id keeps before any other. Repeated rows are copies: one keeps. Other columns are ignored. A very long text is
-hashed in pieces; what is held of it at once are its words' places and hashes, some 50 bytes a word.
+null id keeps before any other. Repeated rows are copies: one keeps. Other columns are ignored. Short texts are hashed
+some 64 KB at once. A very long text is hashed in pieces; what is held of it at once are its words' places and hashes,
+some 50 bytes a word.
 """
 from __future__ import annotations
 
@@ -44,6 +45,8 @@ SHORT = 10
 BANDS = 4
 ROWS = 2
 ALIKE = (80, 100)
+#: Bytes of texts that are hashed at once; a longer text goes alone.
+TOGETHER = 1 << 16
 _SEEDS = seeds(2 * BANDS * ROWS + 1, 77)
 
 
@@ -57,10 +60,12 @@ def sliding(op, x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def anchors(order: np.ndarray) -> np.ndarray:
-    """Positions that are the least of some ``GAP`` in a row: equal to the largest of the minima of
+def anchors(order: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Positions that are the least of some ``GAP`` in a row of one text: equal to the largest of the minima of
     the windows they are in."""
     low = sliding(np.minimum, order, GAP)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:-1].tolist()):  # windows that reach into the next text
+        low[max(a, b - WIDTH - GAP + 2):b] = 0
     edge = np.zeros(GAP - 1, U64)
     return np.flatnonzero(sliding(np.maximum, np.concatenate([edge, low, edge]), GAP) == order)
 
@@ -72,19 +77,41 @@ def blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[last > first], last[last > first]
 
 
-def paragraphs(text: bytes | None, known: WordHash) -> tuple:
-    """``(starts, ends, shingle hashes)`` of a text's lines and blocks; places are by shingles."""
+def groups(texts: list):
+    """``(first, last)`` of the texts to hash at once: ``TOGETHER`` bytes of them at most, or one."""
+    first = held = 0
+    for i, t in enumerate(texts):
+        n = len(t or b"")
+        if i > first and held + n > TOGETHER:
+            yield first, i
+            first = i
+            held = 0
+        held += n
+    if texts:
+        yield first, len(texts)
+
+
+def paragraphs(texts: list, known: WordHash) -> tuple:
+    """``(starts, ends, shingle hashes, bounds)`` of the lines and blocks of texts one after the other; places are by
+    shingles. Words of text ``i`` go from ``bounds[i]`` up to ``bounds[i + 1]``; what begins in the last ``WIDTH - 1`` of
+    them is no shingle of a text."""
+    text = b"\n\n".join([t or b"" for t in texts])  # the empty line between keeps blocks apart
     h, low, _ = known.spans(text)
+    bounds = np.searchsorted(low, np.cumsum([0, *(len(t or b"") + 2 for t in texts)]))
     none = np.empty(0, np.int64)
     if len(h) < WIDTH:
-        return none, none, np.empty(0, U64)
+        return none, none, np.empty(0, U64), bounds
     after = np.searchsorted(low, np.append(np.flatnonzero(np.frombuffer(text, np.uint8) == 10), len(text)))
     sizes = np.diff(after, prepend=0)
     long_ = sizes >= LEAST
     first, last = blocks(sizes)
     whole = after[last] - (after - sizes)[first] >= LEAST
     starts = np.concatenate([(after - sizes)[long_], (after - sizes)[first[whole]]])
-    return starts, np.concatenate([after[long_], after[last[whole]]]) - WIDTH + 1, shingle_hashes(h, WIDTH)
+    return starts, np.concatenate([after[long_], after[last[whole]]]) - WIDTH + 1, shingle_hashes(h, WIDTH), bounds
+
+
+def text_of(places: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    return np.searchsorted(bounds, places, "right") - 1
 
 
 def bands(s: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -101,13 +128,16 @@ def bands(s: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return keys
 
 
-def stretches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the content-defined stretches, by shingles."""
+def stretches(s: np.ndarray, bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the content-defined stretches, by shingles, of one text or of those that ``bounds`` tells."""
     if len(s) < GAP:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = anchors(s)
+    bounds = np.array([0, len(s) + WIDTH - 1]) if bounds is None else bounds
+    at = anchors(s, bounds)
     to = np.searchsorted(at, at + SHORT)
-    return at[to < len(at)], at[to[to < len(at)]]
+    first, last = at[to < len(at)], at[to[to < len(at)]]
+    own = last < bounds[text_of(first, bounds) + 1]
+    return first[own], last[own]
 
 
 def digests(s: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -147,6 +177,19 @@ def lists(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
+def keys_of(texts: list, known: WordHash) -> np.ndarray:
+    """The band keys of all paragraphs of some texts, each once for each text."""
+    starts, ends, s, bounds = paragraphs(texts, known)
+    first, last = stretches(s, bounds)
+    keys = np.concatenate([bands(s, starts, ends).ravel(), stretch_keys(digests(s, first, last))])
+    own = np.concatenate([np.repeat(text_of(starts, bounds), BANDS), text_of(first, bounds)])
+    order = np.lexsort((keys, own))
+    keys, own = keys[order], own[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])
+    return keys[fresh]
+
+
 def band_keys(docs: DataFrame) -> DataFrame:
     """``key`` of every band of every paragraph, once for each document."""
     schema = T.StructType([T.StructField("key", T.LongType())])
@@ -154,11 +197,9 @@ def band_keys(docs: DataFrame) -> DataFrame:
     def rows_of(batches):
         known = WordHash()
         for b in batches:
-            got = [np.empty(0, U64)]
-            for t in binaries(b, "text"):
-                starts, ends, s = paragraphs(t, known)
-                got.append(np.unique(np.concatenate([bands(s, starts, ends).ravel(), stretch_keys(digests(s, *stretches(s)))])))
-            yield arrow_batch(schema, [pa.array(np.concatenate(got).view(np.int64))])
+            texts = binaries(b, "text")
+            got = [keys_of(texts[i:j], known) for i, j in groups(texts)]
+            yield arrow_batch(schema, [pa.array(np.concatenate([np.empty(0, U64), *got]).view(np.int64))])
 
     return docs.select("text").mapInArrow(rows_of, schema)
 
@@ -175,16 +216,18 @@ def met_paragraphs(docs: DataFrame, repeated: tuple) -> DataFrame:
         known = WordHash()
         for b in batches:
             row, places, names, kept, sizes = [], [np.empty((0, 2), np.int64)], [np.empty((0, 2), U64)], [np.empty(0, U64)], [np.empty(0, np.int64)]
-            for i, t in enumerate(binaries(b, "text")):
-                starts, ends, s = paragraphs(t, known)
+            texts = binaries(b, "text")
+            for i, j in groups(texts):
+                starts, ends, s, bounds = paragraphs(texts[i:j], known)
                 keys = bands(s, starts, ends)
                 ok = known_key(shared.value, keys)
                 on = ok.any(1)
-                first, last = stretches(s)
+                first, last = stretches(s, bounds)
                 sums = digests(s, first, last)
                 also = known_key(shared.value, stretch_keys(sums))
-                row.append(np.full(on.sum() + also.sum(), i))
-                places += [np.stack([starts[on], ends[on]], 1), np.stack([first[also], last[also]], 1)]
+                own = text_of(np.concatenate([starts[on], first[also]]), bounds)
+                row.append(own + i)
+                places.append(np.stack([np.concatenate([starts[on], first[also]]), np.concatenate([ends[on], last[also]])], 1) - bounds[own, None])
                 names += [digests(s, starts[on], ends[on]), sums[also]]
                 kept.append(keys[ok])
                 sizes += [ok[on].sum(1), np.zeros(also.sum(), np.int64)]
@@ -218,13 +261,14 @@ def shingles_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
             owners = column(b, "owner").to_numpy().view(U64)
             names, items, rest = [np.empty((0, 2), U64)], [np.empty(0, U64)], []
             has = passes(owns, owners)
-            for t, owner in zip(binaries(b.filter(pa.array(has)), "text"), owners[has]):
-                starts, ends, s = paragraphs(t, known)
+            texts, owners = binaries(b.filter(pa.array(has)), "text"), owners[has]
+            for i, j in groups(texts):
+                starts, ends, s, bounds = paragraphs(texts[i:j], known)
                 sums = digests(s, starts, ends)
-                on = np.flatnonzero(passes(wanted, sums[:, 0] ^ owner))
+                on = np.flatnonzero(passes(wanted, sums[:, 0] ^ owners[text_of(starts, bounds) + i]))
                 names.append(sums[on])
-                for j in on:
-                    x = np.unique(s[starts[j]:ends[j]])
+                for k in on:
+                    x = np.unique(s[starts[k]:ends[k]])
                     items.append(x)
                     rest.append((len(x), *parity(x)))
             rest = np.array(rest, np.int64).reshape(-1, 3)
